@@ -124,3 +124,62 @@ feats AS (
 def rnd(expr: str, scale: int = 6) -> str:
     """Round a double; NaN/inf become NULL (matches ``round_doubles``)."""
     return f"round(CASE WHEN isnan(CAST({expr} AS DOUBLE)) OR isinf(CAST({expr} AS DOUBLE)) THEN NULL ELSE CAST({expr} AS DOUBLE) END, {scale})"
+
+
+def decomp_ctes(P: int) -> str:
+    """From ``weekly``: s (series), comp (both variants + model). Leading comma included."""
+    h = P // 2
+    if P % 2 == 0:
+        ma = (f"(sum(x) OVER fr - 0.5 * lag(x, {h}) OVER w - 0.5 * lead(x, {h}) OVER w) / {P}")
+    else:
+        ma = f"sum(x) OVER fr / {P}"
+    fr = "(pos >= front AND pos < least(front + {P}, back))".format(P=P)
+    br = "(pos >= greatest(front, back - {P}) AND pos < back)".format(P=P)
+    return f""",
+s AS (SELECT entity, idx, ts, close AS x, CAST(row_number() OVER (PARTITION BY entity ORDER BY idx) - 1 AS INTEGER) AS pos,
+             count(*) OVER (PARTITION BY entity) AS n FROM weekly WHERE close IS NOT NULL),
+ma AS (SELECT *, CASE WHEN pos >= {h} AND pos <= n - 1 - {h} THEN {ma} END AS ma, {h} AS front, n - 1 - {h} AS back
+       FROM s WHERE n >= {2 * P}
+       WINDOW w AS (PARTITION BY entity ORDER BY pos),
+              fr AS (PARTITION BY entity ORDER BY pos ROWS BETWEEN {h} PRECEDING AND {h} FOLLOWING)),
+ols AS (SELECT *,
+  regr_slope(CASE WHEN {fr} THEN ma END, CASE WHEN {fr} THEN CAST(pos AS DOUBLE) END) OVER p AS kf,
+  regr_intercept(CASE WHEN {fr} THEN ma END, CASE WHEN {fr} THEN CAST(pos AS DOUBLE) END) OVER p AS bf,
+  regr_slope(CASE WHEN {br} THEN ma END, CASE WHEN {br} THEN CAST(pos AS DOUBLE) END) OVER p AS kb,
+  regr_intercept(CASE WHEN {br} THEN ma END, CASE WHEN {br} THEN CAST(pos AS DOUBLE) END) OVER p AS bb
+  FROM ma WINDOW p AS (PARTITION BY entity)),
+tr AS (SELECT entity, idx, ts, x, pos, n,
+  CASE WHEN pos < front THEN kf * pos + bf WHEN pos > back THEN kb * pos + bb ELSE ma END AS trend FROM ols),
+ph AS (SELECT *, avg(x - trend) OVER (PARTITION BY entity, pos % {P}) AS pa_add,
+                 avg(x / NULLIF(trend, 0)) OVER (PARTITION BY entity, pos % {P}) AS pa_mul FROM tr),
+cen AS (SELECT *, avg(CASE WHEN pos < {P} THEN pa_add END) OVER (PARTITION BY entity) AS m_add,
+                  avg(CASE WHEN pos < {P} THEN pa_mul END) OVER (PARTITION BY entity) AS m_mul FROM ph),
+comp0 AS (SELECT entity, idx, ts, x, pos, n, trend, pa_add - m_add AS seasonal_add, (x - trend) - (pa_add - m_add) AS resid_add,
+                 pa_mul / NULLIF(m_mul, 0) AS seasonal_mul,
+                 x / NULLIF(pa_mul / NULLIF(m_mul, 0), 0) / NULLIF(trend, 0) AS resid_mul FROM cen),
+comp AS (SELECT *, var_samp(resid_add) OVER p AS var_add, var_samp(resid_mul) OVER p AS var_mul,
+                CASE WHEN min(x) OVER p > 0 AND var_samp(resid_mul) OVER p < 0.8 * var_samp(resid_add) OVER p
+                     THEN 'multiplicative' ELSE 'additive' END AS model
+         FROM comp0 WINDOW p AS (PARTITION BY entity))"""
+
+
+def decomp_final_cte(P: int) -> str:
+    return f""",
+dec AS (
+  SELECT entity, ts, pos, x AS observed, trend,
+         CASE WHEN model = 'multiplicative' THEN seasonal_mul ELSE seasonal_add END AS seasonal,
+         CASE WHEN model = 'multiplicative' THEN resid_mul ELSE resid_add END AS resid, model, {P} AS period FROM comp
+  UNION ALL
+  SELECT entity, ts, pos, x, NULL, NULL, NULL, 'additive', {P} FROM s WHERE n < {2 * P})"""
+
+
+def fence_cte(m: float = 1.5) -> str:
+    return f""",
+fen AS (SELECT entity, idx, ts, x, n, resid_add AS resid,
+          quantile_cont(resid_add, 0.25) OVER p AS q1, quantile_cont(resid_add, 0.75) OVER p AS q3
+        FROM comp WINDOW p AS (PARTITION BY entity)),
+fb AS (SELECT *, q1 - {m} * (q3 - q1) AS lower_bound, q3 + {m} * (q3 - q1) AS upper_bound FROM fen)"""
+
+
+SEVERITY_SQL = """CASE WHEN resid <= lower_bound * 3 THEN 'extreme_low' WHEN resid <= lower_bound THEN 'low'
+     WHEN resid <= upper_bound THEN 'normal' WHEN resid <= upper_bound * 3 THEN 'high' ELSE 'extreme_high' END"""
