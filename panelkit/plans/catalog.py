@@ -49,4 +49,4 @@ def register(name: str, sql: str | None = None, scale: int = 6, overrides: dict
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from panelkit.plans import queries_core, queries_decomp, queries_eda  # noqa: F401
+    from panelkit.plans import queries_core, queries_decomp, queries_eda, queries_stats  # noqa: F401
