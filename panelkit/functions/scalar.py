@@ -40,13 +40,24 @@ def round_doubles(df: DataFrame, scale: int = 6, overrides: dict | None = None)
     for f in df.schema.fields:
         if isinstance(f.dataType, T.DoubleType):
             s = overrides.get(f.name, scale)
-            cols.append(F.round(finite_or_null(F.col(f.name)), s).alias(f.name) if s is not None
-                        else F.col(f.name))
+            if s is None:
+                cols.append(F.col(f.name))
+            elif isinstance(s, str) and s.startswith("s"):
+                cols.append(round_sig(F.col(f.name), int(s[1:])).alias(f.name))
+            else:
+                cols.append(F.round(finite_or_null(F.col(f.name)), s).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
 
 
+def round_sig(x, digits: int = 10) -> Column:
+    """Round to ``digits`` significant digits (for unbounded magnitudes such
+    as percentage errors of near-zero values), via scientific notation text."""
+    x = finite_or_null(_c(x))
+    return F.format_string(f"%.{digits - 1}e", x).cast("double")
+
+
 def strip_suffix(entity, suffix: str = ".SA") -> Column:
     """Exchange suffix removal for display (``PETR4.SA`` -> ``PETR4``)."""
     import re

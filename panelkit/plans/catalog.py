@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from panelkit.functions.scalar import round_doubles
-from panelkit.plans.sqlref import rnd
+from panelkit.plans.sqlref import rnd, rnd_sig
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -25,7 +25,10 @@ def final(src: str, cols: str, where: str = "") -> str:
     for c in cols.split():
         if ":" in c:
             name, scale = c.split(":")
-            parts.append(f"{rnd(name, int(scale))} AS {name}")
+            if scale.startswith("s"):
+                parts.append(f"{rnd_sig(name, int(scale[1:]))} AS {name}")
+            else:
+                parts.append(f"{rnd(name, int(scale))} AS {name}")
         else:
             parts.append(c)
     w = f" WHERE {where}" if where else ""
@@ -49,4 +52,6 @@ def register(name: str, sql: str | None = None, scale: int = 6, overrides: dict
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from panelkit.plans import queries_core, queries_decomp, queries_eda, queries_stats  # noqa: F401
+    from panelkit.plans import (  # noqa: F401
+        queries_core, queries_decomp, queries_eda, queries_forecast, queries_stats,
+    )

@@ -121,6 +121,12 @@ feats AS (
   FROM lagged)"""
 
 
+def rnd_sig(expr: str, digits: int = 10) -> str:
+    """Significant-digit rounding (matches ``round_sig``)."""
+    e = f"CAST({expr} AS DOUBLE)"
+    return f"CAST(printf('%.{digits - 1}e', CASE WHEN isnan({e}) OR isinf({e}) THEN NULL ELSE {e} END) AS DOUBLE)"
+
+
 def rnd(expr: str, scale: int = 6) -> str:
     """Round a double; NaN/inf become NULL (matches ``round_doubles``)."""
     return f"round(CASE WHEN isnan(CAST({expr} AS DOUBLE)) OR isinf(CAST({expr} AS DOUBLE)) THEN NULL ELSE CAST({expr} AS DOUBLE) END, {scale})"
