@@ -53,5 +53,5 @@ def register(name: str, sql: str | None = None, scale: int = 6, overrides: dict
 def load_all() -> None:
     """Import the modules that register queries."""
     from panelkit.plans import (  # noqa: F401
-        queries_core, queries_decomp, queries_eda, queries_forecast, queries_stats,
+        queries_core, queries_decomp, queries_eda, queries_forecast, queries_models, queries_stats,
     )
