@@ -12,6 +12,7 @@ from panelkit.operators.gbt import run_gbt
 from panelkit.operators.models import full_rows, run_arima, run_trend
 from panelkit.plans.catalog import register
 from panelkit.plans.queries_core import features
+from panelkit.session import checkpoint_dir
 
 MODEL_ORDER = {"ARIMA": 0, "Trend": 1, "GBT": 2, "AR1": 3}
 def _series(spark, sf):
@@ -100,7 +101,8 @@ def comparison(pred: DataFrame) -> DataFrame:
 @register("m13_model_comparison")
 def m13_model_comparison(spark, sf):
     """Three models, in-sample metrics, walk-forward CV RMSE, best model."""
-    pred = model_jobs(_series(spark, sf))
+    checkpoint_dir(spark)
+    pred = model_jobs(_series(spark, sf)).checkpoint(eager=True)
     return comparison(pred).drop("training_time_s")
 
 
@@ -109,7 +111,9 @@ def fit_all(series: DataFrame) -> DataFrame:
     ranked by AIC; healthy iff residuals not autocorrelated and |cv - rmse| / rmse < 0.5."""
     stat = st.stationarity(series.select("entity", "idx", F.col("y").alias("returns")), "returns")
     rows = full_rows(series).unionByName(fo.walk_forward(series, 5, 12))
-    r = run_arima(rows, 12, 52)
+    checkpoint_dir(series.sparkSession)
+    # grouped fits are the expensive part and feed five tables: cut them out once
+    r = run_arima(rows, 12, 52).checkpoint(eager=True)
     fit = (r.where(F.col("fold") == -2).groupBy("entity")
            .agg(F.first("spec", True).alias("order"), F.first("aic", True).alias("aic"),
                 F.first("bic", True).alias("bic"), F.first("error", True).alias("error")))
