@@ -45,17 +45,27 @@ def round_doubles(df: DataFrame, scale: int = 6, overrides: dict | None = None)
             elif isinstance(s, str) and s.startswith("s"):
                 cols.append(round_sig(F.col(f.name), int(s[1:])).alias(f.name))
             else:
-                cols.append(F.round(finite_or_null(F.col(f.name)), s).alias(f.name))
+                cols.append(round_half_up(F.col(f.name), s).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
 
 
+def round_half_up(x, scale: int) -> Column:
+    """Decimal rounding by plain IEEE arithmetic, floor(x * 10^s + 0.5) / 10^s,
+    so that any engine evaluating the same formula on the same double gets the
+    same result (built-in ROUND functions differ in how they see the double).
+    Magnitudes where the scale exceeds double precision are left as they are."""
+    x = finite_or_null(_c(x))
+    m = float(10 ** scale)
+    return F.when(F.abs(x) < F.lit(10.0 ** (15 - scale)), F.floor(x * F.lit(m) + F.lit(0.5)) / F.lit(m)).otherwise(x)
+
+
 def round_sig(x, digits: int = 10) -> Column:
     """Round to ``digits`` significant digits (for unbounded magnitudes such
     as percentage errors of near-zero values), via scientific notation text."""
     x = finite_or_null(_c(x))
-    return F.format_string(f"%.{digits - 1}e", x).cast("double")
+    return F.when(x.isNotNull(), F.format_string(f"%.{digits - 1}e", x).cast("double"))
 
 
 def strip_suffix(entity, suffix: str = ".SA") -> Column:

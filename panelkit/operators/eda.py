@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.config import EVENT_WINDOWS
-from panelkit.functions.scalar import norm_ppf, safe_div
+from panelkit.functions.scalar import norm_ppf, round_half_up, safe_div
 from panelkit.operators.ranking import exact_quantile, global_rank
 
 UNB = Window.unboundedPreceding
@@ -41,7 +41,7 @@ def return_ranking(panel: DataFrame) -> DataFrame:
     """Entities ranked by total return (desc, entity name breaks ties)."""
     r = total_returns(panel)
     r = global_rank(r, [F.col("total_return").desc(), F.col("entity")], "rank")
-    return r.select("entity", "total_return", F.round(F.col("total_return") * 100, 1).alias("return_pct_1dp"), "rank")
+    return r.select("entity", "total_return", round_half_up(F.col("total_return") * 100, 1).alias("return_pct_1dp"), "rank")
 
 
 def best_worst(panel: DataFrame) -> DataFrame:
@@ -111,10 +111,20 @@ def restrict(panel: DataFrame, chosen: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------- calendar tables
 def calendar_means(panel: DataFrame, col: str = "close", scale: float = 1.0, name: str = "mean_close") -> DataFrame:
-    """A4/A5: mean of ``col`` per entity, year, month (A5: returns x 100)."""
-    return (panel.where(F.col(col).isNotNull())
-            .groupBy("entity", F.year("ts").alias("year"), F.month("ts").alias("month"))
-            .agg((F.avg(col) * F.lit(scale)).alias(name)))
+    """A4/A5: mean of ``col`` per entity, year, month (A5: returns x 100).
+
+    The sum runs over an idx-ordered window frame, so the floating-point
+    result does not depend on the physical row order (reproducible across
+    partitionings); the (entity, year, month) windows sit inside the entity
+    partitioning, so no shuffle is added."""
+    v = panel.where(F.col(col).isNotNull()).select(
+        "entity", "idx", F.col(col).alias("_v"), F.year("ts").alias("year"), F.month("ts").alias("month"))
+    w = Window.partitionBy("entity", "year", "month").orderBy("idx")
+    full = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    m = v.select("entity", "year", "month", "idx",
+                 (F.sum("_v").over(full) / F.count("_v").over(full) * F.lit(scale)).alias(name),
+                 F.row_number().over(w).alias("_rn"))
+    return m.where(F.col("_rn") == 1).select("entity", "year", "month", name)
 
 
 def seasonal_box(panel: DataFrame, by: str = "month") -> DataFrame:

@@ -25,9 +25,23 @@ def add_features(weekly: DataFrame, cfg: PanelConfig | None = None) -> DataFrame
     cfg = cfg or PanelConfig()
     n = cfg.rolling_window
     w = Window.partitionBy("entity").orderBy("idx")
-    roll = w.rowsBetween(-(n - 1), 0)
-    full = F.count("close").over(roll) == n
     prev = F.lag("close", 1).over(w)
+    # the short rolling window spelled out in a fixed order (oldest first):
+    # the same IEEE operations as any other engine evaluating this formula
+    terms = [F.lag("close", k).over(w) for k in range(n - 1, 0, -1)] + [F.col("close")]
+    total = terms[0]
+    for t in terms[1:]:
+        total = total + t
+    mean = total / n
+    ss = None
+    for t in terms:
+        sq = (t - mean) * (t - mean)
+        ss = sq if ss is None else ss + sq
+    roll_min = F.least(*terms)
+    roll_max = F.greatest(*terms)
+    full = F.lit(True)
+    for t in terms:
+        full = full & t.isNotNull()
     ratio = safe_div(F.col("close"), prev)
     ts = F.col("ts")
     return weekly.select(
@@ -37,10 +51,10 @@ def add_features(weekly: DataFrame, cfg: PanelConfig | None = None) -> DataFrame
         prev.alias("lag_1"),
         F.lag("close", 2).over(w).alias("lag_2"),
         F.lag("close", 4).over(w).alias("lag_4"),
-        F.when(full, F.avg("close").over(roll)).alias(f"rolling_mean_{n}"),
-        F.when(full, F.stddev_samp("close").over(roll)).alias(f"rolling_std_{n}"),
-        F.when(full, F.min("close").over(roll)).alias(f"rolling_min_{n}"),
-        F.when(full, F.max("close").over(roll)).alias(f"rolling_max_{n}"),
+        F.when(full, mean).alias(f"rolling_mean_{n}"),
+        F.when(full, F.sqrt(ss / (n - 1))).alias(f"rolling_std_{n}"),
+        F.when(full, roll_min).alias(f"rolling_min_{n}"),
+        F.when(full, roll_max).alias(f"rolling_max_{n}"),
         F.month(ts).alias("month"), F.quarter(ts).alias("quarter"), F.year(ts).alias("year"),
         F.weekofyear(ts).alias("week_of_year"),
     )

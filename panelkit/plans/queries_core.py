@@ -8,8 +8,9 @@ from panelkit.config import PanelConfig
 from panelkit.operators import eda
 from panelkit.operators.features import add_features
 from panelkit.operators.resample import gap_stats, resample_fill, resample_last
+from panelkit.functions.scalar import round_half_up
 from panelkit.plans.catalog import final, register
-from panelkit.plans.sqlref import features_ctes, index_sql, label_sql, PANELS, weekly_ctes
+from panelkit.plans.sqlref import PANELS, features_ctes, index_sql, label_sql, rnd, weekly_ctes
 from panelkit.sources import tables
 
 W = PanelConfig(freq="W")
@@ -62,7 +63,7 @@ def flagship_kpis(spark, sf):
 # ------------------------------------------------------------------ sources
 @register("s_panel_scan", "WITH raw AS (" + PANELS["nation"] + """)
 SELECT entity, count(*) AS n_rows, count(close) AS n_close, min(ts) AS first_ts, max(ts) AS last_ts,
-       round(sum(close), 2) AS sum_close FROM raw
+       """ + rnd("sum(close)", 2) + """ AS sum_close FROM raw
 WHERE ts BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '1999-12-31'
 GROUP BY entity""", overrides={"sum_close": 2})
 def s_panel_scan(spark, sf):
@@ -73,7 +74,7 @@ def s_panel_scan(spark, sf):
     raw = filter_panel(panel(spark, sf, "nation"), cfg)
     return raw.groupBy("entity").agg(F.count("*").alias("n_rows"), F.count("close").alias("n_close"),
                                      F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
-                                     F.round(F.sum("close"), 2).alias("sum_close"))
+                                     round_half_up(F.sum("close"), 2).alias("sum_close"))
 
 
 # ------------------------------------------------------------------ resample / fill

@@ -29,7 +29,7 @@ def _dec_cols(scale):
 for _name, _panel, _freq, _cfg, _scale in (
         ("d_decompose_priority", "priority", "W", W, 5),
         ("d_decompose_event_hourly", "event", "h", H, 6),
-        ("d_decompose_event_small", "event_small", "h", H, 12),
+        ("d_decompose_event_small", "event_small", "h", H, 10),
         ("d_decompose_event_daily_short", "event", "D", DAILY, 6)):
     def _mk(panel=_panel, cfg=_cfg):
         def q(spark, sf):
@@ -43,7 +43,7 @@ for _name, _panel, _freq, _cfg, _scale in (
 
 
 def _detect_sql(panel, freq, P, scale):
-    return _sql(panel, freq, P, final("md", f"entity n var_add:{scale} var_mul:{scale} model"), f""",
+    return _sql(panel, freq, P, final("md", "entity n var_add:s9 var_mul:s9 model"), f""",
 md AS (SELECT entity, n, any_value(var_add) AS var_add, any_value(var_mul) AS var_mul, any_value(model) AS model FROM comp GROUP BY entity, n
        UNION ALL SELECT entity, n, NULL, NULL, 'additive' FROM s WHERE n < {2 * P} GROUP BY entity, n)""")
 
@@ -58,7 +58,8 @@ for _name, _panel, _freq, _cfg, _scale in (
         q.__doc__ = f"D5/A17: residual variances of both models and the choice, {panel} panel."
         return q
 
-    register(_name, _detect_sql(_panel, _freq, _cfg.seasonal_period, _scale), scale=_scale)(_mk2())
+    register(_name, _detect_sql(_panel, _freq, _cfg.seasonal_period, _scale),
+             overrides={"var_add": "s9", "var_mul": "s9"})(_mk2())
 
 
 def _outlier_sql(panel):

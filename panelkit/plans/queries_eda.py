@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from panelkit.operators import eda
 from panelkit.plans.catalog import final, register
 from panelkit.plans.queries_core import features
-from panelkit.plans.sqlref import features_ctes
+from panelkit.plans.sqlref import features_ctes, rnd
 from panelkit.functions.scalar import norm_ppf_sql
 
 # total return per entity (> 1 observation), as SQL over ``feats``
@@ -26,7 +26,7 @@ def top_sql(k, asc=False):
     return f"(SELECT entity FROM tr ORDER BY total_return {d}, entity LIMIT {k})"
 
 
-@register("a_total_return_rank", _with(TR, """r AS (SELECT entity, total_return, round(total_return * 100, 1) AS return_pct_1dp,
+@register("a_total_return_rank", _with(TR, """r AS (SELECT entity, total_return, """ + rnd("total_return * 100", 1) + """ AS return_pct_1dp,
   row_number() OVER (ORDER BY total_return DESC, entity) AS rank FROM tr)""")
     + final("r", "entity total_return:9 return_pct_1dp:1 rank"), overrides={"total_return": 9, "return_pct_1dp": 1})
 def a_total_return_rank(spark, sf):
@@ -46,7 +46,7 @@ def a_best_worst(spark, sf):
     return eda.best_worst(features(spark, sf))
 
 
-@register("a_calendar_heatmap", _with("""c AS (SELECT entity, year(ts) AS year, month(ts) AS month, avg(close) AS mean_close
+@register("a_calendar_heatmap", _with("""c AS (SELECT entity, year(ts) AS year, month(ts) AS month, sum(close ORDER BY idx) / count(close) AS mean_close
   FROM feats WHERE close IS NOT NULL GROUP BY ALL)""") + final("c", "entity year month mean_close:6"),
     )
 def a_calendar_heatmap(spark, sf):
@@ -54,7 +54,7 @@ def a_calendar_heatmap(spark, sf):
     return eda.calendar_means(features(spark, sf), "close", 1.0, "mean_close")
 
 
-@register("a_monthly_returns", _with("""c AS (SELECT entity, year(ts) AS year, month(ts) AS month, avg(returns) * 100 AS mean_return_pct
+@register("a_monthly_returns", _with("""c AS (SELECT entity, year(ts) AS year, month(ts) AS month, sum(returns ORDER BY idx) / count(returns) * 100 AS mean_return_pct
   FROM feats WHERE returns IS NOT NULL GROUP BY ALL)""") + final("c", "entity year month mean_return_pct:8"),
     overrides={"mean_return_pct": 8})
 def a_monthly_returns(spark, sf):
@@ -65,7 +65,7 @@ def a_monthly_returns(spark, sf):
 @register("a_seasonal_box", _with(TR, f"""b AS (SELECT entity, month(ts) AS month, count(*) AS n,
   quantile_cont(close, [0.0, 0.25, 0.5, 0.75, 1.0]) AS q FROM v WHERE entity IN {top_sql(5)} GROUP BY ALL),
 bb AS (SELECT entity, month, n, q[1] AS min, q[2] AS q1, q[3] AS median, q[4] AS q3, q[5] AS max FROM b)""")
-    + final("bb", "entity month n min:4 q1:4 median:4 q3:4 max:4"), scale=4)
+    + final("bb", "entity month n min:6 q1:6 median:6 q3:6 max:6"), scale=6)
 def a_seasonal_box(spark, sf):
     """Five-number summary by month for the top 5 entities."""
     f = features(spark, sf)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelkit.functions.scalar import strip_suffix
+from panelkit.functions.scalar import round_half_up, strip_suffix
 from panelkit.operators import eda
 from panelkit.operators import folds as fo
 from panelkit.operators import forecast as fc
@@ -13,7 +13,7 @@ from panelkit.plans.catalog import final, register
 from panelkit.plans.queries_core import W, features, panel
 from panelkit.plans.queries_eda import TR
 from panelkit.plans.queries_forecast import AR, FULL, FUT, SER
-from panelkit.plans.sqlref import PANELS, features_ctes
+from panelkit.plans.sqlref import features_ctes, rnd
 from panelkit.sources.files import with_cache_fallback
 
 
@@ -22,11 +22,11 @@ def _with(*ctes):
 
 
 @register("k_series_arrays", _with("""a AS (SELECT entity, list(strftime(ts, '%Y-%m-%d') ORDER BY ts) AS dates,
-  list(round(close, 6) ORDER BY ts) AS "values" FROM feats GROUP BY entity)""") + 'SELECT entity, dates, "values" FROM a')
+  list(""" + rnd("close", 6) + """ ORDER BY ts) AS "values" FROM feats GROUP BY entity)""") + 'SELECT entity, dates, "values" FROM a')
 def k_series_arrays(spark, sf):
     """Per-entity ISO dates and values arrays, ordered by date."""
     a = ex.series_arrays(features(spark, sf), "close", "values")
-    return a.select("entity", "dates", F.transform("values", lambda v: F.round(v, 6)).alias("values"))
+    return a.select("entity", "dates", F.transform("values", lambda v: round_half_up(v, 6)).alias("values"))
 
 
 @register("k_landing_subset", _with(TR, """bw AS (SELECT (SELECT entity FROM tr ORDER BY total_return DESC, entity DESC LIMIT 1) AS best_entity,
@@ -70,7 +70,7 @@ def s_cache_fallback(spark, sf):
 
 
 @register("t_display_ranking", _with(TR, """r AS (SELECT regexp_replace(entity, '\\.SA$', '') AS display, entity,
-  round(total_return * 100, 1) AS return_pct_1dp,
+  """ + rnd("total_return * 100", 1) + """ AS return_pct_1dp,
   (SELECT max(total_return) FROM tr) / NULLIF((SELECT min(total_return) FROM tr), 0) AS best_worst_ratio FROM tr)""")
     + final("r", "display entity return_pct_1dp:1 best_worst_ratio:9"), overrides={"return_pct_1dp": 1, "best_worst_ratio": 9})
 def t_display_ranking(spark, sf):
@@ -82,7 +82,7 @@ def t_display_ranking(spark, sf):
     # attached by an equi-join on a constant key (no cartesian product)
     return r.withColumn("_k", F.lit(1)).join(F.broadcast(bw.withColumn("_k", F.lit(1))), "_k").select(
         strip_suffix(F.col("entity")).alias("display"), "entity",
-        F.round(F.col("total_return") * 100, 1).alias("return_pct_1dp"), "best_worst_ratio")
+        round_half_up(F.col("total_return") * 100, 1).alias("return_pct_1dp"), "best_worst_ratio")
 
 
 @register("k_metadata", _with("""m AS (SELECT count(DISTINCT entity) AS n_entities, list(DISTINCT entity ORDER BY entity) AS tickers,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelkit.functions.scalar import round_half_up
 from panelkit.operators import folds as fo
 from panelkit.operators import forecast as fc
 from panelkit.operators import stattests as st
@@ -128,8 +129,8 @@ def fit_all(series: DataFrame) -> DataFrame:
            .join(lb, "entity", "left").join(jb, "entity", "left").join(ins, "entity", "left").join(cv, "entity", "left"))
     gap = F.coalesce(F.try_divide(F.abs(F.col("cv_rmse") - F.col("rmse")), F.col("rmse")), F.lit(0.0))
     out = out.select("*", (~F.coalesce(F.col("autocorrelated"), F.lit(False)) & (gap < 0.5)).alias("healthy"),
-                     F.round("aic", 2).alias("aic_2dp"), F.round("bic", 2).alias("bic_2dp"),
-                     F.round("lb_pvalue", 4).alias("lb_pvalue_4dp"))
+                     round_half_up(F.col("aic"), 2).alias("aic_2dp"), round_half_up(F.col("bic"), 2).alias("bic_2dp"),
+                     round_half_up(F.col("lb_pvalue"), 4).alias("lb_pvalue_4dp"))
     from panelkit.operators.ranking import global_rank
     return global_rank(out, [F.col("aic").asc_nulls_last(), F.col("entity")], "aic_rank")
 

@@ -100,14 +100,22 @@ weekly AS (SELECT *, close IS NULL AS has_gap FROM filled)"""
 def features_ctes(panel: str = "nation", freq: str = "W") -> str:
     """weekly_ctes + feats (returns, lags, rolling 4 or 3, calendar)."""
     n = 4 if freq == "W" else 3
+    names = [f"_t{k}" for k in range(n - 1, 0, -1)] + ["close"]
+    lagcols = ", ".join(f"lag(close, {k}) OVER w AS _t{k}" for k in range(n - 1, 0, -1))
+    sumexpr = " + ".join(names)
+    terms = ", ".join(names)
+    cnt = "(CASE WHEN " + " AND ".join(f"{t} IS NOT NULL" for t in names) + f" THEN {n} ELSE 0 END)"
+    ssexpr = " + ".join(f"({t} - r_mean) * ({t} - r_mean)" for t in names)
+    n1 = n - 1
     return weekly_ctes(panel, freq) + f""",
-lagged AS (
+lagged0 AS (
   SELECT *, lag(close, 1) OVER w AS lag_1, lag(close, 2) OVER w AS lag_2, lag(close, 4) OVER w AS lag_4,
-         count(close) OVER r AS rn_cnt, avg(close) OVER r AS r_mean, stddev_samp(close) OVER r AS r_std,
-         min(close) OVER r AS r_min, max(close) OVER r AS r_max
+         {lagcols}
   FROM weekly
-  WINDOW w AS (PARTITION BY entity ORDER BY idx),
-         r AS (PARTITION BY entity ORDER BY idx ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)),
+  WINDOW w AS (PARTITION BY entity ORDER BY idx)),
+lagged1 AS (SELECT *, ({sumexpr}) / {n} AS r_mean, least({terms}) AS r_min, greatest({terms}) AS r_max,
+         {cnt} AS rn_cnt FROM lagged0),
+lagged AS (SELECT *, sqrt(({ssexpr}) / {n1}) AS r_std FROM lagged1),
 feats AS (
   SELECT entity, idx, ts, raw_close, close, pos, has_gap,
     CASE WHEN lag_1 <> 0 AND close / lag_1 > 0 THEN ln(close / lag_1) END AS returns,
@@ -128,17 +136,23 @@ def rnd_sig(expr: str, digits: int = 10) -> str:
 
 
 def rnd(expr: str, scale: int = 6) -> str:
-    """Round a double; NaN/inf become NULL (matches ``round_doubles``)."""
-    return f"round(CASE WHEN isnan(CAST({expr} AS DOUBLE)) OR isinf(CAST({expr} AS DOUBLE)) THEN NULL ELSE CAST({expr} AS DOUBLE) END, {scale})"
+    """Round a double; NaN/inf become NULL (matches ``round_half_up``)."""
+    e = f"CAST({expr} AS DOUBLE)"
+    x = f"(CASE WHEN isnan({e}) OR isinf({e}) THEN NULL ELSE {e} END)"
+    m = f"CAST({10 ** scale} AS DOUBLE)"
+    lim = f"CAST({10.0 ** (15 - scale)!r} AS DOUBLE)"
+    return f"(CASE WHEN abs({x}) < {lim} THEN floor({x} * {m} + 0.5) / {m} ELSE {x} END)"
 
 
 def decomp_ctes(P: int) -> str:
     """From ``weekly``: s (series), comp (both variants + model). Leading comma included."""
     h = P // 2
+    terms = [f"lag(x, {k}) OVER w" for k in range(h, 0, -1)] + ["x"] + [f"lead(x, {k}) OVER w" for k in range(1, h + 1)]
+    frame_sum = "(" + " + ".join(terms) + ")"
     if P % 2 == 0:
-        ma = (f"(sum(x) OVER fr - 0.5 * lag(x, {h}) OVER w - 0.5 * lead(x, {h}) OVER w) / {P}")
+        ma = (f"({frame_sum} - 0.5 * lag(x, {h}) OVER w - 0.5 * lead(x, {h}) OVER w) / {P}")
     else:
-        ma = f"sum(x) OVER fr / {P}"
+        ma = f"{frame_sum} / {P}"
     fr = "(pos >= front AND pos < least(front + {P}, back))".format(P=P)
     br = "(pos >= greatest(front, back - {P}) AND pos < back)".format(P=P)
     return f""",
