@@ -268,31 +268,50 @@ def correlation_matrix(panel: DataFrame, max_entities: int = 4000) -> DataFrame:
 
 
 # --------------------------------------------------------------- distributions
-def histogram(panel: DataFrame, bins: int = 30, col: str = "close") -> DataFrame:
-    """Density histogram with ``bins`` equal bins between min and max
-    (last bin right-closed; a constant series widens to +-0.5). Empty bins
-    are kept; no join: zero rows are unioned in and summed."""
+def histogram(panel: DataFrame, bins=30, col: str = "close") -> DataFrame:
+    """Density histogram between min and max (last bin right-closed; a
+    constant series widens to +-0.5). ``bins`` is a number, or ``"auto"`` for
+    clip(n // 10, 8, 40) bins per entity. Empty bins are kept; no join: zero
+    rows are unioned in and summed."""
     v = _valid(panel, col)
     part = Window.partitionBy("entity")
     lo0, hi0 = F.min(col).over(part), F.max(col).over(part)
-    s = v.select("entity", F.col(col).alias("x"), lo0.alias("lo0"), hi0.alias("hi0"), F.count("*").over(part).alias("n"))
+    n = F.count("*").over(part)
+    nb = (F.least(F.greatest(F.floor(n / 10), F.lit(8)), F.lit(40)) if bins == "auto" else F.lit(int(bins))).cast("int")
+    s = v.select("entity", F.col(col).alias("x"), lo0.alias("lo0"), hi0.alias("hi0"), n.alias("n"), nb.alias("nb"))
     s = s.select("*", F.when(F.col("lo0") == F.col("hi0"), F.col("lo0") - 0.5).otherwise(F.col("lo0")).alias("lo"),
                  F.when(F.col("lo0") == F.col("hi0"), F.col("hi0") + 0.5).otherwise(F.col("hi0")).alias("hi"))
-    b = F.least(F.floor((F.col("x") - F.col("lo")) * bins / (F.col("hi") - F.col("lo"))).cast("int"), F.lit(bins - 1))
-    hits = s.select("entity", b.alias("bin"), F.lit(1).alias("c"), "lo", "hi", "n")
-    per_ent = s.groupBy("entity").agg(F.first("lo").alias("lo"), F.first("hi").alias("hi"), F.first("n").alias("n"))
-    zeros = per_ent.select("entity", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"),
-                           F.lit(0).alias("c"), "lo", "hi", "n")
+    b = F.least(F.floor((F.col("x") - F.col("lo")) * F.col("nb") / (F.col("hi") - F.col("lo"))).cast("int"),
+                F.col("nb") - 1)
+    hits = s.select("entity", b.alias("bin"), F.lit(1).alias("c"), "lo", "hi", "n", "nb")
+    per_ent = s.groupBy("entity").agg(F.first("lo").alias("lo"), F.first("hi").alias("hi"), F.first("n").alias("n"),
+                                      F.first("nb").alias("nb"))
+    zeros = per_ent.select("entity", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("bin"),
+                           F.lit(0).alias("c"), "lo", "hi", "n", "nb")
     agg = hits.unionByName(zeros).groupBy("entity", "bin").agg(
-        F.sum("c").alias("count"), F.first("lo").alias("lo"), F.first("hi").alias("hi"), F.first("n").alias("n"))
-    width = (F.col("hi") - F.col("lo")) / bins
-    return agg.select("entity", "bin",
-                      (F.col("lo") + F.col("bin") * width).alias("bin_left"),
-                      (F.col("lo") + (F.col("bin") + 1) * width).alias("bin_right"),
+        F.sum("c").alias("count"), F.first("lo").alias("lo"), F.first("hi").alias("hi"), F.first("n").alias("n"),
+        F.first("nb").alias("nb"))
+    width = (F.col("hi") - F.col("lo")) / F.col("nb")
+    left = F.col("lo") + F.col("bin") * width
+    right = F.col("lo") + (F.col("bin") + 1) * width
+    return agg.select("entity", "bin", F.col("nb").alias("bins"), left.alias("bin_left"), right.alias("bin_right"),
+                      ((left + right) / 2).alias("bin_center"),
                       F.col("count").cast("long").alias("count"),
                       (F.col("count") / (F.col("n") * width)).alias("density"))
 
 
+def normal_curve(panel: DataFrame, col: str, grid: int = 200) -> DataFrame:
+    """A10: normal density with the sample mean and population std on a
+    ``grid``-point grid from min to max (one generated row per grid point)."""
+    g = _valid(panel, col).groupBy("entity").agg(
+        F.avg(col).alias("mu"), F.stddev_pop(col).alias("sigma"), F.min(col).alias("lo"), F.max(col).alias("hi"))
+    x = g.select("*", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("i"))
+    gx = F.col("lo") + F.col("i") * (F.col("hi") - F.col("lo")) / F.lit(grid - 1)
+    z = (gx - F.col("mu")) / F.col("sigma")
+    pdf = F.lit(1.0) / (F.col("sigma") * F.lit(math.sqrt(2 * math.pi))) * F.exp(F.lit(-0.5) * z * z)
+    return x.select("entity", "i", gx.alias("x"), F.when(F.col("sigma") > 0, pdf).alias("density"), "mu", "sigma")
+
+
 def kde(panel: DataFrame, grid: int = 200, col: str = "close") -> DataFrame:
     """Gaussian KDE (Scott bandwidth s * n^(-1/5)) on a ``grid``-point
     grid from min to max. Each observation emits its kernel value at every

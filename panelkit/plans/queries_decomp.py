@@ -161,3 +161,42 @@ def r_stream_score(spark, sf):
                   F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("obs_id")))
     run_monitor(spark, ev.unionByName(od), f"{base}/stats", f"{base}/log", f"{base}/ckpt")
     return spark.read.parquet(f"{base}/log")
+
+
+def _resid(spark, sf):
+    from panelkit.operators.decompose import decompose_components
+
+    c = decompose_components(weekly(spark, sf, "event", H), 24)
+    return c.select("entity", "idx", F.col("resid_add").alias("resid"))
+
+
+@register("a_residual_histogram", _sql("event", "h", 24, final("r", "entity bin bins bin_left:6 bin_right:6 bin_center:6 count density:9"), """,
+rs AS (SELECT entity, resid_add AS x FROM comp),
+st AS (SELECT entity, CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END AS lo,
+              CASE WHEN min(x) = max(x) THEN max(x) + 0.5 ELSE max(x) END AS hi, count(*) AS n,
+              CAST(least(greatest(count(*) // 10, 8), 40) AS INTEGER) AS nb FROM rs GROUP BY entity),
+h AS (SELECT rs.entity, least(CAST(floor((x - lo) * nb / (hi - lo)) AS INTEGER), nb - 1) AS bin FROM rs JOIN st USING (entity)),
+g AS (SELECT entity, unnest(generate_series(0, nb - 1)) AS bin FROM st),
+c AS (SELECT g.entity, CAST(g.bin AS INTEGER) AS bin, count(h.bin) AS count FROM g LEFT JOIN h ON g.entity = h.entity AND g.bin = h.bin GROUP BY ALL),
+r AS (SELECT c.entity, c.bin, nb AS bins, lo + c.bin * ((hi - lo) / nb) AS bin_left, lo + (c.bin + 1) * ((hi - lo) / nb) AS bin_right,
+             ((lo + c.bin * ((hi - lo) / nb)) + (lo + (c.bin + 1) * ((hi - lo) / nb))) / 2 AS bin_center,
+             c.count, c.count / (n * ((hi - lo) / nb)) AS density FROM c JOIN st USING (entity))"""),
+          overrides={"density": 9})
+def a_residual_histogram(spark, sf):
+    """A10: residual histogram with clip(n // 10, 8, 40) bins per entity, bin centres, densities."""
+    from panelkit.operators.eda import histogram
+
+    return histogram(_resid(spark, sf), "auto", "resid")
+
+
+@register("a_residual_normal_curve", _sql("event", "h", 24, final("nc", "entity i x:6 density:9 mu:9 sigma:9"), """,
+g AS (SELECT entity, avg(resid_add) AS mu, stddev_pop(resid_add) AS sigma, min(resid_add) AS lo, max(resid_add) AS hi FROM comp GROUP BY entity),
+gx AS (SELECT *, CAST(unnest(generate_series(0, 199)) AS INTEGER) AS i FROM g),
+nc AS (SELECT entity, i, lo + i * (hi - lo) / 199 AS x,
+              CASE WHEN sigma > 0 THEN 1.0 / (sigma * sqrt(2 * pi())) * exp(-0.5 * ((lo + i * (hi - lo) / 199 - mu) / sigma) * ((lo + i * (hi - lo) / 199 - mu) / sigma)) END AS density,
+              mu, sigma FROM gx)"""), scale=9, overrides={"x": 6})
+def a_residual_normal_curve(spark, sf):
+    """A10: normal curve (mean, population std) over the residual range, 200 points."""
+    from panelkit.operators.eda import normal_curve
+
+    return normal_curve(_resid(spark, sf), "resid", 200)

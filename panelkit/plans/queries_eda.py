@@ -99,9 +99,10 @@ st AS (SELECT entity, CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) EN
 h AS (SELECT s.entity, least(CAST(floor((x - lo) * 30 / (hi - lo)) AS INTEGER), 29) AS bin FROM s JOIN st USING (entity)),
 g AS (SELECT entity, unnest(generate_series(0, 29)) AS bin FROM st),
 c AS (SELECT g.entity, CAST(g.bin AS INTEGER) AS bin, count(h.bin) AS count FROM g LEFT JOIN h ON g.entity = h.entity AND g.bin = h.bin GROUP BY ALL),
-r AS (SELECT c.entity, c.bin, lo + c.bin * ((hi - lo) / 30) AS bin_left, lo + (c.bin + 1) * ((hi - lo) / 30) AS bin_right,
+r AS (SELECT c.entity, c.bin, 30 AS bins, lo + c.bin * ((hi - lo) / 30) AS bin_left, lo + (c.bin + 1) * ((hi - lo) / 30) AS bin_right,
+             ((lo + c.bin * ((hi - lo) / 30)) + (lo + (c.bin + 1) * ((hi - lo) / 30))) / 2 AS bin_center,
              c.count, c.count / (n * ((hi - lo) / 30)) AS density FROM c JOIN st USING (entity))""")
-    + final("r", "entity bin bin_left:6 bin_right:6 count density:15"), overrides={"density": 15})
+    + final("r", "entity bin bins bin_left:6 bin_right:6 bin_center:6 count density:15"), overrides={"density": 15})
 def a_histogram(spark, sf):
     """30-bin density histogram of closes for the top 4 entities."""
     f = features(spark, sf)

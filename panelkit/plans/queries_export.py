@@ -115,3 +115,36 @@ def k_document(spark, sf):
     }
     doc = ex.document(spark, tables)
     return doc.select("entity", F.to_json(F.struct(*[c for c in doc.columns if c != "entity"])).alias("document"))
+
+
+@register("k_validation_metrics")
+def k_validation_metrics(spark, sf):
+    """K3: validation table = hold-out metrics joined with walk-forward CV (mean, std) per entity."""
+    f = features(spark, sf)
+    s = fo.target_series(f, "returns")
+    rows = fo.holdout(s, 0.2)
+    ho = fc.holdout_report(fc.ar1_predict(rows), rows)
+    folds = fo.walk_forward(s, 5, 12)
+    cv = fc.cv_summary(fc.error_metrics(fc.ar1_predict(folds).where(F.col("role") == "test"), ("entity", "model", "fold")))
+    return ho.join(cv, ["entity", "model"], "left")
+
+
+@register("s_csv_roundtrip", "WITH " + features_ctes("nation").split(",\nlagged0 AS")[0] + "\n"
+          + final("weekly", "entity idx ts raw_close:6 close:6 pos has_gap"))
+def s_csv_roundtrip(spark, sf):
+    """The panel written as CSV text (entity, Date, Close, tb) into
+    the shared checkpoint folder, read back through the CSV source (text ->
+    number and date coercion), then resampled and filled: equals the Parquet path."""
+    import uuid
+
+    from panelkit.operators.resample import resample_fill
+    from panelkit.session import checkpoint_dir
+    from panelkit.sources.files import load_file
+
+    path = f"{checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}.csv"
+    p = panel(spark, sf, "nation")
+    (p.select("entity", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("Date"),
+              F.format_string("%.17g", F.col("close")).alias("Close"), F.col("tb").cast("string").alias("tb"))
+     .write.option("header", True).csv(path))
+    raw = load_file(spark, path, "entity", "Date", "Close", extra={"tb": "long"})
+    return resample_fill(raw, W).select("entity", "idx", "ts", "raw_close", "close", "pos", "has_gap")

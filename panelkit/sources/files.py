@@ -45,17 +45,19 @@ def to_ts(c: Column) -> Column:
                       F.try_to_timestamp(c.cast(T.StringType())))
 
 
-def _raw(df: DataFrame, entity_col: str, date_col: str, value_col: str) -> DataFrame:
-    check_columns(df, [entity_col, date_col, value_col])
+def _raw(df: DataFrame, entity_col: str, date_col: str, value_col: str, extra: dict | None = None) -> DataFrame:
+    extra = extra or {}
+    check_columns(df, [entity_col, date_col, value_col, *extra])
     return df.select(
         F.col(entity_col).cast("string").alias("entity"),
         to_ts(F.col(date_col)).alias("ts"),
         to_number(F.col(value_col)).alias("close"),
+        *[F.col(c).cast("string").try_cast(t).alias(c) for c, t in extra.items()],
     )
 
 
 def load_file(spark: SparkSession, path: str, entity_col: str = "entity",
-              date_col: str = "Date", value_col: str = "Close") -> DataFrame:
+              date_col: str = "Date", value_col: str = "Close", extra: dict | None = None) -> DataFrame:
     """CSV or Parquet file (or directory) -> RAW."""
     if not os.path.exists(path) and "://" not in path:
         raise FileNotFoundError(f"File not found: {path}")
@@ -67,7 +69,7 @@ def load_file(spark: SparkSession, path: str, entity_col: str = "entity",
         df = spark.read.parquet(path)
     else:
         raise ValueError(f"Unsupported file format: {suffix}")
-    return _raw(df, entity_col, date_col, value_col)
+    return _raw(df, entity_col, date_col, value_col, extra)
 
 
 def load_jdbc(spark: SparkSession, url: str, table: str, start: str, end: str,
