@@ -18,7 +18,15 @@ def stats_side(stats: DataFrame, max_rows: int | None = None) -> DataFrame:
     estimate (and AQE from the measured size, in batch)."""
     s = stats.select(F.col("entity").alias("_entity"), F.col("mean").alias("_mean"),
                      F.col("threshold").alias("_threshold"))
-    if max_rows is not None and stats.count() <= max_rows:
+    if max_rows is None:
+        return s
+    from panelkit.session import checkpoint_dir
+
+    # materialise once (reliable checkpoint: the count and the join read the
+    # same rows, and a lost executor does not replay the statistics job)
+    checkpoint_dir(stats.sparkSession)
+    s = s.checkpoint(eager=True)
+    if s.count() <= max_rows:
         return F.broadcast(s)
     return s
 

@@ -230,7 +230,7 @@ def aligned_dates(panel: DataFrame) -> DataFrame:
     return v.groupBy("ts").agg(F.count("*").alias("k")).where(F.col("k") == n_ent).select("ts")
 
 
-def correlation_matrix(panel: DataFrame, max_entities: int = 4000) -> DataFrame:
+def correlation_matrix(panel: DataFrame, max_entities: int = 2000) -> DataFrame:
     """Pearson correlation on complete cases, long form (e1, e2, corr).
 
     No pair rows are generated: one vector per date (entities in name order),
@@ -259,12 +259,12 @@ def correlation_matrix(panel: DataFrame, max_entities: int = 4000) -> DataFrame:
         rows = [(a, b, None, n_dates) for a in names for b in names]
         return spark.createDataFrame(rows, schema)
     m = Correlation.corr(per_date, "x").head()[0].toArray()
-    rows = []
-    for i, a in enumerate(names):
-        for j, b in enumerate(names):
-            c = float(m[i, j])
-            rows.append((a, b, None if math.isnan(c) else c, n_dates))
-    return spark.createDataFrame(rows, schema)
+    import numpy as np
+    import pandas as pd
+
+    pdf = pd.DataFrame({"e1": np.repeat(names, e), "e2": np.tile(names, e),
+                        "corr": np.where(np.isnan(m.ravel()), None, m.ravel()), "n_dates": n_dates})
+    return spark.createDataFrame(pdf, schema)  # Arrow transfer of the E x E result
 
 
 # --------------------------------------------------------------- distributions

@@ -132,7 +132,9 @@ def o_score_observations(spark, sf):
     """Score every observation against stored residual stats;
     unknown entities (order priorities) get severity 'unknown'."""
     stats = residual_stats(weekly(spark, sf, "event", H), 24, 1.5)
-    return score(tables.observations(spark, sf), stats)
+    # one row per entity, counted before it is broadcast: the observations
+    # (the big side) are never shuffled
+    return score(tables.observations(spark, sf), stats, max_rows=H.broadcast_max_rows)
 
 
 @register("r_stream_score", SCORE_SQL)
