@@ -32,14 +32,18 @@ def _series(weekly: DataFrame) -> DataFrame:
                     F.count("*").over(Window.partitionBy("entity")).alias("n"))
 
 
-def decompose_components(weekly: DataFrame, period: int) -> DataFrame:
-    """Rows of entities with n >= 2P: x, trend, additive and multiplicative
-    seasonal/resid, the detected model and both residual variances."""
+def decompose_components(weekly: DataFrame, period: int, keep_short: bool = False) -> DataFrame:
+    """x, trend, additive and multiplicative seasonal/resid, the detected model
+    and both residual variances for entities with n >= 2P. ``keep_short``
+    keeps the shorter entities in the same pass (components NULL, model
+    additive) instead of dropping them, so callers need no second scan."""
     P = int(period)
     h = P // 2
     part = Window.partitionBy("entity")
     w = Window.partitionBy("entity").orderBy("pos")
-    s = _series(weekly).where(F.col("n") >= 2 * P)
+    s = _series(weekly)
+    if not keep_short:
+        s = s.where(F.col("n") >= 2 * P)
     frame = w.rowsBetween(-h, h)
     if P % 2 == 0:
         ma = (F.sum("x").over(frame) - 0.5 * F.lag("x", h).over(w) - 0.5 * F.lead("x", h).over(w)) / P
@@ -74,7 +78,14 @@ def decompose_components(weekly: DataFrame, period: int) -> DataFrame:
                  F.var_samp("resid_mul").over(part).alias("var_mul"),
                  F.min("x").over(part).alias("min_x"))
     mul = (F.col("min_x") > 0) & (F.col("var_mul") < 0.8 * F.col("var_add"))
-    return s.withColumn("model", F.when(mul, F.lit("multiplicative")).otherwise(F.lit("additive")))
+    s = s.withColumn("model", F.when(mul & (F.col("n") >= 2 * P), F.lit("multiplicative")).otherwise(F.lit("additive")))
+    if keep_short:
+        ok = F.col("n") >= 2 * P
+        s = s.select("entity", "idx", "ts", "x", "pos", "n",
+                     *[F.when(ok, F.col(c)).alias(c) for c in
+                       ("trend", "seasonal_add", "resid_add", "seasonal_mul", "resid_mul", "var_add", "var_mul")],
+                     "min_x", "model")
+    return s
 
 
 def decompose(weekly: DataFrame, period: int, model: str = "auto") -> DataFrame:
@@ -82,32 +93,22 @@ def decompose(weekly: DataFrame, period: int, model: str = "auto") -> DataFrame:
 
     ``model``: auto | additive | multiplicative. Entities shorter than 2P keep
     their observed values with null components and model ``additive``.
+    One pass over the panel (no union of long and short entities).
     """
-    c = decompose_components(weekly, period)
-    if model == "additive":
-        c = c.withColumn("model", F.lit("additive"))
-    elif model == "multiplicative":
-        c = c.withColumn("model", F.lit("multiplicative"))
+    c = decompose_components(weekly, period, keep_short=True)
+    if model in ("additive", "multiplicative"):
+        c = c.withColumn("model", F.when(F.col("n") >= 2 * int(period), F.lit(model)).otherwise(F.lit("additive")))
     is_mul = F.col("model") == "multiplicative"
-    long_rows = c.select("entity", "ts", "pos", F.col("x").alias("observed"), "trend",
-                         F.when(is_mul, F.col("seasonal_mul")).otherwise(F.col("seasonal_add")).alias("seasonal"),
-                         F.when(is_mul, F.col("resid_mul")).otherwise(F.col("resid_add")).alias("resid"),
-                         "model", F.lit(int(period)).alias("period"))
-    short = _series(weekly).where(F.col("n") < 2 * int(period)).select(
-        "entity", "ts", "pos", F.col("x").alias("observed"), F.lit(None).cast("double").alias("trend"),
-        F.lit(None).cast("double").alias("seasonal"), F.lit(None).cast("double").alias("resid"),
-        F.lit("additive").alias("model"), F.lit(int(period)).alias("period"))
-    return long_rows.unionByName(short)
+    return c.select("entity", "ts", "pos", F.col("x").alias("observed"), "trend",
+                    F.when(is_mul, F.col("seasonal_mul")).otherwise(F.col("seasonal_add")).alias("seasonal"),
+                    F.when(is_mul, F.col("resid_mul")).otherwise(F.col("resid_add")).alias("resid"),
+                    "model", F.lit(int(period)).alias("period"))
 
 
 def model_detection(weekly: DataFrame, period: int) -> DataFrame:
     """Per entity, the residual variances of both models and the choice
     (entities shorter than 2P: additive, variances null)."""
-    c = decompose_components(weekly, period)
-    long_ = c.groupBy("entity").agg(F.first("n").alias("n"), F.first("var_add").alias("var_add"),
-                                    F.first("var_mul").alias("var_mul"), F.first("model").alias("model"))
-    short = (_series(weekly).where(F.col("n") < 2 * int(period)).groupBy("entity")
-             .agg(F.first("n").alias("n"))
-             .select("entity", "n", F.lit(None).cast("double").alias("var_add"),
-                     F.lit(None).cast("double").alias("var_mul"), F.lit("additive").alias("model")))
-    return long_.unionByName(short)
+    c = decompose_components(weekly, period, keep_short=True)
+    # the per-entity values are constant within the entity: grouping on them
+    # keeps a hash aggregate (a string aggregate buffer would force a sort)
+    return c.groupBy("entity", "n", "var_add", "var_mul", "model").agg(F.count("*").alias("_rows")).drop("_rows")

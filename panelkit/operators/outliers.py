@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.config import SEVERITY_LABELS
-from panelkit.operators.decompose import _series, decompose_components
+from panelkit.operators.decompose import decompose_components
 
 
 def _fenced(weekly: DataFrame, period: int, multiplier: float) -> DataFrame:
@@ -55,14 +55,20 @@ def residual_stats(weekly: DataFrame, period: int, multiplier: float = 1.5) -> D
 
 def outlier_summary(weekly: DataFrame, period: int, multiplier: float = 1.5) -> DataFrame:
     """Outlier count and share of non-null points per entity; entities
-    without outliers are kept (0, 0.0); too-short entities get (0, NULL)."""
-    f = _fenced(weekly, period, multiplier)
-    out = (F.col("resid") < F.col("lower_bound")) | (F.col("resid") > F.col("upper_bound"))
-    long_ = f.groupBy("entity").agg(F.count_if(out).alias("count"), F.first("n").alias("n"))
-    long_ = long_.select("entity", "count", (F.col("count") / F.col("n") * 100).alias("pct_total"))
-    short = (_series(weekly).where(F.col("n") < 2 * int(period)).select("entity").distinct()
-             .select("entity", F.lit(0).cast("long").alias("count"), F.lit(None).cast("double").alias("pct_total")))
-    return long_.unionByName(short)
+    without outliers are kept (0, 0.0); too-short entities get (0, NULL).
+    One pass: short entities ride along with NULL fences."""
+    c = decompose_components(weekly, period, keep_short=True)
+    part = Window.partitionBy("entity")
+    c = c.select("entity", "n", F.col("resid_add").alias("resid"),
+                 F.percentile("resid_add", F.lit(0.25)).over(part).alias("q1"),
+                 F.percentile("resid_add", F.lit(0.75)).over(part).alias("q3"))
+    iqr = F.col("q3") - F.col("q1")
+    lo = F.col("q1") - multiplier * iqr
+    hi = F.col("q3") + multiplier * iqr
+    out = F.coalesce((F.col("resid") < lo) | (F.col("resid") > hi), F.lit(False))
+    g = c.groupBy("entity", "n").agg(F.count_if(out).alias("count"))
+    ok = F.col("n") >= 2 * int(period)
+    return g.select("entity", "count", F.when(ok, F.col("count") / F.col("n") * 100).alias("pct_total"))
 
 
 def severity_counts(outliers: DataFrame) -> DataFrame:

@@ -77,10 +77,9 @@ def t_display_ranking(spark, sf):
     """Display names without the exchange suffix, returns in % (1 dp), best/worst ratio."""
     f = features(spark, sf)
     r = eda.total_returns(f)
-    bw = eda.best_worst(f).select(F.try_divide(F.col("best_return"), F.col("worst_return")).alias("best_worst_ratio"))
-    # one row (a global aggregate): a proven size bound for the broadcast;
-    # attached by an equi-join on a constant key (no cartesian product)
-    return r.withColumn("_k", F.lit(1)).join(F.broadcast(bw.withColumn("_k", F.lit(1))), "_k").select(
+    # one scalar from a global aggregate, brought back as a literal (no join)
+    ratio = eda.best_worst(f).select(F.try_divide(F.col("best_return"), F.col("worst_return"))).first()[0]
+    return r.withColumn("best_worst_ratio", F.lit(ratio).cast("double")).select(
         strip_suffix(F.col("entity")).alias("display"), "entity",
         round_half_up(F.col("total_return") * 100, 1).alias("return_pct_1dp"), "best_worst_ratio")
 
