@@ -68,10 +68,7 @@ WHERE ts BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '1999-12-31'
 GROUP BY entity""", overrides={"sum_close": 2})
 def s_panel_scan(spark, sf):
     """Panel scan with an inclusive date range pushed to the scan."""
-    from panelkit.sources.files import filter_panel
-
-    cfg = PanelConfig(start_date="1995-01-01", end_date="1999-12-31")
-    raw = filter_panel(panel(spark, sf, "nation"), cfg)
+    raw = tables.nation_panel(spark, sf, start="1995-01-01", end="1999-12-31")
     return raw.groupBy("entity").agg(F.count("*").alias("n_rows"), F.count("close").alias("n_close"),
                                      F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
                                      round_half_up(F.sum("close"), 2).alias("sum_close"))

@@ -45,19 +45,46 @@ def to_ts(c: Column) -> Column:
                       F.try_to_timestamp(c.cast(T.StringType())))
 
 
+def native_range(df: DataFrame, col: str, start: str | None, end: str | None) -> DataFrame:
+    """Inclusive range filter written against the column in its own type, so
+    the predicate reaches the Parquet / JDBC scan (a filter on a converted
+    column would stay above the scan)."""
+    dt = df.schema[col].dataType
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        if start:
+            df = df.where(F.col(col) >= F.lit(start).cast(dt))
+        if end:
+            df = df.where(F.col(col) <= F.lit(end).cast(dt))
+    return df
+
+
+def _ts_of(df: DataFrame, col: str):
+    dt = df.schema[col].dataType
+    if isinstance(dt, T.TimestampType):
+        return F.col(col)
+    if isinstance(dt, (T.TimestampNTZType, T.DateType)):
+        return F.col(col).cast("timestamp")
+    return to_ts(F.col(col))
+
+
 def _raw(df: DataFrame, entity_col: str, date_col: str, value_col: str, extra: dict | None = None) -> DataFrame:
     extra = extra or {}
     check_columns(df, [entity_col, date_col, value_col, *extra])
+    if isinstance(df.schema[value_col].dataType, T.DoubleType):
+        close = F.when(~F.isnan(F.col(value_col)), F.col(value_col))  # NaN -> NULL, no text round trip
+    else:
+        close = to_number(F.col(value_col))
     return df.select(
         F.col(entity_col).cast("string").alias("entity"),
-        to_ts(F.col(date_col)).alias("ts"),
-        to_number(F.col(value_col)).alias("close"),
+        _ts_of(df, date_col).alias("ts"),
+        close.alias("close"),
         *[F.col(c).cast("string").try_cast(t).alias(c) for c, t in extra.items()],
     )
 
 
 def load_file(spark: SparkSession, path: str, entity_col: str = "entity",
-              date_col: str = "Date", value_col: str = "Close", extra: dict | None = None) -> DataFrame:
+              date_col: str = "Date", value_col: str = "Close", extra: dict | None = None,
+              start: str | None = None, end: str | None = None) -> DataFrame:
     """CSV or Parquet file (or directory) -> RAW."""
     if not os.path.exists(path) and "://" not in path:
         raise FileNotFoundError(f"File not found: {path}")
@@ -69,7 +96,7 @@ def load_file(spark: SparkSession, path: str, entity_col: str = "entity",
         df = spark.read.parquet(path)
     else:
         raise ValueError(f"Unsupported file format: {suffix}")
-    return _raw(df, entity_col, date_col, value_col, extra)
+    return _raw(native_range(df, date_col, start, end), entity_col, date_col, value_col, extra)
 
 
 def load_jdbc(spark: SparkSession, url: str, table: str, start: str, end: str,
@@ -91,14 +118,15 @@ def load_jdbc(spark: SparkSession, url: str, table: str, start: str, end: str,
                   .option("lowerBound", lower or start).option("upperBound", upper or end)
                   .option("numPartitions", num_partitions))
     df = reader.load().select(_ident(entity_col), _ident(date_col), _ident(value_col))
-    df = df.where(F.col(date_col).between(F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")))
-    return _raw(df, entity_col, date_col, value_col)
+    return _raw(native_range(df, date_col, start, end), entity_col, date_col, value_col)
 
 
 def load_panel(spark: SparkSession, kind: str, cfg: PanelConfig | None = None, **kw) -> DataFrame:
     """Source dispatch by kind: file | jdbc | table (DataFrame passed in)."""
     cfg = cfg or PanelConfig()
     if kind == "file":
+        kw.setdefault("start", cfg.start_date)
+        kw.setdefault("end", cfg.end_date)
         raw = load_file(spark, **kw)
     elif kind == "jdbc":
         raw = load_jdbc(spark, **kw)

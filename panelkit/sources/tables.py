@@ -14,9 +14,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def nation_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order value by customer nation: orders -> customer -> nation."""
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+def nation_panel(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Order value by customer nation: orders -> customer -> nation.
+    ``start``/``end`` (inclusive) filter the order date inside the scan."""
+    from panelkit.sources.files import native_range
+
+    o = native_range(read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"),
+                     "o_orderdate", start, end)
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     # nation (25 rows) and customer (one row per customer) are dimension tables:
