@@ -10,14 +10,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def stats_side(stats: DataFrame, max_rows: int | None = None) -> DataFrame:
+def stats_side(stats: DataFrame, max_rows: int | None = None, residual: bool = False) -> DataFrame:
     """The statistics table, hinted for broadcast only behind a size check.
 
     ``max_rows`` given: count the table (one row per entity) and broadcast it
     when it is within the bound; otherwise the planner decides from its size
     estimate (and AQE from the measured size, in batch)."""
-    s = stats.select(F.col("entity").alias("_entity"), F.col("mean").alias("_mean"),
-                     F.col("threshold").alias("_threshold"))
+    cols = [F.col("entity").alias("_entity"), F.col("mean").alias("_mean"), F.col("threshold").alias("_threshold")]
+    if residual:
+        cols += [F.col(c).alias("_" + c) for c in ("first_idx", "kb", "bb", "seasonal")]
+    s = stats.select(*cols)
     if max_rows is None:
         return s
     from panelkit.session import checkpoint_dir
@@ -31,7 +33,18 @@ def stats_side(stats: DataFrame, max_rows: int | None = None) -> DataFrame:
     return s
 
 
-def score(observations: DataFrame, stats: DataFrame, max_rows: int | None = None) -> DataFrame:
+def expected_value(ts_col, freq: str, period: int):
+    """Expected value of a new observation from a residual model row:
+    back-edge trend line at its position + the seasonal value of its phase."""
+    from panelkit.functions.scalar import period_index, period_label
+
+    pos = period_index(period_label(ts_col, freq), freq) - F.col("_first_idx")
+    phase = F.pmod(pos, F.lit(int(period))).cast("int")
+    return F.col("_kb") * pos + F.col("_bb") + F.element_at(F.col("_seasonal"), phase + 1)
+
+
+def score(observations: DataFrame, stats: DataFrame, max_rows: int | None = None,
+          mode: str = "raw", freq: str | None = None, period: int | None = None) -> DataFrame:
     """VERDICT rows: entity_id, timestamp, value, is_anomaly, deviation,
     threshold, severity, error (+ any extra observation columns).
 
@@ -39,10 +52,17 @@ def score(observations: DataFrame, stats: DataFrame, max_rows: int | None = None
     high if deviation > 2 x threshold else medium; none when normal. An entity
     without statistics is not anomalous, severity ``unknown``, with an error.
     """
-    s = stats_side(stats, max_rows)
+    s = stats_side(stats, max_rows, residual=(mode == "residual"))
     j = observations.join(s, observations["entity_id"] == s["_entity"], "left")
     known = F.col("_entity").isNotNull()
-    dev = F.abs(F.col("value") - F.col("_mean"))
+    if mode == "residual":
+        # deviation of the residual (value - trend - seasonal) from the residual mean
+        dev = F.abs(F.col("value") - expected_value(F.col("timestamp"), freq, period) - F.col("_mean"))
+    elif mode == "raw":
+        # the value itself against the residual mean (the original check)
+        dev = F.abs(F.col("value") - F.col("_mean"))
+    else:
+        raise ValueError(mode)
     anom = dev > F.col("_threshold")
     extra = [c for c in observations.columns if c not in ("entity_id", "timestamp", "value")]
     return j.select(

@@ -62,7 +62,7 @@ def decompose_components(weekly: DataFrame, period: int, keep_short: bool = Fals
     trend = (F.when(F.col("pos") < F.col("front"), F.col("kf") * F.col("pos") + F.col("bf"))
              .when(F.col("pos") > F.col("back"), F.col("kb") * F.col("pos") + F.col("bb"))
              .otherwise(F.col("ma")))
-    s = s.select("entity", "idx", "ts", "x", "pos", "n", trend.alias("trend"))
+    s = s.select("entity", "idx", "ts", "x", "pos", "n", trend.alias("trend"), "kb", "bb")
     phase = Window.partitionBy("entity", F.col("pos") % P)
     s = s.select("*", F.avg(F.col("x") - F.col("trend")).over(phase).alias("pa_add"),
                  F.avg(safe_div(F.col("x"), F.col("trend"))).over(phase).alias("pa_mul"))
@@ -70,7 +70,7 @@ def decompose_components(weekly: DataFrame, period: int, keep_short: bool = Fals
                  F.avg(F.when(F.col("pos") < P, F.col("pa_mul"))).over(part).alias("m_mul"))
     seas_add = F.col("pa_add") - F.col("m_add")
     seas_mul = safe_div(F.col("pa_mul"), F.col("m_mul"))
-    s = s.select("entity", "idx", "ts", "x", "pos", "n", "trend",
+    s = s.select("entity", "idx", "ts", "x", "pos", "n", "trend", "kb", "bb",
                  seas_add.alias("seasonal_add"), ((F.col("x") - F.col("trend")) - seas_add).alias("resid_add"),
                  seas_mul.alias("seasonal_mul"),
                  safe_div(safe_div(F.col("x"), seas_mul), F.col("trend")).alias("resid_mul"))
@@ -83,7 +83,8 @@ def decompose_components(weekly: DataFrame, period: int, keep_short: bool = Fals
         ok = F.col("n") >= 2 * P
         s = s.select("entity", "idx", "ts", "x", "pos", "n",
                      *[F.when(ok, F.col(c)).alias(c) for c in
-                       ("trend", "seasonal_add", "resid_add", "seasonal_mul", "resid_mul", "var_add", "var_mul")],
+                       ("trend", "kb", "bb", "seasonal_add", "resid_add", "seasonal_mul", "resid_mul",
+                        "var_add", "var_mul")],
                      "min_x", "model")
     return s
 

@@ -53,6 +53,25 @@ def residual_stats(weekly: DataFrame, period: int, multiplier: float = 1.5) -> D
              ((F.col("q3") - F.col("q1")) * multiplier).alias("threshold"))
 
 
+def residual_model(weekly: DataFrame, period: int, multiplier: float = 1.5) -> DataFrame:
+    """RSTATS plus what a residual-mode check needs to place a new value:
+    first bin index, the back-edge trend line (kb * pos + bb) and the P
+    additive seasonal phase values (array ordered by phase, P entries)."""
+    c = decompose_components(weekly, period)
+    P = int(period)
+    first = F.min("idx").over(Window.partitionBy("entity"))
+    c = c.select("*", first.alias("first_idx"), (F.col("pos") % P).alias("phase"))
+    phases = (c.groupBy("entity", "phase").agg(F.first("seasonal_add").alias("s"))
+              .groupBy("entity").agg(F.array_sort(F.collect_list(F.struct("phase", "s"))).alias("_ps")))
+    st = c.groupBy("entity").agg(
+        F.avg("resid_add").alias("mean"), F.stddev_samp("resid_add").alias("std"),
+        F.percentile("resid_add", F.lit(0.25)).alias("q1"), F.percentile("resid_add", F.lit(0.75)).alias("q3"),
+        F.first("first_idx").alias("first_idx"), F.first("kb").alias("kb"), F.first("bb").alias("bb"))
+    st = st.select("entity", "mean", "std", "q1", "q3", (F.col("q3") - F.col("q1")).alias("iqr"),
+                   ((F.col("q3") - F.col("q1")) * multiplier).alias("threshold"), "first_idx", "kb", "bb")
+    return st.join(phases, "entity").select("*", F.transform("_ps", lambda x: x["s"]).alias("seasonal")).drop("_ps")
+
+
 def outlier_summary(weekly: DataFrame, period: int, multiplier: float = 1.5) -> DataFrame:
     """Outlier count and share of non-null points per entity; entities
     without outliers are kept (0, 0.0); too-short entities get (0, NULL).

@@ -202,3 +202,40 @@ def a_residual_normal_curve(spark, sf):
     from panelkit.operators.eda import normal_curve
 
     return normal_curve(_resid(spark, sf), "resid", 200)
+
+
+RESID_SCORE_SQL = ("WITH " + weekly_ctes("event", "h") + decomp_ctes(24) + """,
+fi AS (SELECT entity, min(idx) AS first_idx FROM comp GROUP BY entity),
+kbb AS (SELECT entity, any_value(kb) AS kb, any_value(bb) AS bb FROM ols GROUP BY entity),
+sp AS (SELECT entity, pos % 24 AS phase, any_value(seasonal_add) AS s FROM comp GROUP BY ALL),
+st AS (SELECT comp.entity, avg(resid_add) AS mean, (quantile_cont(resid_add, 0.75) - quantile_cont(resid_add, 0.25)) * 1.5 AS threshold
+       FROM comp GROUP BY comp.entity),
+obs AS (SELECT event_type AS entity_id, CAST(ts AS TIMESTAMP) AS timestamp, CAST(value AS DOUBLE) AS value, 'e' || CAST(event_id AS VARCHAR) AS obs_id FROM events
+        UNION ALL
+        SELECT o_orderpriority, CAST(o_orderdate AS TIMESTAMP), CAST(o_totalprice AS DOUBLE), 'o' || CAST(o_orderkey AS VARCHAR) FROM orders),
+ob AS (SELECT o.*, st.entity, st.mean, st.threshold, kbb.kb, kbb.bb,
+              CAST(floor(epoch(date_trunc('hour', o.timestamp)) / 3600) AS BIGINT) - fi.first_idx AS pos
+       FROM obs o LEFT JOIN st ON o.entity_id = st.entity LEFT JOIN fi ON o.entity_id = fi.entity LEFT JOIN kbb ON o.entity_id = kbb.entity),
+ex AS (SELECT ob.*, kb * pos + bb + sp.s AS expected FROM ob LEFT JOIN sp ON ob.entity = sp.entity AND ((ob.pos % 24) + 24) % 24 = sp.phase),
+v AS (SELECT entity_id, timestamp, value, obs_id,
+        CASE WHEN entity IS NULL THEN false ELSE coalesce(abs(value - expected - mean) > threshold, false) END AS is_anomaly,
+        CASE WHEN entity IS NULL THEN 0.0 ELSE abs(value - expected - mean) END AS deviation,
+        CASE WHEN entity IS NULL THEN 0.0 ELSE threshold END AS threshold,
+        CASE WHEN entity IS NULL THEN 'unknown'
+             WHEN abs(value - expected - mean) > threshold AND abs(value - expected - mean) > threshold * 2 THEN 'high'
+             WHEN abs(value - expected - mean) > threshold THEN 'medium' ELSE 'none' END AS severity,
+        CASE WHEN entity IS NULL THEN 'No stats for entity ' || coalesce(entity_id, 'None') END AS error
+      FROM ex)
+""" + final("v", "entity_id timestamp value:6 obs_id is_anomaly deviation:6 threshold:6 severity error"))
+
+
+@register("o_score_residual_mode", RESID_SCORE_SQL)
+def o_score_residual_mode(spark, sf):
+    """O4 (residual mode): value minus the decomposition's expected value
+    (back-edge trend line + seasonal phase) against the residual mean and
+    threshold; unknown entities as in raw mode."""
+    from panelkit.operators.outliers import residual_model
+
+    model = residual_model(weekly(spark, sf, "event", H), 24, 1.5)
+    return score(tables.observations(spark, sf), model, max_rows=H.broadcast_max_rows,
+                 mode="residual", freq="h", period=24)
