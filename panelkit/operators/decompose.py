@@ -54,11 +54,19 @@ def decompose_components(weekly: DataFrame, period: int, keep_short: bool = Fals
     fr = (F.col("pos") >= F.col("front")) & (F.col("pos") < F.least(F.col("front") + P, F.col("back")))
     br = (F.col("pos") >= F.greatest(F.col("front"), F.col("back") - P)) & (F.col("pos") < F.col("back"))
     posd = F.col("pos").cast("double")
-    s = s.select("*",
-                 F.regr_slope(F.when(fr, F.col("ma")), F.when(fr, posd)).over(part).alias("kf"),
-                 F.regr_intercept(F.when(fr, F.col("ma")), F.when(fr, posd)).over(part).alias("bf"),
-                 F.regr_slope(F.when(br, F.col("ma")), F.when(br, posd)).over(part).alias("kb"),
-                 F.regr_intercept(F.when(br, F.col("ma")), F.when(br, posd)).over(part).alias("bb"))
+
+    def line(rng):
+        y, x = F.when(rng, F.col("ma")), F.when(rng, posd)
+        k, b = F.regr_slope(y, x).over(part), F.regr_intercept(y, x).over(part)
+        # a single point: the minimum-norm least-squares line through it
+        one = F.count(y).over(part) == 1
+        y0, x0 = F.max(y).over(part), F.max(x).over(part)
+        return (F.when(one, y0 * x0 / (x0 * x0 + 1)).otherwise(k),
+                F.when(one, y0 / (x0 * x0 + 1)).otherwise(b))
+
+    kf, bf = line(fr)
+    kb, bb = line(br)
+    s = s.select("*", kf.alias("kf"), bf.alias("bf"), kb.alias("kb"), bb.alias("bb"))
     trend = (F.when(F.col("pos") < F.col("front"), F.col("kf") * F.col("pos") + F.col("bf"))
              .when(F.col("pos") > F.col("back"), F.col("kb") * F.col("pos") + F.col("bb"))
              .otherwise(F.col("ma")))

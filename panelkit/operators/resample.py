@@ -41,10 +41,11 @@ def resample_last(raw: DataFrame, freq: str = "W") -> DataFrame:
     if "ts" not in raw.columns:
         raise ValueError("Date column 'ts' not found")
     order_key = last_key("ts", "tb" if "tb" in raw.columns else None)
+    close = F.when(~F.isnan("close"), F.col("close"))  # NaN is missing, like NULL
     binned = raw.where(F.col("ts").isNotNull()).select(
-        "entity", "close",
+        "entity", close.alias("close"),
         period_index(period_label("ts", freq), freq).alias("idx"),
-        F.when(F.col("close").isNotNull(), order_key).alias("ok"))
+        F.when(close.isNotNull(), order_key).alias("ok"))
     return (binned.groupBy("entity", "idx")
             .agg(F.max_by("close", "ok").alias("raw_close")))
 

@@ -16,30 +16,37 @@ from panelkit.plans.queries_core import features
 from panelkit.session import checkpoint_dir
 
 MODEL_ORDER = {"ARIMA": 0, "Trend": 1, "GBT": 2, "AR1": 3}
-def _series(spark, sf):
-    return fo.target_series(features(spark, sf), "returns")
+_FIT_COLS = (("spec", "string"), ("aic", "double"), ("bic", "double"), ("sigma", "double"),
+             ("fit_time_s", "double"), ("error", "string"))
+
+
+def _with_fit_cols(df: DataFrame) -> DataFrame:
+    return df.select("*", *[F.lit(None).cast(t).alias(c) for c, t in _FIT_COLS])
 
 
-def _pred_cols(df: DataFrame) -> DataFrame:
-    return df.select(*fc.PRED_COLS)
+# M5: model registry, name -> job over labelled rows (one PRED table each)
+MODEL_REGISTRY = {
+    "ARIMA": lambda rows, h: run_arima(rows, h, 52),
+    "Trend": lambda rows, h: run_trend(rows, h, 7.0),
+    "GBT": lambda rows, h: _with_fit_cols(run_gbt(rows, h, 12)),
+    "AR1": lambda rows, h: _with_fit_cols(fc.ar1_predict(rows)),
+}
+
+
+def _series(spark, sf):
+    return fo.target_series(features(spark, sf), "returns")
 
 
 def model_jobs(series: DataFrame, models=("ARIMA", "Trend", "GBT"), horizon: int = 12) -> DataFrame:
     """Full fit (fold -2: in-sample + future) and 5 walk-forward folds for every
     model, as one long PRED table (plus fit columns for grouped models)."""
+    unknown = [m for m in models if m not in MODEL_REGISTRY]
+    if unknown:
+        raise ValueError(f"models not registered: {unknown}; available: {sorted(MODEL_REGISTRY)}")
     rows = full_rows(series).unionByName(fo.walk_forward(series, 5, horizon))
     out = None
     for m in models:
-        if m == "ARIMA":
-            r = run_arima(rows, horizon, 52)
-        elif m == "Trend":
-            r = run_trend(rows, horizon, 7.0)
-        elif m == "GBT":
-            r = run_gbt(rows, horizon, 12).select("*", *[F.lit(None).cast(t).alias(c) for c, t in (
-                ("spec", "string"), ("aic", "double"), ("bic", "double"), ("sigma", "double"),
-                ("fit_time_s", "double"), ("error", "string"))])
-        else:
-            raise ValueError(m)
+        r = MODEL_REGISTRY[m](rows, horizon)
         out = r if out is None else out.unionByName(r)
     return out
 
