@@ -82,6 +82,22 @@ def ar1_forecast(series: DataFrame, horizon: int = 12) -> DataFrame:
                     F.lit(None).cast("double").alias("y"), mean.alias("yhat"), lo.alias("lower"), hi.alias("upper"))
 
 
+def zero_predict(rows: DataFrame) -> DataFrame:
+    """Naive baseline for a returns target: a zero return (price unchanged),
+    95 % band from the train std. Test rows and in-sample rows."""
+    part = Window.partitionBy("entity", "fold")
+    sd = F.stddev_pop(F.when(F.col("role") == "train", F.col("y"))).over(part)
+    r = rows.select("*", sd.alias("_sd"))
+    test = r.where(F.col("role") == "test").select(
+        "entity", F.lit("Zero").alias("model"), "fold", F.lit("test").alias("role"), "step", "i", "y",
+        F.lit(0.0).alias("yhat"), (-Z95 * F.col("_sd")).alias("lower"), (Z95 * F.col("_sd")).alias("upper"))
+    ins = r.where(F.col("role") == "train").select(
+        "entity", F.lit("Zero").alias("model"), "fold", F.lit("insample").alias("role"),
+        F.lit(None).cast("int").alias("step"), "i", "y", F.lit(0.0).alias("yhat"),
+        F.lit(None).cast("double").alias("lower"), F.lit(None).cast("double").alias("upper"))
+    return test.unionByName(ins)
+
+
 # ------------------------------------------------------------------ metrics
 def error_metrics(pred: DataFrame, keys=("entity", "model", "fold"), mape_variant: str = "abs") -> DataFrame:
     """G1-G5 over (y, yhat) rows: rmse, mae, mape, smape, r2, residual_std (population).

@@ -15,7 +15,7 @@ from panelkit.plans.catalog import register
 from panelkit.plans.queries_core import features
 from panelkit.session import checkpoint_dir
 
-MODEL_ORDER = {"ARIMA": 0, "Trend": 1, "GBT": 2, "AR1": 3}
+MODEL_ORDER = {"ARIMA": 0, "Trend": 1, "GBT": 2, "AR1": 3, "Zero": 4}
 _FIT_COLS = (("spec", "string"), ("aic", "double"), ("bic", "double"), ("sigma", "double"),
              ("fit_time_s", "double"), ("error", "string"))
 
@@ -30,6 +30,7 @@ MODEL_REGISTRY = {
     "Trend": lambda rows, h: run_trend(rows, h, 7.0),
     "GBT": lambda rows, h: _with_fit_cols(run_gbt(rows, h, 12)),
     "AR1": lambda rows, h: _with_fit_cols(fc.ar1_predict(rows)),
+    "Zero": lambda rows, h: _with_fit_cols(fc.zero_predict(rows)),
 }
 
 
@@ -110,7 +111,7 @@ def comparison(pred: DataFrame) -> DataFrame:
 def m13_model_comparison(spark, sf):
     """Three models, in-sample metrics, walk-forward CV RMSE, best model."""
     checkpoint_dir(spark)
-    pred = model_jobs(_series(spark, sf)).checkpoint(eager=True)
+    pred = model_jobs(_series(spark, sf), ("ARIMA", "Trend", "GBT", "AR1", "Zero")).checkpoint(eager=True)
     return comparison(pred).drop("training_time_s")
 
 
