@@ -39,6 +39,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...): "
+                               "a machine-local folder does not survive the loss of an executor")
         import tempfile
 
         d = tempfile.mkdtemp(prefix="panelkit-ckpt-", dir="/tmp")
@@ -46,3 +49,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def cluster_conf(total_cores: int, input_bytes: int | None = None) -> dict[str, str]:
+    """Settings for a large cluster, as a dict for ``SparkSession.builder.config``.
+
+    Shuffle partitions start at 3 x cores (AQE coalesces small ones toward the
+    advisory size and splits skewed ones); file splits stay at 128 MB, so a
+    100 TB scan is about 800k tasks of bounded memory; post-binning stages are
+    small and coalesce away.
+    """
+    parts = max(3 * total_cores, 200)
+    if input_bytes:
+        parts = max(parts, int(input_bytes // (256 * 1024 ** 2)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 ** 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(128 * 1024 ** 2),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.ansi.enabled": "true",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    }
