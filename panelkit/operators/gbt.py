@@ -37,72 +37,78 @@ def _windows(s: DataFrame, lookback: int) -> DataFrame:
 
 def run_gbt(rows: DataFrame, horizon: int = 12, lookback: int = 12, max_iter: int = 30,
             max_depth: int = 4, seed: int = 42) -> DataFrame:
-    """PRED rows (model 'GBT') for every fold in ``rows`` (one pooled model per fold)."""
+    """PRED rows (model 'GBT') for every fold in ``rows`` (one pooled model per fold).
+
+    The recursive forecast advances every (entity, fold) window together: per
+    step one transform per fold model over its rows, unioned and checkpointed
+    once (``horizon`` checkpoints in all, whatever the number of folds).
+    """
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.regression import GBTRegressor
 
     checkpoint_dir(rows.sparkSession)
-    s = _scaled(rows)
-    win = _windows(s, lookback).where(F.col("role") == "train")
-    train = (win.where(F.size("win") == lookback)
-             .select("entity", "fold", "i", "y", "lo", "hi", "ys", array_to_vector("win").alias("features")))
-    folds = [r[0] for r in rows.select("fold").distinct().collect()]
-    outs = []
-    for fold in sorted(folds):
-        tr = train.where(F.col("fold") == fold)
-        model = GBTRegressor(featuresCol="features", labelCol="ys", maxIter=max_iter, maxDepth=max_depth,
-                             seed=seed).fit(tr)
-        span = F.col("hi") - F.col("lo")
-        ins = model.transform(tr).select(
-            "entity", "fold", "i", "y", (F.col("prediction") * span + F.col("lo")).alias("yhat"))
-        sd = ins.groupBy("entity", "fold").agg(F.stddev_pop(F.col("y") - F.col("yhat")).alias("sigma"))
-        # recursive forecast from the last window of each (entity, fold)
-        w = Window.partitionBy("entity", "fold").orderBy("i")
-        trs = s.where((F.col("role") == "train") & (F.col("fold") == fold))
-        last = (trs.select("entity", "fold", "i", "lo", "hi",
-                           F.collect_list("ys").over(w.rowsBetween(-(lookback - 1), 0)).alias("win"),
-                           F.max("i").over(Window.partitionBy("entity", "fold")).alias("i_last"))
-                .where((F.col("i") == F.col("i_last")) & (F.size("win") == lookback))
-                .select("entity", "fold", "i_last", "lo", "hi", "win",
-                        F.array().cast("array<double>").alias("preds")))
-        cur = last
-        for _ in range(horizon):
-            p = model.transform(cur.withColumn("features", array_to_vector("win")))
-            cur = p.select("entity", "fold", "i_last", "lo", "hi",
-                           F.concat(F.slice("win", 2, lookback - 1), F.array(F.col("prediction"))).alias("win"),
-                           F.concat("preds", F.array(F.col("prediction"))).alias("preds"))
-            # one row per (entity, fold): a reliable checkpoint per step keeps
-            # the recursive plan flat and the state recoverable
-            cur = cur.checkpoint(eager=True)
-        fut = cur.select("entity", "fold", "i_last", "lo", "hi",
-                         F.posexplode("preds").alias("k", "ps"))
-        fut = fut.join(sd, ["entity", "fold"], "left")
-        yh = F.col("ps") * (F.col("hi") - F.col("lo")) + F.col("lo")
-        fut = fut.select("entity", "fold", (F.col("k") + 1).cast("int").alias("step"),
-                         (F.col("i_last") + F.col("k") + 1).cast("int").alias("i"), yh.alias("yhat"), "sigma")
-        outs.append((fold, ins, fut))
-    return _assemble(rows, outs)
-
-
-def _assemble(rows: DataFrame, outs) -> DataFrame:
-    res = None
-    tests = rows.where(F.col("role") == "test").select("entity", "fold", "step", F.col("i").alias("ti"), F.col("y").alias("ty"))
-    for fold, ins, fut in outs:
-        has_test = tests.where(F.col("fold") == fold)
-        t = (fut.join(has_test, ["entity", "fold", "step"])
-             .select("entity", F.lit("GBT").alias("model"), "fold", F.lit("test").alias("role"), "step",
-                     F.col("ti").alias("i"), F.col("ty").alias("y"), "yhat",
-                     (F.col("yhat") - Z95 * F.col("sigma")).alias("lower"),
-                     (F.col("yhat") + Z95 * F.col("sigma")).alias("upper")))
-        parts = [t]
-        if fold == -2:
-            parts.append(fut.select("entity", F.lit("GBT").alias("model"), "fold", F.lit("future").alias("role"),
-                                    "step", "i", F.lit(None).cast("double").alias("y"), "yhat",
-                                    (F.col("yhat") - Z95 * F.col("sigma")).alias("lower"),
-                                    (F.col("yhat") + Z95 * F.col("sigma")).alias("upper")))
-            parts.append(ins.select("entity", F.lit("GBT").alias("model"), "fold", F.lit("insample").alias("role"),
-                                    F.lit(None).cast("int").alias("step"), F.col("i").cast("int").alias("i"), "y", "yhat",
-                                    F.lit(None).cast("double").alias("lower"), F.lit(None).cast("double").alias("upper")))
-        for p in parts:
-            res = p if res is None else res.unionByName(p)
-    return res
+    n_parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    s = _scaled(rows).checkpoint(eager=True)
+    train = (_windows(s, lookback).where((F.col("role") == "train") & (F.size("win") == lookback))
+             .select("entity", "fold", "i", "y", "lo", "hi", "ys", array_to_vector("win").alias("features"))
+             .checkpoint(eager=True))
+    folds = sorted(r[0] for r in s.select("fold").distinct().collect())
+
+    def fit(fold):
+        return GBTRegressor(featuresCol="features", labelCol="ys", maxIter=max_iter, maxDepth=max_depth,
+                            seed=seed).fit(train.where(F.col("fold") == fold))
+
+    models = {f: fit(f) for f in folds}
+
+    def per_fold(df: DataFrame) -> DataFrame:
+        out = None
+        for f in folds:
+            t = models[f].transform(df.where(F.col("fold") == f))
+            out = t if out is None else out.unionByName(t)
+        return out
+
+    span = F.col("hi") - F.col("lo")
+    ins = per_fold(train).select("entity", "fold", "i", "y", (F.col("prediction") * span + F.col("lo")).alias("yhat"))
+    sd = ins.groupBy("entity", "fold").agg(F.stddev_pop(F.col("y") - F.col("yhat")).alias("sigma"))
+    # last full window of each (entity, fold): a bounded window function, no collect of the series
+    w = Window.partitionBy("entity", "fold").orderBy("i")
+    cur = (s.where(F.col("role") == "train")
+           .select("entity", "fold", "i", "lo", "hi",
+                   F.collect_list("ys").over(w.rowsBetween(-(lookback - 1), 0)).alias("win"),
+                   F.max("i").over(Window.partitionBy("entity", "fold")).alias("i_last"))
+           .where((F.col("i") == F.col("i_last")) & (F.size("win") == lookback))
+           .select("entity", "fold", "i_last", "lo", "hi", "win", F.array().cast("array<double>").alias("preds")))
+    for _ in range(horizon):
+        p = per_fold(cur.withColumn("features", array_to_vector("win")))
+        # the union of the per-fold branches adds their partitions up: narrow
+        # back (no shuffle) so the state keeps a fixed partition count
+        cur = p.select("entity", "fold", "i_last", "lo", "hi",
+                       F.concat(F.slice("win", 2, lookback - 1), F.array(F.col("prediction"))).alias("win"),
+                       F.concat("preds", F.array(F.col("prediction"))).alias("preds")).coalesce(n_parts)
+        # one row per (entity, fold): a reliable checkpoint per step keeps the
+        # recursive plan flat and the state recoverable
+        cur = cur.checkpoint(eager=True)
+    fut = cur.select("entity", "fold", "i_last", "lo", "hi", F.posexplode("preds").alias("k", "ps"))
+    fut = fut.join(sd, ["entity", "fold"], "left")
+    yh = F.col("ps") * (F.col("hi") - F.col("lo")) + F.col("lo")
+    fut = fut.select("entity", "fold", (F.col("k") + 1).cast("int").alias("step"),
+                     (F.col("i_last") + F.col("k") + 1).cast("int").alias("i"), yh.alias("yhat"), "sigma")
+    return _assemble(rows, ins, fut)
+
+
+def _assemble(rows: DataFrame, ins: DataFrame, fut: DataFrame) -> DataFrame:
+    tests = rows.where(F.col("role") == "test").select("entity", "fold", "step", F.col("i").alias("ti"),
+                                                       F.col("y").alias("ty"))
+    lower = (F.col("yhat") - Z95 * F.col("sigma")).alias("lower")
+    upper = (F.col("yhat") + Z95 * F.col("sigma")).alias("upper")
+    t = (fut.join(tests, ["entity", "fold", "step"])
+         .select("entity", F.lit("GBT").alias("model"), "fold", F.lit("test").alias("role"), "step",
+                 F.col("ti").alias("i"), F.col("ty").alias("y"), "yhat", lower, upper))
+    future = fut.where(F.col("fold") == -2).select(
+        "entity", F.lit("GBT").alias("model"), "fold", F.lit("future").alias("role"), "step", "i",
+        F.lit(None).cast("double").alias("y"), "yhat", lower, upper)
+    insample = ins.where(F.col("fold") == -2).select(
+        "entity", F.lit("GBT").alias("model"), "fold", F.lit("insample").alias("role"),
+        F.lit(None).cast("int").alias("step"), F.col("i").cast("int").alias("i"), "y", "yhat",
+        F.lit(None).cast("double").alias("lower"), F.lit(None).cast("double").alias("upper"))
+    return t.unionByName(future).unionByName(insample)

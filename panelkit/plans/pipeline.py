@@ -79,7 +79,7 @@ def run(spark: SparkSession, raw: DataFrame, cfg: PanelConfig | None = None, mod
     if models:
         from panelkit.plans.queries_models import comparison, fit_all, model_jobs
 
-        pred = model_jobs(series, horizon=cfg.horizon).checkpoint(eager=True)
+        pred = model_jobs(series, ("ARIMA", "Trend", "GBT", "AR1", "Zero"), horizon=cfg.horizon).checkpoint(eager=True)
         t["model_comparison"] = comparison(pred)
         t["model_summary"] = fit_all(series)
     return t

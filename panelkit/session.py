@@ -61,7 +61,9 @@ def cluster_conf(total_cores: int, input_bytes: int | None = None) -> dict[str,
     """
     parts = max(3 * total_cores, 200)
     if input_bytes:
-        parts = max(parts, int(input_bytes // (256 * 1024 ** 2)))
+        # the first shuffle carries map-side partial aggregates, far smaller
+        # than the input: one partition per GiB of input is ample
+        parts = max(parts, int(input_bytes // 1024 ** 3))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.enabled": "true",
