@@ -38,6 +38,10 @@ def final(src: str, cols: str, where: str = "") -> str:
 def register(name: str, sql: str | None = None, scale: int = 6, overrides: dict | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # the panels' timestamps are naive (timestamp_ntz) and are read as UTC:
+            # pin the session zone so calendar bins do not depend on the caller's
+            if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+                spark.conf.set("spark.sql.session.timeZone", "UTC")
             return round_doubles(fn(spark, sf_dir), scale, overrides)
 
         run.__name__ = fn.__name__
