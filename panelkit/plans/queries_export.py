@@ -116,7 +116,26 @@ def k_document(spark, sf):
     return doc.select("entity", F.to_json(F.struct(*[c for c in doc.columns if c != "entity"])).alias("document"))
 
 
-@register("k_validation_metrics")
+def _validation_sql() -> str:
+    import re
+
+    from panelkit.plans.queries_forecast import FOLDS, HOLDOUT_SQL_CTES, METRICS
+
+    cv_chain = ",\n".join([FOLDS, AR, METRICS("(SELECT * FROM pred WHERE role = 'test')", ["entity", "model", "fold"]),
+                           """cv AS (SELECT entity, model, avg(rmse) AS cv_rmse, stddev_pop(rmse) AS cv_rmse_std, avg(mae) AS cv_mae,
+  stddev_pop(mae) AS cv_mae_std, avg(mape) AS cv_mape, stddev_pop(mape) AS cv_mape_std, count(*) AS n_folds FROM mt GROUP BY ALL)"""])
+    for name in ("fg", "fr", "rws", "l", "f1", "f2", "f3", "f4", "pred", "mt0", "mt"):
+        cv_chain = re.sub(rf"\b{name}\b(?=\s+AS \(|\s+WINDOW|\s*\)|\s+WHERE|\s+GROUP|\s*$|\s+CROSS)", f"{name}_cv", cv_chain)
+        cv_chain = cv_chain.replace(f"FROM {name} ", f"FROM {name}_cv ").replace(f"FROM {name})", f"FROM {name}_cv)")
+    j = """vm AS (SELECT ho.*, cv.cv_rmse, cv.cv_rmse_std, cv.cv_mae, cv.cv_mae_std, cv.cv_mape, cv.cv_mape_std, cv.n_folds
+       FROM ho LEFT JOIN cv ON ho.entity = cv.entity AND ho.model = cv.model)"""
+    return (_with(SER, *HOLDOUT_SQL_CTES[1:], cv_chain, j)
+            + final("vm", "entity model mae:9 rmse:9 mape:s10 mase:9 n_train n_test cv_rmse:9 cv_rmse_std:9 "
+                          "cv_mae:9 cv_mae_std:9 cv_mape:s10 cv_mape_std:s10 n_folds"))
+
+
+@register("k_validation_metrics", _validation_sql(), scale=9,
+          overrides={"mape": "s10", "cv_mape": "s10", "cv_mape_std": "s10"})
 def k_validation_metrics(spark, sf):
     """K3: validation table = hold-out metrics joined with walk-forward CV (mean, std) per entity."""
     f = features(spark, sf)
