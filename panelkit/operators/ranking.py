@@ -36,8 +36,11 @@ def exact_quantile(df: DataFrame, col: str, q: float, name: str = "quantile") ->
     """Exact linear-interpolated quantile of one column over the whole table,
     found by a distributed sort (no single-task value buffer). One row out;
     NULL when the column has no values."""
-    vals = df.where(F.col(col).isNotNull()).select(F.col(col).alias("v"))
-    ranked = global_rank(vals, [F.col("v")], "r", total="n")
+    # a seeded random secondary key salts repeated values across range
+    # partitions (a value held by a third of the rows would otherwise land in
+    # one task); the quantile does not depend on the order among equal values
+    vals = df.where(F.col(col).isNotNull()).select(F.col(col).alias("v"), F.rand(42).alias("_salt"))
+    ranked = global_rank(vals, [F.col("v"), F.col("_salt")], "r", total="n")
     h = F.lit(q) * (F.col("n") - 1)
     lo = F.floor(h).cast("long") + 1
     hi = F.ceil(h).cast("long") + 1

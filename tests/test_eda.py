@@ -89,3 +89,14 @@ def test_probability_plot(spark):
     from statistics import NormalDist
     np.testing.assert_allclose(pp["osm"], [NormalDist().inv_cdf(v) for v in m], atol=1e-8)
     assert list(pp["osr"]) == [1, 2, 3, 4, 5]
+
+
+def test_quantile_with_a_hot_value(spark):
+    # a third of the rows share one value: salted range partitions stay balanced
+    vals = [5.0] * 3000 + list(np.linspace(0, 10, 6000))
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double")
+    for q in (0.1, 0.5, 0.95):
+        np.testing.assert_allclose(exact_quantile(df, "v", q).collect()[0][0], np.quantile(vals, q), rtol=1e-12)
+    ranked = global_rank(df.select("v", F.rand(1).alias("s")), [F.col("v"), F.col("s")], "r", num_partitions=8)
+    sizes = ranked.groupBy(F.spark_partition_id().alias("p")).count().toPandas()["count"]
+    assert sizes.max() < 0.5 * len(vals)

@@ -73,3 +73,11 @@ def test_stats_and_document_round_trip(spark):
     assert [r[0] for r in nf.collect()] == [None, None, 1.0]
     ex.write_table(st, f"{d}/by_entity", partition_by="entity")
     assert os.path.isdir(f"{d}/by_entity/entity=e")
+
+
+def test_cluster_conf_and_checkpoint_folder(spark):
+    from panelkit.session import checkpoint_dir, cluster_conf
+
+    c = cluster_conf(8000, 100 * 1024 ** 4)
+    assert int(c["spark.sql.shuffle.partitions"]) >= 24000 and c["spark.sql.adaptive.enabled"] == "true"
+    assert checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
