@@ -36,7 +36,33 @@ def e_acf_event_returns(spark, sf):
     return st.acf(features(spark, sf, "event", H), "returns")
 
 
-@register("e_pacf_nation")
+def _pacf_sql(panel, freq, col):
+    leads = ", ".join(f"d * lead(d, {k}) OVER w AS p{k}" for k in range(31))
+    sums = ", ".join(f"coalesce(sum(p{k}), 0.0) AS s{k}" for k in range(31))
+    rlist = ", ".join(f"s{k} / (CASE WHEN {k} = 0 THEN n ELSE n - {k} END)" for k in range(31))
+    # the Levinson-Durbin recursion as a recursive CTE over the order k
+    return "WITH RECURSIVE " + features_ctes(panel, freq) + f""",
+x AS (SELECT entity, idx, {col} - avg({col}) OVER (PARTITION BY entity) AS d, count(*) OVER (PARTITION BY entity) AS n
+      FROM feats WHERE {col} IS NOT NULL),
+p AS (SELECT entity, n, {leads} FROM x WINDOW w AS (PARTITION BY entity ORDER BY idx)),
+a AS (SELECT entity, any_value(n) AS n, {sums} FROM p GROUP BY entity),
+rr AS (SELECT entity, n, least(30, n // 2 - 1) AS nlags, [{rlist}] AS r FROM a WHERE n >= 3 AND least(30, n // 2 - 1) >= 1),
+ld AS (
+  SELECT entity, 0 AS k, CAST([] AS DOUBLE[]) AS phi, r[1] AS v, CAST([] AS DOUBLE[]) AS pac FROM rr
+  UNION ALL
+  SELECT entity, k + 1, list_append(list_transform(range(1, k + 1), lambda j: phi[j] - a * phi[k + 1 - j]), a),
+         v * (1 - pow(a, 2)), list_append(pac, a)
+  FROM (SELECT ld.entity, ld.k, ld.phi, ld.v, ld.pac,
+               (rr.r[ld.k + 2] - list_reduce(list_transform(range(1, ld.k + 1), lambda j: ld.phi[j] * rr.r[ld.k + 2 - j]),
+                                             lambda s, t: s + t, 0.0)) / ld.v AS a
+        FROM ld JOIN rr ON ld.entity = rr.entity WHERE ld.k < rr.nlags) t),
+fin AS (SELECT ld.entity, rr.n, list_prepend(1.0, ld.pac) AS pacs FROM ld JOIN rr ON ld.entity = rr.entity WHERE ld.k = rr.nlags),
+u AS (SELECT entity, n, CAST(unnest(range(0, len(pacs))) AS INTEGER) AS lag, pacs FROM fin),
+o AS (SELECT entity, lag, pacs[lag + 1] AS pacf, 1.96 / sqrt(CAST(n AS DOUBLE)) AS conf, n FROM u)
+""" + final("o", "entity lag pacf:9 conf:12 n")
+
+
+@register("e_pacf_nation", _pacf_sql("nation", "W", "close"), overrides={"pacf": 9, "conf": 12})
 def e_pacf_nation(spark, sf):
     """PACF (Yule-Walker, adjusted autocovariances, Levinson-Durbin)."""
     return st.pacf(features(spark, sf), "close")
