@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from panelkit.config import PanelConfig
 from panelkit.operators.decompose import decompose
 from panelkit.operators import stattests as st
 from panelkit.plans.catalog import final, register
 from panelkit.plans.queries_core import H, features
-from panelkit.plans.sqlref import decomp_ctes, decomp_final_cte, features_ctes
+from panelkit.plans.sqlref import features_ctes, rnd
 
 
 def _acf_sql(panel, freq, col):
@@ -116,3 +118,43 @@ def x_stationarity_returns(spark, sf):
 @register("x_stationarity_event_close")
 def x_stationarity_event_close(spark, sf):
     return st.stationarity(features(spark, sf, "event", H), "close")
+
+
+def _kpss_sql(panel, freq, col):
+    """Brute-force KPSS (trend) in SQL: OLS detrend, partial sums, automatic
+    lag rule and Bartlett-weighted autocovariances by a banded self-join."""
+    crit = st.KPSS_CT_CRIT
+    pv = st.KPSS_PVALS
+    interp = " ".join(
+        f"WHEN stat <= {crit[i + 1]} THEN ({pv[i + 1]} - {pv[i]}) / ({crit[i + 1]} - {crit[i]}) * (stat - {crit[i]}) + {pv[i]}"
+        for i in range(len(crit) - 1))
+    return "WITH " + features_ctes(panel, freq) + f""",
+ser AS (SELECT entity, CAST(row_number() OVER (PARTITION BY entity ORDER BY idx) AS DOUBLE) AS t,
+               {col} AS y, count(*) OVER (PARTITION BY entity) AS n FROM feats WHERE {col} IS NOT NULL),
+ln AS (SELECT entity, regr_slope(y, t) AS k, regr_intercept(y, t) AS b FROM ser GROUP BY entity),
+e AS (SELECT s.entity, s.t, s.n, s.y - (ln.b + ln.k * s.t) AS r FROM ser s JOIN ln USING (entity) WHERE s.n >= 10),
+cs AS (SELECT entity, any_value(n) AS n, sum(c * c) AS css, sum(r * r) AS ss FROM
+        (SELECT entity, n, r, sum(r) OVER (PARTITION BY entity ORDER BY t ROWS UNBOUNDED PRECEDING) AS c FROM e) GROUP BY entity),
+cl AS (SELECT entity, n, css, ss, CAST(floor(pow(n, 2.0 / 9.0)) AS INTEGER) AS covlags FROM cs),
+ac AS (SELECT a.entity, CAST(a.t - b.t AS INTEGER) AS lag, sum(a.r * b.r) AS prod
+       FROM e a JOIN e b ON a.entity = b.entity AND a.t - b.t BETWEEN 1 AND a.n - 1 GROUP BY ALL),
+au AS (SELECT cl.entity, cl.n, cl.css, cl.ss,
+              cl.ss / cl.n + coalesce(sum(CASE WHEN ac.lag <= cl.covlags THEN ac.prod / (cl.n / 2.0) END), 0) AS s0,
+              coalesce(sum(CASE WHEN ac.lag <= cl.covlags THEN ac.lag * (ac.prod / (cl.n / 2.0)) END), 0) AS s1
+       FROM cl LEFT JOIN ac ON cl.entity = ac.entity GROUP BY cl.entity, cl.n, cl.css, cl.ss, cl.covlags),
+lg AS (SELECT *, CAST(least(floor(1.1447 * pow(pow(s1 / s0, 2), 1.0 / 3.0) * pow(n, 1.0 / 3.0)), n - 1) AS INTEGER) AS lags FROM au),
+sh AS (SELECT lg.entity, lg.n, lg.css, lg.lags,
+              (lg.ss + coalesce(sum(CASE WHEN ac.lag <= lg.lags THEN 2 * ac.prod * (1.0 - ac.lag / (lg.lags + 1.0)) END), 0)) / lg.n AS s_hat
+       FROM lg LEFT JOIN ac ON lg.entity = ac.entity GROUP BY lg.entity, lg.n, lg.css, lg.ss, lg.lags),
+ks AS (SELECT entity, n, lags AS kpss_lags, (css / (n * n)) / s_hat AS stat FROM sh),
+o AS (SELECT entity, n, stat AS kpss_stat,
+             CASE WHEN stat <= {crit[0]} THEN {pv[0]} {interp} ELSE {pv[-1]} END AS kpss_pval, kpss_lags FROM ks)
+SELECT entity, n, {rnd("kpss_stat", 9)} AS kpss_stat, {rnd("kpss_pval", 9)} AS kpss_pval, kpss_lags,
+       kpss_pval >= 0.05 AS kpss_stationary FROM o"""
+
+
+@register("x_kpss_returns", _kpss_sql("nation", "W", "returns"), scale=9)
+def x_kpss_returns(spark, sf):
+    """KPSS (trend) statistic, p-value, automatic lag count, per entity (n >= 10)."""
+    r = st.stationarity(features(spark, sf), "returns")
+    return r.where(F.col("n") >= 10).select("entity", "n", "kpss_stat", "kpss_pval", "kpss_lags", "kpss_stationary")
