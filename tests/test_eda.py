@@ -100,3 +100,14 @@ def test_quantile_with_a_hot_value(spark):
     ranked = global_rank(df.select("v", F.rand(1).alias("s")), [F.col("v"), F.col("s")], "r", num_partitions=8)
     sizes = ranked.groupBy(F.spark_partition_id().alias("p")).count().toPandas()["count"]
     assert sizes.max() < 0.5 * len(vals)
+
+
+def test_correlation_block_path_matches_dense(spark):
+    rng = np.random.default_rng(8)
+    base = rng.standard_normal(40)
+    data = {f"e{k}": base * (k % 3 - 1) + rng.standard_normal(40) for k in range(6)}
+    p = _panel(spark, data)
+    dense = eda.correlation_matrix(p).toPandas().set_index(["e1", "e2"]).sort_index()
+    block = eda.correlation_matrix(p, max_entities=2).toPandas().set_index(["e1", "e2"]).sort_index()
+    np.testing.assert_allclose(block["corr"], dense["corr"], atol=1e-12)
+    assert (block["n_dates"] == dense["n_dates"]).all()
