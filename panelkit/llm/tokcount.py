@@ -3,15 +3,18 @@
 1. A map over the documents makes *bundles* (some thousand documents): one row
    per distinct pre-token of a bundle, with packed postings (document of the
    bundle, frequency). That is the per-document frequency table, pre-aggregated.
-2. The distinct pre-tokens of all bundles go through the tokenizer once each;
-   the result is a table (pre-token, pieces).
-3. Postings join pieces on the pre-token, and each bundle adds up
-   pieces x frequency per document.
+2. Those rows are partitioned and sorted by pre-token; each distinct one goes
+   through the tokenizer once, and its number of pieces is joined to all its
+   postings as they pass (a merge join whose other side is made on the spot).
+3. pieces x frequency is summed per document, first within the partition (packed
+   per bundle), then per bundle.
 
 A word in every document has one row per bundle, not per occurrence, so no key
 is hot. Memory: one bundle per task, bounded by ``BUNDLE_BYTES`` of text (or one
-longer document). Nulls: a null text is an empty text (0 bytes, 0 tokens).
-Repeated ids stay separate rows. Columns other than id and text are not read.
+longer document), and ``SUM_POSTINGS`` postings. Nulls: a null text is an empty
+text (0 bytes, 0 tokens). Repeated ids stay separate rows. Columns other than id
+and text are not read. Documents are expected from a table, whose partitions
+hold the same rows in the same order if a task is run again.
 """
 
 from __future__ import annotations
@@ -27,10 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.llm.bpe import RECENT, WHITE, unicode_class
-from panelkit.llm.common import Rows, materialize
+from panelkit.llm.common import Rows
 
 #: A bundle closes at so much text or so many documents.
 BUNDLE_BYTES, BUNDLE_DOCS = 24 << 20, 60_000
+#: Partial sums leave a task after so many postings.
+SUM_POSTINGS = 1 << 21
+#: Words that go through the tokenizer in one call.
+COUNT_BATCH = 4096
 
 
 @cache
@@ -116,10 +123,10 @@ class Bundle:
         return doc.astype("<u2").tobytes(), freq.astype(np.uint8).tobytes(), ends.tolist()
 
 
-def posting_sums(binary: bytes, weight: float, out: np.ndarray) -> None:
-    """Adds weight x frequency to each document of one word's postings."""
+def unpack(binary: bytes):
+    """Document numbers and frequencies of one word's postings."""
     k = len(binary) // 3
-    np.add.at(out, np.frombuffer(binary, "<u2", k), weight * np.frombuffer(binary, np.uint8, k, 2 * k))
+    return np.frombuffer(binary, "<u2", k), np.frombuffer(binary, np.uint8, k, 2 * k)
 
 
 def bundle_rows(docs: DataFrame, words_of, id_col: str, text_col: str) -> DataFrame:
@@ -127,7 +134,7 @@ def bundle_rows(docs: DataFrame, words_of, id_col: str, text_col: str) -> DataFr
     and one with a null word that lists its documents ``[(id, n_bytes, n_words)]``.
     ``words_of()`` runs once per task and gives the function text -> words."""
     doc = pa.list_(pa.struct([("id", pa.int64()), ("n_bytes", pa.int64()), ("n_words", pa.int64())]))
-    schema = pa.schema([("bundle", pa.string()), ("word", pa.string()), ("postings", pa.binary()), ("docs", doc)])
+    schema = pa.schema([("bundle", pa.int64()), ("word", pa.string()), ("postings", pa.binary()), ("docs", doc)])
 
     def run(batches):
         from pyspark import TaskContext
@@ -137,7 +144,7 @@ def bundle_rows(docs: DataFrame, words_of, id_col: str, text_col: str) -> DataFr
 
         def close(b: Bundle):
             nonlocal serial
-            name, n_words = f"{task}-{serial}", [len(w) for w in b.words]
+            name, n_words = task << 32 | serial, [len(w) for w in b.words]
             serial += 1
             rows.add(24 * len(b.docs), name, None, None, [{"id": i, "n_bytes": n, "n_words": w} for i, n, w in zip(b.docs, b.n_bytes, n_words)])
             doc, freq, ends = b.postings()
@@ -161,22 +168,7 @@ def bundle_rows(docs: DataFrame, words_of, id_col: str, text_col: str) -> DataFr
         yield rows.take()
 
     return docs.select(docs[id_col].cast("long"), docs[text_col].cast("string")).mapInArrow(
-        run, "bundle string, word string, postings binary, docs array<struct<id:long,n_bytes:long,n_words:long>>")
-
-
-def count_pieces(words: DataFrame, tokenizer_path: str) -> DataFrame:
-    """``(word, pieces)`` of distinct pre-tokens by the tokenizers library."""
-    schema = pa.schema([("word", pa.string()), ("pieces", pa.int32())])
-
-    def run(batches):
-        from tokenizers import Tokenizer
-
-        t = Tokenizer.from_file(tokenizer_path)
-        for b in batches:
-            w = b.column(0).to_pylist()
-            yield pa.record_batch([b.column(0).cast(pa.string()), pa.array([len(e.ids) for e in t.encode_batch(w, add_special_tokens=False)], pa.int32())], schema=schema)
-
-    return words.mapInArrow(run, "word string, pieces int")
+        run, "bundle long, word string, postings binary, docs array<struct<id:long,n_bytes:long,n_words:long>>")
 
 
 def special_split(tokenizer_path: str):
@@ -193,32 +185,85 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
         specials = special_split(tokenizer_path)
         return lambda text: pretokens(text, specials)
 
-    freq = materialize(bundle_rows(docs, words_of, id_col, text_col), "frequencies")
-    pieces = count_pieces(freq.where("word is not null").select("word").distinct(), tokenizer_path)
-    counted = (freq.where("word is not null").select("bundle", "word", "postings").join(pieces, "word")
-               .select("bundle", "pieces", "postings", F.lit(None).cast("array<struct<id:long,n_bytes:long,n_words:long>>").alias("docs")))
-    listed = freq.where("word is null").select("bundle", F.lit(None).cast("int").alias("pieces"), "postings", "docs")
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    freq = bundle_rows(docs, words_of, id_col, text_col)
+    # the lists of documents travel along, dealt by bundle
+    by_word = (freq.repartition(n, F.coalesce("word", F.col("bundle").cast("string")))
+               .sortWithinPartitions("word").mapInArrow(piece_sums(tokenizer_path), PARTIAL_DDL))
     schema = pa.schema([(id_col, pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
 
     def total(batches):
-        for b in _groups(batches):
-            sums = np.zeros(1 << 16, np.float64)
-            docs = []
-            for part in b:
-                for pieces, postings, listed in zip(part.column("pieces").to_pylist(), part.column("postings").to_pylist(), part.column("docs").to_pylist()):
-                    if listed is None:
-                        posting_sums(postings, pieces, sums)
-                    else:
-                        docs = listed
+        for held in groups(batches):
+            sums, docs = np.zeros(1 << 16, np.int64), []
+            for part in held:
+                for packed, listed in zip(part.column("sums").to_pylist(), part.column("docs").to_pylist()):
+                    if packed:
+                        k = len(packed) // 10
+                        sums[np.frombuffer(packed, "<u2", k)] += np.frombuffer(packed, "<i8", k, 2 * k)
+                    docs = listed or docs
             yield pa.record_batch([pa.array([d["id"] for d in docs], pa.int64()), pa.array([d["n_bytes"] for d in docs], pa.int64()),
-                                   pa.array(sums[:len(docs)].astype(np.int64), pa.int64())], schema=schema)
+                                   pa.array(sums[:len(docs)], pa.int64())], schema=schema)
 
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (counted.unionByName(listed).repartition(n, "bundle").sortWithinPartitions("bundle")
+    return (by_word.repartition(n, "bundle").sortWithinPartitions("bundle")
             .mapInArrow(total, f"`{id_col}` long, n_bytes long, n_tokens long"))
 
 
-def _groups(batches, key: str = "bundle"):
+PARTIAL_DDL = "bundle long, sums binary, docs array<struct<id:long,n_bytes:long,n_words:long>>"
+
+
+def piece_sums(tokenizer_path: str):
+    """Over rows sorted by word: pieces of each distinct word, times its
+    frequencies, added up per bundle and document."""
+    doc = pa.list_(pa.struct([("id", pa.int64()), ("n_bytes", pa.int64()), ("n_words", pa.int64())]))
+    schema = pa.schema([("bundle", pa.int64()), ("sums", pa.binary()), ("docs", doc)])
+
+    def run(batches):
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(tokenizer_path)
+        last, last_pieces, size = None, 0, 0
+        held: dict[int, list] = {}
+
+        def flush():
+            rows = Rows(schema)
+            for bundle, parts in held.items():
+                doc = np.concatenate([d for d, _, _ in parts]).astype(np.int64)
+                add = np.concatenate([p * f.astype(np.int64) for _, f, p in parts])
+                sums = np.bincount(doc, add).astype(np.int64)  # exact: far below 2^53
+                at = np.flatnonzero(sums)
+                rows.add(10 * len(at), bundle, at.astype("<u2").tobytes() + sums[at].astype("<i8").tobytes(), None)
+                if rows.full():
+                    yield rows.take()
+            held.clear()
+            yield rows.take()
+
+        for batch in batches:
+            names, words, postings, docs = (batch.column(c).to_pylist() for c in ("bundle", "word", "postings", "docs"))
+            fresh = [w for w in dict.fromkeys(words) if w is not None and w != last]
+            pieces = {last: last_pieces}
+            for k in range(0, len(fresh), COUNT_BATCH):
+                some = fresh[k:k + COUNT_BATCH]
+                pieces |= zip(some, (len(e.ids) for e in tokenizer.encode_batch(some, add_special_tokens=False)))
+            rows = Rows(schema)
+            for name, word, posting, listed in zip(names, words, postings, docs):
+                if word is None:
+                    rows.add(24 * len(listed), name, None, listed)
+                    continue
+                doc, freq = unpack(posting)
+                held.setdefault(name, []).append((doc, freq, pieces[word]))
+                size += len(doc) + 8
+            yield rows.take()
+            if words and words[-1] is not None:
+                last, last_pieces = words[-1], pieces[words[-1]]
+            if size >= SUM_POSTINGS:
+                yield from flush()
+                size = 0
+        yield from flush()
+
+    return run
+
+
+def groups(batches, key: str = "bundle"):
     """Runs of equal keys over sorted record batches: each an iterator of slices."""
     held, name = [], None
     for b in batches:
