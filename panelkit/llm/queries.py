@@ -37,6 +37,22 @@ def op10_token_counts(spark, sf_dir, limit: int = 2048):
     out = token_counts(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
+@query
+def op2_substring_dedup(spark, sf_dir, window: int = 50):
+    from panelkit.llm.substr import remove_repeats
+
+    out = remove_repeats(table(spark, sf_dir, "documents"), window)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op4_simhash(spark, sf_dir, shingle: int = 3, max_bits: int = 3):
+    from panelkit.llm.simhash import near_duplicates
+
+    out = near_duplicates(table(spark, sf_dir, "documents"), shingle, max_bits)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 
 def all_queries() -> dict:
     from corpus_pipeline import run
