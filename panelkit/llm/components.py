@@ -36,6 +36,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     component. Loops, repeated links and either direction are fine; nulls are dropped."""
     e = (links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
          .where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).distinct())
+    e = materialize(e, "links")
     last = None
     while True:
         e = materialize(_small(_large(e).distinct()).distinct(), "links")

@@ -35,6 +35,8 @@ from pyspark.sql import functions as F
 
 from panelkit.llm.common import map_rows, materialize
 
+#: A null id counts as larger than any other.
+NULL_ID = 2**63 - 1
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -148,25 +150,27 @@ def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", te
     words joined by one space. ``window``: even, 4 to 126 words."""
     if window % 2 or not 4 <= window <= 126:
         raise ValueError("window must be even, 4 to 126")
-    d = docs.select(docs[id_col].cast("long").alias("doc"), docs[text_col].cast("string").alias("text"))
+    # keys that can't be null: both joins with the texts then read one and the same exchange
+    d = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NULL_ID)).alias("doc"), docs[text_col].cast("string").alias("text"))
     d = d.withColumn("th", F.xxhash64("text"))
     found = materialize(anchors(d.select("doc", "th", "text"), window), "anchors")
 
-    # level 1: anchors in two documents or more, with their distinct runs
-    runs = found.groupBy("anchor", "run").agg(F.min(F.struct("doc", "th", "first", "n")).alias("rep"), F.max("doc").alias("d1"))
-    repeated = (runs.groupBy("anchor").agg(F.min("rep.doc").alias("least"), F.max("d1").alias("most"), F.count("*").alias("n_runs"))
-                .where("least < most").select("anchor", "n_runs"))
-    live = materialize(runs.join(repeated, "anchor").select("anchor", "run", "n_runs", "rep.*", "d1"), "runs")
+    # level 1: only anchors in two documents or more are extended
+    repeated = found.groupBy("anchor").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").select("anchor")
+    live = materialize(found.join(repeated, "anchor"), "repeated")
+    runs = live.groupBy("anchor", "run").agg(F.min(F.struct("doc", "th", "first", "n")).alias("rep"), F.max("doc").alias("d1"))
+    runs = runs.join(runs.groupBy("anchor").agg(F.count("*").alias("n_runs")), "anchor").select("anchor", "run", "n_runs", "rep.*", "d1")
+    runs = materialize(runs, "runs")
 
     # level 2: one distinct run decides at once, several are extended to windows
-    alike = live.where("n_runs = 1").select("anchor", "run", F.col("doc").alias("least"), F.expr("shiftleft(1L, cast(n AS int)) - 1").alias("mask"))
-    reps = (live.where("n_runs > 1").groupBy("doc", "th")
+    alike = runs.where("n_runs = 1").select("anchor", "run", F.col("doc").alias("least"), F.expr("shiftleft(1L, cast(n AS int)) - 1").alias("mask"))
+    reps = (runs.where("n_runs > 1").groupBy("doc", "th")
             .agg(F.collect_list(F.struct("first", "n", "anchor", "run", F.col("doc").alias("d0"), "d1")).alias("runs")))
     windows = run_windows(d.join(reps, ["doc", "th"]).select("text", "runs"), window)
     least = windows.groupBy("h1", "h2").agg(F.min("d0").alias("least"))
     extended = (windows.join(least, ["h1", "h2"]).where("least < d1")
                 .groupBy("anchor", "run", "least").agg(F.bit_or(F.expr("shiftleft(1L, cast(off AS int))")).alias("mask")))
-    hits = (found.select("anchor", "run", "doc", "th", "first").join(alike.unionByName(extended), ["anchor", "run"]).where("doc > least")
+    hits = (live.select("anchor", "run", "doc", "th", "first").join(alike.unionByName(extended), ["anchor", "run"]).where("doc > least")
             .groupBy("doc", "th").agg(F.collect_list(F.struct("first", "mask")).alias("hits")))
 
     schema = pa.schema([(id_col, pa.int64()), (text_col, pa.string()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
@@ -191,7 +195,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", te
                 kept = b" ".join([w for w, x in zip(words, gone.tolist()) if not x])
             else:
                 kept = b" ".join(words)
-            yield 2 * len(kept), key, text, len(words), int(gone.sum()) if gone is not None else 0, spans, kept.decode("utf-8", "surrogatepass")
+            yield 2 * len(kept), None if key == NULL_ID else key, text, len(words), int(gone.sum()) if gone is not None else 0, spans, kept.decode("utf-8", "surrogatepass")
 
         return each
 

@@ -30,7 +30,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.llm.bpe import RECENT, WHITE, unicode_class
-from panelkit.llm.common import Rows
 
 #: A bundle closes at so much text or so many documents.
 BUNDLE_BYTES, BUNDLE_DOCS = 24 << 20, 60_000
@@ -38,6 +37,8 @@ BUNDLE_BYTES, BUNDLE_DOCS = 24 << 20, 60_000
 SUM_POSTINGS = 1 << 21
 #: Words that go through the tokenizer in one call.
 COUNT_BATCH = 4096
+#: Rows of a record batch that a bundle is handed over in.
+ROWS = 20_000
 
 
 @cache
@@ -101,9 +102,10 @@ class Bundle:
     def full(self) -> bool:
         return self.size >= BUNDLE_BYTES or len(self.docs) >= BUNDLE_DOCS
 
-    def postings(self):
-        """Per word (in order of its number): packed document numbers (16 bits,
-        ascending) followed by frequencies (8 bits; more than 255 repeats the posting)."""
+    def postings(self) -> tuple[pa.Array, pa.Array]:
+        """``(words, postings)``: per word, in order of its number, its records of
+        3 bytes (document number, 16 bits; frequency, 8 bits; a frequency over 255
+        takes several records)."""
         n = len(self.docs)
         lens = np.fromiter(map(len, self.words), np.int64, n)
         at = np.concatenate(self.words).astype(np.int64) * n + np.repeat(np.arange(n), lens)
@@ -111,49 +113,54 @@ class Bundle:
         at.sort()
         first = np.flatnonzero(np.diff(at, prepend=-1))
         freq = np.diff(first, append=len(at))
-        at = at[first]
-        word, doc = np.divmod(at, n)
-        if len(freq) and (most := int(freq.max())) > 255:
+        word, doc = np.divmod(at[first], n)
+        if len(freq) and int(freq.max()) > 255:
             times = (freq + 254) // 255
-            last = np.cumsum(times) - 1
             word, doc, left = np.repeat(word, times), np.repeat(doc, times), freq - 255 * (times - 1)
-            freq = np.full(int(times.sum()), 255, np.int64)
+            last = np.cumsum(times) - 1
+            freq = np.full(len(doc), 255, np.int64)
             freq[last] = left
-        ends = np.flatnonzero(np.diff(word, append=-1)) + 1 if len(word) else np.zeros(0, np.int64)
-        return doc.astype("<u2").tobytes(), freq.astype(np.uint8).tobytes(), ends.tolist()
+        records = np.empty((len(doc), 3), np.uint8)
+        records[:, 0], records[:, 1], records[:, 2] = doc & 255, doc >> 8, freq
+        ends = np.searchsorted(word, np.arange(len(self.ids)), "right") if len(word) else np.zeros(0)
+        offsets = np.r_[0, 3 * ends].astype(np.int32)
+        return (pa.array(list(self.ids), pa.string()),
+                pa.Array.from_buffers(pa.binary(), len(self.ids), [None, pa.py_buffer(offsets), pa.py_buffer(records.tobytes())]))
+
+
+def records(postings: pa.Array):
+    """``(document numbers, frequencies, records per row)`` of a column of postings; null rows have none."""
+    postings = postings.fill_null(b"")
+    offsets = np.frombuffer(postings.buffers()[1], np.int32)[postings.offset:postings.offset + len(postings) + 1]
+    data = postings.buffers()[2]
+    r = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]].reshape(-1, 3) if data is not None and len(offsets) and offsets[-1] > offsets[0] else np.zeros((0, 3), np.uint8)
+    return r[:, 0] | r[:, 1].astype(np.int64) << 8, r[:, 2].astype(np.int64), np.diff(offsets) // 3
 
 
-def unpack(binary: bytes):
-    """Document numbers and frequencies of one word's postings."""
-    k = len(binary) // 3
-    return np.frombuffer(binary, "<u2", k), np.frombuffer(binary, np.uint8, k, 2 * k)
+DOC = pa.list_(pa.struct([("id", pa.int64()), ("n_bytes", pa.int64()), ("n_words", pa.int64())]))
 
 
 def bundle_rows(docs: DataFrame, words_of, id_col: str, text_col: str) -> DataFrame:
     """``(bundle, word, postings, docs)``: a row per distinct word of a bundle,
     and one with a null word that lists its documents ``[(id, n_bytes, n_words)]``.
     ``words_of()`` runs once per task and gives the function text -> words."""
-    doc = pa.list_(pa.struct([("id", pa.int64()), ("n_bytes", pa.int64()), ("n_words", pa.int64())]))
-    schema = pa.schema([("bundle", pa.int64()), ("word", pa.string()), ("postings", pa.binary()), ("docs", doc)])
+    schema = pa.schema([("bundle", pa.int64()), ("word", pa.string()), ("postings", pa.binary()), ("docs", DOC)])
 
     def run(batches):
         from pyspark import TaskContext
 
         task, split, serial = TaskContext.get().partitionId(), words_of(), 0
-        rows = Rows(schema)
 
         def close(b: Bundle):
             nonlocal serial
-            name, n_words = task << 32 | serial, [len(w) for w in b.words]
+            name = task << 32 | serial
             serial += 1
-            rows.add(24 * len(b.docs), name, None, None, [{"id": i, "n_bytes": n, "n_words": w} for i, n, w in zip(b.docs, b.n_bytes, n_words)])
-            doc, freq, ends = b.postings()
-            at = 0
-            for word, end in zip(b.ids, ends):
-                rows.add(3 * (end - at) + 24, name, word, doc[2 * at:2 * end] + freq[at:end], None)
-                at = end
-                if rows.full():
-                    yield rows.take()
+            listed = [{"id": i, "n_bytes": n, "n_words": len(w)} for i, n, w in zip(b.docs, b.n_bytes, b.words)]
+            yield pa.record_batch([pa.array([name]), pa.array([None], pa.string()), pa.array([None], pa.binary()), pa.array([listed], DOC)], schema=schema)
+            words, postings = b.postings()
+            for at in range(0, len(words), ROWS):
+                w = words.slice(at, ROWS)
+                yield pa.record_batch([pa.array(np.full(len(w), name)), w, postings.slice(at, ROWS), pa.nulls(len(w), DOC)], schema=schema)
 
         bundle = Bundle()
         for batch in batches:
@@ -165,7 +172,6 @@ def bundle_rows(docs: DataFrame, words_of, id_col: str, text_col: str) -> DataFr
                     bundle = Bundle()
         if bundle.docs:
             yield from close(bundle)
-        yield rows.take()
 
     return docs.select(docs[id_col].cast("long"), docs[text_col].cast("string")).mapInArrow(
         run, "bundle long, word string, postings binary, docs array<struct<id:long,n_bytes:long,n_words:long>>")
@@ -187,9 +193,10 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
 
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     freq = bundle_rows(docs, words_of, id_col, text_col)
-    # the lists of documents travel along, dealt by bundle
-    by_word = (freq.repartition(n, F.coalesce("word", F.col("bundle").cast("string")))
-               .sortWithinPartitions("word").mapInArrow(piece_sums(tokenizer_path), PARTIAL_DDL))
+    # the lists of documents travel along, dealt by bundle; a hash sorts faster than a string
+    by_word = (freq.withColumn("h", F.xxhash64(F.coalesce("word", F.col("bundle").cast("string"))))
+               .repartition(n, "h").sortWithinPartitions("h").select("bundle", "word", "postings", "docs")
+               .mapInArrow(piece_sums(tokenizer_path), PARTIAL_DDL))
     schema = pa.schema([(id_col, pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
 
     def total(batches):
@@ -198,8 +205,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
             for part in held:
                 for packed, listed in zip(part.column("sums").to_pylist(), part.column("docs").to_pylist()):
                     if packed:
-                        k = len(packed) // 10
-                        sums[np.frombuffer(packed, "<u2", k)] += np.frombuffer(packed, "<i8", k, 2 * k)
+                        add_packed(sums, packed)
                     docs = listed or docs
             yield pa.record_batch([pa.array([d["id"] for d in docs], pa.int64()), pa.array([d["n_bytes"] for d in docs], pa.int64()),
                                    pa.array(sums[:len(docs)], pa.int64())], schema=schema)
@@ -209,56 +215,101 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
 
 
 PARTIAL_DDL = "bundle long, sums binary, docs array<struct<id:long,n_bytes:long,n_words:long>>"
+PARTIAL = pa.schema([("bundle", pa.int64()), ("sums", pa.binary()), ("docs", DOC)])
 
 
-def piece_sums(tokenizer_path: str):
-    """Over rows sorted by word: pieces of each distinct word, times its
-    frequencies, added up per bundle and document."""
-    doc = pa.list_(pa.struct([("id", pa.int64()), ("n_bytes", pa.int64()), ("n_words", pa.int64())]))
-    schema = pa.schema([("bundle", pa.int64()), ("sums", pa.binary()), ("docs", doc)])
+class PieceCounter:
+    """Pieces of pre-tokens by the tokenizers library: many in one call, between
+    spaces, where only the last piece of a pre-token is marked as an end."""
+
+    def __init__(self, path: str):
+        import json
 
-    def run(batches):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-        last, last_pieces, size = None, 0, 0
-        held: dict[int, list] = {}
+        self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        if mark := spec["model"].get("end_of_word_suffix"):
+            self.ends[[i for t, i in spec["model"]["vocab"].items() if t.endswith(mark)]] = True
+        self.ends[[t["id"] for t in spec["added_tokens"]]] = True
+
+    def __call__(self, words: list[str]) -> np.ndarray:
+        out = [np.zeros(0, np.int64)]
+        for k in range(0, len(words), COUNT_BATCH):
+            some = words[k:k + COUNT_BATCH]
+            ids = self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids
+            counts = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+            if len(counts) != len(some) or counts.sum() != len(ids):
+                counts = np.array([len(e.ids) for e in self.tokenizer.encode_batch(some, add_special_tokens=False)], np.int64)
+            out.append(counts)
+        return np.concatenate(out)
+
+
+class DocSums:
+    """Sums per (bundle, document) of what passes, packed when they leave."""
+
+    def __init__(self, kind: str = "<i8"):
+        self.kind, self.parts, self.size = kind, [], 0
+
+    def add(self, bundles: np.ndarray, postings: pa.Array, weights: np.ndarray) -> None:
+        doc, freq, per_row = records(postings)
+        self.parts.append((np.repeat(bundles, per_row), doc, np.repeat(weights, per_row) * freq))
+        self.size += len(doc)
+
+    def take(self):
+        """``(bundles, packed sums)``: per bundle, document numbers (16 bits), then sums."""
+        if not self.parts:
+            return [], []
+        bundle, doc, value = (np.concatenate(c) for c in zip(*self.parts))
+        self.parts, self.size = [], 0
+        names, index = np.unique(bundle, return_inverse=True)
+        key = index.astype(np.int64) << 16 | doc
+        order = np.argsort(key, kind="stable")
+        key, value = key[order], value[order]
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        sums, key = np.add.reduceat(value, first) if len(first) else value, key[first]
+        cuts = np.searchsorted(key >> 16, np.arange(len(names) + 1))
+        doc = (key & 0xFFFF).astype("<u2")
+        return names, [doc[a:b].tobytes() + sums[a:b].astype(self.kind).tobytes() for a, b in zip(cuts, cuts[1:])]
+
+
+def add_packed(sums: np.ndarray, packed: bytes, kind: str = "<i8") -> None:
+    k = len(packed) // 10
+    sums[np.frombuffer(packed, "<u2", k)] += np.frombuffer(packed, kind, k, 2 * k)
+
+
+def piece_sums(tokenizer_path: str):
+    """Over rows grouped by word: pieces of each distinct word, times its
+    frequencies, added up per bundle and document."""
+    def run(batches):
+        count, sums, last = PieceCounter(tokenizer_path), DocSums(), (None, 0)
 
         def flush():
-            rows = Rows(schema)
-            for bundle, parts in held.items():
-                doc = np.concatenate([d for d, _, _ in parts]).astype(np.int64)
-                add = np.concatenate([p * f.astype(np.int64) for _, f, p in parts])
-                sums = np.bincount(doc, add).astype(np.int64)  # exact: far below 2^53
-                at = np.flatnonzero(sums)
-                rows.add(10 * len(at), bundle, at.astype("<u2").tobytes() + sums[at].astype("<i8").tobytes(), None)
-                if rows.full():
-                    yield rows.take()
-            held.clear()
-            yield rows.take()
+            names, packed = sums.take()
+            return pa.record_batch([pa.array(names, pa.int64()), pa.array(packed, pa.binary()), pa.nulls(len(packed), DOC)], schema=PARTIAL)
 
         for batch in batches:
-            names, words, postings, docs = (batch.column(c).to_pylist() for c in ("bundle", "word", "postings", "docs"))
-            fresh = [w for w in dict.fromkeys(words) if w is not None and w != last]
-            pieces = {last: last_pieces}
-            for k in range(0, len(fresh), COUNT_BATCH):
-                some = fresh[k:k + COUNT_BATCH]
-                pieces |= zip(some, (len(e.ids) for e in tokenizer.encode_batch(some, add_special_tokens=False)))
-            rows = Rows(schema)
-            for name, word, posting, listed in zip(names, words, postings, docs):
-                if word is None:
-                    rows.add(24 * len(listed), name, None, listed)
-                    continue
-                doc, freq = unpack(posting)
-                held.setdefault(name, []).append((doc, freq, pieces[word]))
-                size += len(doc) + 8
-            yield rows.take()
-            if words and words[-1] is not None:
-                last, last_pieces = words[-1], pieces[words[-1]]
-            if size >= SUM_POSTINGS:
-                yield from flush()
-                size = 0
-        yield from flush()
+            coded = batch.column(1).cast(pa.string()).dictionary_encode()
+            distinct = coded.dictionary.to_pylist()
+            if not distinct:
+                distinct = [""]
+            if distinct[0] == last[0]:
+                pieces = np.r_[last[1], count(distinct[1:])]
+            else:
+                pieces = count(distinct)
+            last = (distinct[-1], pieces[-1])
+            row = coded.indices.fill_null(0).to_numpy(zero_copy_only=False)
+            bundles = batch.column(0).to_numpy()
+            sums.add(bundles, batch.column(2).cast(pa.binary()), pieces[row])
+            lists = batch.column(3).is_valid()
+            if lists.true_count:
+                kept = batch.filter(lists)
+                yield pa.record_batch([kept.column(0), pa.nulls(kept.num_rows, pa.binary()), pa.array(kept.column(3).to_pylist(), DOC)], schema=PARTIAL)
+            if sums.size >= SUM_POSTINGS:
+                yield flush()
+        yield flush()
 
     return run
 
