@@ -53,6 +53,39 @@ def op4_simhash(spark, sf_dir, shingle: int = 3, max_bits: int = 3):
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op3_quality(spark, sf_dir):
+    from panelkit.llm.quality import score_quality
+
+    out = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", F.round("p_quality", 6).alias("p_quality"), F.round("p_toxic", 6).alias("p_toxic"), F.col("keep").alias("kept"))
+
+
+@query
+def op8_language_id(spark, sf_dir):
+    from panelkit.llm.langid import fit, identify, training_rows
+
+    docs = table(spark, sf_dir, "documents")
+    out = identify(docs, fit(docs.where(training_rows())))
+    return out.select("doc_id", (~training_rows()).alias("held_out"), "lang_pred", "score", "entropy", "rejected")
+
+
+@query
+def op7_embedding_dedup(spark, sf_dir, threshold: float = 0.93):
+    from panelkit.llm.lattice import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"), threshold)
+
+
+@query
+def op9_decontamination(spark, sf_dir, similarity: float = 0.8, radius: int = 19):
+    from panelkit.llm.decontam import find_leaks
+
+    out = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), similarity=similarity, radius=radius)
+    return out.select("doc_id", (F.size("matches") > 0).alias("contaminated"), F.array_sort(F.col("matches.item")).alias("item_ids"),
+                      F.round(F.array_max(F.col("matches.similarity")), 6).alias("similarity"))
+
+
 
 def all_queries() -> dict:
     from corpus_pipeline import run
