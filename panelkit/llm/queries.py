@@ -86,6 +86,21 @@ def op9_decontamination(spark, sf_dir, similarity: float = 0.8, radius: int = 19
                       F.round(F.array_max(F.col("matches.similarity")), 6).alias("similarity"))
 
 
+@query
+def op5_html_extraction(spark, sf_dir):
+    from panelkit.llm.htmlx import extract
+
+    out = extract(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op6_lm_scores(spark, sf_dir):
+    from panelkit.llm.maxent import score_texts
+
+    return score_texts(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
+
+
 
 def all_queries() -> dict:
     from corpus_pipeline import run

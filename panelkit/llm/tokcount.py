@@ -193,8 +193,9 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
 
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     freq = bundle_rows(docs, words_of, id_col, text_col)
-    # the lists of documents travel along, dealt by bundle; a hash sorts faster than a string
-    by_word = (freq.withColumn("h", F.xxhash64(F.coalesce("word", F.col("bundle").cast("string"))))
+    # the lists of documents travel along, dealt by bundle; a hash sorts faster than a string;
+    # beyond 4096 tasks (about 400 GB of text) a word in all bundles is split between partitions
+    by_word = (freq.withColumn("h", F.xxhash64(F.coalesce("word", F.col("bundle").cast("string")), F.shiftright("bundle", 32 + 12)))
                .repartition(n, "h").sortWithinPartitions("h").select("bundle", "word", "postings", "docs")
                .mapInArrow(piece_sums(tokenizer_path), PARTIAL_DDL))
     schema = pa.schema([(id_col, pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
