@@ -1,15 +1,92 @@
-"""The corpus pipeline: documents through five stages, each one dealt operator."""
+"""The corpus pipeline: documents through five stages, each one dealt operator.
+
+A stage takes ``(spark, docs, sf_dir)`` and works on all rows of ``docs``; its
+result is written as Parquet in the shared folder and read again as the next
+stage's ``docs``. All but the last return the columns of ``documents`` (and
+whatever other columns came in); the last adds the encoding. Rows with a null
+id pass the near-duplicate stage, which can't name them.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
-ORACLE_SQL = None
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from panelkit.llm.common import materialize, table
+
+#: One struct of all input columns goes through an operator under this name.
+ROW = "__row__"
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(ROW))
+
+
+def _unpacked(out: DataFrame, docs: DataFrame, **changed) -> DataFrame:
+    """The columns of ``docs`` again, with some of them changed."""
+    return out.select(*[changed.get(c, F.col(f"{ROW}.`{c}`")).alias(c) for c in docs.columns])
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents whose language the models reject, and those without letters."""
+    from panelkit.llm.langid import fit, identify, training_rows
+
+    out = identify(_packed(docs), fit(docs.where(training_rows())), carry=ROW)
+    return _unpacked(out.where(~F.col("rejected")), docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays, the one with the least id: shingles of
+    three words, three bits."""
+    from panelkit.llm import simhash
 
+    groups = simhash.near_duplicates(docs, shingle=3, max_bits=3)
+    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words of repeated 50-word windows go. Untouched texts stay as they are,
+    others become their kept words; a document with none left goes."""
+    from panelkit.llm.substr import remove_repeats
+
+    out = remove_repeats(_packed(docs), window=50, carry=ROW)
+    touched = F.col("n_removed") > 0
+    text = F.when(touched, F.col("kept")).otherwise(F.col("text"))
+    changed = {"text": text}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(touched, F.length("kept").cast(docs.schema["n_chars"].dataType)).otherwise(F.col(f"{ROW}.n_chars"))
+    return _unpacked(out.where(~(touched & (F.col("n_removed") == F.col("n_words")))), docs, **changed)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark go."""
+    from panelkit.llm.decontam import find_leaks
+
+    out = find_leaks(_packed(docs), table(spark, sf_dir, "benchmark"), carry=ROW)
+    return _unpacked(out.where(F.size("matches") == 0), docs)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids (little-endian, 32 bits) and whether they decode to the text."""
+    from panelkit.llm.bpe import encode_decode
+    from panelkit.llm.queries import tokenizer_file
+
+    out = encode_decode(_packed(docs), tokenizer_file("byte_bpe_50k.json"), carry=ROW)
+    own = [F.col(f"{ROW}.`{c}`").alias(c) for c in docs.columns if c not in ("n_tokens", "ids", "ids_sha256", "round_trip")]
+    return out.select(*own, "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"),
+                      (F.col("decoded") == F.coalesce(F.col(f"{ROW}.text"), F.lit(""))).alias("round_trip"))
+
+
+STAGES = [("language_id", language_id), ("near_duplicates", near_duplicates), ("substring_dedup", substring_dedup),
+          ("decontamination", decontamination), ("encoding", encoding)]
+#: SQL can't express the stages' models and fingerprints; the tests hold each against brute force.
+ORACLE_SQL = None
 
-def run(spark, sf_dir):
-    from panelkit.llm.common import materialize, table
 
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages in order, over ``documents``."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -221,9 +221,10 @@ def decode_parts(parts, merges: Merges):
     yield state.decode(b"", True)
 
 
-def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", carry: str | None = None) -> DataFrame:
     """``(id, n_tokens long, ids binary, decoded string)`` per row: ids as
-    little-endian unsigned 32-bit integers, and the text they decode to."""
+    little-endian unsigned 32-bit integers, and the text they decode to. ``carry``
+    names a column that goes along."""
     schema = pa.schema([(id_col, pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
 
     def start():
@@ -238,8 +239,8 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
 
         return each
 
-    return map_rows(docs.select(docs[id_col].cast("long"), docs[text_col].cast("string")), schema,
-                    f"`{id_col}` long, n_tokens long, ids binary, decoded string", start)
+    return map_rows(docs.select(docs[id_col].cast("long"), docs[text_col].cast("string"), *[carry] * bool(carry)), schema,
+                    f"`{id_col}` long, n_tokens long, ids binary, decoded string", start, carry)
 
 
 def decode(encoded: DataFrame, tokenizer_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

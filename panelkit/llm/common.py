@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from panelkit.session import checkpoint_dir
 
@@ -58,21 +59,36 @@ class Rows:
         return out
 
 
+def out_schema(ddl: str, df: DataFrame, carry: str | None) -> StructType:
+    """Columns of ``ddl``, and the carried one."""
+    out = StructType.fromDDL(ddl)
+    return out.add(df.schema[carry]) if carry else out
+
+
 def map_rows(df: DataFrame, schema: pa.Schema, ddl: str,
-             start: Callable[[], Callable[..., Iterator[tuple]]]) -> DataFrame:
+             start: Callable[[], Callable[..., Iterator[tuple]]], carry: str | None = None) -> DataFrame:
     """``mapInArrow`` over the columns of ``df``: ``start()`` runs once per task
     and returns a function from one row's values to output tuples
     ``(size_in_bytes, value, ...)``. Batches leave as soon as they are full, so a
-    task holds no more than one input batch and ``FLUSH_BYTES`` of output."""
+    task holds no more than one input batch and ``FLUSH_BYTES`` of output.
+    ``carry`` names the last column of ``df``, which goes through untouched; each
+    row then gives one output."""
 
     def run(batches):
         each, rows = start(), Rows(schema)
         for b in batches:
-            for values in zip(*(c.to_pylist() for c in b.columns)):
+            columns = b.columns[:-1] if carry else b.columns
+            done = 0
+            for at, values in enumerate(zip(*(c.to_pylist() for c in columns))):
                 for out in each(*values):
                     rows.add(*out)
-                    if rows.full():
+                if rows.full() or carry and at + 1 == b.num_rows:
+                    if carry:
+                        yield pa.RecordBatch.from_arrays([*rows.take().columns, b.columns[-1].slice(done, at + 1 - done)], [*schema.names, carry])
+                        done = at + 1
+                    else:
                         yield rows.take()
-        yield rows.take()
+        if not carry:
+            yield rows.take()
 
-    return df.mapInArrow(run, ddl)
+    return df.mapInArrow(run, out_schema(ddl, df, carry))

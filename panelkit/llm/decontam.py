@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from panelkit.llm.substr import mix, word_hashes
 
@@ -182,17 +183,19 @@ class Index:
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 19, slice_items: int = 512,
-               id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+               id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+               carry: str | None = None) -> DataFrame:
     """``(id, matches array<struct<item, from, to, similarity>>)`` for every row:
-    its best window (in words) of each item it holds."""
+    its best window (in words) of each item it holds. ``carry`` names a column
+    that goes along."""
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).cast("string").alias("text")).where("item is not null and text is not null").distinct()
     n_slices = max(1, -(-items.count() // slice_items))
     match = pa.list_(pa.struct([("item", pa.int64()), ("from", pa.int64()), ("to", pa.int64()), ("similarity", pa.float64())]))
     schema, out = pa.schema([("id", pa.int64()), ("matches", match)]), None
-    d = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
-    if n_slices > 1:
-        # slices are put together again by row
-        d = d.withColumn("th", F.xxhash64("text"))
+    d = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"), *([carry] if carry else []))
+    if n_slices > 1:  # slices are put together again by row
+        d = d.withColumn("text_hash", F.xxhash64("text"))
+    along = d.columns[2:]
     for k in range(n_slices):
         part = items.where(F.pmod(F.xxhash64("item"), F.lit(n_slices)) == k).orderBy("item", "text").collect()
         index = docs.sparkSession.sparkContext.broadcast(Index([(r["item"], r["text"]) for r in part], shingle, radius))
@@ -200,13 +203,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, similari
         def run(batches, index=index):
             for b in batches:
                 found = [index.value.matches(t, similarity) for t in b.column(1).to_pylist()]
-                yield pa.record_batch([b.column(0), pa.array(found, match), *b.columns[2:]], schema=pa.schema([*schema, *[pa.field("th", pa.int64())] * (n_slices > 1)]))
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, match), *b.columns[2:]], [*schema.names, *along])
 
-        ddl = "id long, matches array<struct<item:long,from:long,to:long,similarity:double>>"
-        got = d.mapInArrow(run, ddl + ", th long" * (n_slices > 1))
+        ddl = StructType.fromDDL("id long, matches array<struct<item:long,from:long,to:long,similarity:double>>")
+        got = d.mapInArrow(run, StructType([*ddl, *[d.schema[c] for c in along]]))
         out = got if out is None else out.unionByName(got)
     if n_slices > 1:
         # a row comes back once a slice; equal rows come back equally often
-        out = (out.groupBy("id", "th").agg(F.flatten(F.collect_set("matches")).alias("matches"), (F.count("*") / n_slices).cast("int").alias("times"))
-               .select("id", F.array_sort("matches").alias("matches"), F.explode(F.sequence(F.lit(1), "times"))).drop("col"))
+        out = (out.groupBy("id", *along).agg(F.flatten(F.collect_set("matches")).alias("matches"), (F.count("*") / n_slices).cast("int").alias("times"))
+               .select("id", F.array_sort("matches").alias("matches"), *along, F.explode(F.sequence(F.lit(1), "times")).alias("time")).drop("time", "text_hash"))
     return out.withColumnRenamed("id", id_col)

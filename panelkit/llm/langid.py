@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from panelkit.llm.common import out_schema
 from panelkit.llm.substr import mix
 from panelkit.llm.tokcount import Ids
 
@@ -251,9 +252,10 @@ def fit(docs: DataFrame, order: int = 4, sample: int = 1000, slack: float = 0.15
     return model
 
 
-def identify(docs: DataFrame, model: LanguageModels, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def identify(docs: DataFrame, model: LanguageModels, id_col: str = "doc_id", text_col: str = "text", carry: str | None = None) -> DataFrame:
     """``(id, lang_pred, score, entropy, rejected)``: ``score`` is the winner's
-    share of the likelihood (0 to 1), ``entropy`` its nats per character."""
+    share of the likelihood (0 to 1), ``entropy`` its nats per character. ``carry`` names a
+    column that goes along."""
     schema = pa.schema([(id_col, pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("entropy", pa.float64()), ("rejected", pa.bool_())])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -261,6 +263,7 @@ def identify(docs: DataFrame, model: LanguageModels, id_col: str = "doc_id", tex
         m = shared.value
         names, scorer = np.array([*m.languages, "und"], object), Scorer(m)
         for b in batches:
+            done = 0
             for keys, texts in chunks(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 s, chars = scorer(texts) if m.languages else (np.zeros((len(keys), 0)), np.zeros(len(keys)))
                 ok = chars > 0
@@ -270,11 +273,13 @@ def identify(docs: DataFrame, model: LanguageModels, id_col: str = "doc_id", tex
                 entropy = -top / np.maximum(chars, 1)
                 # a short text's cross-entropy is noisy: its limit is wider
                 over = entropy > m.limit[best] * (1 + 2 / np.sqrt(np.maximum(chars, 1))) if s.shape[1] else ~ok
-                yield pa.record_batch([pa.array(keys, pa.int64()), pa.array(names[np.where(ok, best, len(names) - 1)].tolist(), pa.string()),
+                out = pa.record_batch([pa.array(keys, pa.int64()), pa.array(names[np.where(ok, best, len(names) - 1)].tolist(), pa.string()),
                                        pa.array(np.where(ok, share, 0.0)), pa.array(np.where(ok, entropy, np.nan), from_pandas=True), pa.array(~ok | over)], schema=schema)
+                yield pa.RecordBatch.from_arrays([*out.columns, b.columns[2].slice(done, len(keys))], [*schema.names, carry]) if carry else out
+                done += len(keys)
 
-    return docs.select(docs[id_col].cast("long"), docs[text_col].cast("string")).mapInArrow(
-        run, f"`{id_col}` long, lang_pred string, score double, entropy double, rejected boolean")
+    rows = docs.select(docs[id_col].cast("long"), docs[text_col].cast("string"), *([carry] if carry else []))
+    return rows.mapInArrow(run, out_schema(f"`{id_col}` long, lang_pred string, score double, entropy double, rejected boolean", rows, carry))
 
 
 def training_rows(id_col: str = "doc_id") -> Column:

@@ -144,14 +144,17 @@ def run_windows(texts: DataFrame, window: int) -> DataFrame:
     return texts.mapInArrow(run, "h1 long, h2 long, anchor long, run long, off byte, d0 long, d1 long")
 
 
-def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text",
+                   carry: str | None = None) -> DataFrame:
     """``(id, text, n_words, n_removed, removed, kept)``: the text as given, its
     words, the words removed, their spans ``[(from, to)]`` in words, and the kept
-    words joined by one space. ``window``: even, 4 to 126 words."""
+    words joined by one space. ``window``: even, 4 to 126 words.
+    ``carry`` names a column that goes along."""
     if window % 2 or not 4 <= window <= 126:
         raise ValueError("window must be even, 4 to 126")
     # keys that can't be null: both joins with the texts then read one and the same exchange
-    d = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NULL_ID)).alias("doc"), docs[text_col].cast("string").alias("text"))
+    d = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NULL_ID)).alias("doc"), docs[text_col].cast("string").alias("text"),
+                    *([F.col(carry).alias("carry")] if carry else []))
     d = d.withColumn("th", F.xxhash64("text"))
     found = materialize(anchors(d.select("doc", "th", "text"), window), "anchors")
 
@@ -199,5 +202,5 @@ def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", te
 
         return each
 
-    return map_rows(d.join(hits, ["doc", "th"], "left").select("doc", "text", "hits"), schema,
-                    f"`{id_col}` long, `{text_col}` string, n_words long, n_removed long, removed array<struct<from:long,to:long>>, kept string", start)
+    return map_rows(d.join(hits, ["doc", "th"], "left").select("doc", "text", "hits", *([F.col("carry").alias(carry)] if carry else [])), schema,
+                    f"`{id_col}` long, `{text_col}` string, n_words long, n_removed long, removed array<struct<from:long,to:long>>, kept string", start, carry)
