@@ -21,7 +21,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     back: lineage ends there and survives the loss of any executor."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
