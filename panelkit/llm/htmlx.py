@@ -1,7 +1,8 @@
 """Main text of web pages by wrapper induction per host.
 
-Pages of one host are dealt into groups of about ``group`` pages (a host with a
-third of all pages becomes many groups; every page counts in its own). Within a
+Pages are dealt out by ranges of (host, hash of the page), so a host with a third
+of all pages fills many partitions and small hosts share one; a run of up to
+``group`` pages of one host is a group, and every page counts in its own. Within a
 group each DOM tree is aligned with the group's reference tree by *simple tree
 matching*: the largest matching of ordered trees that keeps roots, parents and
 order. Runs of like siblings (paragraphs, menu entries) are one repeated node,
@@ -284,7 +285,7 @@ def title_of(root: Node) -> str:
     return next((t for n in walk(root) if n.tag == "h1" and (t := n.own_text())), "")
 
 
-def extract_group(pages: list[str | None]) -> list[str]:
+def extract_group(pages) -> list[str]:
     """Main texts of pages of one host."""
     trees = [parse(p) if p else None for p in pages]
     there = [t for t in trees if t is not None]
@@ -329,12 +330,23 @@ def extract(pages: DataFrame, group: int = 128, id_col: str = "page_id", url_col
     p = pages.select(pages[id_col].cast("long").alias("id"), pages[url_col].cast("string").alias("url"), pages[html_col].cast("string").alias("html"))
     host = F.coalesce(F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@]*@)?([^/:?#]+)", 1)), F.lit(""))
     p = p.withColumn("host", host)
-    # about `group` pages each; the sizes are a small table of hosts
-    size = p.groupBy("host").agg(F.ceil(F.count("*") / F.lit(group)).cast("int").alias("parts"))
-    dealt = p.join(size, "host").withColumn("part", F.pmod(F.xxhash64("id", "url"), "parts")).select("id", "url", "html", "host", "part")
-
-    def run(t: pa.Table) -> pa.Table:
-        texts = extract_group(t.column("html").to_pylist())
-        return pa.table([t.column("id"), t.column("url").cast(pa.string()), pa.array(texts, pa.string())], schema=schema)
-
-    return dealt.groupBy("host", "part").applyInArrow(run, f"`{id_col}` long, `{url_col}` string, text string")
+    n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = p.withColumn("h", F.xxhash64("id", "url")).repartitionByRange(n, "host", "h").sortWithinPartitions("host", "h").select("id", "url", "html", "host")
+
+    def run(batches):
+        def close():
+            ids, urls, texts = zip(*held)
+            return pa.record_batch([pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array(extract_group(texts), pa.string())], schema=schema)
+
+        held, last = [], None
+        for b in batches:
+            for key, url, page, host in zip(*(c.to_pylist() for c in b.columns)):
+                if held and (host != last or len(held) >= group):
+                    yield close()
+                    held = []
+                held.append((key, url, page))
+                last = host
+        if held:
+            yield close()
+
+    return dealt.mapInArrow(run, f"`{id_col}` long, `{url_col}` string, text string")
