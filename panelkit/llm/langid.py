@@ -214,14 +214,15 @@ def chunks(keys: list, texts: list):
     yield keys[k:], texts[k:]
 
 
-def fit(docs: DataFrame, order: int = 4, sample: int = 1000, slack: float = 0.15, id_col: str = "doc_id",
+def fit(docs: DataFrame, order: int = 4, sample: int = 1000, slack: float = 0.6, id_col: str = "doc_id",
         text_col: str = "text", lang_col: str = "lang") -> LanguageModels:
     """Models from at most ``sample`` labelled texts of each language."""
     labelled = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where("lang is not null and text is not null")
     # the least hashes of each language: thinned by its count first, so that no sort sees a whole language
     n = labelled.groupBy("lang").agg(F.count("*").alias("n"))
     share = F.xxhash64("id", F.lit("sample")).bitwiseAND(F.lit((1 << 30) - 1)) / float(1 << 30)
-    thin = (labelled.select("id", "lang").join(n, "lang").withColumn("u", share).where(F.col("u") * F.col("n") < 2.0 * sample + 40)
+    # one row per language, as the model has a column per language: it may be broadcast
+    thin = (labelled.select("id", "lang").join(F.broadcast(n), "lang").withColumn("u", share).where(F.col("u") * F.col("n") < 2.0 * sample + 40)
             .withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("u", "id"))).where(F.col("r") <= sample).select("id", "lang", "r"))
     # bounded by sample x languages, so it may be broadcast
     chosen = labelled.join(F.broadcast(thin), ["id", "lang"])
