@@ -160,6 +160,8 @@ def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", te
 
     # level 1: only anchors in two documents or more are extended
     repeated = found.groupBy("anchor").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").select("anchor")
+    # a table of its own: the join below then has two plain exchanges, which Spark may split where an anchor is hot
+    repeated = materialize(repeated, "repeated_anchors")
     live = materialize(found.join(repeated, "anchor"), "repeated")
     runs = live.groupBy("anchor", "run").agg(F.min(F.struct("doc", "th", "first", "n")).alias("rep"), F.max("doc").alias("d1"))
     runs = runs.join(runs.groupBy("anchor").agg(F.count("*").alias("n_runs")), "anchor").select("anchor", "run", "n_runs", "rep.*", "d1")
