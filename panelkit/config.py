@@ -38,7 +38,6 @@ class PanelConfig:
     end_date: str | None = None
     entities: tuple[str, ...] = field(default_factory=tuple)
     lookback: int = 12              # lag window of the nonlinear model
-    max_corr_entities: int = 2000   # correlation matrix is E x E
     broadcast_max_rows: int = 1_000_000  # size bound for explicit broadcast
 
     def __post_init__(self):

@@ -212,90 +212,64 @@ def event_labels(panel: DataFrame, events=EVENT_WINDOWS) -> DataFrame:
 
 
 def series_with_labels(panel: DataFrame) -> DataFrame:
-    """The series, best/worst tags and event labels."""
+    """The series, best/worst tags and event labels. Ties as in ``best_worst``:
+    of equal returns the last name is best and the first is worst."""
     lab = event_labels(_valid(panel))
-    r = total_returns(panel).select("entity", "total_return")
-    ranked = global_rank(r, [F.col("total_return").desc(), F.col("entity")], "rank_desc", total="n_ent")
-    role = (F.when(F.col("rank_desc") == 1, F.lit("best"))
-            .when(F.col("rank_desc") == F.col("n_ent"), F.lit("worst")))
-    roles = ranked.select("entity", role.alias("role"))
-    return lab.join(roles, "entity", "left")
+    bw = best_worst(panel)
+    # at most two rows
+    roles = bw.select(F.explode(F.array(F.struct(F.col("best_entity").alias("entity"), F.lit("best").alias("role")),
+                                        F.struct(F.col("worst_entity").alias("entity"), F.lit("worst").alias("role")))).alias("x")).select("x.*")
+    # a single entity is best and worst: best
+    roles = roles.groupBy("entity").agg(F.min("role").alias("role"))
+    return lab.join(F.broadcast(roles), "entity", "left")
 
 
 # --------------------------------------------------------------- correlation
-def aligned_dates(panel: DataFrame) -> DataFrame:
-    """Dates at which every entity has a value (complete cases)."""
-    v = _valid(panel)
-    n_ent = v.select("entity").distinct().count()
-    return v.groupBy("ts").agg(F.count("*").alias("k")).where(F.col("k") == n_ent).select("ts")
-
-
-def correlation_matrix(panel: DataFrame, max_entities: int = 2000) -> DataFrame:
-    """Pearson correlation on complete cases, long form (e1, e2, corr).
-
-    No pair rows are generated: one vector per date (entities in name order),
-    then ``pyspark.ml.stat.Correlation`` aggregates the E x E moment matrix in
-    a tree aggregate. The result itself is E^2 numbers, so E is checked first.
+def correlation_matrix(panel: DataFrame, block: int = 256) -> DataFrame:
+    """Pearson correlation on complete cases, long form (e1, e2, corr, n_dates).
+
+    One path at every size: on the dates that every entity has, each series is
+    centred and scaled to unit norm; the correlations are the products of those
+    vectors. Entities are dealt into blocks, every two blocks meet in one task
+    (a matrix product), and the E x E result stays on the executors. NULL where
+    a series is constant, for one date, and without a common date.
     """
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.ml.stat import Correlation
-
-    spark = panel.sparkSession
-    v = _valid(panel).select("entity", "ts", "close")
-    names = [r[0] for r in v.select("entity").distinct().orderBy("entity").limit(max_entities + 1).collect()]
-    if len(names) > max_entities:
-        # too wide for one dense moment matrix in a task: the exact block path
-        return correlation_blocks(v)
-    e = len(names)
-    per_date = (v.groupBy("ts")
-                .agg(F.count("*").alias("k"), F.array_sort(F.collect_list(F.struct("entity", "close"))).alias("xs"))
-                .where(F.col("k") == e)
-                .select(array_to_vector(F.transform("xs", lambda s: s["close"])).alias("x")))
-    schema = "e1 string, e2 string, corr double, n_dates long"
-    if e == 0:
-        return spark.createDataFrame([], schema)
-    n_dates = per_date.count()
-    if n_dates < 2:
-        rows = [(a, b, None, n_dates) for a in names for b in names]
-        return spark.createDataFrame(rows, schema)
-    m = Correlation.corr(per_date, "x").head()[0].toArray()
     import numpy as np
     import pandas as pd
 
-    pdf = pd.DataFrame({"e1": np.repeat(names, e), "e2": np.tile(names, e),
-                        "corr": np.where(np.isnan(m.ravel()), None, m.ravel()), "n_dates": n_dates})
-    return spark.createDataFrame(pdf, schema)  # Arrow transfer of the E x E result
-
-
-def correlation_blocks(v: DataFrame, block: int = 1024) -> DataFrame:
-    """A8 for wide panels, exact and distributed: on complete-case dates each
-    entity's series is centred and scaled to unit norm (z), and the matrix
-    Z^T Z (= the correlations) is a BlockMatrix product: the shuffle moves
-    ``block`` x ``block`` tiles, never pairs of rows, and no task holds the
-    whole E x E matrix."""
-    from pyspark.mllib.linalg.distributed import CoordinateMatrix, MatrixEntry
-
+    v = _valid(panel).select("entity", "ts", "close")
     n_ent = v.select("entity").distinct().count()
-    per_date = v.groupBy("ts").agg(F.count("*").alias("k"))
-    dates = per_date.where(F.col("k") == n_ent).select("ts")
+    dates = v.groupBy("ts").agg(F.count("*").alias("k")).where(F.col("k") == n_ent).select("ts")
+    n_dates = dates.count()
+    # a block holds a bounded number of values whatever the calendar's length
+    block = max(1, min(block, (1 << 22) // max(n_dates, 1)))
+    n_blocks = max(1, -(-n_ent // block))
     c = v.join(dates, "ts", "left_semi")
     part = Window.partitionBy("entity")
-    d = F.col("close") - F.avg("close").over(part)
-    c = c.select("entity", "ts", d.alias("d"))
-    c = c.select("entity", "ts", (F.col("d") / F.sqrt(F.sum(F.col("d") * F.col("d")).over(part))).alias("z"))
-    ents = global_rank(c.select("entity").distinct(), [F.col("entity")], "ei")
-    days = global_rank(c.select("ts").distinct(), [F.col("ts")], "ti")
-    n_dates = days.count()
-    z = c.join(ents, "entity").join(days, "ts").select((F.col("ti") - 1).alias("ti"), (F.col("ei") - 1).alias("ei"), "z")
-    entries = z.rdd.map(lambda r: MatrixEntry(r["ti"], r["ei"], r["z"]))
-    m = CoordinateMatrix(entries, n_dates, n_ent).toBlockMatrix(block, block)
-    g = m.transpose().multiply(m).toCoordinateMatrix().entries
-    out = g.map(lambda x: (int(x.i) + 1, int(x.j) + 1, float(x.value))).toDF("e1i long, e2i long, corr double")
-    e1 = ents.select(F.col("ei").alias("e1i"), F.col("entity").alias("e1"))
-    e2 = ents.select(F.col("ei").alias("e2i"), F.col("entity").alias("e2"))
-    return (out.join(e1, "e1i").join(e2, "e2i")
-            .select("e1", "e2", F.when(F.col("e1") == F.col("e2"), F.lit(1.0)).otherwise(F.col("corr")).alias("corr"),
-                    F.lit(n_dates).cast("long").alias("n_dates")))
+    constant = F.min("close").over(part) == F.max("close").over(part)
+    c = c.select("entity", "ts", F.when(~constant, F.col("close") - F.avg("close").over(part)).alias("d"))
+    c = c.select("entity", "ts", F.try_divide(F.col("d"), F.sqrt(F.sum(F.col("d") * F.col("d")).over(part))).alias("z"))
+    z = c.groupBy("entity").agg(F.array_sort(F.collect_list(F.struct("ts", "z"))).alias("zs")).select("entity", F.transform("zs", lambda x: x["z"]).alias("z"))
+    # without a common date the names alone give the NULL pairs
+    z = v.select("entity").distinct().join(z, "entity", "left")
+    z = z.withColumn("b", F.pmod(F.xxhash64("entity"), F.lit(n_blocks)).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+    z = z.select("entity", "z", "b", F.least("b", "o").alias("lo"), F.greatest("b", "o").alias("hi"))
+
+    def product(g: pd.DataFrame) -> pd.DataFrame:
+        def matrix(rows):
+            return np.array([x if x is not None else np.full(n_dates, np.nan) for x in rows], dtype=float).reshape(len(rows), n_dates)
+
+        def pairs(x, y):
+            m = matrix(list(x["z"])) @ matrix(list(y["z"])).T if n_dates else np.full((len(x), len(y)), np.nan)
+            return pd.DataFrame({"e1": np.repeat(x["entity"].to_numpy(), len(y)), "e2": np.tile(y["entity"].to_numpy(), len(x)), "corr": np.clip(m.ravel(), -1, 1)})
+
+        lo, hi = g[g["b"] == g["lo"]], g[g["b"] == g["hi"]]
+        out = pairs(lo, hi) if (g["lo"] == g["hi"]).all() else pd.concat([pairs(lo, hi), pairs(hi, lo)])
+        out["corr"] = np.where((out["e1"] == out["e2"]) & out["corr"].notna(), 1.0, out["corr"])
+        return out.assign(n_dates=n_dates)
+
+    out = z.groupBy("lo", "hi").applyInPandas(product, "e1 string, e2 string, corr double, n_dates long")
+    return out.select("e1", "e2", F.when(~F.isnan("corr"), F.col("corr")).alias("corr"), "n_dates")
 
 
 # --------------------------------------------------------------- distributions

@@ -5,6 +5,10 @@ partitioned sort (sampled boundaries, as ``orderBy`` does), a local row number
 per partition, and per-partition offsets computed from the partition counts
 (one row per partition, broadcast: its size is the partition count). No
 un-partitioned window over data rows anywhere.
+
+The rows and the counts must see the same boundaries. Two range exchanges sample
+anew and may differ, so the rows are checkpointed with their partition number
+once, and both read that.
 """
 
 from __future__ import annotations
@@ -12,12 +16,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelkit.session import checkpoint_dir
+
 
 def global_rank(df: DataFrame, order: list[Column], name: str = "rank",
                 num_partitions: int | None = None, total: str | None = None) -> DataFrame:
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    part = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
+    checkpoint_dir(spark)
+    part = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
     local = part.withColumn("_lr", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
     counts = local.groupBy("_pid").agg(F.max("_lr").alias("_cnt"))
     by_pid = Window.orderBy("_pid")

@@ -52,16 +52,19 @@ def acf(series: DataFrame, col: str = "close", max_lag: int = MAX_LAGS) -> DataF
                      (F.lit(1.96) / F.sqrt(F.col("n").cast("double"))).alias("conf"), "n")
 
 
+# one Levinson-Durbin step per lag; the reflection coefficient is bound once per
+# step (a one-element transform) and is NULL, with all that follow, where the
+# variance left is zero (a constant series)
 _PACF_EXPR = """
 aggregate(sequence(1, nlags),
   named_struct('phi', cast(array() as array<double>), 'pac', cast(array() as array<double>), 'v', r[0]),
-  (st, k) -> named_struct(
-     'phi', concat(
-        transform(st.phi, (p, i) -> p - ((r[k] - aggregate(zip_with(st.phi, reverse(slice(r, 2, k - 1)), (a, b) -> a * b), 0D, (x, y) -> x + y)) / st.v) * element_at(st.phi, k - 1 - i)),
-        array((r[k] - aggregate(zip_with(st.phi, reverse(slice(r, 2, k - 1)), (a, b) -> a * b), 0D, (x, y) -> x + y)) / st.v)),
-     'pac', concat(st.pac, array((r[k] - aggregate(zip_with(st.phi, reverse(slice(r, 2, k - 1)), (a, b) -> a * b), 0D, (x, y) -> x + y)) / st.v)),
-     'v', st.v * (1 - pow((r[k] - aggregate(zip_with(st.phi, reverse(slice(r, 2, k - 1)), (a, b) -> a * b), 0D, (x, y) -> x + y)) / st.v, 2))
-  )).pac"""
+  (st, k) -> element_at(transform(
+     array(try_divide(r[k] - aggregate(zip_with(st.phi, reverse(slice(r, 2, k - 1)), (a, b) -> a * b), 0D, (x, y) -> x + y), st.v)),
+     c -> named_struct(
+        'phi', concat(transform(st.phi, (p, i) -> p - c * element_at(st.phi, k - 1 - i)), array(c)),
+        'pac', concat(st.pac, array(c)),
+        'v', st.v * (1 - c * c))), 1)
+).pac"""
 
 
 def pacf(series: DataFrame, col: str = "close", max_lag: int = MAX_LAGS) -> DataFrame:
@@ -70,7 +73,7 @@ def pacf(series: DataFrame, col: str = "close", max_lag: int = MAX_LAGS) -> Data
     Levinson-Durbin recursion per entity (higher-order functions)."""
     a = autocov_sums(series, col, max_lag)
     nl = F.least(F.lit(max_lag), F.floor(F.col("n") / 2).cast("int") - 1)
-    r = F.transform(F.col("S"), lambda s, k: s / F.when(k == 0, F.col("n")).otherwise(F.col("n") - k))
+    r = F.transform(F.col("S"), lambda s, k: F.try_divide(s, F.when(k == 0, F.col("n")).otherwise(F.col("n") - k)))
     b = a.select("entity", "n", nl.alias("nlags"), r.alias("r")).where((F.col("n") >= 3) & (F.col("nlags") >= 1))
     b = b.select("entity", "n", "nlags", F.expr(_PACF_EXPR).alias("pac"))
     ex = b.select("entity", "n", "nlags", F.posexplode(F.concat(F.array(F.lit(1.0)), F.col("pac"))).alias("lag", "pacf"))

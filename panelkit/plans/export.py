@@ -49,14 +49,17 @@ def landing_subset(panel: DataFrame, best_worst: DataFrame) -> DataFrame:
 
 def document(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
     """K7: one JSON document per entity (series, KPIs, outliers, stats, forecasts),
-    each section nested with collect_list(struct) at the sink only."""
+    each section nested at the sink only, its rows sorted by their first column
+    (``ts`` or ``step`` in front)."""
     base = tables["kpis"].select("entity", F.struct(*[c for c in tables["kpis"].columns if c != "entity"]).alias("kpis"))
     if "series" in tables:
         base = base.join(tables["series"].select("entity", F.struct("dates", "values").alias("series")), "entity", "left")
     for name in ("outliers", "forecast"):
         if name in tables:
             t = tables[name]
-            nested = t.groupBy("entity").agg(F.collect_list(F.struct(*[c for c in t.columns if c != "entity"])).alias(name))
+            order = [c for c in ("model", "ts", "step") if c in t.columns]
+            rest = [c for c in t.columns if c != "entity" and c not in order]
+            nested = t.groupBy("entity").agg(F.array_sort(F.collect_list(F.struct(*order, *rest))).alias(name))
             base = base.join(nested, "entity", "left")
     if "residual_stats" in tables:
         t = tables["residual_stats"]
@@ -69,7 +72,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
                 partition_by: str | None = None) -> None:
     w = null_non_finite(df).write.mode(mode)
     if partition_by:
-        w = w.partitionBy(partition_by)
+        # rows of one folder meet in few tasks, so it gets few files; a large folder is split by size
+        w = null_non_finite(df).hint("rebalance", partition_by).write.mode(mode).partitionBy(partition_by)
     if fmt == "csv":
         w.option("header", True).csv(path)
     elif fmt == "json":

@@ -194,7 +194,7 @@ def e_top_bottom_rebased(spark, sf):
   CASE WHEN CAST(ts AS DATE) BETWEEN DATE '2020-03-01' AND DATE '2020-05-01' THEN 'COVID-19 Crash'
        WHEN CAST(ts AS DATE) BETWEEN DATE '2022-02-01' AND DATE '2022-04-01' THEN 'War in Ukraine'
        WHEN CAST(ts AS DATE) BETWEEN DATE '2022-10-01' AND DATE '2022-11-01' THEN 'Brazil Election' END AS event FROM v),
-rk AS (SELECT entity, row_number() OVER (ORDER BY total_return DESC, entity) AS r, count(*) OVER () AS n FROM tr),
+rk AS (SELECT entity, row_number() OVER (ORDER BY total_return DESC, entity DESC) AS r, count(*) OVER () AS n FROM tr),
 o AS (SELECT lab.*, CASE WHEN rk.r = 1 THEN 'best' WHEN rk.r = rk.n THEN 'worst' END AS role FROM lab LEFT JOIN rk USING (entity))""")
     + final("o", "entity ts close:6 event role"))
 def e_event_labels(spark, sf):

@@ -103,8 +103,8 @@ def k_document(spark, sf):
     from panelkit.operators.outliers import detect_outliers, residual_stats
     from panelkit.plans.queries_core import weekly
 
-    f = features(spark, sf)
-    wk = weekly(spark, sf, "priority")
+    wk = weekly(spark, sf, "priority")  # one panel for all sections
+    f = features(spark, sf, "priority")
     tables = {
         "kpis": eda.kpis(f),
         "series": ex.series_arrays(f, "close", "values"),

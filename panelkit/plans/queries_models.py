@@ -57,7 +57,7 @@ def m1_arima_forecast(spark, sf):
     """Seasonal ARIMA (Hannan-Rissanen, AIC order search) 12-step forecasts."""
     s = _series(spark, sf)
     r = run_arima(full_rows(s), 12, 52)
-    return r.where(F.col("role").isin("future", "error")).drop("y")
+    return r.where(F.col("role").isin("future", "error")).drop("y", "fit_time_s")  # a time differs at every run
 
 
 @register("m2_trend_forecast")
@@ -65,7 +65,7 @@ def m2_trend_forecast(spark, sf):
     """M2: trend + yearly seasonality forecasts with residual-based intervals."""
     s = _series(spark, sf)
     r = run_trend(full_rows(s), 12, 7.0)
-    return r.where(F.col("role").isin("future", "error")).drop("y")
+    return r.where(F.col("role").isin("future", "error")).drop("y", "fit_time_s")  # a time differs at every run
 
 
 @register("m3_gbt_forecast")
@@ -96,10 +96,11 @@ def comparison(pred: DataFrame) -> DataFrame:
     cv = fc.cv_summary(cvm).select("entity", "model", "cv_rmse")
     fit = (pred.where(F.col("fold") == -2).groupBy("entity", "model")
            .agg(F.max("fit_time_s").alias("training_time_s"), F.max("error").alias("error")))
-    m = ins.join(cv, ["entity", "model"], "left").join(fit, ["entity", "model"], "left")
+    # from the fits, so that a failed (entity, model) keeps its row and its error
+    m = fit.join(ins, ["entity", "model"], "left").join(cv, ["entity", "model"], "left")
     order = F.create_map(*[x for k, v in MODEL_ORDER.items() for x in (F.lit(k), F.lit(v))])
     part = Window.partitionBy("entity")
-    m = m.withColumn("_rank", F.struct(F.col("rmse"), order[F.col("model")]))
+    m = m.withColumn("_rank", F.when(F.col("rmse").isNotNull(), F.struct(F.col("rmse"), order[F.col("model")])))
     best = F.min_by("model", "_rank").over(part)
     return m.select("entity", "model", "rmse", "mae", "mape", "smape", "r2", "residual_std", "cv_rmse",
                     F.round("training_time_s", 2).alias("training_time_s"), "error",

@@ -5,7 +5,8 @@
 * R2: the verdicts go to an append-only Parquet log with a checkpoint, so a
   restarted query resumes where it stopped (exactly-once file sink).
 * R3: ``refresh_stats=True`` re-reads the latest statistics at every
-  micro-batch inside ``foreachBatch`` instead of a fixed static side.
+  micro-batch inside ``foreachBatch`` instead of a fixed static side; its log
+  has a folder per batch (column ``epoch``), so a retry repeats no rows.
 """
 
 from __future__ import annotations
@@ -30,7 +31,8 @@ def run_monitor(spark: SparkSession, source: DataFrame, stats_path: str, log_pat
 
     if refresh_stats:
         def batch(df: DataFrame, epoch_id: int):
-            score(df, read_stats()).write.mode("append").parquet(log_path)
+            # a folder per batch, overwritten: a retried batch replaces its own rows
+            score(df, read_stats()).write.mode("overwrite").parquet(f"{log_path.rstrip('/')}/epoch={epoch_id}")
 
         w = source.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     else:

@@ -108,6 +108,43 @@ def test_correlation_block_path_matches_dense(spark):
     data = {f"e{k}": base * (k % 3 - 1) + rng.standard_normal(40) for k in range(6)}
     p = _panel(spark, data)
     dense = eda.correlation_matrix(p).toPandas().set_index(["e1", "e2"]).sort_index()
-    block = eda.correlation_matrix(p, max_entities=2).toPandas().set_index(["e1", "e2"]).sort_index()
+    block = eda.correlation_matrix(p, block=2).toPandas().set_index(["e1", "e2"]).sort_index()
     np.testing.assert_allclose(block["corr"], dense["corr"], atol=1e-12)
     assert (block["n_dates"] == dense["n_dates"]).all()
+
+
+def test_global_rank_is_exact_on_large_data_with_payload(spark):
+    # the sample that sets range boundaries is far smaller than the data, and the payload column is pruned from the counts
+    for aqe in ("true", "false"):
+        spark.conf.set("spark.sql.adaptive.enabled", aqe)
+        df = spark.range(1_200_000).select(F.pmod(F.xxhash64("id"), F.lit(1000)).alias("k"), "id", F.concat(F.lit("payload"), "id").alias("p"))
+        r = global_rank(df, [F.col("k").desc(), F.col("id")], "r", total="n")
+        got = r.agg(F.count_distinct("r"), F.min("r"), F.max("r"), F.max("n"), F.count("p")).first()
+        assert tuple(got) == (1_200_000, 1, 1_200_000, 1_200_000, 1_200_000)
+        follows = r.join(r.select((F.col("r") + 1).alias("r"), F.col("k").alias("k0"), F.col("id").alias("id0")), "r")
+        assert follows.where("k > k0 or (k = k0 and id < id0)").count() == 0
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_correlation_guards(spark):
+    a = np.arange(20.0) ** 2
+    c = eda.correlation_matrix(_panel(spark, {"a": a, "b": a[::-1].copy(), "c": np.full(20, 0.1)}), block=1).toPandas().set_index(["e1", "e2"])["corr"]
+    assert len(c) == 9 and c[("a", "a")] == 1 and c[("a", "b")] < 0 and c[("a", "c")] != c[("a", "c")] and c[("c", "c")] != c[("c", "c")]
+    one = eda.correlation_matrix(_panel(spark, {"a": [1.0], "b": [2.0]})).toPandas()
+    assert len(one) == 4 and one["corr"].isna().all() and (one["n_dates"] == 1).all()
+    p = _panel(spark, {"a": [1.0, 2.0], "b": [2.0, 3.0]})
+    apart = eda.correlation_matrix(p.where("(entity = 'a') = (close < 1.5)").where("entity = 'a' or close > 2.5")).toPandas()
+    assert len(apart) == 4 and apart["corr"].isna().all() and (apart["n_dates"] == 0).all()
+
+
+def test_ties_have_one_rule(spark):
+    p = _panel(spark, {k: [1.0, 2.0] for k in "xyz"})
+    bw = eda.best_worst(p).first()
+    roles = {r.entity: r.role for r in eda.series_with_labels(p).collect()}
+    assert (bw.best_entity, bw.worst_entity) == ("z", "x") and roles == {"x": "worst", "y": None, "z": "best"}
+
+
+def test_event_labels_inside_the_windows(spark):
+    rows = spark.sql("SELECT 'a' AS entity, to_timestamp(d) AS ts, 1.0D AS close FROM VALUES ('2020-02-29'), ('2020-03-01'), ('2020-05-01'), ('2020-05-02'), ('2022-10-15') AS t(d)")
+    got = [r.event for r in eda.event_labels(rows).orderBy("ts").collect()]
+    assert got[0] is None and got[1] == got[2] is not None and got[3] is None and got[4] not in (None, got[1])

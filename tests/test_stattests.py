@@ -80,3 +80,15 @@ def test_adf_kpss(spark):
     assert r.loc["noise", "adf_pval"] < 0.05 and r.loc["noise", "d_suggested"] == 0
     assert 0.01 <= r.loc["noise", "kpss_pval"] <= 0.1
     assert not r.loc["tiny", "adf_stationary"] and r.loc["tiny", "d_suggested"] == 1
+
+
+def test_pacf_of_a_constant_entity(spark):
+    import numpy as np
+
+    from panelkit.operators import stattests as st
+
+    rows = [("c", i, 2.0) for i in range(30)] + [("x", i, float(v)) for i, v in enumerate(np.random.default_rng(1).normal(size=30))]
+    df = spark.createDataFrame(rows, "entity string, idx int, close double")
+    got = st.pacf(df).toPandas()
+    assert got[(got["entity"] == "c") & (got["lag"] > 0)]["pacf"].isna().all()
+    assert got[got["entity"] == "x"]["pacf"].notna().all()
