@@ -10,7 +10,7 @@ from panelkit.operators import folds as fo
 from panelkit.operators import forecast as fc
 from panelkit.plans import export as ex
 from panelkit.plans.catalog import final, register
-from panelkit.plans.queries_core import W, features, panel
+from panelkit.plans.queries_core import H, W, features, panel
 from panelkit.plans.queries_eda import TR
 from panelkit.plans.queries_forecast import AR, FULL, FUT, SER
 from panelkit.plans.sqlref import features_ctes, rnd
@@ -103,13 +103,13 @@ def k_document(spark, sf):
     from panelkit.operators.outliers import detect_outliers, residual_stats
     from panelkit.plans.queries_core import weekly
 
-    wk = weekly(spark, sf, "priority")  # one panel for all sections
-    f = features(spark, sf, "priority")
+    wk = weekly(spark, sf, "event", H)  # one panel, with outliers, for all sections
+    f = features(spark, sf, "event", H)
     tables = {
         "kpis": eda.kpis(f),
         "series": ex.series_arrays(f, "close", "values"),
-        "outliers": detect_outliers(wk, 52),
-        "residual_stats": residual_stats(wk, 52),
+        "outliers": detect_outliers(wk, H.seasonal_period),
+        "residual_stats": residual_stats(wk, H.seasonal_period),
         "forecast": fc.ar1_forecast(fo.target_series(f, "returns"), 12).select("entity", "step", "yhat", "lower", "upper"),
     }
     doc = ex.document(spark, tables)
