@@ -101,6 +101,27 @@ def op6_lm_scores(spark, sf_dir):
     return score_texts(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
 
 
+ORACLES["op2_substring_dedup"] = r"""
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+p AS (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 49)) AS p FROM w WHERE len(ws) >= 50),
+win AS (SELECT doc_id, p, array_to_string(ws[p:p + 49], ' ') AS s FROM p),
+f AS (SELECT s, min(doc_id) AS m FROM win GROUP BY s),
+g AS (SELECT DISTINCT doc_id, unnest(generate_series(p, p + 49)) AS i FROM win JOIN f USING (s) WHERE m < doc_id),
+x AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w),
+k AS (SELECT x.doc_id, string_agg(word, ' ' ORDER BY x.i) FILTER (g.i IS NULL) AS kept, count(g.i) AS n_removed FROM x LEFT JOIN g ON x.doc_id = g.doc_id AND x.i = g.i GROUP BY x.doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k ON w.doc_id = k.doc_id"""
+
+ORACLES["op7_embedding_dedup"] = """
+WITH RECURSIVE u AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE embedding IS NOT NULL AND label IS NOT NULL),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+r(node, root) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.node),
+c AS (SELECT node, min(root) AS component_id FROM r GROUP BY node),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n.n_links, 0) AS BIGINT) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN c ON c.node = e.vec_id LEFT JOIN n ON n.a = e.vec_id"""
+
+
 
 def all_queries() -> dict:
     from corpus_pipeline import run
