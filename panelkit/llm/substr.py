@@ -164,8 +164,9 @@ def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", te
     repeated = materialize(repeated, "repeated_anchors")
     live = materialize(found.join(repeated, "anchor"), "repeated")
     runs = live.groupBy("anchor", "run").agg(F.min(F.struct("doc", "th", "first", "n")).alias("rep"), F.max("doc").alias("d1"))
-    runs = runs.join(runs.groupBy("anchor").agg(F.count("*").alias("n_runs")), "anchor").select("anchor", "run", "n_runs", "rep.*", "d1")
-    runs = materialize(runs, "runs")
+    runs = materialize(runs.select("anchor", "run", "rep.*", "d1"), "distinct_runs")
+    n_runs = materialize(runs.groupBy("anchor").agg(F.count("*").alias("n_runs")), "run_counts")
+    runs = materialize(runs.join(n_runs, "anchor"), "runs")
 
     # level 2: one distinct run decides at once, several are extended to windows
     alike = runs.where("n_runs = 1").select("anchor", "run", F.col("doc").alias("least"), F.expr("shiftleft(1L, cast(n AS int)) - 1").alias("mask"))
