@@ -9,6 +9,9 @@ from dataclasses import dataclass, field, replace
 #   W 52, ME 12, QE 4, YE 1, D 5, M 12, Q 4, Y 1
 SEASONAL_PERIODS = {"W": 52, "ME": 12, "QE": 4, "YE": 1, "D": 5, "M": 12, "Q": 4, "Y": 1}
 DEFAULT_PERIOD = 12
+# Mean length of one period in days, by resample frequency.
+STEP_DAYS = {"W": 7.0, "D": 1.0, "h": 1 / 24, "ME": 365.25 / 12, "QE": 365.25 / 4, "YE": 365.25,
+             "M": 365.25 / 12, "Q": 365.25 / 4, "Y": 365.25}
 # Market event windows used to label dates (start, end, label), inclusive.
 EVENT_WINDOWS = (
     ("2020-03-01", "2020-05-01", "COVID-19 Crash"),
@@ -44,6 +47,7 @@ class PanelConfig:
         _positive("period", self.period)
         _positive("horizon", self.horizon)
         _positive("cv_folds", self.cv_folds)
+        _positive("lookback", self.lookback)
         _positive("anomaly_multiplier", self.anomaly_multiplier)
         if not 0 < self.test_size < 1:
             raise ValueError("test_size must be in (0, 1)")
@@ -56,6 +60,10 @@ class PanelConfig:
             return self.period
         return SEASONAL_PERIODS.get(self.freq, DEFAULT_PERIOD)
 
+    @property
+    def step_days(self) -> float:
+        return STEP_DAYS[self.freq]
+
     @property
     def rolling_window(self) -> int:
         return 4 if self.freq == "W" else 3

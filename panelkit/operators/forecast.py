@@ -98,6 +98,16 @@ def zero_predict(rows: DataFrame) -> DataFrame:
     return test.unionByName(ins)
 
 
+def zero_forecast(series: DataFrame, horizon: int = 12) -> DataFrame:
+    """The naive baseline's ``horizon`` future steps (role 'future')."""
+    g = series.groupBy("entity").agg(F.stddev_pop("y").alias("_sd"), F.max("i").alias("i_last"))
+    x = g.select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"))
+    return x.select("entity", F.lit("Zero").alias("model"), F.lit(-2).alias("fold"), F.lit("future").alias("role"),
+                    "step", (F.col("i_last") + F.col("step")).cast("int").alias("i"),
+                    F.lit(None).cast("double").alias("y"), F.lit(0.0).alias("yhat"),
+                    (-Z95 * F.col("_sd")).alias("lower"), (Z95 * F.col("_sd")).alias("upper"))
+
+
 # ------------------------------------------------------------------ metrics
 def error_metrics(pred: DataFrame, keys=("entity", "model", "fold"), mape_variant: str = "abs") -> DataFrame:
     """G1-G5 over (y, yhat) rows: rmse, mae, mape, smape, r2, residual_std (population).
@@ -155,20 +165,44 @@ def macro_average(report: DataFrame, metrics=("mae", "rmse", "mape", "mase")) ->
     return report.groupBy("model").agg(*[F.avg(m).alias(m) for m in metrics])
 
 
-def to_price(future: DataFrame, last: DataFrame) -> DataFrame:
-    """Returns forecast -> price path: last * exp(cumsum), bounds
-    likewise (per-step bounds accumulate), ci_width = upper - lower.
+def to_price(future: DataFrame, last: DataFrame, target: str = "returns") -> DataFrame:
+    """Forecast -> price path. For log returns last * exp(cumsum),
+    bounds likewise (per-step bounds accumulate); for ``target="close"`` the
+    forecast is a price already and passes through. ci_width = upper - lower.
     ``last`` has entity, last_price."""
-    w = Window.partitionBy("entity", "model").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
     j = future.join(last, "entity")
+    if target == "returns":
+        w = Window.partitionBy("entity", "model").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+
+        def price(c):
+            return F.col("last_price") * F.exp(F.sum(c).over(w))
+    elif target == "close":
+        price = F.col
+    else:
+        raise ValueError(f"target must be 'returns' or 'close', got {target!r}")
     return j.select(
         "entity", "model", "step", "yhat", "lower", "upper", "last_price",
-        (F.col("last_price") * F.exp(F.sum("yhat").over(w))).alias("price_forecast"),
-        (F.col("last_price") * F.exp(F.sum("lower").over(w))).alias("price_lower"),
-        (F.col("last_price") * F.exp(F.sum("upper").over(w))).alias("price_upper")
+        price("yhat").alias("price_forecast"), price("lower").alias("price_lower"),
+        price("upper").alias("price_upper")
     ).withColumn("ci_width", F.col("price_upper") - F.col("price_lower"))
 
 
+def dated(future: DataFrame, dates: DataFrame) -> DataFrame:
+    """Future rows as the forecasts table, each step with its date."""
+    return future.join(dates, ["entity", "step"]).select(
+        "entity", "model", "step", F.col("ts").alias("date"), F.col("yhat").alias("forecast"),
+        F.col("lower").alias("lower_bound"), F.col("upper").alias("upper_bound"))
+
+
+def validation(pred: DataFrame, rows: DataFrame) -> DataFrame:
+    """K3: hold-out metrics (fold -1) with the walk-forward mean and spread, per
+    entity and model. A model with folds but no hold-out keeps its row, and the reverse."""
+    test = pred.where(F.col("role") == "test")
+    ho = holdout_report(test.where(F.col("fold") == -1), rows.where(F.col("fold") == -1))
+    cv = cv_summary(error_metrics(test.where(F.col("fold") >= 0), ("entity", "model", "fold")))
+    return ho.join(cv, ["entity", "model"], "full")
+
+
 def forecast_change(prices: DataFrame) -> DataFrame:
     """Change of the final forecast vs last price (%), CI width at the
     first and last step and its growth (> 100 % flagged)."""

@@ -4,19 +4,26 @@ entities, trained with pyspark.ml (distributed, seeded).
 * W14: per (entity, fold) min-max scaling fitted on the train rows;
 * W13: the 12 previous scaled values as the feature vector;
 * training pools every entity's train windows; in-sample predictions are
-  one ``transform``; the multi-step forecast is ``horizon`` passes over a
+  one ``transform``; the multi-step forecast is one pass per step over a
   table with one row per (entity, fold), each appending its prediction to
-  the window (no per-entity Python).
+  the window (no per-entity Python). A fold runs to its longest test step;
+  folds without test rows run to ``horizon``.
+* an (entity, fold) with fewer than ``lookback`` train rows, or in a fold
+  where no entity has a full window, gives one ``error`` row.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.session import checkpoint_dir
 
 Z95 = 1.959963984540054
+STEPS_PER_CHECKPOINT = 6  # recursive steps whose plan is kept before the state is cut
 
 
 def _scaled(rows: DataFrame) -> DataFrame:
@@ -37,63 +44,95 @@ def _windows(s: DataFrame, lookback: int) -> DataFrame:
 
 def run_gbt(rows: DataFrame, horizon: int = 12, lookback: int = 12, max_iter: int = 30,
             max_depth: int = 4, seed: int = 42) -> DataFrame:
-    """PRED rows (model 'GBT') for every fold in ``rows`` (one pooled model per fold).
+    """PRED rows plus ``error`` (model 'GBT') for every fold in ``rows`` (one pooled model per fold).
 
-    The recursive forecast advances every (entity, fold) window together: per
-    step one transform per fold model over its rows, unioned and checkpointed
-    once (``horizon`` checkpoints in all, whatever the number of folds).
+    The fold fits are submitted together. The recursive forecast advances the
+    state of all folds a few steps per checkpoint; a fold leaves the recursion
+    at its own last step.
     """
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.regression import GBTRegressor
 
-    checkpoint_dir(rows.sparkSession)
-    n_parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = rows.sparkSession
+    checkpoint_dir(spark)
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     s = _scaled(rows).checkpoint(eager=True)
     train = (_windows(s, lookback).where((F.col("role") == "train") & (F.size("win") == lookback))
              .select("entity", "fold", "i", "y", "lo", "hi", "ys", array_to_vector("win").alias("features"))
              .checkpoint(eager=True))
-    folds = sorted(r[0] for r in s.select("fold").distinct().collect())
+    # one row per fold reaches the driver: its longest test step
+    last_step = {r["fold"]: r["last"] or horizon
+                 for r in s.groupBy("fold").agg(F.max(F.when(F.col("role") == "test", F.col("step"))).alias("last")).collect()}
+    folds = sorted(r[0] for r in train.select("fold").distinct().collect())
 
     def fit(fold):
         return GBTRegressor(featuresCol="features", labelCol="ys", maxIter=max_iter, maxDepth=max_depth,
                             seed=seed).fit(train.where(F.col("fold") == fold))
 
-    models = {f: fit(f) for f in folds}
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        models = dict(zip(folds, pool.map(inheritable_thread_target(spark)(fit), folds)))
 
-    def per_fold(df: DataFrame) -> DataFrame:
-        out = None
-        for f in folds:
-            t = models[f].transform(df.where(F.col("fold") == f))
-            out = t if out is None else out.unionByName(t)
+    def union(parts):
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
         return out
 
+    errors = _error_rows(s, folds, lookback)
+    if not folds:
+        return errors
     span = F.col("hi") - F.col("lo")
-    ins = per_fold(train).select("entity", "fold", "i", "y", (F.col("prediction") * span + F.col("lo")).alias("yhat"))
+    ins = union([models[f].transform(train.where(F.col("fold") == f)) for f in folds]).select(
+        "entity", "fold", "i", "y", (F.col("prediction") * span + F.col("lo")).alias("yhat"))
     sd = ins.groupBy("entity", "fold").agg(F.stddev_pop(F.col("y") - F.col("yhat")).alias("sigma"))
     # last full window of each (entity, fold): a bounded window function, no collect of the series
     w = Window.partitionBy("entity", "fold").orderBy("i")
-    cur = (s.where(F.col("role") == "train")
+    cur = (s.where((F.col("role") == "train") & F.col("fold").isin(folds))
            .select("entity", "fold", "i", "lo", "hi",
                    F.collect_list("ys").over(w.rowsBetween(-(lookback - 1), 0)).alias("win"),
                    F.max("i").over(Window.partitionBy("entity", "fold")).alias("i_last"))
            .where((F.col("i") == F.col("i_last")) & (F.size("win") == lookback))
            .select("entity", "fold", "i_last", "lo", "hi", "win", F.array().cast("array<double>").alias("preds")))
-    for _ in range(horizon):
-        p = per_fold(cur.withColumn("features", array_to_vector("win")))
-        # the union of the per-fold branches adds their partitions up: narrow
-        # back (no shuffle) so the state keeps a fixed partition count
-        cur = p.select("entity", "fold", "i_last", "lo", "hi",
-                       F.concat(F.slice("win", 2, lookback - 1), F.array(F.col("prediction"))).alias("win"),
-                       F.concat("preds", F.array(F.col("prediction"))).alias("preds")).coalesce(n_parts)
-        # one row per (entity, fold): a reliable checkpoint per step keeps the
-        # recursive plan flat and the state recoverable
-        cur = cur.checkpoint(eager=True)
-    fut = cur.select("entity", "fold", "i_last", "lo", "hi", F.posexplode("preds").alias("k", "ps"))
+
+    def advance(fold, state, steps):
+        for _ in range(steps):
+            p = models[fold].transform(state.withColumn("features", array_to_vector("win")))
+            state = p.select("entity", "fold", "i_last", "lo", "hi",
+                             F.concat(F.slice("win", 2, lookback - 1), F.array(F.col("prediction"))).alias("win"),
+                             F.concat("preds", F.array(F.col("prediction"))).alias("preds"))
+        return state
+
+    finished = []
+    active = folds
+    done = 0
+    while active:
+        # the union adds the branches' partitions up: narrow back (no shuffle);
+        # a reliable checkpoint keeps the plan flat and the state recoverable
+        cur = union([advance(f, cur.where(F.col("fold") == f), min(STEPS_PER_CHECKPOINT, last_step[f] - done))
+                     for f in active]).coalesce(n_parts).checkpoint(eager=True)
+        done += STEPS_PER_CHECKPOINT
+        ended = [f for f in active if last_step[f] <= done]
+        active = [f for f in active if last_step[f] > done]
+        if ended:
+            finished.append(cur.where(F.col("fold").isin(ended)))
+            cur = cur.where(F.col("fold").isin(active)) if active else cur
+    fut = union(finished).select("entity", "fold", "i_last", "lo", "hi", F.posexplode("preds").alias("k", "ps"))
     fut = fut.join(sd, ["entity", "fold"], "left")
     yh = F.col("ps") * (F.col("hi") - F.col("lo")) + F.col("lo")
     fut = fut.select("entity", "fold", (F.col("k") + 1).cast("int").alias("step"),
                      (F.col("i_last") + F.col("k") + 1).cast("int").alias("i"), yh.alias("yhat"), "sigma")
-    return _assemble(rows, ins, fut)
+    return _assemble(rows, ins, fut).unionByName(errors)
+
+
+def _error_rows(s: DataFrame, folds: list[int], lookback: int) -> DataFrame:
+    """One ``error`` row for every (entity, fold) that cannot be forecast."""
+    g = s.groupBy("entity", "fold").agg(F.count(F.when(F.col("role") == "train", F.lit(1))).alias("n_train"))
+    short = g.where((F.col("n_train") < lookback) | ~F.col("fold").isin(folds))
+    none = {"step": "int", "i": "int", "y": "double", "yhat": "double", "lower": "double", "upper": "double"}
+    return short.select(
+        "entity", F.lit("GBT").alias("model"), "fold", F.lit("error").alias("role"),
+        *[F.lit(None).cast(t).alias(c) for c, t in none.items()],
+        F.format_string("insufficient data (%d obs)", F.col("n_train")).alias("error"))
 
 
 def _assemble(rows: DataFrame, ins: DataFrame, fut: DataFrame) -> DataFrame:
@@ -111,4 +150,4 @@ def _assemble(rows: DataFrame, ins: DataFrame, fut: DataFrame) -> DataFrame:
         "entity", F.lit("GBT").alias("model"), "fold", F.lit("insample").alias("role"),
         F.lit(None).cast("int").alias("step"), F.col("i").cast("int").alias("i"), "y", "yhat",
         F.lit(None).cast("double").alias("lower"), F.lit(None).cast("double").alias("upper"))
-    return t.unionByName(future).unionByName(insample)
+    return t.unionByName(future).unionByName(insample).withColumn("error", F.lit(None).cast("string"))

@@ -148,61 +148,20 @@ def arima_search(y: np.ndarray, d: int, period: int, max_p: int = 5, max_q: int
     return best, z
 
 
-def _arima_group(pdf: pd.DataFrame, horizon: int, period: int, d_fixed: int | None) -> pd.DataFrame:
+def _arima_fit(train: pd.DataFrame, test: pd.DataFrame, steps: np.ndarray, period: int, d_fixed: int | None):
     from panelkit.operators.stattests import adf
 
-    t0 = time.perf_counter()
-    pdf = pdf.sort_values("i")
-    ent, fold = pdf["entity"].iloc[0], int(pdf["fold"].iloc[0])
-    train = pdf[pdf["role"] == "train"]
-    test = pdf[pdf["role"] == "test"]
     y = train["y"].to_numpy(dtype=float)
-    rows = []
-    try:
-        if len(y) < 10:
-            raise ValueError(f"insufficient data ({len(y)} obs)")
-        if d_fixed is None:
-            _, pv, _ = adf(y)
-            d = 0 if pv < 0.05 else 1
-        else:
-            d = d_fixed
-        mod, z = arima_search(y, d, period)
-        h = int(test["step"].max()) if len(test) else horizon
-        zf, psi = mod.forecast(z, h)
-        if d:
-            yf = y[-1] + np.cumsum(zf)
-            psi = np.cumsum(psi)
-        else:
-            yf = zf
-        se = np.sqrt(mod.sigma2 * np.cumsum(psi ** 2))
-        spec = f"({mod.p},{d},{mod.q})x({1 if mod.s else 0},0,0,{mod.s or 0})"
-        meta = dict(spec=spec, aic=mod.aic, bic=mod.bic, sigma=math.sqrt(mod.sigma2),
-                    fit_time_s=time.perf_counter() - t0, error=None)
-        if len(test):
-            for _, r in test.iterrows():
-                k = int(r["step"]) - 1
-                rows.append(dict(role="test", step=int(r["step"]), i=int(r["i"]), y=float(r["y"]),
-                                 yhat=yf[k], lower=yf[k] - Z95 * se[k], upper=yf[k] + Z95 * se[k]))
-        else:
-            last_i = int(train["i"].max())
-            for k in range(horizon):
-                rows.append(dict(role="future", step=k + 1, i=last_i + k + 1, y=None,
-                                 yhat=yf[k], lower=yf[k] - Z95 * se[k], upper=yf[k] + Z95 * se[k]))
-            fitted = mod.fitted + y[mod.start:-1] if d else mod.fitted
-            off = mod.start + (1 if d else 0)
-            ii = train["i"].to_numpy()
-            for k, v in enumerate(fitted):
-                rows.append(dict(role="insample", step=None, i=int(ii[off + k]), y=float(y[off + k]),
-                                 yhat=float(v), lower=None, upper=None))
-    except Exception as exc:  # noqa: BLE001 - failure isolation per group
-        meta = dict(spec=None, aic=None, bic=None, sigma=None, fit_time_s=time.perf_counter() - t0,
-                    error=f"{type(exc).__name__}: {exc}")
-        rows = [dict(role="error", step=None, i=None, y=None, yhat=None, lower=None, upper=None)]
-    out = pd.DataFrame(rows)
-    for k, v in meta.items():
-        out[k] = v
-    out["entity"], out["model"], out["fold"] = ent, "ARIMA", fold
-    return out[OUT_COLS]
+    d = (0 if adf(y)[1] < 0.05 else 1) if d_fixed is None else d_fixed
+    mod, z = arima_search(y, d, period)
+    path, psi = mod.forecast(z, int(steps.max()))
+    if d:
+        path, psi = y[-1] + np.cumsum(path), np.cumsum(psi)
+    se = np.sqrt(mod.sigma2 * np.cumsum(psi ** 2))
+    fitted = mod.fitted + y[mod.start:-1] if d else mod.fitted
+    meta = dict(spec=f"({mod.p},{d},{mod.q})x({1 if mod.s else 0},0,0,{mod.s or 0})",
+                aic=mod.aic, bic=mod.bic, sigma=math.sqrt(mod.sigma2))
+    return path[steps - 1], se[steps - 1], fitted, meta
 
 
 # ----------------------------------------------------------------- trend + yearly season
@@ -238,46 +197,41 @@ def trend_fit_predict(t_days: np.ndarray, y: np.ndarray, t_new: np.ndarray, n_cp
     return fitted, pred, resid_sd
 
 
-def _trend_group(pdf: pd.DataFrame, horizon: int, step_days: float) -> pd.DataFrame:
-    t0c = time.perf_counter()
+def _trend_fit(train: pd.DataFrame, test: pd.DataFrame, steps: np.ndarray, step_days: float):
+    t = train["t"].to_numpy(dtype=float)
+    t_new = test["t"].to_numpy(dtype=float) if len(test) else t[-1] + step_days * steps
+    fitted, pred, sd = trend_fit_predict(t, train["y"].to_numpy(dtype=float), t_new)
+    return pred, np.full(len(pred), sd), fitted, dict(spec="trend+yearly(10)", aic=None, bic=None, sigma=sd)
+
+
+# ----------------------------------------------------------------- one (entity, fold) group
+def _fit_group(pdf: pd.DataFrame, model: str, horizon: int, fit) -> pd.DataFrame:
+    """PRED rows of one group. ``fit(train, test, steps)`` gives the predictions of
+    the steps, their standard errors, the fitted values of the last train rows
+    and the fit columns; whatever it raises becomes the group's ``error`` row."""
+    t0 = time.perf_counter()
     pdf = pdf.sort_values("i")
-    ent, fold = pdf["entity"].iloc[0], int(pdf["fold"].iloc[0])
-    train = pdf[pdf["role"] == "train"]
-    test = pdf[pdf["role"] == "test"]
-    rows = []
+    train, test = pdf[pdf["role"] == "train"], pdf[pdf["role"] == "test"]
+    steps = test["step"].to_numpy(dtype=int) if len(test) else np.arange(1, horizon + 1)
     try:
         if len(train) < 10:
             raise ValueError(f"insufficient data ({len(train)} obs)")
-        t = train["t"].to_numpy(dtype=float)
-        y = train["y"].to_numpy(dtype=float)
+        yhat, se, fitted, meta = fit(train, test, steps)
+        ahead = pd.DataFrame(dict(role="test" if len(test) else "future", step=steps, yhat=yhat,
+                                  lower=yhat - Z95 * se, upper=yhat + Z95 * se))
         if len(test):
-            t_new = test["t"].to_numpy(dtype=float)
+            out = ahead.assign(i=test["i"].to_numpy(), y=test["y"].to_numpy(dtype=float))
         else:
-            t_new = t[-1] + step_days * np.arange(1, horizon + 1)
-        fitted, pred, sd = trend_fit_predict(t, y, t_new)
-        meta = dict(spec="trend+yearly(10)", aic=None, bic=None, sigma=sd,
-                    fit_time_s=time.perf_counter() - t0c, error=None)
-        if len(test):
-            for k, (_, r) in enumerate(test.iterrows()):
-                rows.append(dict(role="test", step=int(r["step"]), i=int(r["i"]), y=float(r["y"]),
-                                 yhat=pred[k], lower=pred[k] - Z95 * sd, upper=pred[k] + Z95 * sd))
-        else:
-            last_i = int(train["i"].max())
-            for k in range(horizon):
-                rows.append(dict(role="future", step=k + 1, i=last_i + k + 1, y=None, yhat=pred[k],
-                                 lower=pred[k] - Z95 * sd, upper=pred[k] + Z95 * sd))
-            for k, (iv, yv) in enumerate(zip(train["i"], y)):
-                rows.append(dict(role="insample", step=None, i=int(iv), y=float(yv), yhat=float(fitted[k]),
-                                 lower=None, upper=None))
-    except Exception as exc:  # noqa: BLE001
-        meta = dict(spec=None, aic=None, bic=None, sigma=None, fit_time_s=time.perf_counter() - t0c,
-                    error=f"{type(exc).__name__}: {exc}")
-        rows = [dict(role="error", step=None, i=None, y=None, yhat=None, lower=None, upper=None)]
-    out = pd.DataFrame(rows)
-    for k, v in meta.items():
-        out[k] = v
-    out["entity"], out["model"], out["fold"] = ent, "Trend", fold
-    return out[OUT_COLS]
+            tail = train.tail(len(fitted))
+            out = pd.concat([ahead.assign(i=int(train["i"].max()) + steps, y=np.nan),
+                             pd.DataFrame(dict(role="insample", step=np.nan, i=tail["i"].to_numpy(),
+                                               y=tail["y"].to_numpy(dtype=float), yhat=fitted,
+                                               lower=np.nan, upper=np.nan))], ignore_index=True)
+        out = out.assign(error=None, **meta)
+    except Exception as exc:  # noqa: BLE001 - failure isolation per group
+        out = pd.DataFrame([dict.fromkeys(OUT_COLS)]).assign(role="error", error=f"{type(exc).__name__}: {exc}")
+    return out.assign(entity=pdf["entity"].iloc[0], model=model, fold=int(pdf["fold"].iloc[0]),
+                      fit_time_s=time.perf_counter() - t0)[OUT_COLS]
 
 
 # ----------------------------------------------------------------- job runners
@@ -291,14 +245,14 @@ def run_arima(rows: DataFrame, horizon: int = 12, period: int = 52, d: int | Non
     """M1: one grouped task per (entity, fold). ``rows`` from folds.*; a fold
     with no test rows is a full fit that forecasts ``horizon`` future steps."""
     def fn(pdf):
-        return _arima_group(pdf, horizon, period, d)
+        return _fit_group(pdf, "ARIMA", horizon, lambda *a: _arima_fit(*a, period, d))
     return model_rows(rows).groupBy("entity", "fold").applyInPandas(fn, OUT_SCHEMA)
 
 
 def run_trend(rows: DataFrame, horizon: int = 12, step_days: float = 7.0) -> DataFrame:
     """M2: trend + yearly seasonality per (entity, fold)."""
     def fn(pdf):
-        return _trend_group(pdf, horizon, step_days)
+        return _fit_group(pdf, "Trend", horizon, lambda *a: _trend_fit(*a, step_days))
     return model_rows(rows).groupBy("entity", "fold").applyInPandas(fn, OUT_SCHEMA)
 
 

@@ -3,8 +3,8 @@
 ACF, Ljung-Box and Jarque-Bera are native aggregates inside the entity
 partitioning. PACF is the Levinson-Durbin recursion over each entity's
 autocovariance array, written with Spark higher-order functions (JVM-side).
-ADF and KPSS need per-series least squares with a data-dependent lag count,
-so they run as one grouped-map task per entity (NumPy over one series).
+KPSS is column expressions too. ADF needs a least squares per lag count, so
+it runs as one grouped-map task per entity (NumPy over one series).
 """
 
 from __future__ import annotations
@@ -206,47 +206,64 @@ def adf(x: np.ndarray) -> tuple[float, float, int]:
     return tau, adf_pvalue(tau), lag
 
 
-def kpss_ct(x: np.ndarray) -> tuple[float, float, int]:
-    """KPSS around a linear trend; lag by the Hobijn-Franses-Ooms rule."""
-    n = len(x)
-    t = np.arange(1, n + 1, dtype=float)
-    _, e = _ols(x, np.column_stack([np.ones(n), t]))
-    cov_lags = int(n ** (2.0 / 9.0))
-    s0 = float(e @ e) / n
-    s1 = 0.0
-    for i in range(1, cov_lags + 1):
-        p = float(e[i:] @ e[:n - i]) / (n / 2.0)
-        s0 += p
-        s1 += i * p
-    lags = int(1.1447 * ((s1 / s0) ** 2) ** (1.0 / 3.0) * n ** (1.0 / 3.0))
-    lags = min(lags, n - 1)
-    eta = float(np.sum(np.cumsum(e) ** 2)) / n ** 2
-    s_hat = float(e @ e)
-    for i in range(1, lags + 1):
-        s_hat += 2 * float(e[i:] @ e[:n - i]) * (1.0 - i / (lags + 1.0))
-    s_hat /= n
-    stat = eta / s_hat
-    p = float(np.interp(stat, KPSS_CT_CRIT, KPSS_PVALS))
-    return stat, p, lags
-
-
-STATIONARITY_SCHEMA = ("entity string, n long, adf_stat double, adf_pval double, adf_lag int, "
-                       "adf_stationary boolean, kpss_stat double, kpss_pval double, kpss_lags int, "
-                       "kpss_stationary boolean, d_suggested int, error string")
-
-
-def _stationarity_group(pdf: pd.DataFrame) -> pd.DataFrame:
+def kpss(series: DataFrame, col: str = "returns") -> DataFrame:
+    """X2 per entity: KPSS around a linear trend, lag by the Hobijn-Franses-Ooms
+    rule, p interpolated between the critical values. Column expressions only;
+    the residuals of one entity are one array, bounded by its calendar length.
+    Fewer than 10 points, or no residual variance: NULL and not stationary."""
+    part = Window.partitionBy("entity")
+    w = part.orderBy("idx")
+    x = series.where(F.col(col).isNotNull()).select("entity", "idx", F.col(col).alias("x"), F.row_number().over(w).alias("t"))
+    x = x.select("entity", "idx", (F.col("x") - F.regr_intercept("x", "t").over(part)
+                                   - F.regr_slope("x", "t").over(part) * F.col("t")).alias("e"))
+    x = x.select("*", F.sum("e").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum"))
+    g = x.groupBy("entity").agg(
+        F.count("*").alias("n"), F.sum(F.col("e") * F.col("e")).alias("ss"),
+        F.sum(F.col("cum") * F.col("cum")).alias("css"),
+        F.array_sort(F.collect_list(F.struct("idx", "e")))["e"].alias("e"))
+    n = F.col("n")
+
+    def lag_products(k):
+        size = (n - k).cast("int")
+        prod = F.zip_with(F.slice("e", F.lit(1), size), F.slice("e", k + 1, size), lambda a, b: a * b)
+        return F.aggregate(prod, F.lit(0.0), lambda acc, v: acc + v)
+
+    def over_lags(lags, term):
+        ks = F.when(lags >= 1, F.sequence(F.lit(1), lags)).otherwise(F.array().cast("array<int>"))
+        return F.aggregate(ks, F.lit(0.0), lambda acc, k: acc + term(k))
+
+    g = g.where(n >= 10).select("*", F.pow(n.cast("double"), F.lit(2.0 / 9.0)).cast("int").alias("short"))
+    g = g.select("*", (F.col("ss") / n + over_lags(F.col("short"), lambda k: 2 * lag_products(k) / n)).alias("s0"),
+                 over_lags(F.col("short"), lambda k: k * 2 * lag_products(k) / n).alias("s1"))
+    ratio = F.try_divide("s1", "s0")
+    auto = 1.1447 * F.pow(ratio * ratio, F.lit(1.0 / 3.0)) * F.pow(n.cast("double"), F.lit(1.0 / 3.0))
+    g = g.select("*", F.least(auto.cast("int"), (n - 1).cast("int")).alias("kpss_lags"))
+    long_run = (F.col("ss") + over_lags(F.col("kpss_lags"), lambda k: 2 * lag_products(k)
+                                        * (1 - k / (F.col("kpss_lags") + 1.0)))) / n
+    g = g.select("entity", "n", F.try_divide(F.col("css") / (n * n), long_run).alias("kpss_stat"), "kpss_lags")
+    stat = F.col("kpss_stat")
+    pval = F.when(stat <= KPSS_CT_CRIT[0], F.lit(KPSS_PVALS[0]))
+    for lo, hi, p_lo, p_hi in zip(KPSS_CT_CRIT, KPSS_CT_CRIT[1:], KPSS_PVALS, KPSS_PVALS[1:]):
+        pval = pval.when(stat <= hi, p_lo + (stat - lo) * ((p_hi - p_lo) / (hi - lo)))
+    pval = F.when(stat.isNotNull(), pval.otherwise(F.lit(KPSS_PVALS[-1])))
+    g = g.select("entity", "n", "kpss_stat", pval.alias("kpss_pval"), "kpss_lags")
+    return g.select("*", F.coalesce(F.col("kpss_pval") >= 0.05, F.lit(False)).alias("kpss_stationary"))
+
+
+ADF_SCHEMA = ("entity string, n long, adf_stat double, adf_pval double, adf_lag int, "
+              "adf_stationary boolean, d_suggested int, error string")
+
+
+def _adf_group(pdf: pd.DataFrame) -> pd.DataFrame:
     ent = pdf["entity"].iloc[0]
     x = pdf.sort_values("idx")["x"].dropna().to_numpy(dtype=float)
     row = dict(entity=ent, n=len(x), adf_stat=None, adf_pval=None, adf_lag=None, adf_stationary=False,
-               kpss_stat=None, kpss_pval=None, kpss_lags=None, kpss_stationary=False, d_suggested=1, error=None)
+               d_suggested=1, error=None)
     if len(x) >= 10:
         try:
-            a, ap, al = adf(x)
-            k, kp, kl = kpss_ct(x)
-            row.update(adf_stat=a, adf_pval=ap, adf_lag=al, adf_stationary=bool(ap < 0.05),
-                       kpss_stat=k, kpss_pval=kp, kpss_lags=kl, kpss_stationary=bool(kp >= 0.05),
-                       d_suggested=0 if ap < 0.05 else 1)
+            stat, p, lag = adf(x)
+            row.update(adf_stat=stat, adf_pval=p, adf_lag=lag, adf_stationary=bool(p < 0.05),
+                       d_suggested=0 if p < 0.05 else 1)
         except Exception as exc:  # noqa: BLE001 - per-entity failure isolation
             row["error"] = f"{type(exc).__name__}: {exc}"
     return pd.DataFrame([row])
@@ -256,4 +273,8 @@ def stationarity(series: DataFrame, col: str = "returns") -> DataFrame:
     """X1-X3 per entity: ADF (constant, AIC lag), KPSS (trend), suggested d.
     Fewer than 10 points: both tests false, d = 1."""
     s = series.where(F.col(col).isNotNull()).select("entity", "idx", F.col(col).alias("x"))
-    return s.groupBy("entity").applyInPandas(_stationarity_group, STATIONARITY_SCHEMA)
+    a = s.groupBy("entity").applyInPandas(_adf_group, ADF_SCHEMA)
+    j = a.join(kpss(series, col).drop("n"), "entity", "left")
+    return j.select("entity", "n", "adf_stat", "adf_pval", "adf_lag", "adf_stationary", "kpss_stat", "kpss_pval",
+                    "kpss_lags", F.coalesce("kpss_stationary", F.lit(False)).alias("kpss_stationary"),
+                    "d_suggested", "error")

@@ -116,6 +116,19 @@ def p_fill_event_daily(spark, sf):
         "entity", "idx", "ts", "raw_close", "close", "pos", "has_gap")
 
 
+def _register_calendar(name: str, freq: str):
+    @register(name, _weekly_sql("nation", freq))
+    def query(spark, sf):
+        return weekly(spark, sf, "nation", PanelConfig(freq=freq)).select(
+            "entity", "idx", "ts", "raw_close", "close", "pos", "has_gap")
+
+    query.__doc__ = f"P2/P3: the nation panel on the {freq} calendar, filled."
+
+
+for _name, _freq in (("p_fill_nation_monthly", "ME"), ("p_fill_nation_quarterly", "QE"), ("p_fill_nation_yearly", "YE")):
+    _register_calendar(_name, _freq)
+
+
 @register("p_gap_stats", "WITH " + weekly_ctes("event", "h") + """,
 g AS (SELECT entity, count(*) AS n_periods, count_if(raw_close IS NULL) AS n_gaps,
              count_if(raw_close IS NULL) / count(*) AS gap_share, count(raw_close) = 0 AS all_null,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelkit.config import PanelConfig
 from panelkit.functions.scalar import round_half_up
 from panelkit.operators import folds as fo
 from panelkit.operators import forecast as fc
@@ -12,7 +13,7 @@ from panelkit.operators import stattests as st
 from panelkit.operators.gbt import run_gbt
 from panelkit.operators.models import full_rows, run_arima, run_trend
 from panelkit.plans.catalog import register
-from panelkit.plans.queries_core import features
+from panelkit.plans.queries_core import W, features
 from panelkit.session import checkpoint_dir
 
 MODEL_ORDER = {"ARIMA": 0, "Trend": 1, "GBT": 2, "AR1": 3, "Zero": 4}
@@ -21,16 +22,26 @@ _FIT_COLS = (("spec", "string"), ("aic", "double"), ("bic", "double"), ("sigma",
 
 
 def _with_fit_cols(df: DataFrame) -> DataFrame:
-    return df.select("*", *[F.lit(None).cast(t).alias(c) for c, t in _FIT_COLS])
+    return df.select("*", *[F.lit(None).cast(t).alias(c) for c, t in _FIT_COLS if c not in df.columns])
+
+
+def _ar1(rows: DataFrame, cfg: PanelConfig) -> DataFrame:
+    full = rows.where(F.col("fold") == -2).select("entity", "i", "y")
+    return fc.ar1_predict(rows).unionByName(fc.ar1_forecast(full, cfg.horizon))
+
+
+def _zero(rows: DataFrame, cfg: PanelConfig) -> DataFrame:
+    full = rows.where(F.col("fold") == -2).select("entity", "i", "y")
+    return fc.zero_predict(rows).unionByName(fc.zero_forecast(full, cfg.horizon))
 
 
 # M5: model registry, name -> job over labelled rows (one PRED table each)
 MODEL_REGISTRY = {
-    "ARIMA": lambda rows, h: run_arima(rows, h, 52),
-    "Trend": lambda rows, h: run_trend(rows, h, 7.0),
-    "GBT": lambda rows, h: _with_fit_cols(run_gbt(rows, h, 12)),
-    "AR1": lambda rows, h: _with_fit_cols(fc.ar1_predict(rows)),
-    "Zero": lambda rows, h: _with_fit_cols(fc.zero_predict(rows)),
+    "ARIMA": lambda rows, cfg: run_arima(rows, cfg.horizon, cfg.seasonal_period),
+    "Trend": lambda rows, cfg: run_trend(rows, cfg.horizon, cfg.step_days),
+    "GBT": lambda rows, cfg: run_gbt(rows, cfg.horizon, cfg.lookback),
+    "AR1": _ar1,
+    "Zero": _zero,
 }
 
 
@@ -38,20 +49,60 @@ def _series(spark, sf):
     return fo.target_series(features(spark, sf), "returns")
 
 
-def model_jobs(series: DataFrame, models=("ARIMA", "Trend", "GBT"), horizon: int = 12) -> DataFrame:
-    """Full fit (fold -2: in-sample + future) and 5 walk-forward folds for every
-    model, as one long PRED table (plus fit columns for grouped models)."""
+def labelled_rows(series: DataFrame, cfg: PanelConfig, holdout: bool = False) -> DataFrame:
+    """Full fit (fold -2), ``cv_folds`` walk-forward folds and, if asked, the hold-out (fold -1)."""
+    rows = full_rows(series).unionByName(fo.walk_forward(series, cfg.cv_folds, cfg.horizon))
+    return rows.unionByName(fo.holdout(series, cfg.test_size)) if holdout else rows
+
+
+def model_jobs(rows: DataFrame, cfg: PanelConfig = W, models=tuple(MODEL_REGISTRY)) -> DataFrame:
+    """Every model over ``labelled_rows``, as one long PRED table (plus fit columns)."""
     unknown = [m for m in models if m not in MODEL_REGISTRY]
     if unknown:
         raise ValueError(f"models not registered: {unknown}; available: {sorted(MODEL_REGISTRY)}")
-    rows = full_rows(series).unionByName(fo.walk_forward(series, 5, horizon))
     out = None
     for m in models:
-        r = MODEL_REGISTRY[m](rows, horizon)
+        r = _with_fit_cols(MODEL_REGISTRY[m](rows, cfg))
         out = r if out is None else out.unionByName(r)
     return out
 
 
+def model_tables(features: DataFrame, cfg: PanelConfig, models=tuple(MODEL_REGISTRY)) -> dict[str, DataFrame]:
+    """Every table that rests on the model jobs, from one checkpointed PRED table:
+    comparison, summary, forecasts with dates, price paths and their change,
+    hold-out + walk-forward validation and its macro average, residuals."""
+    checkpoint_dir(features.sparkSession)
+    series = fo.target_series(features, "returns")
+    rows = labelled_rows(series, cfg, holdout=True).checkpoint(eager=True)
+    pred = model_jobs(rows, cfg, models).checkpoint(eager=True)
+    future = pred.where(F.col("role") == "future")
+    ends = features.groupBy("entity").agg(F.max("idx").alias("last_idx"))
+    last = (features.where(F.col("close").isNotNull()).groupBy("entity")
+            .agg(F.max_by("close", "idx").alias("last_price")))
+    dates = fo.future_dates(ends, cfg.freq, cfg.horizon)
+    prices = fc.to_price(future, last).join(dates.withColumnRenamed("ts", "date"), ["entity", "step"])
+    valid = fc.validation(pred, rows)
+    t = {
+        "model_comparison": comparison(pred),
+        "forecasts": fc.dated(future, dates),
+        "price_forecast": prices,
+        "forecast_change": fc.forecast_change(prices),
+        "validation_metrics": valid,
+        "validation_macro": fc.macro_average(valid),
+        "model_residuals": residuals(pred, series),
+    }
+    if "ARIMA" in models:
+        t["model_summary"] = fit_all(series, cfg, pred.where(F.col("model") == "ARIMA"))
+    return t
+
+
+def residuals(pred: DataFrame, series: DataFrame) -> DataFrame:
+    """M8: dated in-sample residuals of the full fits."""
+    ins = pred.where((F.col("role") == "insample") & (F.col("fold") == -2))
+    return ins.join(series.select("entity", "i", "ts"), ["entity", "i"]).select(
+        "entity", "model", "i", "ts", "y", "yhat", (F.col("y") - F.col("yhat")).alias("residual"))
+
+
 @register("m1_arima_forecast")
 def m1_arima_forecast(spark, sf):
     """Seasonal ARIMA (Hannan-Rissanen, AIC order search) 12-step forecasts."""
@@ -73,7 +124,7 @@ def m3_gbt_forecast(spark, sf):
     """Pooled gradient-boosted lag-window model, recursive 12-step forecast."""
     s = _series(spark, sf)
     r = run_gbt(full_rows(s), 12, 12)
-    return r.where(F.col("role") == "future")
+    return r.where(F.col("role").isin("future", "error"))
 
 
 @register("m8_insample_residuals")
@@ -82,16 +133,13 @@ def m8_insample_residuals(spark, sf):
     s = _series(spark, sf)
     rows = full_rows(s)
     r = run_arima(rows).unionByName(run_trend(rows))
-    ins = r.where(F.col("role") == "insample")
-    dates = s.select("entity", "i", "ts")
-    return ins.join(dates, ["entity", "i"]).select(
-        "entity", "model", "i", "ts", "y", "yhat", (F.col("y") - F.col("yhat")).alias("residual"))
+    return residuals(r, s)
 
 
 def comparison(pred: DataFrame) -> DataFrame:
     """Per entity and model in-sample metrics + cv_rmse + fit time;
     best model = lowest RMSE (model order breaks ties); high-MAPE flag."""
-    ins = fc.error_metrics(pred.where(F.col("role") == "insample"), ("entity", "model"))
+    ins = fc.error_metrics(pred.where((F.col("role") == "insample") & (F.col("fold") == -2)), ("entity", "model"))
     cvm = fc.error_metrics(pred.where((F.col("role") == "test") & (F.col("fold") >= 0)), ("entity", "model", "fold"))
     cv = fc.cv_summary(cvm).select("entity", "model", "cv_rmse")
     fit = (pred.where(F.col("fold") == -2).groupBy("entity", "model")
@@ -112,26 +160,40 @@ def comparison(pred: DataFrame) -> DataFrame:
 def m13_model_comparison(spark, sf):
     """Three models, in-sample metrics, walk-forward CV RMSE, best model."""
     checkpoint_dir(spark)
-    pred = model_jobs(_series(spark, sf), ("ARIMA", "Trend", "GBT", "AR1", "Zero")).checkpoint(eager=True)
+    pred = model_jobs(labelled_rows(_series(spark, sf), W), W).checkpoint(eager=True)
     return comparison(pred).drop("training_time_s")
 
 
-def fit_all(series: DataFrame) -> DataFrame:
+@register("k_model_forecasts")
+def k_model_forecasts(spark, sf):
+    """Every model's future steps with dates and price paths."""
+    return model_tables(features(spark, sf), W)["price_forecast"]
+
+
+@register("k_model_validation")
+def k_model_validation(spark, sf):
+    """Every model's hold-out and walk-forward metrics, per entity."""
+    return model_tables(features(spark, sf), W)["validation_metrics"]
+
+
+def fit_all(series: DataFrame, cfg: PanelConfig = W, arima: DataFrame | None = None) -> DataFrame:
     """Stationarity -> ARIMA order -> residual diagnostics per entity,
-    ranked by AIC; healthy iff residuals not autocorrelated and |cv - rmse| / rmse < 0.5."""
+    ranked by AIC; healthy iff residuals not autocorrelated and |cv - rmse| / rmse < 0.5.
+    ``arima``: PRED rows of the ARIMA job, when they are there already."""
     stat = st.stationarity(series.select("entity", "idx", F.col("y").alias("returns")), "returns")
-    rows = full_rows(series).unionByName(fo.walk_forward(series, 5, 12))
     checkpoint_dir(series.sparkSession)
     # grouped fits are the expensive part and feed five tables: cut them out once
-    r = run_arima(rows, 12, 52).checkpoint(eager=True)
+    r = arima if arima is not None else MODEL_REGISTRY["ARIMA"](labelled_rows(series, cfg), cfg).checkpoint(eager=True)
     fit = (r.where(F.col("fold") == -2).groupBy("entity")
-           .agg(F.first("spec", True).alias("order"), F.first("aic", True).alias("aic"),
-                F.first("bic", True).alias("bic"), F.first("error", True).alias("error")))
+           .agg(F.first("spec", True).alias("spec"), F.first("aic", True).alias("aic"),
+                F.first("bic", True).alias("bic"), F.first("error", True).alias("error"))
+           .select("entity", F.split("spec", "x")[0].alias("order"), F.split("spec", "x")[1].alias("seasonal_order"),
+                   "aic", "bic", "error"))
     res = r.where(F.col("role") == "insample").select("entity", F.col("i").alias("idx"),
                                                        (F.col("y") - F.col("yhat")).alias("resid"))
     lb = st.ljung_box(res, "resid", 10).select("entity", "lb_pvalue", "autocorrelated")
     jb = st.jarque_bera(res, "resid").select("entity", "jb_stat", "jb_pvalue")
-    ins = fc.error_metrics(r.where(F.col("role") == "insample"), ("entity", "model")).select("entity", "rmse")
+    ins = fc.error_metrics(r.where((F.col("role") == "insample") & (F.col("fold") == -2)), ("entity", "model")).select("entity", "rmse")
     cv = fc.cv_summary(fc.error_metrics(r.where((F.col("role") == "test") & (F.col("fold") >= 0)),
                                         ("entity", "model", "fold"))).select("entity", "cv_rmse")
     out = (fit.join(stat.select("entity", "adf_pval", "kpss_pval", "d_suggested"), "entity", "left")

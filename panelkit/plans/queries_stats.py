@@ -156,5 +156,4 @@ SELECT entity, n, {rnd("kpss_stat", 9)} AS kpss_stat, {rnd("kpss_pval", 9)} AS k
 @register("x_kpss_returns", _kpss_sql("nation", "W", "returns"), scale=9)
 def x_kpss_returns(spark, sf):
     """KPSS (trend) statistic, p-value, automatic lag count, per entity (n >= 10)."""
-    r = st.stationarity(features(spark, sf), "returns")
-    return r.where(F.col("n") >= 10).select("entity", "n", "kpss_stat", "kpss_pval", "kpss_lags", "kpss_stationary")
+    return st.kpss(features(spark, sf), "returns")

@@ -4,8 +4,8 @@ The filled panel (the only input every later table shares) is cut from its
 lineage once with a reliable checkpoint into ``spark.checkpoint.dir`` (the
 shared folder the cluster names), so losing an executor never replays the
 raw scan and aggregation, and the dozens of downstream plans do not
-recompute it. It stays hash-partitioned by entity, so the windows and
-groupings downstream add no shuffle.
+recompute it. A plan that reads it shuffles at most by entity again, on the
+binned panel (small next to the raw rows).
 """
 
 from __future__ import annotations
@@ -27,7 +27,6 @@ def prepare(spark: SparkSession, raw: DataFrame, cfg: PanelConfig, checkpoint: b
     feats = add_features(resample_fill(raw, cfg), cfg)
     if checkpoint:
         checkpoint_dir(spark)
-        # keeps the entity hash partitioning of the window stage
         feats = feats.checkpoint(eager=True)
     return feats
 
@@ -69,26 +68,34 @@ def run(spark: SparkSession, raw: DataFrame, cfg: PanelConfig | None = None, mod
         "stationarity": st.stationarity(f, "returns"),
         "ljung_box": st.ljung_box(f, "returns"),
         "jarque_bera": st.jarque_bera(f, "returns"),
+        "correlation": eda.correlation_matrix(f),
     }
     rows = fo.walk_forward(series, cfg.cv_folds, cfg.horizon)
     t["ar1_cv"] = fc.cv_summary(fc.error_metrics(fc.ar1_predict(rows).where(F.col("role") == "test"),
                                                  ("entity", "model", "fold")))
-    fut = fc.ar1_forecast(series, cfg.horizon)
-    last = f.where(F.col("close").isNotNull()).groupBy("entity").agg(F.max_by("close", "idx").alias("last_price"))
-    t["price_forecast"] = fc.to_price(fut, last)
     if models:
-        from panelkit.plans.queries_models import comparison, fit_all, model_jobs
+        from panelkit.plans.queries_models import model_tables
 
-        pred = model_jobs(series, ("ARIMA", "Trend", "GBT", "AR1", "Zero"), horizon=cfg.horizon).checkpoint(eager=True)
-        t["model_comparison"] = comparison(pred)
-        t["model_summary"] = fit_all(series)
+        t |= model_tables(f, cfg)
+    else:
+        fut = fc.ar1_forecast(series, cfg.horizon)
+        ends = f.groupBy("entity").agg(F.max("idx").alias("last_idx"))
+        last = f.where(F.col("close").isNotNull()).groupBy("entity").agg(F.max_by("close", "idx").alias("last_price"))
+        t["forecasts"] = fc.dated(fut, fo.future_dates(ends, cfg.freq, cfg.horizon))
+        t["price_forecast"] = fc.to_price(fut, last)
+        ho = fo.holdout(series, cfg.test_size)
+        t["validation_metrics"] = fc.validation(fc.ar1_predict(rows.unionByName(ho)), ho)
     return t
 
 
+# the tables that are also written as CSV
+CSV_TABLES = ("outliers", "residual_stats", "model_summary", "validation_metrics", "forecasts")
+
+
 def write_all(tables: dict[str, DataFrame], out_dir: str) -> None:
     """Every table as Parquet; the CSV files of the CLI as CSV."""
     for name, df in tables.items():
         ex.write_table(df, f"{out_dir}/{name}", "parquet")
-    for name in ("outliers", "residual_stats"):
+    for name in CSV_TABLES:
         if name in tables:
             ex.write_table(tables[name], f"{out_dir}/csv/{name}", "csv")

@@ -33,6 +33,9 @@ def label_sql(ts: str, freq: str) -> str:
         return f"date_trunc('hour', {ts})"
     if freq == "ME":
         return f"last_day(CAST({ts} AS DATE))"
+    if freq in ("QE", "YE"):
+        unit, months = ("quarter", 3) if freq == "QE" else ("year", 12)
+        return f"CAST(date_trunc('{unit}', {ts}) + INTERVAL {months} MONTH - INTERVAL 1 DAY AS DATE)"
     raise ValueError(freq)
 
 
@@ -45,6 +48,10 @@ def index_sql(label: str, freq: str) -> str:
         return f"CAST(floor(epoch({label}) / 3600) AS BIGINT)"
     if freq == "ME":
         return f"(year({label}) * 12 + month({label}) - 1)"
+    if freq == "QE":
+        return f"(year({label}) * 4 + quarter({label}) - 1)"
+    if freq == "YE":
+        return f"year({label})"
     raise ValueError(freq)
 
 
@@ -57,6 +64,10 @@ def from_index_sql(idx: str, freq: str) -> str:
         return f"make_timestamp(CAST({idx} AS BIGINT) * 3600000000)"
     if freq == "ME":
         return f"last_day(make_date(CAST(floor({idx} / 12) AS INTEGER), CAST({idx} % 12 + 1 AS INTEGER), 1))"
+    if freq == "QE":
+        return f"last_day(make_date(CAST(floor({idx} / 4) AS INTEGER), CAST(({idx} % 4) * 3 + 3 AS INTEGER), 1))"
+    if freq == "YE":
+        return f"make_date(CAST({idx} AS INTEGER), 12, 31)"
     raise ValueError(freq)
 
 

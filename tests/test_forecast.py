@@ -89,3 +89,44 @@ def test_gbt_pooled(spark):
     r = run_gbt(full_rows(s), 6, 12, max_iter=5).toPandas()
     fut = r[r.role == "future"]
     assert len(fut) == 12 and fut["yhat"].notna().all()
+
+
+def test_gbt_runs_to_the_last_test_step_and_reports_short_series(spark):
+    rng = np.random.default_rng(2)
+    s = _series(spark, {"a": np.sin(np.arange(60) / 3) + rng.standard_normal(60) * 0.1, "tiny": [0.1, 0.2, 0.3]})
+    r = run_gbt(fo.holdout(s, 0.3).unionByName(full_rows(s)), 4, 12, max_iter=3).toPandas()
+    test = r[(r.entity == "a") & (r.role == "test")]
+    assert sorted(test["step"]) == list(range(1, 19))  # 18 test rows, beyond the horizon of 4
+    assert sorted(r[(r.entity == "a") & (r.role == "future")]["step"]) == [1, 2, 3, 4]
+    tiny = r[r.entity == "tiny"]
+    assert set(tiny["role"]) == {"error"} and set(tiny["fold"]) == {-1, -2} and tiny["error"].notna().all()
+
+
+def test_gbt_without_any_long_series(spark):
+    r = run_gbt(full_rows(_series(spark, {"tiny": [0.1, 0.2, 0.3]})), 4, 12).toPandas()
+    assert list(r["role"]) == ["error"]
+
+
+def test_price_target_passes_through(spark):
+    f = spark.createDataFrame([("a", "m", 1, 5.0, 4.0, 7.0)], "entity string, model string, step int, yhat double, lower double, upper double")
+    last = spark.createDataFrame([("a", 2.0)], "entity string, last_price double")
+    r = fc.to_price(f, last, target="close").first()
+    assert (r["price_forecast"], r["price_lower"], r["price_upper"], r["ci_width"]) == (5.0, 4.0, 7.0, 3.0)
+
+
+def test_zero_and_ar1_future(spark):
+    from panelkit.config import PanelConfig
+    from panelkit.plans.queries_models import labelled_rows, model_jobs
+
+    y = np.random.default_rng(3).standard_normal(60)
+    cfg = PanelConfig(freq="ME", horizon=3, cv_folds=2)
+    rows = labelled_rows(_series(spark, {"a": y}), cfg, holdout=True)
+    r = model_jobs(rows, cfg, ("AR1", "Zero")).toPandas()
+    for m in ("AR1", "Zero"):
+        g = r[r.model == m]
+        assert sorted(g[g.role == "future"]["step"]) == [1, 2, 3]
+        assert sorted(g[(g.role == "future")]["i"]) == [60, 61, 62]
+        assert len(g[(g.role == "test") & (g.fold == -1)]) == 12
+        assert set(g[(g.role == "test") & (g.fold >= 0)]["fold"]) == {0, 1}
+    z = r[(r.model == "Zero") & (r.role == "future")]
+    np.testing.assert_allclose(z["upper"], 1.959963984540054 * np.std(y))

@@ -1,17 +1,21 @@
 import os
 import tempfile
 
+import numpy as np
+import pandas as pd
+import pytest
+
 from panelkit.config import PanelConfig
 from panelkit.plans.runner import run, write_all
 from panelkit.sources import tables
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_SMALL, make_panel
 
 
 def test_batch_run_writes_every_table(spark):
     out = tempfile.mkdtemp(prefix="panelkit-run-", dir="/tmp")
     t = run(spark, tables.nation_panel(spark, SF_SMALL), PanelConfig())
     assert {"features", "kpis", "decomposition", "outliers", "residual_stats", "acf", "pacf",
-            "stationarity", "ar1_cv", "price_forecast"} <= set(t)
+            "stationarity", "ar1_cv", "price_forecast", "forecasts", "validation_metrics", "correlation"} <= set(t)
     # the shared panel is cut from its lineage (reliable checkpoint)
     assert "LogicalRDD" in t["features"]._jdf.queryExecution().optimizedPlan().toString() or \
         "ExistingRDD" in t["features"]._jdf.queryExecution().executedPlan().toString()
@@ -21,3 +25,35 @@ def test_batch_run_writes_every_table(spark):
     assert os.path.isdir(os.path.join(out, "csv", "residual_stats"))
     k = spark.read.parquet(os.path.join(out, "kpis")).count()
     assert k == t["kpis"].count() > 0
+
+
+@pytest.mark.parametrize("freq,step", [("ME", pd.DateOffset(months=1)), ("h", pd.DateOffset(hours=1))])
+def test_models_follow_the_config(spark, freq, step):
+    rng = np.random.default_rng(5)
+    when = pd.date_range("2020-01-15", periods=72, freq=step)
+    rows = [(e, str(d), float(v)) for e in ("a", "b")
+            for d, v in zip(when, 100 * np.exp(np.cumsum(rng.standard_normal(72) * 0.02)))]
+    cfg = PanelConfig(freq=freq, period=12, horizon=4, cv_folds=3, lookback=6)
+    out = tempfile.mkdtemp(prefix="panelkit-run-", dir="/tmp")
+    t = run(spark, make_panel(spark, rows), cfg, models=True)
+    models = {"ARIMA", "Trend", "GBT", "AR1", "Zero"}
+    f = t["forecasts"].toPandas()
+    assert set(f["model"]) == models and len(f) == 2 * 5 * 4
+    last = t["features"].toPandas()["ts"].max()
+    first = pd.Timestamp(last) + (pd.offsets.MonthEnd(1) if freq == "ME" else pd.Timedelta(hours=1))
+    assert pd.Timestamp(f[f.step == 1]["date"].iloc[0]) == first
+    p = t["price_forecast"].toPandas()
+    close = t["features"].toPandas().sort_values("ts").groupby("entity")["close"].last()
+    one = p[p.step == 1]
+    np.testing.assert_allclose(one["price_forecast"], close[one["entity"]].to_numpy() * np.exp(one["yhat"]))
+    v = t["validation_metrics"].toPandas()
+    assert set(v["model"]) == models and v["rmse"].notna().all()
+    # the first fold's 17 train points are too few for the ARIMA order search (an error row there)
+    assert (v[v.model != "ARIMA"]["n_folds"] == 3).all() and (v[v.model == "ARIMA"]["n_folds"] >= 2).all()
+    assert (v["n_test"] == 15).all() and set(t["validation_macro"].toPandas()["model"]) == models
+    s = t["model_summary"].toPandas()
+    assert s["order"].str.match(r"^\(\d,\d,\d\)$").all() and s["seasonal_order"].str.match(r"^\(\d,0,0,(0|12)\)$").all()
+    names = ("outliers", "residual_stats", "model_summary", "validation_metrics", "forecasts")
+    write_all({n: t[n] for n in names}, out)
+    for n in names:
+        assert spark.read.option("header", True).csv(f"{out}/csv/{n}").count() == t[n].count()

@@ -92,3 +92,25 @@ def test_pacf_of_a_constant_entity(spark):
     got = st.pacf(df).toPandas()
     assert got[(got["entity"] == "c") & (got["lag"] > 0)]["pacf"].isna().all()
     assert got[got["entity"] == "x"]["pacf"].notna().all()
+
+
+def test_kpss_against_numpy(spark):
+    rng = np.random.default_rng(9)
+    data = {"noise": rng.standard_normal(150), "walk": np.cumsum(rng.standard_normal(150)), "flat": np.full(40, 2.0)}
+    df = spark.createDataFrame([(e, k, float(v)) for e, x in data.items() for k, v in enumerate(x)],
+                               "entity string, idx long, close double")
+    r = st.kpss(df, "close").toPandas().set_index("entity")
+    for name in ("noise", "walk"):
+        x, n = data[name], 150
+        t = np.arange(n)
+        e = x - np.polyval(np.polyfit(t, x, 1), t)
+        acov = np.array([e[k:] @ e[:n - k] for k in range(n)]) / n
+        c = int(n ** (2 / 9))
+        s0, s1 = acov[0] + 2 * acov[1:c + 1].sum(), 2 * (np.arange(1, c + 1) * acov[1:c + 1]).sum()
+        q = int(1.1447 * ((s1 / s0) ** 2 * n) ** (1 / 3))
+        lrv = acov[0] + 2 * sum(acov[k] * (1 - k / (q + 1)) for k in range(1, q + 1))
+        stat = (np.cumsum(e) ** 2).sum() / n ** 2 / lrv
+        assert r.loc[name, "kpss_lags"] == q
+        np.testing.assert_allclose(r.loc[name, "kpss_stat"], stat, rtol=1e-9)
+        np.testing.assert_allclose(r.loc[name, "kpss_pval"], np.interp(stat, st.KPSS_CT_CRIT, st.KPSS_PVALS), rtol=1e-9)
+    assert not r.loc["flat", "kpss_stationary"] and np.isnan(r.loc["flat", "kpss_stat"])
