@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from panelkit.session import checkpoint_dir
 
 Z95 = 1.959963984540054
-STEPS_PER_CHECKPOINT = 6  # recursive steps whose plan is kept before the state is cut
+STEPS_PER_CHECKPOINT = 3  # recursive steps whose plan is kept before the state is cut
 
 
 def _scaled(rows: DataFrame) -> DataFrame:

@@ -67,6 +67,17 @@ def model_jobs(rows: DataFrame, cfg: PanelConfig = W, models=tuple(MODEL_REGISTR
     return out
 
 
+def forecast_tables(features: DataFrame, pred: DataFrame, cfg: PanelConfig) -> tuple[DataFrame, DataFrame]:
+    """The future rows of PRED as dated forecasts and as dated price paths."""
+    future = pred.where(F.col("role") == "future")
+    ends = features.groupBy("entity").agg(F.max("idx").alias("last_idx"))
+    last = (features.where(F.col("close").isNotNull()).groupBy("entity")
+            .agg(F.max_by("close", "idx").alias("last_price")))
+    dates = fo.future_dates(ends, cfg.freq, cfg.horizon)
+    prices = fc.to_price(future, last).join(dates.withColumnRenamed("ts", "date"), ["entity", "step"])
+    return fc.dated(future, dates), prices
+
+
 def model_tables(features: DataFrame, cfg: PanelConfig, models=tuple(MODEL_REGISTRY)) -> dict[str, DataFrame]:
     """Every table that rests on the model jobs, from one checkpointed PRED table:
     comparison, summary, forecasts with dates, price paths and their change,
@@ -75,16 +86,11 @@ def model_tables(features: DataFrame, cfg: PanelConfig, models=tuple(MODEL_REGIS
     series = fo.target_series(features, "returns")
     rows = labelled_rows(series, cfg, holdout=True).checkpoint(eager=True)
     pred = model_jobs(rows, cfg, models).checkpoint(eager=True)
-    future = pred.where(F.col("role") == "future")
-    ends = features.groupBy("entity").agg(F.max("idx").alias("last_idx"))
-    last = (features.where(F.col("close").isNotNull()).groupBy("entity")
-            .agg(F.max_by("close", "idx").alias("last_price")))
-    dates = fo.future_dates(ends, cfg.freq, cfg.horizon)
-    prices = fc.to_price(future, last).join(dates.withColumnRenamed("ts", "date"), ["entity", "step"])
+    forecasts, prices = forecast_tables(features, pred, cfg)
     valid = fc.validation(pred, rows)
     t = {
         "model_comparison": comparison(pred),
-        "forecasts": fc.dated(future, dates),
+        "forecasts": forecasts,
         "price_forecast": prices,
         "forecast_change": fc.forecast_change(prices),
         "validation_metrics": valid,
@@ -167,13 +173,17 @@ def m13_model_comparison(spark, sf):
 @register("k_model_forecasts")
 def k_model_forecasts(spark, sf):
     """Every model's future steps with dates and price paths."""
-    return model_tables(features(spark, sf), W)["price_forecast"]
+    f = features(spark, sf)
+    checkpoint_dir(spark)
+    pred = model_jobs(full_rows(fo.target_series(f, "returns")), W).checkpoint(eager=True)
+    return forecast_tables(f, pred, W)[1]
 
 
 @register("k_model_validation")
 def k_model_validation(spark, sf):
-    """Every model's hold-out and walk-forward metrics, per entity."""
-    return model_tables(features(spark, sf), W)["validation_metrics"]
+    """Hold-out and walk-forward metrics per entity of the models that
+    forecast a long hold-out in one step; the recursive GBT's are in ``run(models=True)``."""
+    return model_tables(features(spark, sf), W, ("ARIMA", "Trend", "AR1", "Zero"))["validation_metrics"]
 
 
 def fit_all(series: DataFrame, cfg: PanelConfig = W, arima: DataFrame | None = None) -> DataFrame:
