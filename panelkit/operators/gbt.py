@@ -26,7 +26,8 @@ Z95 = 1.959963984540054
 STEPS_PER_CHECKPOINT = 3  # recursive steps whose plan is kept before the state is cut
 
 
-def _scaled(rows: DataFrame) -> DataFrame:
+def scaled(rows: DataFrame) -> DataFrame:
+    """``ys``, min-max scaled per (entity, fold) by the train rows; a constant gives 0."""
     part = Window.partitionBy("entity", "fold")
     tr = F.col("role") == "train"
     r = rows.select("entity", "fold", "role", "step", "i", "y",
@@ -36,7 +37,8 @@ def _scaled(rows: DataFrame) -> DataFrame:
     return r.withColumn("ys", F.when(span > 0, (F.col("y") - F.col("lo")) / span).otherwise(F.lit(0.0)))
 
 
-def _windows(s: DataFrame, lookback: int) -> DataFrame:
+def lag_windows(s: DataFrame, lookback: int) -> DataFrame:
+    """``win``, the ``lookback`` scaled values before each row (fewer at the start)."""
     w = Window.partitionBy("entity", "fold").orderBy("i")
     prev = F.collect_list("ys").over(w.rowsBetween(-lookback, -1))
     return s.withColumn("win", prev)
@@ -56,8 +58,8 @@ def run_gbt(rows: DataFrame, horizon: int = 12, lookback: int = 12, max_iter: in
     spark = rows.sparkSession
     checkpoint_dir(spark)
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    s = _scaled(rows).checkpoint(eager=True)
-    train = (_windows(s, lookback).where((F.col("role") == "train") & (F.size("win") == lookback))
+    s = scaled(rows).checkpoint(eager=True)
+    train = (lag_windows(s, lookback).where((F.col("role") == "train") & (F.size("win") == lookback))
              .select("entity", "fold", "i", "y", "lo", "hi", "ys", array_to_vector("win").alias("features"))
              .checkpoint(eager=True))
     # one row per fold reaches the driver: its longest test step

@@ -58,5 +58,5 @@ def load_all() -> None:
     """Import the modules that register queries."""
     from panelkit.plans import (  # noqa: F401
         queries_core, queries_decomp, queries_eda, queries_export, queries_forecast, queries_models,
-        queries_stats,
+        queries_sources, queries_stats,
     )

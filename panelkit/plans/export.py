@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelkit.functions.scalar import finite_or_null
+from panelkit.schema import DOCUMENT
 
 
 def null_non_finite(df: DataFrame) -> DataFrame:
@@ -82,9 +83,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
         w.parquet(path)
 
 
-def read_document(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Read an exported (multi-line) JSON document back."""
-    r = spark.read.option("multiLine", True)
-    if schema is not None:
-        r = r.schema(schema)
-    return r.json(path)
+def read_document(spark: SparkSession, path: str, schema: T.StructType | str = DOCUMENT,
+                  multi_line: bool = False) -> DataFrame:
+    """Exported JSON documents, one per line as ``write_table`` writes them, or
+    (``multi_line``) one per file over several lines. The schema is never inferred."""
+    return spark.read.schema(schema).option("multiLine", multi_line).json(path)

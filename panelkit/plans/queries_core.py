@@ -20,6 +20,8 @@ H = PanelConfig(freq="h", period=24)
 def panel(spark, sf, name):
     if name == "nation":
         return tables.nation_panel(spark, sf)
+    if name == "recent":
+        return tables.recent_panel(spark, sf)
     if name == "priority":
         return tables.priority_panel(spark, sf)
     if name.startswith("event"):

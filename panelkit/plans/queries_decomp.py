@@ -144,13 +144,23 @@ def r_stream_score(spark, sf):
     (availableNow trigger); the log is read back."""
     import uuid
 
-    from panelkit.schema import STATS
     from panelkit.session import checkpoint_dir
     from panelkit.streaming.monitor import run_monitor
 
     base = f"{checkpoint_dir(spark).rstrip('/')}/monitor-{uuid.uuid4().hex}"
-    stats = residual_stats(weekly(spark, sf, "event", H), 24, 1.5)
-    stats.select([f.name for f in STATS.fields]).write.parquet(f"{base}/stats")
+    write_monitor_stats(spark, sf, f"{base}/stats", 1.5, 1)
+    run_monitor(spark, event_stream(spark, sf), f"{base}/stats", f"{base}/log", f"{base}/ckpt")
+    return spark.read.parquet(f"{base}/log")
+
+
+def write_monitor_stats(spark, sf, path, multiplier, version):
+    from panelkit.streaming.monitor import write_stats
+
+    write_stats(residual_stats(weekly(spark, sf, "event", H), 24, multiplier), path, version)
+
+
+def event_stream(spark, sf):
+    """Events and orders files as one stream of observations."""
     ev_schema = spark.read.parquet(f"{sf}/events.parquet").schema
     od_schema = spark.read.parquet(f"{sf}/orders.parquet").schema
     ev = (spark.readStream.schema(ev_schema).option("pathGlobFilter", "events.parquet").parquet(sf)
@@ -161,8 +171,7 @@ def r_stream_score(spark, sf):
           .select(F.col("o_orderpriority").alias("entity_id"), F.col("o_orderdate").cast("timestamp").alias("timestamp"),
                   F.col("o_totalprice").cast("double").alias("value"),
                   F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("obs_id")))
-    run_monitor(spark, ev.unionByName(od), f"{base}/stats", f"{base}/log", f"{base}/ckpt")
-    return spark.read.parquet(f"{base}/log")
+    return ev.unionByName(od)
 
 
 def _resid(spark, sf):

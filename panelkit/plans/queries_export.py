@@ -75,7 +75,10 @@ def s_cache_fallback(spark, sf):
     + final("r", "display entity return_pct_1dp:1 best_worst_ratio:9"), overrides={"return_pct_1dp": 1, "best_worst_ratio": 9})
 def t_display_ranking(spark, sf):
     """Display names without the exchange suffix, returns in % (1 dp), best/worst ratio."""
-    f = features(spark, sf)
+    return display_ranking(features(spark, sf))
+
+
+def display_ranking(f):
     r = eda.total_returns(f)
     # one scalar from a global aggregate, brought back as a literal (no join)
     ratio = eda.best_worst(f).select(F.try_divide(F.col("best_return"), F.col("worst_return"))).first()[0]
@@ -100,6 +103,11 @@ def k_metadata(spark, sf):
 @register("k_document")
 def k_document(spark, sf):
     """K7/K8/K9: nested per-entity document (series, KPIs, outliers, stats, forecasts) as JSON text."""
+    doc = event_document(spark, sf)
+    return doc.select("entity", F.to_json(F.struct(*[c for c in doc.columns if c != "entity"])).alias("document"))
+
+
+def event_document(spark, sf):
     from panelkit.operators.outliers import detect_outliers, residual_stats
     from panelkit.plans.queries_core import weekly
 
@@ -112,8 +120,7 @@ def k_document(spark, sf):
         "residual_stats": residual_stats(wk, H.seasonal_period),
         "forecast": fc.ar1_forecast(fo.target_series(f, "returns"), 12).select("entity", "step", "yhat", "lower", "upper"),
     }
-    doc = ex.document(spark, tables)
-    return doc.select("entity", F.to_json(F.struct(*[c for c in doc.columns if c != "entity"])).alias("document"))
+    return ex.document(spark, tables)
 
 
 def _validation_sql() -> str:

@@ -12,6 +12,11 @@ PANELS = {
     "nation": """SELECT n.n_name AS entity, CAST(o.o_orderdate AS TIMESTAMP) AS ts,
        CAST(o.o_totalprice AS DOUBLE) AS close, o.o_orderkey AS tb
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey""",
+    "recent": """SELECT n.n_name || CASE WHEN length(n.n_name) % 2 = 1 THEN '.SA' ELSE '' END AS entity,
+       CAST(o.o_orderdate AS TIMESTAMP) + INTERVAL 25 YEAR AS ts,
+       CAST(o.o_totalprice AS DOUBLE) AS close, o.o_orderkey AS tb
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN nation n ON c.c_nationkey = n.n_nationkey""",
     "priority": """SELECT o_orderpriority AS entity, CAST(o_orderdate AS TIMESTAMP) AS ts,
        CAST(o_totalprice AS DOUBLE) AS close, o_orderkey AS tb FROM orders""",

@@ -24,11 +24,10 @@ OBSERVATIONS = T.StructType([
     T.StructField("value", T.DoubleType()),
 ])
 
-FORECAST = T.StructType([
-    T.StructField("entity", T.StringType()),
-    T.StructField("model", T.StringType()),
-    T.StructField("step", T.IntegerType()),
-    T.StructField("forecast", T.DoubleType()),
-    T.StructField("lower_bound", T.DoubleType()),
-    T.StructField("upper_bound", T.DoubleType()),
-])
+# the exported document of one entity (plans.export.document)
+DOCUMENT = """entity string,
+  kpis struct<total_return_pct: double, peak_value: double, peak_date: timestamp, current_close: double>,
+  series struct<dates: array<string>, `values`: array<double>>,
+  outliers array<struct<date: timestamp, value: double, residual: double, lower_bound: double, upper_bound: double, severity: string>>,
+  forecast array<struct<step: int, yhat: double, lower: double, upper: double>>,
+  residual_stats struct<mean: double, std: double, q1: double, q3: double, iqr: double, threshold: double>"""

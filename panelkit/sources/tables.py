@@ -33,6 +33,13 @@ def nation_panel(spark: SparkSession, sf_dir: str, start: str | None = None, end
                      F.col("o_orderkey").alias("tb")))
 
 
+def recent_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nation panel 25 years later; names of odd length carry the suffix ``.SA``."""
+    name = F.when(F.length("entity") % 2 == 1, F.concat("entity", F.lit(".SA"))).otherwise(F.col("entity"))
+    return nation_panel(spark, sf_dir).select(name.alias("entity"), (F.col("ts") + F.expr("INTERVAL 25 YEARS")).alias("ts"),
+                                              "close", "tb")
+
+
 def priority_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
     return o.select(F.col("o_orderpriority").alias("entity"),

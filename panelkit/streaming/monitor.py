@@ -4,14 +4,15 @@
   (stream-static left join to the statistics table).
 * R2: the verdicts go to an append-only Parquet log with a checkpoint, so a
   restarted query resumes where it stopped (exactly-once file sink).
-* R3: ``refresh_stats=True`` re-reads the latest statistics at every
-  micro-batch inside ``foreachBatch`` instead of a fixed static side; its log
+* R3: ``write_stats`` adds a version of the statistics beside the older ones;
+  ``refresh_stats=True`` re-reads the latest version at every micro-batch inside ``foreachBatch`` instead of a fixed static side; its log
   has a folder per batch (column ``epoch``), so a retry repeats no rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from panelkit.operators.anomaly import score
 from panelkit.schema import STATS
@@ -21,13 +22,28 @@ def score_stream(stream: DataFrame, stats: DataFrame) -> DataFrame:
     return score(stream, stats)
 
 
+def write_stats(stats: DataFrame, stats_path: str, version: int) -> None:
+    """One version of the statistics; writing a version again replaces it alone."""
+    (stats.select(STATS.fieldNames()).write.mode("overwrite")
+     .parquet(f"{stats_path.rstrip('/')}/version={version}"))
+
+
+def latest_stats(spark: SparkSession, stats_path: str, stats_format: str = "parquet") -> DataFrame:
+    """The statistics of the highest version, or the whole table where it has none."""
+    r = spark.read.schema(STATS)
+    stats = r.option("header", True).csv(stats_path) if stats_format == "csv" else r.parquet(stats_path)
+    if "version" in stats.columns:
+        newest = stats.agg(F.max("version")).first()[0]  # one number; the partition filter then prunes folders
+        stats = stats.where(F.col("version") == F.lit(newest))
+    return stats.select(STATS.fieldNames())
+
+
 def run_monitor(spark: SparkSession, source: DataFrame, stats_path: str, log_path: str,
                 checkpoint: str, refresh_stats: bool = False, available_now: bool = True,
                 stats_format: str = "parquet"):
     """Start the monitor; returns the StreamingQuery (awaited when available_now)."""
     def read_stats():
-        r = spark.read.schema(STATS)
-        return r.option("header", True).csv(stats_path) if stats_format == "csv" else r.parquet(stats_path)
+        return latest_stats(spark, stats_path, stats_format)
 
     if refresh_stats:
         def batch(df: DataFrame, epoch_id: int):
