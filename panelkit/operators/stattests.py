@@ -3,8 +3,8 @@
 ACF, Ljung-Box and Jarque-Bera are native aggregates inside the entity
 partitioning. PACF is the Levinson-Durbin recursion over each entity's
 autocovariance array, written with Spark higher-order functions (JVM-side).
-KPSS is column expressions too. ADF needs a least squares per lag count, so
-it runs as one grouped-map task per entity (NumPy over one series).
+KPSS is column expressions too. ADF's moment sums are; only the small linear
+system of one entity (its lag count, some tens) goes through a pandas UDF.
 """
 
 from __future__ import annotations
@@ -250,31 +250,120 @@ def kpss(series: DataFrame, col: str = "returns") -> DataFrame:
     return g.select("*", F.coalesce(F.col("kpss_pval") >= 0.05, F.lit(False)).alias("kpss_stationary"))
 
 
-ADF_SCHEMA = ("entity string, n long, adf_stat double, adf_pval double, adf_lag int, "
-              "adf_stationary boolean, d_suggested int, error string")
-
-
-def _adf_group(pdf: pd.DataFrame) -> pd.DataFrame:
-    ent = pdf["entity"].iloc[0]
-    x = pdf.sort_values("idx")["x"].dropna().to_numpy(dtype=float)
-    row = dict(entity=ent, n=len(x), adf_stat=None, adf_pval=None, adf_lag=None, adf_stationary=False,
-               d_suggested=1, error=None)
-    if len(x) >= 10:
+ADF_RESULT = T.StructType([T.StructField("adf_stat", T.DoubleType()), T.StructField("adf_pval", T.DoubleType()),
+                           T.StructField("adf_lag", T.IntegerType()), T.StructField("error", T.StringType())])
+
+
+def _moments(lag: int, m: dict) -> np.ndarray:
+    """Moment matrix of [1, d(t-1) .. d(t-lag), x(t), d(t)] over t = lag .. n-2, from the sums
+    over t = p .. n-2 and the first and last p values: a shift of both factors changes a
+    sum by its two end terms only."""
+    p, hx, hd, td = m["p"], m["hx"], m["hd"], m["td"]
+    early = np.arange(lag, p)
+    back = early[:, None] - np.arange(lag + 1)[None, :]
+    lags = hd[back] if len(early) else np.zeros((0, lag + 1))
+    c = m["c"][:lag + 1] + hd[early] @ lags
+    e = m["e"][:lag + 1] + hx[early] @ lags
+    f = m["f"][:lag + 1] + lags.sum(axis=0)
+    g = np.zeros((lag + 3, lag + 3))  # order: d(t) .. d(t-lag), x(t), 1
+    g[0, :lag + 1] = c
+    for i in range(1, lag + 1):
+        j = np.arange(i, lag + 1)
+        g[i, i:lag + 1] = g[i - 1, i - 1:lag] + hd[lag - i] * hd[lag - j] - td[p - i] * td[p - j]
+    g[:lag + 1, lag + 1], g[:lag + 1, lag + 2] = e, f
+    g[lag + 1, lag + 1:] = m["sxx"] + hx[early] @ hx[early], m["sx"] + hx[early].sum()
+    g[lag + 2, lag + 2] = m["n"] - 1 - lag
+    g = np.triu(g) + np.triu(g, 1).T
+    order = [lag + 2, *range(1, lag + 1), lag + 1, 0]
+    return g[np.ix_(order, order)]
+
+
+def _factor(g: np.ndarray) -> np.ndarray:
+    """Last row of the Cholesky factor and its last regressor's pivot, on unit scale;
+    collinear columns are an error."""
+    scale = np.sqrt(np.diag(g))
+    if not (scale > 0).all():
+        raise ValueError("no variance")
+    low = np.linalg.cholesky(g / np.outer(scale, scale))
+    if (np.diag(low) < 1e-6).any():
+        raise ValueError("collinear lags")
+    return low[-1]
+
+
+def _adf_solve(m: dict) -> tuple[float, float, int]:
+    p, n = m["p"], m["n"]
+    g = _moments(p, m)
+    front = [0, p + 1, *range(1, p + 1), p + 2]  # constant and level first, then lag by lag
+    z = _factor(g[np.ix_(front, front)])
+    rows, k = n - 1 - p, np.arange(2, p + 3)
+    ssr = g[-1, -1] * (1 - np.cumsum(z[:-1] ** 2)[1:])
+    aic = rows * (np.log(2 * np.pi) + np.log(ssr / rows) + 1) + 2 * k
+    lag = int(np.argmin(aic))
+    z = _factor(_moments(lag, m))
+    # the level is the last regressor: its t value is its own entry against what is left
+    tau = z[-2] / math.sqrt(z[-1] ** 2 / (n - 1 - lag - (lag + 2)))
+    return float(tau), adf_pvalue(float(tau)), lag
+
+
+@F.pandas_udf(ADF_RESULT)
+def _adf_udf(m: pd.DataFrame) -> pd.DataFrame:
+    out = []
+    for row in m.to_dict("records"):
         try:
-            stat, p, lag = adf(x)
-            row.update(adf_stat=stat, adf_pval=p, adf_lag=lag, adf_stationary=bool(p < 0.05),
-                       d_suggested=0 if p < 0.05 else 1)
+            out.append((*_adf_solve(row), None))
         except Exception as exc:  # noqa: BLE001 - per-entity failure isolation
-            row["error"] = f"{type(exc).__name__}: {exc}"
-    return pd.DataFrame([row])
+            out.append((None, None, None, f"{type(exc).__name__}: {exc}"))
+    r = pd.DataFrame(out, columns=["adf_stat", "adf_pval", "adf_lag", "error"])
+    return r.astype({"adf_stat": "float64", "adf_pval": "float64", "adf_lag": "Int32"})
+
+
+def adf_test(series: DataFrame, col: str = "returns") -> DataFrame:
+    """X1/X3 per entity: ADF with a constant, lag by AIC on a common sample. The
+    cross-products with the level and the lags are column expressions over the entity's
+    series (one array, bounded by its calendar length). Fewer than 10 points: no test,
+    not stationary, d = 1; no variance or collinear lags: an error and the same verdict."""
+    part = Window.partitionBy("entity")
+    s = series.where(F.col(col).isNotNull()).select(
+        "entity", "idx", (F.col(col) - F.avg(col).over(part)).alias("x"))
+    g = s.groupBy("entity").agg(F.count("*").cast("int").alias("n"),
+                                F.array_sort(F.collect_list(F.struct("idx", "x")))["x"].alias("x"))
+    n = F.col("n")
+    most = F.ceil(12.0 * F.pow(n / 100.0, F.lit(0.25)))
+    g = g.select("entity", "n", "x", F.least(F.floor(n / 2) - 2, most).cast("int").alias("p"),
+                 F.zip_with(F.slice("x", 2, n), F.slice("x", F.lit(1), F.greatest(n - 1, F.lit(0))), lambda a, b: a - b).alias("d"))
+    rows = n - 1 - F.col("p")
+
+    def window(name, j):
+        return F.slice(name, F.col("p") + 1 - j, rows)
+
+    def dot(a, b):
+        return F.aggregate(F.zip_with(a, b, lambda u, v: u * v), F.lit(0.0), lambda acc, v: acc + v)
+
+    def total(a):
+        return F.aggregate(a, F.lit(0.0), lambda acc, v: acc + v)
+
+    js = F.sequence(F.lit(0), F.col("p"))
+    moments = F.struct(
+        "n", "p",
+        F.transform(js, lambda j: dot(window("d", F.lit(0)), window("d", j))).alias("c"),
+        F.transform(js, lambda j: dot(window("x", F.lit(0)), window("d", j))).alias("e"),
+        F.transform(js, lambda j: total(window("d", j))).alias("f"),
+        total(window("x", F.lit(0))).alias("sx"), dot(window("x", F.lit(0)), window("x", F.lit(0))).alias("sxx"),
+        F.slice("x", F.lit(1), F.col("p")).alias("hx"), F.slice("d", F.lit(1), F.col("p")).alias("hd"),
+        F.slice("d", n - F.col("p"), F.col("p")).alias("td"))
+    tested = g.where(n >= 10).select("entity", "n", _adf_udf(moments).alias("r")).select("entity", "n", "r.*")
+    short = g.where(n < 10).select("entity", "n", *[F.lit(None).cast(t).alias(c) for c, t in (
+        ("adf_stat", "double"), ("adf_pval", "double"), ("adf_lag", "int"), ("error", "string"))])
+    small = F.coalesce(F.col("adf_pval") < 0.05, F.lit(False))
+    return tested.unionByName(short).select(
+        "entity", F.col("n").cast("long").alias("n"), "adf_stat", "adf_pval", "adf_lag", small.alias("adf_stationary"),
+        F.when(small, 0).otherwise(1).cast("int").alias("d_suggested"), "error")
 
 
 def stationarity(series: DataFrame, col: str = "returns") -> DataFrame:
     """X1-X3 per entity: ADF (constant, AIC lag), KPSS (trend), suggested d.
     Fewer than 10 points: both tests false, d = 1."""
-    s = series.where(F.col(col).isNotNull()).select("entity", "idx", F.col(col).alias("x"))
-    a = s.groupBy("entity").applyInPandas(_adf_group, ADF_SCHEMA)
-    j = a.join(kpss(series, col).drop("n"), "entity", "left")
+    j = adf_test(series, col).join(kpss(series, col).drop("n"), "entity", "left")
     return j.select("entity", "n", "adf_stat", "adf_pval", "adf_lag", "adf_stationary", "kpss_stat", "kpss_pval",
                     "kpss_lags", F.coalesce("kpss_stationary", F.lit(False)).alias("kpss_stationary"),
                     "d_suggested", "error")

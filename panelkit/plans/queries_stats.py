@@ -109,18 +109,7 @@ def x_jarque_bera_returns(spark, sf):
     return st.jarque_bera(features(spark, sf), "returns")
 
 
-@register("x_stationarity_returns")
-def x_stationarity_returns(spark, sf):
-    """ADF (AIC lag) + KPSS (trend) + suggested d, grouped per entity."""
-    return st.stationarity(features(spark, sf), "returns")
-
-
-@register("x_stationarity_event_close")
-def x_stationarity_event_close(spark, sf):
-    return st.stationarity(features(spark, sf, "event", H), "close")
-
-
-def _kpss_sql(panel, freq, col):
+def _kpss_ctes(panel, freq, col):
     """Brute-force KPSS (trend) in SQL: OLS detrend, partial sums, automatic
     lag rule and Bartlett-weighted autocovariances by a banded self-join."""
     crit = st.KPSS_CT_CRIT
@@ -128,7 +117,7 @@ def _kpss_sql(panel, freq, col):
     interp = " ".join(
         f"WHEN stat <= {crit[i + 1]} THEN ({pv[i + 1]} - {pv[i]}) / ({crit[i + 1]} - {crit[i]}) * (stat - {crit[i]}) + {pv[i]}"
         for i in range(len(crit) - 1))
-    return "WITH " + features_ctes(panel, freq) + f""",
+    return features_ctes(panel, freq) + f""",
 ser AS (SELECT entity, CAST(row_number() OVER (PARTITION BY entity ORDER BY idx) AS DOUBLE) AS t,
                {col} AS y, count(*) OVER (PARTITION BY entity) AS n FROM feats WHERE {col} IS NOT NULL),
 ln AS (SELECT entity, regr_slope(y, t) AS k, regr_intercept(y, t) AS b FROM ser GROUP BY entity),
@@ -148,7 +137,11 @@ sh AS (SELECT lg.entity, lg.n, lg.css, lg.lags,
        FROM lg LEFT JOIN ac ON lg.entity = ac.entity GROUP BY lg.entity, lg.n, lg.css, lg.ss, lg.lags),
 ks AS (SELECT entity, n, lags AS kpss_lags, (css / (n * n)) / s_hat AS stat FROM sh),
 o AS (SELECT entity, n, stat AS kpss_stat,
-             CASE WHEN stat <= {crit[0]} THEN {pv[0]} {interp} ELSE {pv[-1]} END AS kpss_pval, kpss_lags FROM ks)
+             CASE WHEN stat <= {crit[0]} THEN {pv[0]} {interp} ELSE {pv[-1]} END AS kpss_pval, kpss_lags FROM ks)"""
+
+
+def _kpss_sql(panel, freq, col):
+    return "WITH " + _kpss_ctes(panel, freq, col) + f"""
 SELECT entity, n, {rnd("kpss_stat", 9)} AS kpss_stat, {rnd("kpss_pval", 9)} AS kpss_pval, kpss_lags,
        kpss_pval >= 0.05 AS kpss_stationary FROM o"""
 
@@ -157,3 +150,62 @@ SELECT entity, n, {rnd("kpss_stat", 9)} AS kpss_stat, {rnd("kpss_pval", 9)} AS k
 def x_kpss_returns(spark, sf):
     """KPSS (trend) statistic, p-value, automatic lag count, per entity (n >= 10)."""
     return st.kpss(features(spark, sf), "returns")
+
+
+def _stationarity_sql(panel, freq, col):
+    """Brute-force ADF in SQL: the full moment matrix from a self-join of the design
+    rows, then Gaussian elimination, one regressor per recursion."""
+    def matrix(design_rows):
+        # their moment matrix, rows and columns in the order of ``o``
+        return f"""(SELECT entity, oi, list(s ORDER BY oj) AS r FROM
+   (SELECT a.entity, a.o AS oi, b.o AS oj, sum(a.v * b.v) AS s FROM {design_rows} a JOIN {design_rows} b
+    ON a.entity = b.entity AND a.t = b.t GROUP BY ALL) GROUP BY entity, oi)"""
+
+    step = """list_transform(m[2:], lambda r: list_transform(range(2, len(r) + 1), lambda j: r[j] - r[1] / m[1][1] * m[1][j]))"""
+    design = """SELECT entity, t, 0 AS o, 1.0 AS v FROM {w} UNION ALL SELECT entity, t, {level} AS o, x FROM {w}
+  UNION ALL SELECT w.entity, w.t, {lags} + k.d_lag, dd.d FROM {w} w JOIN kk k ON w.entity = k.entity AND k.d_lag <= w.{p}
+    JOIN df dd ON dd.entity = w.entity AND dd.t = w.t - k.d_lag
+  UNION ALL SELECT entity, t, 1000 AS o, d FROM {w}"""
+    small = " + ".join(f"{v} * pow(tau, {i})" for i, v in enumerate(st.ADF_SMALLP))
+    large = " + ".join(f"{v} * pow(tau, {i})" for i, v in enumerate(st.ADF_LARGEP))
+    return "WITH RECURSIVE " + _kpss_ctes(panel, freq, col) + f""",
+df AS (SELECT entity, CAST(t AS INTEGER) - 1 AS t, n, y AS x, lead(y) OVER (PARTITION BY entity ORDER BY t) - y AS d,
+              CAST(least(n // 2 - 2, ceil(12.0 * pow(n / 100.0, 0.25))) AS INTEGER) AS p FROM ser WHERE n >= 10),
+kk AS (SELECT entity, CAST(unnest(range(1, p + 1)) AS INTEGER) AS d_lag FROM (SELECT DISTINCT entity, p FROM df)),
+w1 AS (SELECT * FROM df WHERE t >= p AND d IS NOT NULL),
+x1 AS ({design.format(w="w1", level=1, lags=1, p="p")}),
+g1 AS (SELECT entity, list(r ORDER BY oi) AS m FROM {matrix("x1")} GROUP BY entity),
+e1 AS (SELECT entity, 0 AS k, m FROM g1 UNION ALL SELECT entity, k + 1, {step} FROM e1 WHERE len(m) > 1),
+sz AS (SELECT entity, count(*) AS rows FROM w1 GROUP BY entity),
+al AS (SELECT e1.entity, k - 2 AS lag, rows * (ln(2 * pi()) + ln(m[len(m)][len(m)] / rows) + 1) + 2 * k AS aic
+       FROM e1 JOIN sz USING (entity) WHERE k >= 2),
+bl AS (SELECT entity, arg_min(lag, aic) AS lag FROM al GROUP BY entity),
+w2 AS (SELECT df.*, bl.lag FROM df JOIN bl USING (entity) WHERE t >= bl.lag AND d IS NOT NULL),
+x2 AS ({design.format(w="w2", level=999, lags=0, p="lag")}),
+g2 AS (SELECT entity, list(r ORDER BY oi) AS m FROM {matrix("x2")} GROUP BY entity),
+e2 AS (SELECT entity, m FROM g2 UNION ALL SELECT entity, {step} FROM e2 WHERE len(m) > 2),
+ta AS (SELECT e2.entity, bl.lag, df.n, m[1][2] / m[1][1] / sqrt((m[2][2] - m[1][2] * m[1][2] / m[1][1]) / (df.n - 1 - bl.lag - (bl.lag + 2)) / m[1][1]) AS tau
+       FROM e2 JOIN bl USING (entity) JOIN (SELECT DISTINCT entity, n FROM df) df USING (entity) WHERE len(m) = 2),
+zz AS (SELECT *, CASE WHEN tau <= {st.ADF_TAU_STAR} THEN {small} ELSE {large} END AS z FROM ta),
+pp AS (SELECT *, CASE WHEN tau > {st.ADF_TAU_MAX} THEN 1.0 WHEN tau < {st.ADF_TAU_MIN} THEN 0.0
+         ELSE 0.5 + sign(z) * exp(-z * z / 2) / sqrt(2 * pi()) * list_sum(list_transform(range(0, 200), lambda k:
+           exp((2 * k + 1) * ln(greatest(abs(z), 1e-300)) - lgamma(2.0 * k + 2) + k * ln(2) + lgamma(k + 1.0)))) END AS pv FROM zz),
+ns AS (SELECT entity, any_value(n) AS n FROM ser GROUP BY entity),
+fin AS (SELECT ns.entity, ns.n, pp.tau AS adf_stat, pp.pv AS adf_pval, CAST(pp.lag AS INTEGER) AS adf_lag,
+               coalesce(pp.pv < 0.05, false) AS adf_stationary, o.kpss_stat, o.kpss_pval, o.kpss_lags,
+               coalesce(o.kpss_pval >= 0.05, false) AS kpss_stationary,
+               CASE WHEN pp.pv < 0.05 THEN 0 ELSE 1 END AS d_suggested, CAST(NULL AS VARCHAR) AS error
+        FROM ns LEFT JOIN pp ON ns.entity = pp.entity LEFT JOIN o ON ns.entity = o.entity)
+""" + final("fin", "entity n adf_stat:8 adf_pval:8 adf_lag adf_stationary kpss_stat:8 kpss_pval:8 kpss_lags "
+                   "kpss_stationary d_suggested error")
+
+
+@register("x_stationarity_returns", _stationarity_sql("nation", "W", "returns"), scale=8)
+def x_stationarity_returns(spark, sf):
+    """ADF (AIC lag) + KPSS (trend) + suggested d, per entity."""
+    return st.stationarity(features(spark, sf), "returns")
+
+
+@register("x_stationarity_event_close", _stationarity_sql("event", "h", "close"), scale=8)
+def x_stationarity_event_close(spark, sf):
+    return st.stationarity(features(spark, sf, "event", H), "close")

@@ -114,3 +114,20 @@ def test_kpss_against_numpy(spark):
         np.testing.assert_allclose(r.loc[name, "kpss_stat"], stat, rtol=1e-9)
         np.testing.assert_allclose(r.loc[name, "kpss_pval"], np.interp(stat, st.KPSS_CT_CRIT, st.KPSS_PVALS), rtol=1e-9)
     assert not r.loc["flat", "kpss_stationary"] and np.isnan(r.loc["flat", "kpss_stat"])
+
+
+def test_adf_from_moment_sums(spark):
+    rng = np.random.default_rng(11)
+    data = {"walk": 500 + np.cumsum(rng.standard_normal(200)), "noise": rng.standard_normal(77),
+            "ar": np.convolve(rng.standard_normal(140), [1, .6, .3, .2])[:140], "ten": rng.standard_normal(10),
+            "nine": rng.standard_normal(9), "flat": np.full(30, 4.0), "line": np.arange(30.0)}
+    rows = [(e, k, float(v)) for e, x in data.items() for k, v in enumerate(x)] + [("walk", 500, None)]
+    r = st.adf_test(spark.createDataFrame(rows, "entity string, idx long, close double"), "close").toPandas().set_index("entity")
+    for name in ("walk", "noise", "ar", "ten"):
+        tau, p, lag = st.adf(data[name])
+        assert r.loc[name, "adf_lag"] == lag and r.loc[name, "n"] == len(data[name])
+        np.testing.assert_allclose([r.loc[name, "adf_stat"], r.loc[name, "adf_pval"]], [tau, p], rtol=1e-7, atol=1e-12)
+        assert r.loc[name, "d_suggested"] == (0 if p < 0.05 else 1)
+    for name in ("flat", "line"):  # no variance, collinear lags
+        assert "Error" in r.loc[name, "error"] and r.loc[name, "d_suggested"] == 1
+    assert r.loc["nine", "error"] is None and not r.loc["nine", "adf_stationary"]
