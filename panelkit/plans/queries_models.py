@@ -12,7 +12,7 @@ from panelkit.operators import forecast as fc
 from panelkit.operators import stattests as st
 from panelkit.operators.gbt import run_gbt
 from panelkit.operators.models import full_rows, run_arima, run_trend
-from panelkit.plans.catalog import register
+from panelkit.plans.catalog import final, register
 from panelkit.plans.queries_core import W, features
 from panelkit.session import checkpoint_dir
 
@@ -170,6 +170,33 @@ def m13_model_comparison(spark, sf):
     return comparison(pred).drop("training_time_s")
 
 
+def _comparison_sql() -> str:
+    from panelkit.plans.queries_forecast import AR, FOLDS, METRICS, SER
+    from panelkit.plans.sqlref import features_ctes
+
+    ins = METRICS("(SELECT * FROM prd WHERE role = 'insample' AND fold = -2)", ["entity", "model"])
+    return "WITH " + ",\n".join([
+        features_ctes("nation"), SER, FOLDS.replace("rws AS (", "rwf AS ("),
+        """rws AS (SELECT entity, idx, ts, i, y, n, -2 AS fold, 'train' AS role, CAST(NULL AS INTEGER) AS step FROM ser
+        UNION ALL SELECT * FROM rwf)""", AR,
+        """prd AS (SELECT entity, model, fold, role, y, yhat FROM pred
+        UNION ALL SELECT entity, 'Zero', fold, CASE role WHEN 'train' THEN 'insample' ELSE role END, y, 0.0 FROM rws)""",
+        ins.replace("mt0", "it0").replace("mt AS (", "it AS ("),
+        METRICS("(SELECT * FROM prd WHERE role = 'test')", ["entity", "model", "fold"]),
+        "cv AS (SELECT entity, model, avg(rmse) AS cv_rmse FROM mt GROUP BY ALL)",
+        """cm AS (SELECT it.*, cv.cv_rmse, CAST(NULL AS VARCHAR) AS error,
+          first_value(it.model) OVER (PARTITION BY it.entity ORDER BY rmse, it.model) AS best_model,
+          bool_or(mape > 100) OVER (PARTITION BY it.entity) AS high_mape
+        FROM it LEFT JOIN cv ON it.entity = cv.entity AND it.model = cv.model)"""]) + "\n" + final(
+            "cm", "entity model rmse:9 mae:9 mape:s10 smape:s10 r2:9 residual_std:9 cv_rmse:9 error best_model high_mape")
+
+
+@register("m13_direct_comparison", _comparison_sql(), scale=9, overrides={"mape": "s10", "smape": "s10"})
+def m13_direct_comparison(spark, sf):
+    """The comparison table over the two models SQL can express."""
+    return comparison(model_jobs(labelled_rows(_series(spark, sf), W), W, ("AR1", "Zero"))).drop("training_time_s")
+
+
 @register("k_model_forecasts")
 def k_model_forecasts(spark, sf):
     """Every model's future steps with dates and price paths."""
