@@ -311,3 +311,37 @@ def test_lm_scores(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held) and all(r.score < 0 for r in held)
     assert score_texts(df.limit(0), F.lit(False)).count() == 0
     assert {r.base_score for r in score_texts(df.where("doc_id = 401"), F.lit(True)).collect()} == {0.0}
+
+
+def test_lm_word_factor_sees_the_words_before(spark):
+    from pyspark.sql import functions as F
+
+    from panelkit.llm.maxent import score_texts
+
+    rnd = random.Random(7)
+    # all words end alike, so they are of one class
+    rows = [(k, " ".join(f"p{j}xx q{j}xx" for j in rnd.choices(range(20), k=40))) for k in range(600)]
+    tests = [(1000 + j, f"p{j}xx q{j}xx") for j in range(20)] + [(2000 + j, f"p{j}xx q{(j + 7) % 20}xx") for j in range(20)] + [(3000, "newxx p1xx")]
+    df = spark.createDataFrame(rows + tests, "doc_id long, text string")
+    out = {r.doc_id: r for r in score_texts(df, F.col("doc_id") >= 1000).collect()}
+    assert sum(out[1000 + j].score for j in range(20)) > sum(out[2000 + j].score for j in range(20)) + 1
+    assert out[3000].n_known == 2 and out[3000].score < 0
+
+
+def test_lm_word_factor_sums_to_one():
+    from panelkit.llm.maxent import LEAST_ROWS, WIDTH, WORD_FEATURES, column_of, features, log_softmax, word_code
+
+    rng = np.random.default_rng(1)
+    vocabulary = [b"w%d" % k for k in range(500)]
+    counts, columns = rng.integers(1, 90, 500), column_of(np.array([word_code(w) for w in vocabulary]))
+    mass = np.ones(WIDTH) + np.bincount(columns, counts + 1, WIDTH)
+    weights = rng.normal(size=(LEAST_ROWS, WIDTH))
+    codes = np.array([word_code(b"a"), word_code(b"b"), word_code(b"c")], np.int64)
+    feats = features(WORD_FEATURES, codes, np.ones(3, np.int64), np.array([3]), LEAST_ROWS, given=True)
+    logp = log_softmax(weights, feats, np.log(mass)) - np.log(mass)
+    # all known words, and the unknown word of each column
+    assert np.allclose((np.exp(logp[:, columns]) * (counts + 1)).sum(1) + np.exp(logp).sum(1), 1)
+    flat = np.log(counts + 1) + sum(weights[f] for f in feats)[:, columns]
+    unknown = sum(weights[f] for f in feats)
+    z = np.log(np.exp(flat).sum(1) + np.exp(unknown).sum(1))
+    assert np.allclose(flat - z[:, None], logp[:, columns] + np.log(counts + 1))
