@@ -1,8 +1,9 @@
 """Main text of web pages by wrapper induction per host.
 
-Pages are dealt out by ranges of (host, hash of the page), so a host with a third
-of all pages fills many partitions and small hosts share one; a run of up to
-``group`` pages of one host is a group, and every page counts in its own. Within a
+A host of n pages is dealt by a hash of the page into ceil(n / ``group``) like
+parts, which are groups, so a host with a third of all pages fills many
+partitions; a host of up to ``group`` pages is one group, wherever the partitions
+end. Only a part swollen by copies of one row is cut, at ``MOST_PAGES``. Within a
 group each DOM tree is aligned with the group's reference tree by *simple tree
 matching*: the largest matching of ordered trees that keeps roots, parents and
 order. Runs of like siblings (paragraphs, menu entries) are one repeated node,
@@ -17,8 +18,8 @@ sidebars, notices, adverts, forms, scripts, styles, reader comments) are left
 out; template slots too, but for headings and paragraphs of a marked article.
 
 Null html: empty text. A null or unusual url is a host of its own. A host with
-one page has no template. Repeated ids keep one row each. Only the id, the url
-and the html are read.
+fewer than ``LEAST_PAGES`` different pages has no template. Repeated ids keep one
+row each. Only the id, the url and the html are read.
 """
 
 from __future__ import annotations
@@ -51,6 +52,8 @@ MARKS = frozenset("ad ads adv advert adverts advertisement advertising sponsor s
                   "comment comments reply replies disqus respond share sharing social related recommended widget pagination pager toolbar search skip".split())
 TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre dd dt td th figcaption".split())
 SHARE, LEAST_PAGES = 0.8, 4
+#: A group is cut at so many times ``group`` pages.
+MOST_PAGES = 8
 
 
 class Node:
@@ -331,7 +334,11 @@ def extract(pages: DataFrame, group: int = 128, id_col: str = "page_id", url_col
     host = F.coalesce(F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@]*@)?([^/:?#]+)", 1)), F.lit(""))
     p = p.withColumn("host", host)
     n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = p.withColumn("h", F.xxhash64("id", "url")).repartitionByRange(n, "host", "h").sortWithinPartitions("host", "h").select("id", "url", "html", "host")
+    # at most one row per `group` pages: it may be broadcast, and no join deals by host
+    large = p.groupBy("host").agg(F.ceil(F.count("*") / F.lit(group)).alias("parts")).where("parts > 1")
+    part = F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("id", "url", "html"), "parts"))
+    dealt = (p.join(F.broadcast(large), "host", "left").withColumn("part", part).repartition(n, "host", "part")
+             .sortWithinPartitions("host", "part").select("id", "url", "html", "host", "part"))
 
     def run(batches):
         def close():
@@ -340,12 +347,12 @@ def extract(pages: DataFrame, group: int = 128, id_col: str = "page_id", url_col
 
         held, last = [], None
         for b in batches:
-            for key, url, page, host in zip(*(c.to_pylist() for c in b.columns)):
-                if held and (host != last or len(held) >= group):
+            for key, url, page, *name in zip(*(c.to_pylist() for c in b.columns)):
+                if held and (name != last or len(held) >= MOST_PAGES * group):
                     yield close()
                     held = []
                 held.append((key, url, page))
-                last = host
+                last = name
         if held:
             yield close()
 

@@ -42,6 +42,24 @@ def test_extraction_of_awkward_pages(spark):
     assert extract(df.limit(0)).count() == 0
 
 
+def test_no_page_of_a_large_host_is_left_without_template(spark):
+    from panelkit.llm.htmlx import extract
+
+    rows = [(k, f"http://{host}.example/{k}", page(f"Title {k}", [f"Paragraph {k} of the page, long enough to be the content"], article=False))
+            for host, pages in (("a", range(129)), ("b", range(200, 205)), ("c", range(300, 305))) for k in pages]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    texts = []
+    try:
+        for n in ("3", "60"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            texts.append({r.page_id: r.text for r in extract(df).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert texts[0] == texts[1] and len(texts[0]) == len(rows)
+    assert not any("slogan" in t for t in texts[0].values())
+
+
 def test_tree_matching_is_the_largest():
     from panelkit.llm.htmlx import Slot, match, parse
 
