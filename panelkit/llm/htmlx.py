@@ -147,58 +147,83 @@ class Slot:
     __slots__ = ("label", "children", "members", "number")
 
     def __init__(self, members: list[Node]):
-        self.label, self.members, self.number = members[0].label, members, None
+        # explicit stacks here and below: a page may be nested thousands deep
+        stack = [self]
+        self._of(members)
+        while stack:
+            s = stack.pop()
+            for r in s._runs():
+                c = Slot.__new__(Slot)
+                c._of(r)
+                s.children.append(c)
+            stack += s.children
+
+    def _of(self, members: list[Node]) -> None:
+        self.label, self.members, self.number, self.children = members[0].label, members, None, []
+
+    def _runs(self) -> list[list[Node]]:
         runs: list[list[Node]] = []
-        for m in members:
+        for m in self.members:
             for c in m.children:
                 if isinstance(c, Node) and c.tag in BLOCK:
                     if runs and runs[-1][0].label == c.label:
                         runs[-1].append(c)
-                    elif (again := next((r for r in runs if r[0].label == c.label), None)) is not None and len(members) > 1:
+                    elif (again := next((r for r in runs if r[0].label == c.label), None)) is not None and len(self.members) > 1:
                         again.append(c)
                     else:
                         runs.append([c])
-        self.children = [Slot(r) for r in runs]
+        return runs
 
 
-def number(slot: Slot, serial: list[int]) -> None:
-    slot.number = serial[0]
-    serial[0] += 1
-    for c in slot.children:
-        number(c, serial)
+def number(slot: Slot) -> None:
+    for k, s in enumerate(_slots(slot)):
+        s.number = k
 
 
 def match(a: Slot, b: Slot, memo: dict) -> int:
     """Simple tree matching: size of the largest matching of two ordered trees."""
     if a.label != b.label:
         return 0
-    if (known := memo.get((id(a), id(b)))) is not None:
-        return known[0]
-    rows = [[0] * (len(b.children) + 1)]
-    for x in a.children:
-        last, row = rows[-1], [0]
-        for j, y in enumerate(b.children):
-            row.append(max(row[j], last[j + 1], last[j] + match(x, y, memo)))
-        rows.append(row)
-    memo[id(a), id(b)] = (rows[-1][-1] + 1, rows)
-    return rows[-1][-1] + 1
+    stack = [(a, b)]
+    while stack:
+        x, y = stack[-1]
+        if (id(x), id(y)) not in memo:
+            if todo := [(c, d) for c in x.children for d in y.children if c.label == d.label and (id(c), id(d)) not in memo]:
+                stack += todo
+                continue
+            rows = [[0] * (len(y.children) + 1)]
+            for c in x.children:
+                last, row = rows[-1], [0]
+                for j, d in enumerate(y.children):
+                    row.append(max(row[j], last[j + 1], last[j] + matched(c, d, memo)))
+                rows.append(row)
+            memo[id(x), id(y)] = (rows[-1][-1] + 1, rows)
+        stack.pop()
+    return memo[id(a), id(b)][0]
+
+
+def matched(a: Slot, b: Slot, memo: dict) -> int:
+    return memo[id(a), id(b)][0] if a.label == b.label else 0
 
 
 def align(page: Slot, reference: Slot, memo: dict) -> None:
     """Gives the page's nodes the numbers of the slots that they match."""
-    page.number = reference.number
-    for m in page.members:
-        m.slot = reference.number
-    rows, i, j = memo[id(page), id(reference)][1], len(page.children), len(reference.children)
-    while i and j:
-        size = match(page.children[i - 1], reference.children[j - 1], memo)
-        if size and rows[i][j] == rows[i - 1][j - 1] + size:
-            align(page.children[i - 1], reference.children[j - 1], memo)
-            i, j = i - 1, j - 1
-        elif rows[i][j] == rows[i - 1][j]:
-            i -= 1
-        else:
-            j -= 1
+    stack = [(page, reference)]
+    while stack:
+        a, b = stack.pop()
+        a.number = b.number
+        for m in a.members:
+            m.slot = b.number
+        rows, i, j = memo[id(a), id(b)][1], len(a.children), len(b.children)
+        while i and j:
+            size = matched(a.children[i - 1], b.children[j - 1], memo)
+            if size and rows[i][j] == rows[i - 1][j - 1] + size:
+                stack.append((a.children[i - 1], b.children[j - 1]))
+                i, j = i - 1, j - 1
+            elif rows[i][j] == rows[i - 1][j]:
+                i -= 1
+            else:
+                j -= 1
 
 
 def walk(node: Node):
@@ -215,36 +240,42 @@ def slot_texts(root: Node) -> set:
     return {(n.slot, t) for n in walk(root) if n.slot is not None and (t := n.own_text())}
 
 
-def text_size(node: Node, template: set) -> int:
-    return sum(len(n.own_text()) for n in walk(node) if n.tag in BLOCK and (n.slot, n.own_text()) not in template)
-
-
-def content_root(root: Node, template: set) -> tuple[Node, bool]:
+def text_sizes(root: Node, template: set) -> dict:
+    """Per shown node, by id: ``[varying text, all text, text of links]`` in it."""
+    sizes: dict = {}
+    stack = [(root, None)]
+    order = []
+    while stack:
+        n, parent = stack.pop()
+        order.append((n, parent))
+        text = n.own_text() if n.tag in BLOCK or n.tag == "a" else ""
+        block = len(text) if n.tag in BLOCK else 0
+        sizes[id(n)] = [block if (n.slot, text) not in template else 0, block, len(text) if n.tag == "a" else 0]
+        stack += [(c, n) for c in n.elements() if not c.skip]
+    for n, parent in reversed(order):
+        if parent is not None:
+            sizes[id(parent)] = [x + y for x, y in zip(sizes[id(parent)], sizes[id(n)])]
+    return sizes
+
+
+def content_root(root: Node, sizes: dict) -> tuple[Node, bool]:
     marked = [n for n in walk(root) if n.tag in ("article", "main")]
     if marked:
         # the innermost of nested ones that holds all of it
-        sizes = [(text_size(n, set()), k) for k, n in enumerate(marked)]
-        most = max(s for s, _ in sizes)
-        best = max(k for s, k in sizes if s == most)
+        most = max(sizes[id(n)][1] for n in marked)
         if most:
-            return marked[best], True
+            return [n for n in marked if sizes[id(n)][1] == most][-1], True
     node = root
     while True:
-        parts = [(text_size(c, template), c) for c in node.elements() if not c.skip and c.tag in BLOCK and c.tag not in TEXTUAL and c.tag != "header"]
-        whole = text_size(node, template)
+        parts = [(sizes[id(c)][0], c) for c in node.elements() if not c.skip and c.tag in BLOCK and c.tag not in TEXTUAL and c.tag != "header"]
+        whole = sizes[id(node)][0]
         size, child = max(parts, key=lambda p: p[0], default=(0, None))
         if child is None or size < 0.6 * whole or not size:
             return node, False
         node = child
 
 
-def is_links(node: Node) -> bool:
-    """A list or block whose text is mostly links."""
-    linked = sum(len(n.own_text()) for n in walk(node) if n.tag == "a")
-    return linked > 0.6 * max(sum(len(n.own_text()) for n in walk(node) if n.tag in BLOCK), 1)
-
-
-def blocks(root: Node, template: set, marked: bool) -> list[str]:
+def blocks(root: Node, template: set, marked: bool, sizes: dict) -> list[str]:
     out: list[str] = []
     run: list[str] = []
 
@@ -253,33 +284,35 @@ def blocks(root: Node, template: set, marked: bool) -> list[str]:
             out.append(text)
         run.clear()
 
-    def visit(node: Node) -> None:
-        for c in node.children:
-            if isinstance(c, str):
-                run.append(c)
-            elif c.tag == "br":
-                run.append(" ")
-            elif c.skip:
-                if c.tag in BLOCK:
-                    flush()
-            elif c.tag not in BLOCK:
-                visit(c)
-            else:
+    def is_links(c: Node) -> bool:
+        """A list or block whose text is mostly links."""
+        return sizes[id(c)][2] > 0.6 * max(sizes[id(c)][1], 1)
+
+    stack = [(iter(root.children), False)]
+    while stack:
+        children, ends_block = stack[-1]
+        c = next(children, None)
+        if c is None:
+            stack.pop()
+            if ends_block:
                 flush()
-                fixed = (c.slot, c.own_text()) in template and not (marked and c.tag in TEXTUAL)
-                if not fixed or c.elements():
-                    if not (not marked and c.tag in ("header", "ul", "ol", "div", "table") and is_links(c)) and not (not marked and c.tag == "header" and not any(n.tag == "h1" for n in walk(c))):
-                        if fixed:
-                            for e in c.elements():
-                                if e.tag in BLOCK and not e.skip:
-                                    holder = Node("div")
-                                    holder.children = [e]
-                                    visit(holder)
-                        else:
-                            visit(c)
+        elif isinstance(c, str):
+            run.append(c)
+        elif c.tag == "br":
+            run.append(" ")
+        elif c.skip:
+            if c.tag in BLOCK:
                 flush()
-
-    visit(root)
+        elif c.tag not in BLOCK:
+            stack.append((iter(c.children), False))
+        else:
+            flush()
+            if not marked and (c.tag in ("header", "ul", "ol", "div", "table") and is_links(c) or c.tag == "header" and not any(n.tag == "h1" for n in walk(c))):
+                continue
+            if (c.slot, c.own_text()) in template and not (marked and c.tag in TEXTUAL):
+                stack.append((iter([e for e in c.elements() if e.tag in BLOCK and not e.skip]), True))
+            else:
+                stack.append((iter(c.children), True))
     flush()
     return out
 
@@ -297,7 +330,7 @@ def extract_group(pages) -> list[str]:
     collapsed = [Slot([t]) for t in there]
     # the tree with the most slots shows most of the layout
     reference = max(collapsed, key=lambda s: sum(1 for _ in _slots(s)))
-    number(reference, [0])
+    number(reference)
     for s in collapsed:
         memo: dict = {}
         match(s, reference, memo)
@@ -316,15 +349,18 @@ def extract_group(pages) -> list[str]:
         if t is None:
             out.append("")
             continue
-        root, marked = content_root(t, template)
-        out.append("\n".join(blocks(root, template, marked)))
+        sizes = text_sizes(t, template)
+        root, marked = content_root(t, sizes)
+        out.append("\n".join(blocks(root, template, marked, sizes)))
     return out
 
 
 def _slots(s: Slot):
-    yield s
-    for c in s.children:
-        yield from _slots(c)
+    stack = [s]
+    while stack:
+        s = stack.pop()
+        yield s
+        stack += reversed(s.children)
 
 
 def extract(pages: DataFrame, group: int = 128, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

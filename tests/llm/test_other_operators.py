@@ -60,6 +60,17 @@ def test_no_page_of_a_large_host_is_left_without_template(spark):
     assert not any("slogan" in t for t in texts[0].values())
 
 
+@pytest.mark.parametrize("tag", ["div", "span", "font", "section"])
+def test_deeply_nested_pages(tag):
+    from panelkit.llm.htmlx import extract_group
+
+    deep = [f"<article><h1>Title {k}</h1>" + f"<{tag}>word{k} " * 5000 + "</article>" for k in range(5)]
+    bare = [f"<h1>Title {k}</h1>" + f"<{tag}>" * 5000 + f"word{k} " * 5000 for k in range(5)]
+    for pages in (deep, bare, deep[:2]):
+        for k, text in enumerate(extract_group(pages)):
+            assert text.split().count(f"word{k}") == 5000
+
+
 def test_tree_matching_is_the_largest():
     from panelkit.llm.htmlx import Slot, match, parse
 
