@@ -11,11 +11,17 @@ so trees are small. Aligned nodes are slots; a slot's text that is the same on
 four fifths of the pages with different titles is *template*, the rest is
 content. Copies of a page count once, so they don't turn content into template.
 
-The content root is the ``article`` or ``main`` element with the most text, else
-the deepest element that holds most of the text in varying slots. Elements that
-are no article text by their tag, role or class (menus, site headers, footers,
-sidebars, notices, adverts, forms, scripts, styles, reader comments) are left
-out; template slots too, but for headings and paragraphs of a marked article.
+The content root is found from the text in varying slots, of the page and of all
+pages of its group: from the top, the walk goes into the element that holds most
+of it, and stops where it would leave several like ones or text of its own
+behind, or at an ``article`` or ``main``. Text inside these counts ``WEIGHT`` times,
+text in elements marked as no article text by their tag, role or class (menus,
+footers, sidebars, notices, adverts, forms, reader comments) half. Marked elements
+are left out, but not one that holds most of the varying text over the pages that
+have it; without a template, not one that holds most of the text and a heading or
+article. What is never shown (scripts, styles, controls) is always left out;
+template slots too, but for headings and paragraphs of an article that stand
+beside varying text.
 
 Null html: empty text. A null or unusual url is a host of its own. A host with
 fewer than ``LEAST_PAGES`` different pages has no template. Repeated ids keep one
@@ -51,16 +57,20 @@ MARKS = frozenset("ad ads adv advert adverts advertisement advertising sponsor s
                   "footer masthead topbar cookie cookies consent gdpr notice notification alert popup modal overlay newsletter subscribe subscription signup login "
                   "comment comments reply replies disqus respond share sharing social related recommended widget pagination pager toolbar search skip".split())
 TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre dd dt td th figcaption".split())
+#: Of SKIP, what may still hold the content; text of an article counts so many times.
+HOLDERS = frozenset("nav footer aside form menu dialog fieldset".split())
+ROWS = frozenset("table thead tbody tfoot tr".split())
+WEIGHT = 4
 SHARE, LEAST_PAGES = 0.8, 4
 #: A group is cut at so many times ``group`` pages.
 MOST_PAGES = 8
 
 
 class Node:
-    __slots__ = ("tag", "label", "skip", "children", "slot", "linked")
+    __slots__ = ("tag", "label", "skip", "soft", "children", "slot", "linked")
 
-    def __init__(self, tag: str, label: str = "", skip: bool = False):
-        self.tag, self.label, self.skip = tag, label or tag, skip
+    def __init__(self, tag: str, label: str = "", skip: bool = False, soft: bool = False):
+        self.tag, self.label, self.skip, self.soft = tag, label or tag, skip, soft
         self.children: list = []
         self.slot = None
 
@@ -82,13 +92,13 @@ class Node:
 
 def make(tag: str, attributes: str) -> Node:
     if not attributes or not attributes.strip(" /"):
-        return Node(tag, tag, tag in SKIP)
+        return Node(tag, tag, tag in SKIP, tag in HOLDERS)
     a = {k.lower(): (x or y or z) for k, x, y, z in ATTRIBUTE.findall(attributes)}
     marks = WORDS.findall(f"{a.get('class', '')} {a.get('id', '')}".lower())
-    skip = (tag in SKIP or a.get("role", "").lower() in ROLES or "hidden" in a or a.get("aria-hidden") == "true"
-            or "display:none" in a.get("style", "").replace(" ", "") or tag not in ("html", "body", "article", "main") and not MARKS.isdisjoint(marks)
+    hard = tag in SKIP - HOLDERS or "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in a.get("style", "").replace(" ", "")
+    soft = (tag in HOLDERS or a.get("role", "").lower() in ROLES or tag not in ("html", "body", "article", "main") and not MARKS.isdisjoint(marks)
             or tag == "article" and not {"comment", "comments", "reply", "related", "ad", "promo", "teaser"}.isdisjoint(marks))
-    return Node(tag, f"{tag}.{a.get('class', '')}", skip)
+    return Node(tag, f"{tag}.{a.get('class', '')}", hard or soft, soft and not hard)
 
 
 def parse(page: str) -> Node:
@@ -133,7 +143,7 @@ def parse(page: str) -> Node:
         if tag in RAW:
             end = RAW[tag].search(page, at)
             at = end.start() if end else len(page)
-            node.skip = True
+            node.skip, node.soft = True, False
         if tag not in VOID:
             stack.append(node)
     if at < len(page):
@@ -226,51 +236,113 @@ def align(page: Slot, reference: Slot, memo: dict) -> None:
                 j -= 1
 
 
-def walk(node: Node):
-    """All shown nodes, in order."""
+def walk(node: Node, marked: bool = False):
+    """All shown nodes, in order; ``marked``: also those left out by their marks."""
     stack = [node]
     while stack:
         n = stack.pop()
-        if not n.skip:
+        if not n.skip or marked and n.soft:
             yield n
             stack += reversed(n.elements())
 
 
 def slot_texts(root: Node) -> set:
-    return {(n.slot, t) for n in walk(root) if n.slot is not None and (t := n.own_text())}
+    return {(n.slot, t) for n in walk(root, True) if n.slot is not None and (t := n.own_text())}
+
 
+def is_article(n: Node) -> bool:
+    return n.tag in ("article", "main") and not n.soft
 
-def text_sizes(root: Node, template: set) -> dict:
-    """Per shown node, by id: ``[varying text, all text, text of links]`` in it."""
+
+def text_sizes(root: Node, template: set, marked: bool = False) -> dict:
+    """Per shown node, by id: ``[weighted varying text, all text, text of links,
+    varying text, articles, headings]`` in it."""
     sizes: dict = {}
-    stack = [(root, None)]
+    stack = [(root, None, 1)]
     order = []
     while stack:
-        n, parent = stack.pop()
+        n, parent, weight = stack.pop()
         order.append((n, parent))
-        text = n.own_text() if n.tag in BLOCK or n.tag == "a" else ""
-        block = len(text) if n.tag in BLOCK else 0
-        sizes[id(n)] = [block if (n.slot, text) not in template else 0, block, len(text) if n.tag == "a" else 0]
-        stack += [(c, n) for c in n.elements() if not c.skip]
+        weight = WEIGHT if is_article(n) else min(weight, 0.5) if n.soft and weight < WEIGHT else weight
+        text = n.own_text() if n.tag in BLOCK or n.tag == "a" or n is root else ""
+        block = len(text) if n.tag in BLOCK or n is root else 0
+        varies = block if (n.slot, text) not in template else 0
+        sizes[id(n)] = [weight * varies, block, len(text) if n.tag == "a" else 0, varies, is_article(n), n.tag == "h1"]
+        stack += [(c, n, weight) for c in n.elements() if not c.skip or marked and c.soft]
     for n, parent in reversed(order):
         if parent is not None:
             sizes[id(parent)] = [x + y for x, y in zip(sizes[id(parent)], sizes[id(n)])]
     return sizes
 
 
-def content_root(root: Node, sizes: dict) -> tuple[Node, bool]:
-    marked = [n for n in walk(root) if n.tag in ("article", "main")]
-    if marked:
-        # the innermost of nested ones that holds all of it
-        most = max(sizes[id(n)][1] for n in marked)
-        if most:
-            return [n for n in marked if sizes[id(n)][1] == most][-1], True
-    node = root
+def unmark(trees: list[Node], template: set) -> None:
+    """Marked elements that hold most of the varying text are shown."""
+    held, whole, found = Counter(), Counter(), []
+    for t in trees:
+        sizes = text_sizes(t, template, True)
+        total = sizes[id(t)][3]
+        soft = [(n, sizes[id(n)]) for n in walk(t, True) if n.soft]
+        for n, size in soft:
+            held[n.slot] += size[3]
+        for slot in {n.slot for n, _ in soft}:
+            whole[slot] += total
+        found.append((total, soft))
+    for total, soft in found:
+        for n, size in soft:
+            if template and n.slot is not None:
+                most = held[n.slot] > 0.5 * whole[n.slot]
+            else:
+                most = size[3] > 0.5 * total and (bool(template) or size[4] + size[5] > 0)
+            if most:
+                n.skip = False
+
+
+def inner_blocks(node: Node):
+    """The outermost block elements in a node."""
+    stack = [*reversed(node.elements())]
+    while stack:
+        n = stack.pop()
+        if not n.skip:
+            if n.tag in BLOCK:
+                yield n
+            else:
+                stack += reversed(n.elements())
+
+
+def content_root(root: Node, sizes: dict, slots: Counter, template: set) -> tuple[Node, bool]:
+    """``slots``: weighted varying text of each slot on all pages."""
+    node, left = root, 0.0
     while True:
-        parts = [(sizes[id(c)][0], c) for c in node.elements() if not c.skip and c.tag in BLOCK and c.tag not in TEXTUAL and c.tag != "header"]
         whole = sizes[id(node)][0]
-        size, child = max(parts, key=lambda p: p[0], default=(0, None))
-        if child is None or size < 0.6 * whole or not size:
+        inner = [*inner_blocks(node)]
+        parts = [c for c in inner if c.tag not in TEXTUAL and c.tag != "header" and sizes[id(c)][0] > 0]
+        if is_article(node):
+            # the innermost of nested ones that holds all of it
+            child = next((c for c in parts if sizes[id(c)][4] and sizes[id(c)][0] == whole), None)
+            if child is None:
+                return node, True
+            node = child
+            continue
+        on_page = Counter()
+        for c in parts:
+            on_page[c.slot] += sizes[id(c)][0]
+
+        def share(c: Node) -> float:
+            own = sizes[id(c)][0] / whole
+            if not template or c.slot is None or node.slot is None or not slots[node.slot]:
+                return own
+            return (own + slots[c.slot] / slots[node.slot] * sizes[id(c)][0] / on_page[c.slot]) / 2
+
+        shares = sorted(((share(c), -k) for k, c in enumerate(parts)), reverse=True)
+        if not shares or shares[0][0] < 0.6:
+            return node, False
+        child = parts[-shares[0][1]]
+        # like ones beside it, and text that stands in the node itself
+        like = any(is_article(c) and is_article(child) or c.label == child.label != c.tag and sizes[id(c)][0] >= 0.1 * whole or s >= 0.25
+                   for s, c in ((s, parts[-k]) for s, k in shares[1:]))
+        text = node.own_text() if node.tag in BLOCK or node is root else ""
+        left += len(text) * ((node.slot, text) not in template) + sum(sizes[id(c)][0] for c in inner if c.tag in TEXTUAL)
+        if like or left > 0.1 * sizes[id(root)][0] or sizes[id(child)][0] < 0.5 * sizes[id(root)][0]:
             return node, False
         node = child
 
@@ -288,9 +360,10 @@ def blocks(root: Node, template: set, marked: bool, sizes: dict) -> list[str]:
         """A list or block whose text is mostly links."""
         return sizes[id(c)][2] > 0.6 * max(sizes[id(c)][1], 1)
 
-    stack = [(iter(root.children), False)]
+    # an article's fixed heading or paragraph stays if its holder has varying text
+    stack = [(iter(root.children), False, marked, root)]
     while stack:
-        children, ends_block = stack[-1]
+        children, ends_block, marked, holder = stack[-1]
         c = next(children, None)
         if c is None:
             stack.pop()
@@ -304,15 +377,17 @@ def blocks(root: Node, template: set, marked: bool, sizes: dict) -> list[str]:
             if c.tag in BLOCK:
                 flush()
         elif c.tag not in BLOCK:
-            stack.append((iter(c.children), False))
+            stack.append((iter(c.children), False, marked, holder))
         else:
             flush()
             if not marked and (c.tag in ("header", "ul", "ol", "div", "table") and is_links(c) or c.tag == "header" and not any(n.tag == "h1" for n in walk(c))):
                 continue
-            if (c.slot, c.own_text()) in template and not (marked and c.tag in TEXTUAL):
-                stack.append((iter([e for e in c.elements() if e.tag in BLOCK and not e.skip]), True))
+            marked = marked or is_article(c)
+            inside = holder if c.tag in TEXTUAL or c.tag in ROWS else c
+            if (c.slot, c.own_text()) in template and not (marked and c.tag in TEXTUAL and sizes[id(holder)][3]):
+                stack.append((inner_blocks(c), True, marked, inside))
             else:
-                stack.append((iter(c.children), True))
+                stack.append((iter(c.children), True, marked, inside))
     flush()
     return out
 
@@ -344,13 +419,23 @@ def extract_group(pages) -> list[str]:
             distinct += 1
             counts.update(texts)
     template = {x for x, n in counts.items() if n >= SHARE * distinct} if distinct >= LEAST_PAGES else set()
+    unmark(there, template)
+    slots, sizes_of = Counter(), {}
+    for t in there:
+        sizes = sizes_of[id(t)] = text_sizes(t, template)
+        for n in walk(t):
+            if n.slot is not None:
+                slots[n.slot] += sizes[id(n)][0]
     out = []
     for t in trees:
         if t is None:
             out.append("")
             continue
-        sizes = text_sizes(t, template)
-        root, marked = content_root(t, sizes)
+        sizes, fixed = sizes_of[id(t)], template
+        if not sizes[id(t)][3]:
+            # nothing varies: a page like the others is all there is
+            sizes, fixed = text_sizes(t, set()), set()
+        root, marked = content_root(t, sizes, slots, fixed)
         out.append("\n".join(blocks(root, template, marked, sizes)))
     return out
 

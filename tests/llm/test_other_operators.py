@@ -71,6 +71,25 @@ def test_deeply_nested_pages(tag):
             assert text.split().count(f"word{k}") == 5000
 
 
+def test_content_root_follows_the_varying_text():
+    from panelkit.llm.htmlx import extract_group
+
+    words = lambda k, what: f"{what} {k} with words that differ on each page, such as w{k * 7} and v{k * 11}"
+    menu = "<ul><li>Share this page</li><li>Print this page</li></ul>"
+    # a mark on what holds the article
+    for wrap in ("<div class='has-sidebar'>", "<div class='content-sidebar-wrap'>", "<div id='search-page'>", "<form class='aspnet'>"):
+        out = extract_group([f"<header>Site</header>{wrap}<article><h1>T {k}</h1><p>{words(k, 'Body')}</p>{menu}</article><div class='sidebar'><p>Links {k}</p></div></div><footer>Foot</footer>" for k in range(8)])
+        assert [t.split("\n") for t in out] == [[f"T {k}", words(k, "Body")] for k in range(8)]
+    # an article tag round a small notice is not the content
+    out = extract_group([f"<article class=box><p>Always the same box</p></article><div class=text><p>{words(k, 'One')}</p><p>{words(k, 'Two')}</p></div>" for k in range(8)])
+    assert out == [f"{words(k, 'One')}\n{words(k, 'Two')}" for k in range(8)]
+    # several of a kind
+    out = extract_group(["<div id=list>" + "".join(f"<article><p>{words(k, w)}</p></article>" for w in ("One", "Two", "Three and much more than the others, as it goes on")) + "</div>" for k in range(8)])
+    assert all(t.count("\n") == 2 and "One" in t and "Two" in t for t in out)
+    # the only page of its host
+    assert words(1, "Body") in extract_group([f"<div class='has-sidebar'><article><p>{words(1, 'Body')}</p></article></div>"])[0]
+
+
 def test_tree_matching_is_the_largest():
     from panelkit.llm.htmlx import Slot, match, parse
 
