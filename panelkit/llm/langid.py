@@ -13,7 +13,9 @@ The fit uses at most ``sample`` texts of each language (those with the least
 hash of their id): the model is bounded by that parameter, so it may be
 broadcast. A fifth of them calibrates instead: a text is *rejected* if its
 cross-entropy is above the worst calibration text of its language by more than
-``slack``, or if it has no letter.
+``slack``, or if it has no letter. A language without a calibration text takes
+the limit of all languages' calibration texts together; without any, no text may
+be worse than evenly drawn characters.
 
 Null or letterless texts: ``und``, score 0, rejected. Null languages teach
 nothing; with no labelled text all is ``und``. Ties go to the language that
@@ -247,9 +249,15 @@ def fit(docs: DataFrame, order: int = 4, sample: int = 1000, slack: float = 0.6,
     model.limit = np.full(len(model.languages), 0.0)
     test = rows[rows["test"].astype(bool)]
     score, chars = Scorer(model)(test["word"].tolist())
+    alone = []
     for k, lang in enumerate(model.languages):
         own = (test["lang"].to_numpy() == lang) & (chars >= 20)
-        model.limit[k] = (-score[own, k] / chars[own]).max() * (1 + slack) if own.any() else np.inf
+        if own.any():
+            model.limit[k] = (-score[own, k] / chars[own]).max() * (1 + slack)
+        else:
+            alone.append(k)
+    if alone:
+        model.limit[alone] = model.limit.max() if len(alone) < len(model.languages) else np.log(CHARACTERS)
     return model
 
 

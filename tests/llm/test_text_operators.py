@@ -345,3 +345,20 @@ def test_lm_word_factor_sums_to_one():
     unknown = sum(weights[f] for f in feats)
     z = np.log(np.exp(flat).sum(1) + np.exp(unknown).sum(1))
     assert np.allclose(flat - z[:, None], logp[:, columns] + np.log(counts + 1))
+
+
+def test_stray_labels_do_not_switch_off_rejection(spark):
+    from panelkit.llm.langid import fit, identify
+
+    rnd = random.Random(5)
+    texts = {"en": "the of and to in is that was for with".split(), "de": "der die und das nicht ein ist von mit auch".split()}
+    rows = [(k, " ".join(rnd.choices(texts[lang], k=40)), lang) for k, lang in enumerate(["en", "de"] * 100)]
+    rows += [(1000 + k, f"zebra quilt {w} xylophone jukebox vortex", "typo") for k, w in enumerate(("one", "two", "six", "ten"))]
+    schema = "doc_id long, text string, lang string"
+    foreign = [(1, "съешь же ещё этих мягких французских булок да выпей чаю " * 4, None), (2, "ξεσκεπάζω την ψυχοφθόρα βδελυγμία και άλλα πράγματα " * 4, None), (3, rows[0][1], None), (4, rows[1][1], None)]
+    model = fit(spark.createDataFrame(rows, schema))
+    assert model.languages == ["de", "en", "typo"] and np.isfinite(model.limit).all()
+    out = {r.doc_id: r.rejected for r in identify(spark.createDataFrame(foreign, schema), model).collect()}
+    assert out == {1: True, 2: True, 3: False, 4: False}
+    few = fit(spark.createDataFrame(rows[-4:], schema))
+    assert np.isfinite(few.limit).all()
