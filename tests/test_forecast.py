@@ -130,3 +130,13 @@ def test_zero_and_ar1_future(spark):
         assert set(g[(g.role == "test") & (g.fold >= 0)]["fold"]) == {0, 1}
     z = r[(r.model == "Zero") & (r.role == "future")]
     np.testing.assert_allclose(z["upper"], 1.959963984540054 * np.std(y))
+
+
+def test_validation_query_covers_every_registered_model(monkeypatch):
+    from panelkit.plans import queries_models as qm
+
+    asked = {}
+    monkeypatch.setattr(qm, "features", lambda spark, sf: None)
+    monkeypatch.setattr(qm, "model_tables", lambda f, cfg, models=tuple(qm.MODEL_REGISTRY): asked.update(models=models) or {"validation_metrics": None})
+    qm.k_model_validation(None, "")
+    assert set(asked["models"]) == set(qm.MODEL_REGISTRY)
