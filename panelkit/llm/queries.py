@@ -101,6 +101,28 @@ def op6_lm_scores(spark, sf_dir):
     return score_texts(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
 
 
+@query
+def op11_source_mixing(spark, sf_dir):
+    from panelkit.llm.mixing import mixture
+
+    out = mixture(table(spark, sf_dir, "documents"), weights=(5, 2, 1), most=3)
+    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
+
+
+@query
+def op12_centroids(spark, sf_dir):
+    from panelkit.llm.centroids import cluster, report
+
+    return report(cluster(table(spark, sf_dir, "embeddings"), k=8, rounds=10, dims=64, scale=1024, seed=3))
+
+
+@query
+def op13_fill_in_middle(spark, sf_dir):
+    from panelkit.llm.fim import digests, pieces, restore
+
+    return digests(restore(pieces(table(spark, sf_dir, "documents"), seed=42, share=50, spm_share=80)))
+
+
 ORACLES["op2_substring_dedup"] = r"""
 WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
 p AS (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 49)) AS p FROM w WHERE len(ws) >= 50),
@@ -121,6 +143,48 @@ n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
 SELECT e.vec_id, CAST(coalesce(n.n_links, 0) AS BIGINT) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
 FROM embeddings e JOIN c ON c.node = e.vec_id LEFT JOIN n ON n.a = e.vec_id"""
 
+ORACLES["op11_source_mixing"] = r"""
+WITH RECURSIVE d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+  CAST(CAST('0x' || substr(sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), 'text:' || coalesce(text, ''))), 1, 13) AS BIGINT) AS DOUBLE) / CAST(4503599627370496 AS DOUBLE) AS draw FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w FROM d GROUP BY source),
+r(k, words, weight) AS (SELECT 0, CAST(sum(source_size) AS HUGEINT), CAST(sum(w) AS HUGEINT) FROM s
+  UNION ALL
+  SELECT k + 1, CAST(sum(CASE WHEN 3 * source_size * weight <= w * words THEN -2 * source_size ELSE source_size END) AS HUGEINT),
+    CAST(sum(CASE WHEN 3 * source_size * weight <= w * words THEN 0 ELSE w END) AS HUGEINT) FROM r, s WHERE k < 60 AND weight > 0 GROUP BY k),
+e AS (SELECT arg_max(words, k) AS words, arg_max(weight, k) AS weight FROM r WHERE weight > 0),
+t AS (SELECT source, source_size, CASE WHEN 3 * source_size * weight <= w * words THEN CAST(3 * source_size AS DOUBLE) ELSE CAST(w AS DOUBLE) * CAST(words AS DOUBLE) / CAST(weight AS DOUBLE) END AS target FROM s, e),
+u AS (SELECT *, least(coalesce(target / nullif(CAST(source_size AS DOUBLE), 0), 0), 3) AS rate FROM t)
+SELECT doc_id, size, source_size, target, size * c AS taken, CAST(c AS INTEGER) AS copies FROM (
+  SELECT d.*, source_size, target, CAST(floor(rate) AS BIGINT) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END AS c FROM d JOIN u ON d.source IS NOT DISTINCT FROM u.source)"""
+
+_ROUND = """
+g{n} AS MATERIALIZED (SELECT id, d, c FROM (SELECT x.id, m.c, sum((x.x - m.x) * (x.x - m.x)) AS d, row_number() OVER (PARTITION BY x.id ORDER BY sum((x.x - m.x) * (x.x - m.x)), m.c) AS p
+  FROM x JOIN m{n} m USING (i) GROUP BY x.id, m.c) WHERE p = 1)"""
+_MOVE = """,
+m{to} AS MATERIALIZED (SELECT m.c, m.i, coalesce(s.x, m.x) AS x FROM m{n} m LEFT JOIN (
+  SELECT g.c, x.i, CAST((sum(x.x) - ((sum(x.x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS x FROM g{n} g JOIN x USING (id) GROUP BY g.c, x.i) s ON s.c = m.c AND s.i = m.i),"""
+ORACLES["op12_centroids"] = """
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS id, vec_id, list_transform(embedding, lambda y: CAST(floor(1024 * CAST(y AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y) OR abs(y) > 131072)) = 0),
+x AS MATERIALIZED (SELECT id, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM v),
+m0 AS MATERIALIZED (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, v) - 1 AS c, v FROM v) WHERE c < 8),""" + "".join(
+    _ROUND.format(n=n) + (_MOVE.format(n=n, to=n + 1) if n < 10 else "") for n in range(11)) + """
+SELECT v.vec_id, CAST(g.c AS INTEGER) AS cluster, CAST(g.d AS BIGINT) AS distance, CAST(sum(g.d) OVER (PARTITION BY g.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(g.d) OVER () AS BIGINT) AS inertia, h.h AS centroid_sha256
+FROM v JOIN g10 g USING (id) JOIN (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS h FROM m10 GROUP BY c) h ON h.c = g.c"""
+
+ORACLES["op13_fill_in_middle"] = r"""
+WITH u AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+  sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+n AS (SELECT *, CAST(len(u) AS BIGINT) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(u) + 1) AS a, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(u) + 1) AS b,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 50 THEN 'plain'
+    WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, array_to_string(u[1:least(a, b)], '') AS prefix, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS middle, array_to_string(u[greatest(a, b) + 1:], '') AS suffix FROM n)
+SELECT doc_id, n, form, CAST(CASE WHEN form <> 'plain' THEN length(prefix) END AS BIGINT) AS prefix_chars, CAST(CASE WHEN form <> 'plain' THEN length(middle) END AS BIGINT) AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(CASE form WHEN 'plain' THEN text ELSE prefix || middle || suffix END) AS restored_sha256
+FROM p"""
 
 
 def all_queries() -> dict:
