@@ -3,8 +3,10 @@
 A stage takes ``(spark, docs, sf_dir)`` and works on all rows of ``docs``; its
 result is written as Parquet in the shared folder and read again as the next
 stage's ``docs``. All but the last return the columns of ``documents`` (and
-whatever other columns came in); the last adds the encoding. Rows with a null
-id pass the near-duplicate stage, which can't name them.
+whatever other columns came in); the last adds the encoding. An empty table goes
+through as one. Ids may repeat or be null: the stages on single texts treat each
+row by itself, near_duplicates says what it does with them, and substring_dedup
+takes a null id as the last one and removes nothing between rows of one id.
 """
 
 from __future__ import annotations
@@ -36,13 +38,20 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the least id: shingles of
-    three words, three bits."""
+    """One row of each group stays, the one with the least id (null last), then the
+    least text hash: shingles of three words, three bits. Rows are told apart by id
+    and text together, so rows of one id with different texts stand for themselves,
+    rows without id are deduplicated like others, and of rows equal in both one stays."""
     from panelkit.llm import simhash
 
-    groups = simhash.near_duplicates(docs, shingle=3, max_bits=3)
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    row = F.xxhash64("doc_id", "text").alias("row")
+    groups = simhash.near_duplicates(docs.select(row, "text"), shingle=3, max_bits=3, id_col="row").select("row", "component_id").distinct()
+    rows = docs.select("doc_id", row).groupBy("row").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("first"), F.count("*").alias("n"))
+    least = rows.join(groups, "row").groupBy("component_id").agg(F.min(F.struct("first", "row", "n")).alias("x"))
+    keep = least.select(F.col("x.row").alias("row"), F.col("x.n").alias("n")).distinct()
+    kept = _packed(docs).select("doc_id", "text", ROW, row).join(keep, "row")
+    once = kept.where("n = 1").unionByName(kept.where("n > 1").dropDuplicates(["doc_id", "text"]))
+    return _unpacked(once, docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
