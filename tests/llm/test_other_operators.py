@@ -181,8 +181,37 @@ def test_pipeline_stages(spark):
     assert p.run(spark, sf).count() > 0
 
 
+def test_near_duplicates_keeps_one_row_of_each_group(spark):
+    import corpus_pipeline as p
+
+    rnd = random.Random(4)
+    text = lambda: " ".join(f"w{rnd.randrange(10**6)}" for _ in range(60))
+    a, b, c, d, e = (text() for _ in range(5))
+    rows = [(1, a, "x"), (2, a, "x"), (2, b, "x"), (3, c, "x"), (3, c, "x"), (3, c, "other source"), (None, d, "x"), (None, d, "x"), (None, a, "x"), (5, d, "x"),
+            (None, e, "x"), (7, None, "x"), (8, "", "x"), (9, " ", "x"), (4, a.upper(), "x")]
+    # (names that clash with those the stage uses; the rows' count is that of components, not of ids)
+    docs = spark.createDataFrame([(i, t, "en", s, 1, 2, 3) for i, t, s in rows], "doc_id long, text string, lang string, source string, n long, row int, component_id int")
+    out = p.near_duplicates(spark, docs, "")
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert out.columns == docs.columns and got == sorted([(1, a), (2, b), (3, c), (5, d), (None, e), (7, None)], key=str)
+
+
+def test_stages_of_an_empty_table_and_clashing_names(spark):
+    import corpus_pipeline as p
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    names = ("fp", "row", "n_words", "kept", "matches", "score", "entropy")
+    wide = docs.limit(40).select("*", *[(docs.doc_id + k).alias(n) for k, n in enumerate(names)])
+    for name, stage in p.STAGES:
+        few = wide.where("lang = 'none'") if name != "language_id" else docs.where("false")
+        assert stage(spark, few, sf).count() == 0
+        out = stage(spark, wide, sf)
+        assert out.columns[:len(wide.columns)] == wide.columns and out.where("row <> doc_id + 1").count() == 0
+
+
 def test_registry():
     import __spark_entry__ as e
 
     names = [q for q in e.queries() if q.startswith("op")]
-    assert sorted({int(q[2:].split("_")[0]) for q in names}) == list(range(1, 11)) and "pipeline" in e.queries()
+    assert sorted({int(q[2:].split("_")[0]) for q in names}) == list(range(1, 14)) and "pipeline" in e.queries()
