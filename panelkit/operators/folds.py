@@ -7,7 +7,7 @@ is a (entity, fold) group inside the panel's entity partitioning.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.functions.scalar import label_from_index
@@ -48,6 +48,22 @@ def walk_forward(series: DataFrame, n_splits: int = 5, horizon: int | None = 12)
                     F.when(F.col("role") == "test", F.col("_step")).cast("int").alias("step"))
 
 
+def fold_slots(n_splits: int = 5, horizon: int | None = 12, test_size: float = 0.2, full: bool = True,
+               cv: bool = True, hold: bool = False) -> list[tuple[int, Column, Column, Column]]:
+    """The same folds as positions instead of labelled rows: ``(fold, stop, last, valid)`` as
+    expressions over ``n``. A fold trains on i < stop and tests stop <= i < last, so what it
+    needs of the past is one look-up at stop - 1. The full fit (-2) tests nothing."""
+    n = F.col("n").cast("int")
+    slots = [(-2, n, n, F.lit(True))] if full else []
+    if hold:
+        slots.append((-1, F.floor(n * F.lit(1.0 - test_size)).cast("int"), n, F.lit(True)))
+    if cv:
+        size = (n / (n_splits + 1)).cast("int")
+        take = size if horizon is None else F.least(size, F.lit(horizon))
+        slots += [(f, n - (n_splits - f) * size, n - (n_splits - f) * size + take, (size >= 1) & (take >= 2)) for f in range(n_splits)]
+    return slots
+
+
 def future_dates(last: DataFrame, freq: str, horizon: int) -> DataFrame:
     """``horizon`` bin labels after each entity's last bin (excluded).
     ``last`` has entity and last_idx."""

@@ -82,6 +82,60 @@ def ar1_forecast(series: DataFrame, horizon: int = 12) -> DataFrame:
                     F.lit(None).cast("double").alias("y"), mean.alias("yhat"), lo.alias("lower"), hi.alias("upper"))
 
 
+def ar1_jobs(series: DataFrame, slots: list, horizon: int = 12) -> DataFrame:
+    """PRED rows of every fold of ``folds.fold_slots`` from one pass over ``series``
+    (entity, i, y, n): in-sample and future rows of the full fit, test rows of the others.
+
+    The cross-moments of (previous value, value) are running sums over the entity. A fold's
+    moments are the sums at its last train row, so another fold costs a look-up, not a
+    refit: one exchange by entity and one sort, whatever the number of folds. Values are
+    taken relative to the first one, which leaves a constant series without variance."""
+    w = Window.partitionBy("entity").orderBy("i")
+    run, part = w.rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy("entity")
+    s = series.select("entity", "i", "y", "n", F.first("y").over(w).alias("y0"), F.lag("y").over(w).alias("ylag"))
+    u, v = F.col("y") - F.col("y0"), F.col("ylag") - F.col("y0")
+    paired = F.col("ylag").isNotNull()
+    sums = {"np": F.count("ylag"), "s1": F.sum(u), "sv": F.sum(v), "su": F.sum(F.when(paired, u)), "svv": F.sum(v * v),
+            "suv": F.sum(u * v), "suu": F.sum(F.when(paired, u * u))}
+    s = s.select("*", F.struct(*[e.over(run).alias(c) for c, e in sums.items()], F.col("y").alias("y_last")).alias("m"))
+    at = {f: F.first(F.when(valid & (F.col("i") == stop - 1), F.col("m")), True).over(part) for f, stop, _, valid in slots}
+    s = s.select("*", *[m.alias(f"m{f}") for f, m in at.items()])
+
+    def entry(role, fold, step, m):
+        return F.struct(F.lit(role).alias("role"), F.lit(fold).alias("fold"), step.cast("int").alias("step"), m.alias("m"))
+
+    none = F.array().cast(f"array<struct<role:string,fold:int,step:int,m:{s.schema['m'].dataType.simpleString()}>>")
+    entries = []
+    for fold, stop, last, valid in slots:
+        m = F.col(f"`m{fold}`")
+        if fold == -2:
+            entries.append(F.when(paired, F.array(entry("insample", fold, F.lit(None), m))).otherwise(none))
+            steps = F.transform(F.sequence(F.lit(1), F.lit(horizon)), lambda k: entry("future", -2, k, F.col("`m-2`")))
+            entries.append(F.when(F.col("i") == F.col("n") - 1, steps).otherwise(none))
+        else:
+            tested = valid & (F.col("i") >= stop) & (F.col("i") < last)
+            entries.append(F.when(tested, F.array(entry("test", fold, F.col("i") - stop + 1, m))).otherwise(none))
+    x = s.select("entity", "i", "y", "y0", "ylag", F.explode(F.concat(*entries)).alias("x")).select(
+        "entity", "i", "y", "y0", "ylag", "x.role", "x.fold", "x.step", "x.m.*")
+    n_pairs = F.col("np")
+    sxx = F.col("svv") - F.col("sv") * F.try_divide("sv", n_pairs)
+    sxy = F.col("suv") - F.col("sv") * F.try_divide("su", n_pairs)
+    x = x.select("*", F.when(sxx > 0, sxy / sxx).alias("_phi"))
+    trained = n_pairs + 1  # the first value has no pair
+    c = F.when(F.col("_phi").isNull(), F.col("s1") / trained).otherwise(F.try_divide(F.col("su") - F.col("_phi") * F.col("sv"), n_pairs))
+    x = x.select("*", F.coalesce("_phi", F.lit(0.0)).alias("phi"), c.alias("cu"))
+    ssr = (F.col("suu") - 2 * F.col("cu") * F.col("su") - 2 * F.col("phi") * F.col("suv") + n_pairs * F.col("cu") * F.col("cu")
+           + 2 * F.col("cu") * F.col("phi") * F.col("sv") + F.col("phi") * F.col("phi") * F.col("svv"))
+    sigma = F.sqrt(F.greatest(ssr, F.lit(0.0)) / F.greatest(n_pairs - 2, F.lit(1)))
+    x = x.select("*", F.when(n_pairs > 0, sigma).alias("sigma"), (F.col("cu") + F.col("y0") * (1 - F.col("phi"))).alias("c"))
+    mean, lo, hi = ar1_path(F.col("step"), F.col("phi"), F.col("c"), F.col("y_last"), F.col("sigma"))
+    ins, future = F.col("role") == "insample", F.col("role") == "future"
+    return x.select("entity", F.lit("AR1").alias("model"), "fold", "role", "step",
+                    F.when(future, F.col("i") + F.col("step")).otherwise(F.col("i")).cast("int").alias("i"),
+                    F.when(~future, F.col("y")).alias("y"), F.when(ins, F.col("c") + F.col("phi") * F.col("ylag")).otherwise(mean).alias("yhat"),
+                    F.when(~ins, lo).alias("lower"), F.when(~ins, hi).alias("upper"))
+
+
 def zero_predict(rows: DataFrame) -> DataFrame:
     """Naive baseline for a returns target: a zero return (price unchanged),
     95 % band from the train std. Test rows and in-sample rows."""

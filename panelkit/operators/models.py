@@ -1,19 +1,16 @@
-"""Per-series forecasting models run as grouped maps (M1, M2, M5, M6, M8).
+"""The seasonal ARIMA job as a grouped map (M1, M5, M6, M8).
 
 The unit of parallelism is one (entity, fold) group: one series, bounded by
 the calendar span after resampling, so a task never holds more than one
-series. Inside the group, NumPy least squares does the fit. Every model
-returns the shared PRED schema plus its fit summary columns; a failure in
-one group becomes an ``error`` value on that group's row (M5 isolation).
-
-Models (fixed public methods, no external solvers):
-* ``ARIMA``: ARMA(p, q) on the series (differenced once when ADF does not
-  reject a unit root), optional seasonal AR term at lag P when n >= 2P;
-  Hannan-Rissanen two-stage least squares, order by AIC over p, q <= 5;
-  95 % interval from psi weights.
-* ``Trend``: piecewise-linear trend (25 changepoints over the first 80 % of
-  the history) + yearly Fourier terms (order 10, period 365.25 days), ridge
-  least squares; interval from the in-sample residual std.
+series. Inside the group, NumPy least squares does the fit. The result is the
+shared PRED schema plus fit summary columns; a failure in one group becomes
+an ``error`` value on that group's row (M5 isolation).
+
+ARMA(p, q) on the series (differenced once when ADF does not reject a unit
+root), optional seasonal AR term at lag P when n >= 2P; Hannan-Rissanen
+two-stage least squares, order by AIC over p, q <= 5; 95 % interval from psi
+weights. The other models need no grouped map: ``trend``, ``gbt`` and
+``forecast``.
 """
 
 from __future__ import annotations
@@ -164,46 +161,6 @@ def _arima_fit(train: pd.DataFrame, test: pd.DataFrame, steps: np.ndarray, perio
     return path[steps - 1], se[steps - 1], fitted, meta
 
 
-# ----------------------------------------------------------------- trend + yearly season
-def _trend_design(t_days, t0, t1, cps, order=10, year=365.25):
-    ts = (t_days - t0) / max(t1 - t0, 1e-9)
-    cols = [np.ones_like(ts), ts]
-    cols += [np.maximum(ts - c, 0.0) for c in cps]
-    for k in range(1, order + 1):
-        ang = 2 * np.pi * k * t_days / year
-        cols += [np.sin(ang), np.cos(ang)]
-    return np.column_stack(cols)
-
-
-def trend_fit_predict(t_days: np.ndarray, y: np.ndarray, t_new: np.ndarray, n_cp: int = 25,
-                      cp_range: float = 0.8, order: int = 10, cp_penalty: float = 1.0,
-                      season_penalty: float = 0.01):
-    n = len(y)
-    t0, t1 = float(t_days[0]), float(t_days[-1])
-    hist = max(int(math.floor(n * cp_range)), 1)
-    idx = np.unique(np.round(np.linspace(0, hist - 1, n_cp + 1)).astype(int))[1:]
-    cps = (t_days[idx] - t0) / max(t1 - t0, 1e-9) if len(idx) else np.array([])
-    X = _trend_design(t_days, t0, t1, cps, order)
-    scale = float(np.max(np.abs(y))) or 1.0
-    ys = y / scale
-    pen = np.zeros(X.shape[1])
-    pen[2:2 + len(cps)] = cp_penalty
-    pen[2 + len(cps):] = season_penalty
-    A = X.T @ X + np.diag(pen)
-    beta = np.linalg.solve(A, X.T @ ys)
-    fitted = (X @ beta) * scale
-    resid_sd = float(np.std(y - fitted))
-    pred = (_trend_design(t_new, t0, t1, cps, order) @ beta) * scale
-    return fitted, pred, resid_sd
-
-
-def _trend_fit(train: pd.DataFrame, test: pd.DataFrame, steps: np.ndarray, step_days: float):
-    t = train["t"].to_numpy(dtype=float)
-    t_new = test["t"].to_numpy(dtype=float) if len(test) else t[-1] + step_days * steps
-    fitted, pred, sd = trend_fit_predict(t, train["y"].to_numpy(dtype=float), t_new)
-    return pred, np.full(len(pred), sd), fitted, dict(spec="trend+yearly(10)", aic=None, bic=None, sigma=sd)
-
-
 # ----------------------------------------------------------------- one (entity, fold) group
 def _fit_group(pdf: pd.DataFrame, model: str, horizon: int, fit) -> pd.DataFrame:
     """PRED rows of one group. ``fit(train, test, steps)`` gives the predictions of
@@ -249,13 +206,6 @@ def run_arima(rows: DataFrame, horizon: int = 12, period: int = 52, d: int | Non
     return model_rows(rows).groupBy("entity", "fold").applyInPandas(fn, OUT_SCHEMA)
 
 
-def run_trend(rows: DataFrame, horizon: int = 12, step_days: float = 7.0) -> DataFrame:
-    """M2: trend + yearly seasonality per (entity, fold)."""
-    def fn(pdf):
-        return _fit_group(pdf, "Trend", horizon, lambda *a: _trend_fit(*a, step_days))
-    return model_rows(rows).groupBy("entity", "fold").applyInPandas(fn, OUT_SCHEMA)
-
-
 def full_rows(series: DataFrame) -> DataFrame:
     """The whole series as training rows of the full fit (fold -2)."""
     return series.select("*", F.lit(-2).alias("fold"), F.lit("train").alias("role"),

@@ -13,17 +13,30 @@ from panelkit.plans.sqlref import features_ctes
 SER = """ser AS (SELECT entity, idx, ts, CAST(row_number() OVER (PARTITION BY entity ORDER BY idx) - 1 AS INTEGER) AS i,
                  returns AS y, count(*) OVER (PARTITION BY entity) AS n FROM feats WHERE returns IS NOT NULL)"""
 
-FOLDS = """fg AS (SELECT s.*, g.fold, n // 6 AS fold_size, least(n // 6, 12) AS take
+def folds_cte(name: str = "rws") -> str:
+    """The labelled rows of the walk-forward folds."""
+    return f"""fg AS (SELECT s.*, g.fold, n // 6 AS fold_size, least(n // 6, 12) AS take
        FROM ser s CROSS JOIN (SELECT CAST(unnest(generate_series(0, 4)) AS INTEGER) AS fold) g WHERE n >= 6),
 fr AS (SELECT *, CASE WHEN i < n - (5 - fold) * fold_size THEN 'train'
                       WHEN i < n - (5 - fold) * fold_size + take THEN 'test' END AS role,
               i - (n - (5 - fold) * fold_size) + 1 AS step0 FROM fg),
-rws AS (SELECT entity, idx, ts, i, y, n, fold, role, CAST(CASE WHEN role = 'test' THEN step0 END AS INTEGER) AS step
+{name} AS (SELECT entity, idx, ts, i, y, n, fold, role, CAST(CASE WHEN role = 'test' THEN step0 END AS INTEGER) AS step
         FROM fr WHERE role IS NOT NULL AND take >= 2 AND fold_size >= 1)"""
 
-HOLD = """rws AS (SELECT *, -1 AS fold, CASE WHEN i < CAST(floor(n * 0.8) AS INTEGER) THEN 'train' ELSE 'test' END AS role,
+
+def hold_cte(name: str = "rws") -> str:
+    """The labelled rows of the hold-out."""
+    return f"""{name} AS (SELECT *, -1 AS fold, CASE WHEN i < CAST(floor(n * 0.8) AS INTEGER) THEN 'train' ELSE 'test' END AS role,
                 CASE WHEN i >= CAST(floor(n * 0.8) AS INTEGER) THEN i - CAST(floor(n * 0.8) AS INTEGER) + 1 END AS step FROM ser)"""
 
+
+def full_cte(name: str = "rws") -> str:
+    """The rows of the full fit."""
+    return f"""{name} AS (SELECT *, -2 AS fold, 'train' AS role, CAST(NULL AS INTEGER) AS step FROM ser)"""
+
+
+FOLDS, HOLD, FULL = folds_cte(), hold_cte(), full_cte()
+
 AR = """l AS (SELECT *, CASE WHEN role = 'train' THEN lag(y) OVER (PARTITION BY entity, fold ORDER BY i) END AS ylag FROM rws),
 f1 AS (SELECT *, regr_slope(CASE WHEN role = 'train' THEN y END, ylag) OVER p AS phi0,
                  regr_intercept(CASE WHEN role = 'train' THEN y END, ylag) OVER p AS c0,
@@ -43,15 +56,15 @@ pred AS (SELECT entity, 'AR1' AS model, fold, 'test' AS role, step, i, y,
          SELECT entity, 'AR1', fold, 'insample', NULL, i, y, c + phi * ylag FROM f4 WHERE role = 'train' AND ylag IS NOT NULL)"""
 
 
-def METRICS(src, keys, variant="abs"):
+def METRICS(src, keys, variant="abs", names=("mt0", "mt")):
     ape = ("abs((y - yhat) / (abs(y) + 1e-10))" if variant == "abs"
            else "abs((y - yhat) / CASE WHEN y <> 0 THEN y ELSE 1e-10 END)")
     k = ", ".join(keys)
-    return f"""mt0 AS (SELECT {k}, y, y - yhat AS e, {ape} AS ape, 2.0 * abs(y - yhat) / (abs(y) + abs(yhat) + 1e-10) AS sm,
+    return f"""{names[0]} AS (SELECT {k}, y, y - yhat AS e, {ape} AS ape, 2.0 * abs(y - yhat) / (abs(y) + abs(yhat) + 1e-10) AS sm,
                  avg(y) OVER (PARTITION BY {k}) AS ym FROM {src} WHERE y IS NOT NULL AND yhat IS NOT NULL),
-mt AS (SELECT {k}, sqrt(avg(e * e)) AS rmse, avg(abs(e)) AS mae, avg(ape) * 100 AS mape, avg(sm) * 100 AS smape,
+{names[1]} AS (SELECT {k}, sqrt(avg(e * e)) AS rmse, avg(abs(e)) AS mae, avg(ape) * 100 AS mape, avg(sm) * 100 AS smape,
               1 - sum(e * e) / (sum((y - ym) * (y - ym)) + 1e-10) AS r2, stddev_pop(e) AS residual_std, count(*) AS n
-       FROM mt0 GROUP BY {k})"""
+       FROM {names[0]} GROUP BY {k})"""
 
 
 def _with(*ctes):
@@ -103,10 +116,8 @@ def p_future_dates(spark, sf):
     scale=9, overrides={"cv_mape": "s10", "cv_mape_std": "s10"})
 def m_ar1_cv(spark, sf):
     """Walk-forward CV of the AR(1) baseline (fold mean and population std)."""
-    rows = fo.walk_forward(_series(spark, sf), 5, 12)
-    pred = fc.ar1_predict(rows)
-    fm = fc.error_metrics(pred.where(F.col("role") == "test"), ("entity", "model", "fold"))
-    return fc.cv_summary(fm)
+    pred = fc.ar1_jobs(_series(spark, sf), fo.fold_slots(5, 12, full=False))
+    return fc.cv_summary(fc.error_metrics(pred, ("entity", "model", "fold")))
 
 
 HOLDOUT_SQL_CTES = (SER, HOLD, AR, METRICS("(SELECT * FROM pred WHERE role = 'test')", ["entity", "model", "fold"], "signed"),
@@ -133,9 +144,6 @@ def a_macro_average(spark, sf):
     return fc.macro_average(fc.holdout_report(fc.ar1_predict(rows), rows))
 
 
-FULL = """rws AS (SELECT *, -2 AS fold, 'train' AS role, CAST(NULL AS INTEGER) AS step FROM ser)"""
-
-
 @register("g_insample_metrics", _with(SER, FULL, AR, METRICS("(SELECT * FROM pred WHERE role = 'insample')", ["entity", "model"]))
     + final("mt", "entity model rmse:9 mae:9 mape:s10 smape:s10 r2:9 residual_std:9 n"),
     scale=9, overrides={"mape": "s10", "smape": "s10"})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,7 +13,8 @@ from panelkit.operators import folds as fo
 from panelkit.operators import forecast as fc
 from panelkit.operators import stattests as st
 from panelkit.operators.gbt import run_gbt
-from panelkit.operators.models import full_rows, run_arima, run_trend
+from panelkit.operators.models import full_rows, run_arima
+from panelkit.operators.trend import run_trend
 from panelkit.plans.catalog import final, register
 from panelkit.plans.queries_core import W, features
 from panelkit.session import checkpoint_dir
@@ -25,22 +28,43 @@ def _with_fit_cols(df: DataFrame) -> DataFrame:
     return df.select("*", *[F.lit(None).cast(t).alias(c) for c, t in _FIT_COLS if c not in df.columns])
 
 
-def _ar1(rows: DataFrame, cfg: PanelConfig) -> DataFrame:
-    full = rows.where(F.col("fold") == -2).select("entity", "i", "y")
-    return fc.ar1_predict(rows).unionByName(fc.ar1_forecast(full, cfg.horizon))
+@dataclass(frozen=True)
+class Labelled:
+    """The folds a model job runs over: the series, the full fit (fold -2), and if asked
+    the walk-forward folds and the hold-out (fold -1)."""
+    series: DataFrame
+    cfg: PanelConfig
+    cv: bool = True
+    holdout: bool = False
+
+    @property
+    def slots(self) -> list:
+        """The folds as positions, for jobs that look running sums up."""
+        return fo.fold_slots(self.cfg.cv_folds, self.cfg.horizon, self.cfg.test_size, True, self.cv, self.holdout)
+
+    @property
+    def rows(self) -> DataFrame:
+        """The folds as labelled rows, one copy per fold, for jobs that fit each anew."""
+        out = full_rows(self.series)
+        if self.cv:
+            out = out.unionByName(fo.walk_forward(self.series, self.cfg.cv_folds, self.cfg.horizon))
+        return out.unionByName(fo.holdout(self.series, self.cfg.test_size)) if self.holdout else out
+
+    def checkpoint(self) -> Labelled:
+        checkpoint_dir(self.series.sparkSession)
+        return replace(self, series=self.series.checkpoint(eager=True))
 
 
-def _zero(rows: DataFrame, cfg: PanelConfig) -> DataFrame:
-    full = rows.where(F.col("fold") == -2).select("entity", "i", "y")
-    return fc.zero_predict(rows).unionByName(fc.zero_forecast(full, cfg.horizon))
+def _zero(folds: Labelled, cfg: PanelConfig) -> DataFrame:
+    return fc.zero_predict(folds.rows).unionByName(fc.zero_forecast(folds.series, cfg.horizon))
 
 
-# M5: model registry, name -> job over labelled rows (one PRED table each)
+# M5: model registry, name -> job over the folds (one PRED table each)
 MODEL_REGISTRY = {
-    "ARIMA": lambda rows, cfg: run_arima(rows, cfg.horizon, cfg.seasonal_period),
-    "Trend": lambda rows, cfg: run_trend(rows, cfg.horizon, cfg.step_days),
-    "GBT": lambda rows, cfg: run_gbt(rows, cfg.horizon, cfg.lookback),
-    "AR1": _ar1,
+    "ARIMA": lambda folds, cfg: run_arima(folds.rows, cfg.horizon, cfg.seasonal_period),
+    "Trend": lambda folds, cfg: run_trend(folds.series, folds.slots, cfg.horizon, cfg.step_days),
+    "GBT": lambda folds, cfg: run_gbt(folds.rows, cfg.horizon, cfg.lookback),
+    "AR1": lambda folds, cfg: fc.ar1_jobs(folds.series, folds.slots, cfg.horizon),
     "Zero": _zero,
 }
 
@@ -49,20 +73,19 @@ def _series(spark, sf):
     return fo.target_series(features(spark, sf), "returns")
 
 
-def labelled_rows(series: DataFrame, cfg: PanelConfig, holdout: bool = False) -> DataFrame:
-    """Full fit (fold -2), ``cv_folds`` walk-forward folds and, if asked, the hold-out (fold -1)."""
-    rows = full_rows(series).unionByName(fo.walk_forward(series, cfg.cv_folds, cfg.horizon))
-    return rows.unionByName(fo.holdout(series, cfg.test_size)) if holdout else rows
+def labelled_rows(series: DataFrame, cfg: PanelConfig, holdout: bool = False, cv: bool = True) -> Labelled:
+    """Full fit (fold -2), ``cv_folds`` walk-forward folds unless declined and, if asked, the hold-out (fold -1)."""
+    return Labelled(series, cfg, cv, holdout)
 
 
-def model_jobs(rows: DataFrame, cfg: PanelConfig = W, models=tuple(MODEL_REGISTRY)) -> DataFrame:
+def model_jobs(folds: Labelled, cfg: PanelConfig = W, models=tuple(MODEL_REGISTRY)) -> DataFrame:
     """Every model over ``labelled_rows``, as one long PRED table (plus fit columns)."""
     unknown = [m for m in models if m not in MODEL_REGISTRY]
     if unknown:
         raise ValueError(f"models not registered: {unknown}; available: {sorted(MODEL_REGISTRY)}")
     out = None
     for m in models:
-        r = _with_fit_cols(MODEL_REGISTRY[m](rows, cfg))
+        r = _with_fit_cols(MODEL_REGISTRY[m](folds, cfg))
         out = r if out is None else out.unionByName(r)
     return out
 
@@ -83,11 +106,11 @@ def model_tables(features: DataFrame, cfg: PanelConfig, models=tuple(MODEL_REGIS
     comparison, summary, forecasts with dates, price paths and their change,
     hold-out + walk-forward validation and its macro average, residuals."""
     checkpoint_dir(features.sparkSession)
-    series = fo.target_series(features, "returns")
-    rows = labelled_rows(series, cfg, holdout=True).checkpoint(eager=True)
-    pred = model_jobs(rows, cfg, models).checkpoint(eager=True)
+    folds = labelled_rows(fo.target_series(features, "returns"), cfg, holdout=True).checkpoint()
+    series = folds.series
+    pred = model_jobs(folds, cfg, models).checkpoint(eager=True)
     forecasts, prices = forecast_tables(features, pred, cfg)
-    valid = fc.validation(pred, rows)
+    valid = fc.validation(pred, fo.holdout(series, cfg.test_size))
     t = {
         "model_comparison": comparison(pred),
         "forecasts": forecasts,
@@ -117,14 +140,88 @@ def m1_arima_forecast(spark, sf):
     return r.where(F.col("role").isin("future", "error")).drop("y", "fit_time_s")  # a time differs at every run
 
 
-@register("m2_trend_forecast")
+def _trend_ctes() -> str:
+    """The trend fit by brute force, from labelled rows ``rws``: the design written out row
+    by row for each fold, its full moment matrix by a self-join, Gauss-Jordan elimination
+    as a recursion over the columns. Ends with ``tp``, the PRED rows."""
+    key = "entity, fold"
+    design = "SELECT p.entity, p.fold, p.role, p.i, p.y"
+    return f"""tt AS (SELECT entity, fold, role, step, i, y, CAST(datediff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS DOUBLE) AS t FROM rws),
+fx AS (SELECT {key}, count(*) AS n, min(t) AS t0, max(t) AS t1, greatest(CAST(floor(count(*) * 0.8) AS INTEGER), 1) AS hist
+       FROM tt WHERE role = 'train' GROUP BY ALL HAVING count(*) >= 10),
+cp AS (SELECT DISTINCT {key}, CAST(round_even(j * (hist - 1) / 25.0, 0) AS INTEGER) AS pos FROM fx CROSS JOIN (SELECT unnest(generate_series(1, 25)) AS j)),
+cq AS (SELECT {key}, row_number() OVER (PARTITION BY {key} ORDER BY pos) AS j, (tt.t - t0) / (t1 - t0) AS c
+       FROM cp JOIN tt USING ({key}) JOIN fx USING ({key}) WHERE pos > 0 AND tt.i = pos),
+pt AS (SELECT tt.*, (t - t0) / (t1 - t0) AS x FROM tt JOIN fx USING ({key}) UNION ALL
+       SELECT {key}, 'future', CAST(step AS INTEGER), CAST(n - 1 + step AS INTEGER), NULL, t1 + 7 * step, (t1 + 7 * step - t0) / (t1 - t0)
+       FROM fx CROSS JOIN (SELECT unnest(generate_series(1, 12)) AS step) WHERE fold = -2),
+dz AS ({design}, 0 AS o, 1.0 AS v FROM pt p UNION ALL {design}, 1, x FROM pt p
+  UNION ALL {design}, 1 + j, greatest(x - c, 0) FROM pt p JOIN cq USING ({key})
+  UNION ALL {design}, 100 + k, sin(2 * pi() * k * t / 365.25) FROM pt p CROSS JOIN (SELECT unnest(generate_series(1, 10)) AS k)
+  UNION ALL {design}, 200 + k, cos(2 * pi() * k * t / 365.25) FROM pt p CROSS JOIN (SELECT unnest(generate_series(1, 10)) AS k)),
+td AS (SELECT * FROM dz WHERE role = 'train'),
+gs AS (SELECT a.entity, a.fold, a.o AS oi, b.o AS oj, sum(a.v * b.v) AS s FROM td a JOIN td b ON a.entity = b.entity AND a.fold = b.fold AND a.i = b.i GROUP BY ALL),
+gm AS (SELECT {key}, oi, oj, s + CASE WHEN oi <> oj OR oi < 2 THEN 0 WHEN oi < 100 THEN 1.0 ELSE 0.01 END AS s FROM gs
+       UNION ALL SELECT {key}, o, 1000, sum(v * y) FROM td GROUP BY ALL),
+gr AS (SELECT {key}, oi, list(s ORDER BY oj) AS r FROM gm GROUP BY ALL),
+gj AS (SELECT {key}, 1 AS k, list(r ORDER BY oi) AS m, list(oi ORDER BY oi) AS os FROM gr GROUP BY {key} UNION ALL
+       SELECT {key}, k + 1, list_transform(m, lambda r, q: CASE WHEN q = k THEN list_transform(r, lambda z: z / m[k][k])
+         ELSE list_transform(r, lambda z, w: z - r[k] / m[k][k] * m[k][w]) END), os FROM gj WHERE k <= len(m)),
+cb AS (SELECT {key}, unnest(os) AS o, unnest(list_transform(m, lambda r: r[len(r)])) AS beta FROM gj WHERE k = len(m) + 1),
+fv AS (SELECT {key}, i, sum(v * beta) AS yhat FROM dz JOIN cb USING ({key}, o) GROUP BY ALL),
+sg AS (SELECT {key}, stddev_pop(y - yhat) AS sigma FROM pt JOIN fv USING ({key}, i) WHERE role = 'train' GROUP BY ALL),
+tp AS (SELECT {key}, 'Trend' AS model, CASE role WHEN 'train' THEN 'insample' ELSE role END AS role, step, i, y, yhat,
+         yhat - 1.959963984540054 * sigma AS lower, yhat + 1.959963984540054 * sigma AS upper, sigma
+       FROM pt JOIN fv USING ({key}, i) JOIN sg USING ({key}) WHERE role <> 'train' OR fold = -2)"""
+
+
+def _trend_sql(*more: str, rows: str) -> str:
+    from panelkit.plans.queries_forecast import SER
+    from panelkit.plans.sqlref import features_ctes
+
+    return "WITH RECURSIVE " + ",\n".join([features_ctes("nation"), SER, rows, _trend_ctes(), *more]) + "\n"
+
+
+def _trend_forecast_sql() -> str:
+    from panelkit.plans.queries_forecast import full_cte
+
+    return _trend_sql("""o AS (SELECT *, 'trend+yearly(10)' AS spec, CAST(NULL AS DOUBLE) AS aic, CAST(NULL AS DOUBLE) AS bic,
+  CAST(NULL AS VARCHAR) AS error FROM tp WHERE role = 'future')""", rows=full_cte()) + final(
+        "o", "entity model fold role step i yhat:8 lower:8 upper:8 spec aic bic sigma:8 error")
+
+
+@register("m2_trend_forecast", _trend_forecast_sql(), scale=8)
 def m2_trend_forecast(spark, sf):
     """M2: trend + yearly seasonality forecasts with residual-based intervals."""
-    s = _series(spark, sf)
-    r = run_trend(full_rows(s), 12, 7.0)
+    f = labelled_rows(_series(spark, sf), W, cv=False)
+    r = MODEL_REGISTRY["Trend"](f, W)
     return r.where(F.col("role").isin("future", "error")).drop("y", "fit_time_s")  # a time differs at every run
 
 
+def _trend_validation_sql() -> str:
+    from panelkit.plans.queries_forecast import METRICS, folds_cte, hold_cte
+
+    rows = ",\n".join([folds_cte("rwf"), hold_cte("rwh"), """rws AS (SELECT entity, ts, i, y, fold, role, step FROM rwf
+  UNION ALL SELECT entity, ts, i, y, fold, role, step FROM rwh)"""])
+    cv = METRICS("(SELECT * FROM tp WHERE role = 'test' AND fold >= 0)", ["entity", "model", "fold"], names=("c0", "cm"))
+    ho = METRICS("(SELECT * FROM tp WHERE role = 'test' AND fold = -1)", ["entity", "model", "fold"], "signed", names=("h0", "hm"))
+    return _trend_sql(cv, ho, """cv AS (SELECT entity, model, avg(rmse) AS cv_rmse, stddev_pop(rmse) AS cv_rmse_std, avg(mae) AS cv_mae,
+  stddev_pop(mae) AS cv_mae_std, avg(mape) AS cv_mape, stddev_pop(mape) AS cv_mape_std, count(*) AS n_folds FROM cm GROUP BY ALL),
+nv AS (SELECT entity, avg(ad) AS naive_mae, count(*) AS n_train FROM
+      (SELECT entity, abs(y - lag(y) OVER (PARTITION BY entity ORDER BY i)) AS ad FROM rwh WHERE role = 'train') GROUP BY entity),
+o AS (SELECT hm.entity, hm.model, mae, rmse, mape, CASE WHEN nv.n_train >= 2 AND naive_mae <> 0 THEN mae / naive_mae END AS mase, nv.n_train, hm.n AS n_test,
+        cv.* EXCLUDE (entity, model) FROM hm JOIN nv USING (entity) JOIN cv ON cv.entity = hm.entity)""", rows=rows) + final(
+        "o", "entity model mae:9 rmse:9 mape:s9 mase:9 n_train n_test cv_rmse:9 cv_rmse_std:9 cv_mae:9 cv_mae_std:9 cv_mape:s9 cv_mape_std:s9 n_folds")
+
+
+@register("m2_trend_validation", _trend_validation_sql(), scale=9, overrides=dict.fromkeys(("mape", "cv_mape", "cv_mape_std"), "s9"))
+def m2_trend_validation(spark, sf):
+    """M7/M9/K3: hold-out and walk-forward metrics of the trend model; six folds from one pass of running sums."""
+    s = _series(spark, sf)
+    pred = run_trend(s, fo.fold_slots(W.cv_folds, W.horizon, W.test_size, full=False, hold=True))
+    return fc.validation(pred, fo.holdout(s, W.test_size))
+
+
 @register("m3_gbt_forecast")
 def m3_gbt_forecast(spark, sf):
     """Pooled gradient-boosted lag-window model, recursive 12-step forecast."""
@@ -133,13 +230,28 @@ def m3_gbt_forecast(spark, sf):
     return r.where(F.col("role").isin("future", "error"))
 
 
-@register("m8_insample_residuals")
+def _residuals_sql() -> str:
+    from panelkit.plans.queries_forecast import AR, full_cte
+
+    return _trend_sql(AR, """ip AS (SELECT entity, model, i, y, yhat FROM tp WHERE role = 'insample'
+  UNION ALL SELECT entity, model, i, y, yhat FROM pred WHERE role = 'insample'),
+o AS (SELECT entity, model, ip.i, ser.ts, ip.y, yhat, ip.y - yhat AS residual FROM ip JOIN ser USING (entity, i))""", rows=full_cte()) + final(
+        "o", "entity model i ts y:8 yhat:8 residual:8")
+
+
+@register("m8_insample_residuals", _residuals_sql(), scale=8)
 def m8_insample_residuals(spark, sf):
-    """M8: in-sample predictions and residuals of the ARIMA and trend models."""
+    """M8: in-sample predictions and residuals of the trend and the AR(1) model, from their
+    coefficient tables (the ARIMA rows are ``m8_arima_residuals``)."""
+    s = _series(spark, sf)
+    return residuals(model_jobs(labelled_rows(s, W, cv=False), W, ("Trend", "AR1")), s)
+
+
+@register("m8_arima_residuals")
+def m8_arima_residuals(spark, sf):
+    """M8: in-sample predictions and residuals of the ARIMA model."""
     s = _series(spark, sf)
-    rows = full_rows(s)
-    r = run_arima(rows).unionByName(run_trend(rows))
-    return residuals(r, s)
+    return residuals(run_arima(full_rows(s)), s)
 
 
 def comparison(pred: DataFrame) -> DataFrame:
@@ -166,35 +278,33 @@ def comparison(pred: DataFrame) -> DataFrame:
 def m13_model_comparison(spark, sf):
     """Three models, in-sample metrics, walk-forward CV RMSE, best model."""
     checkpoint_dir(spark)
-    pred = model_jobs(labelled_rows(_series(spark, sf), W), W).checkpoint(eager=True)
+    pred = model_jobs(labelled_rows(_series(spark, sf), W).checkpoint(), W).checkpoint(eager=True)
     return comparison(pred).drop("training_time_s")
 
 
 def _comparison_sql() -> str:
-    from panelkit.plans.queries_forecast import AR, FOLDS, METRICS, SER
-    from panelkit.plans.sqlref import features_ctes
+    from panelkit.plans.queries_forecast import AR, METRICS, folds_cte, full_cte
 
-    ins = METRICS("(SELECT * FROM prd WHERE role = 'insample' AND fold = -2)", ["entity", "model"])
-    return "WITH " + ",\n".join([
-        features_ctes("nation"), SER, FOLDS.replace("rws AS (", "rwf AS ("),
-        """rws AS (SELECT entity, idx, ts, i, y, n, -2 AS fold, 'train' AS role, CAST(NULL AS INTEGER) AS step FROM ser
-        UNION ALL SELECT * FROM rwf)""", AR,
-        """prd AS (SELECT entity, model, fold, role, y, yhat FROM pred
+    rows = ",\n".join([folds_cte("rwf"), full_cte("rwl"), """rws AS (SELECT entity, idx, ts, i, y, n, fold, role, step FROM rwl
+  UNION ALL SELECT entity, idx, ts, i, y, n, fold, role, step FROM rwf)"""])
+    return _trend_sql(
+        AR, """prd AS (SELECT entity, model, fold, role, y, yhat FROM pred UNION ALL SELECT entity, model, fold, role, y, yhat FROM tp
         UNION ALL SELECT entity, 'Zero', fold, CASE role WHEN 'train' THEN 'insample' ELSE role END, y, 0.0 FROM rws)""",
-        ins.replace("mt0", "it0").replace("mt AS (", "it AS ("),
+        METRICS("(SELECT * FROM prd WHERE role = 'insample' AND fold = -2)", ["entity", "model"], names=("i0", "it")),
         METRICS("(SELECT * FROM prd WHERE role = 'test')", ["entity", "model", "fold"]),
         "cv AS (SELECT entity, model, avg(rmse) AS cv_rmse FROM mt GROUP BY ALL)",
         """cm AS (SELECT it.*, cv.cv_rmse, CAST(NULL AS VARCHAR) AS error,
-          first_value(it.model) OVER (PARTITION BY it.entity ORDER BY rmse, it.model) AS best_model,
+          first_value(it.model) OVER (PARTITION BY it.entity ORDER BY rmse, CASE it.model WHEN 'Trend' THEN 1 WHEN 'AR1' THEN 3 ELSE 4 END) AS best_model,
           bool_or(mape > 100) OVER (PARTITION BY it.entity) AS high_mape
-        FROM it LEFT JOIN cv ON it.entity = cv.entity AND it.model = cv.model)"""]) + "\n" + final(
-            "cm", "entity model rmse:9 mae:9 mape:s10 smape:s10 r2:9 residual_std:9 cv_rmse:9 error best_model high_mape")
+        FROM it LEFT JOIN cv ON it.entity = cv.entity AND it.model = cv.model)""", rows=rows) + final(
+            "cm", "entity model rmse:9 mae:9 mape:s9 smape:s9 r2:9 residual_std:9 cv_rmse:9 error best_model high_mape")
 
 
-@register("m13_direct_comparison", _comparison_sql(), scale=9, overrides={"mape": "s10", "smape": "s10"})
+@register("m13_direct_comparison", _comparison_sql(), scale=9, overrides={"mape": "s9", "smape": "s9"})
 def m13_direct_comparison(spark, sf):
-    """The comparison table over the two models SQL can express."""
-    return comparison(model_jobs(labelled_rows(_series(spark, sf), W), W, ("AR1", "Zero"))).drop("training_time_s")
+    """The comparison table over the three models SQL can express."""
+    folds = labelled_rows(_series(spark, sf), W).checkpoint()
+    return comparison(model_jobs(folds, W, ("Trend", "AR1", "Zero"))).drop("training_time_s")
 
 
 @register("k_model_forecasts")
@@ -202,7 +312,8 @@ def k_model_forecasts(spark, sf):
     """Every model's future steps with dates and price paths."""
     f = features(spark, sf)
     checkpoint_dir(spark)
-    pred = model_jobs(full_rows(fo.target_series(f, "returns")), W).checkpoint(eager=True)
+    folds = labelled_rows(fo.target_series(f, "returns"), W, cv=False).checkpoint()
+    pred = model_jobs(folds, W).checkpoint(eager=True)
     return forecast_tables(f, pred, W)[1]
 
 

@@ -70,21 +70,20 @@ def run(spark: SparkSession, raw: DataFrame, cfg: PanelConfig | None = None, mod
         "jarque_bera": st.jarque_bera(f, "returns"),
         "correlation": eda.correlation_matrix(f),
     }
-    rows = fo.walk_forward(series, cfg.cv_folds, cfg.horizon)
-    t["ar1_cv"] = fc.cv_summary(fc.error_metrics(fc.ar1_predict(rows).where(F.col("role") == "test"),
+    ar1 = fc.ar1_jobs(series, fo.fold_slots(cfg.cv_folds, cfg.horizon, cfg.test_size, hold=True), cfg.horizon)
+    t["ar1_cv"] = fc.cv_summary(fc.error_metrics(ar1.where((F.col("role") == "test") & (F.col("fold") >= 0)),
                                                  ("entity", "model", "fold")))
     if models:
         from panelkit.plans.queries_models import model_tables
 
         t |= model_tables(f, cfg)
     else:
-        fut = fc.ar1_forecast(series, cfg.horizon)
+        fut = ar1.where(F.col("role") == "future")
         ends = f.groupBy("entity").agg(F.max("idx").alias("last_idx"))
         last = f.where(F.col("close").isNotNull()).groupBy("entity").agg(F.max_by("close", "idx").alias("last_price"))
         t["forecasts"] = fc.dated(fut, fo.future_dates(ends, cfg.freq, cfg.horizon))
         t["price_forecast"] = fc.to_price(fut, last)
-        ho = fo.holdout(series, cfg.test_size)
-        t["validation_metrics"] = fc.validation(fc.ar1_predict(rows.unionByName(ho)), ho)
+        t["validation_metrics"] = fc.validation(ar1, fo.holdout(series, cfg.test_size))
     return t
 
 
