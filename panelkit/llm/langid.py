@@ -44,10 +44,15 @@ CHARACTERS = 4096
 DISCOUNT = 0.75
 #: Words scored at once, and words a worker remembers with their scores.
 CHUNK, MEMO = 1 << 20, 400_000
-LETTER = re.compile(r"[^\W\d_]").search
+_LETTER = re.compile(r"[^\W\d_]").search
 B = np.uint64(0x9E3779B97F4A7C15)
 
 
+def has_letter(word: str) -> bool:
+    """Whether a character is of category L (fractions and circled digits are not)."""
+    return word.isalpha() or _LETTER(word) is not None and any(map(str.isalpha, word))
+
+
 def gram_hashes(codes: np.ndarray, n: int) -> np.ndarray:
     """Hash of the n-gram that starts at each place (short by n - 1 at the end)."""
     h = np.zeros(len(codes) - n + 1, np.uint64)
@@ -99,7 +104,7 @@ class LanguageModels:
             left = left[miss]
         out[left] -= np.float32(np.log(CHARACTERS)) - self.backoff[0][0]
         sums = np.add.reduceat(out, np.r_[0, np.cumsum(lengths)[:-1]], axis=0) if len(words) else np.zeros((0, n_lang), np.float32)
-        letters = np.fromiter((LETTER(w) is not None for w in words), bool, len(words))
+        letters = np.fromiter(map(has_letter, words), bool, len(words))
         return sums, lengths, letters
 
 
@@ -235,7 +240,7 @@ def fit(docs: DataFrame, order: int = 4, sample: int = 1000, slack: float = 0.6,
         for b in batches:
             for text, lang, r in zip(*(b.column(c).to_pylist() for c in ("text", "lang", "r"))):
                 if r % 5:
-                    words.setdefault(lang, Counter()).update(w for w in text.lower().split() if LETTER(w))
+                    words.setdefault(lang, Counter()).update(w for w in text.lower().split() if has_letter(w))
                 else:
                     yield pa.record_batch([pa.array([lang]), pa.array([True]), pa.array([text], pa.string()), pa.array([1])], schema=schema)
         for lang, c in words.items():

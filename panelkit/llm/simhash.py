@@ -141,7 +141,7 @@ def links(fps: DataFrame, max_bits: int = 3, fp_col: str = "fp") -> DataFrame:
                     size = 0
         yield flush()
 
-    variants = fps.select(F.col(fp_col).cast("long")).distinct().repartition(n, fp_col).mapInArrow(emit, "bucket int, variants binary")
+    variants = fps.select(F.col(fp_col).cast("long")).distinct().repartition(n, F.xxhash64(fp_col)).mapInArrow(emit, "bucket int, variants binary")
     return variants.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(meet, "a long, b long").distinct()
 
 

@@ -362,3 +362,9 @@ def test_stray_labels_do_not_switch_off_rejection(spark):
     assert out == {1: True, 2: True, 3: False, 4: False}
     few = fit(spark.createDataFrame(rows[-4:], schema))
     assert np.isfinite(few.limit).all()
+
+
+def test_only_letters_make_a_language():
+    from panelkit.llm.langid import has_letter
+
+    assert [has_letter(w) for w in ("½", "²", "①", "Ⅷ", "12", "_", "!", "a", "½é", "漢", "ª", "x1", "Σ!")] == [False] * 7 + [True] * 6
