@@ -44,6 +44,8 @@ CHARACTERS = 4096
 DISCOUNT = 0.75
 #: Words scored at once, and words a worker remembers with their scores.
 CHUNK, MEMO = 1 << 20, 400_000
+#: Calibration texts scored at once.
+TEST_TEXTS = 16
 _LETTER = re.compile(r"[^\W\d_]").search
 B = np.uint64(0x9E3779B97F4A7C15)
 
@@ -246,17 +248,29 @@ def fit(docs: DataFrame, order: int = 4, sample: int = 1000, slack: float = 0.6,
         for lang, c in words.items():
             yield pa.record_batch([pa.array([lang] * len(c), pa.string()), pa.array([False] * len(c)), pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], schema=schema)
 
-    rows = chosen.mapInArrow(count, "lang string, test boolean, word string, n long").groupBy("lang", "test", "word").agg(F.sum("n").alias("n")).toPandas()
-    counts = {str(k): Counter(dict(zip(g["word"], g["n"]))) for k, g in rows[~rows["test"].astype(bool)].groupby("lang")}
+    rows = chosen.mapInArrow(count, "lang string, test boolean, word string, n long").groupBy("lang", "test", "word").agg(F.sum("n").alias("n")).toArrow()
+    counts: dict[str, Counter] = {}
+    test_langs, texts = [], []
+    for batch in rows.to_batches(max_chunksize=10_000):
+        for lang, test, word, freq in zip(*(c.to_pylist() for c in batch.columns)):
+            if test:
+                test_langs.append(lang)
+                texts.append(word)
+            else:
+                counts.setdefault(lang, Counter())[word] = freq
+    del rows
     if not counts:
         return LanguageModels([], order, [], [], [], [])
     model = build(counts, order)
+    del counts
     model.limit = np.full(len(model.languages), 0.0)
-    test = rows[rows["test"].astype(bool)]
-    score, chars = Scorer(model)(test["word"].tolist())
+    # a few texts at a time: the driver holds the arrays of those alone
+    scorer = Scorer(model)
+    parts = [scorer(texts[k:k + TEST_TEXTS]) for k in range(0, len(texts), TEST_TEXTS)] or [scorer([])]
+    score, chars = np.concatenate([s for s, _ in parts]), np.concatenate([c for _, c in parts])
     alone = []
     for k, lang in enumerate(model.languages):
-        own = (test["lang"].to_numpy() == lang) & (chars >= 20)
+        own = (np.array(test_langs, object) == lang) & (chars >= 20)
         if own.any():
             model.limit[k] = (-score[own, k] / chars[own]).max() * (1 + slack)
         else:
