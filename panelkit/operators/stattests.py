@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelkit.functions.scalar import chi2_sf_even
+from panelkit.functions.scalar import chi2_sf
 
 MAX_LAGS = 30
 
@@ -83,7 +83,7 @@ def pacf(series: DataFrame, col: str = "close", max_lag: int = MAX_LAGS) -> Data
 
 def ljung_box(series: DataFrame, col: str, max_lag: int = 10) -> DataFrame:
     """Q = n(n+2) sum_{k<=L} rho_k^2/(n-k), L = min(10, n//2 - 1); p from the
-    chi-square tail (closed form for even L; odd L through the grouped path).
+    chi-square tail with L degrees of freedom, a column expression for even and odd L.
     ``autocorrelated`` iff p < 0.05."""
     a = autocov_sums(series, col, max_lag)
     L = F.least(F.lit(max_lag), F.floor(F.col("n") / 2).cast("int") - 1)
@@ -93,38 +93,19 @@ def ljung_box(series: DataFrame, col: str, max_lag: int = 10) -> DataFrame:
                                     / (F.col("n") - k)).otherwise(F.lit(0.0)))
     q = a.select("entity", "n", L.alias("lags"), (F.col("n") * (F.col("n") + 2) * terms).alias("lb_stat"))
     q = q.where(F.col("lags") >= 1)
-    even = chi2_sf_even(F.col("lb_stat"), max_lag)
-    p = F.when(F.col("lags") == max_lag, even).otherwise(_chi2_sf_udf(F.col("lb_stat"), F.col("lags")))
-    return q.select("*", p.alias("lb_pvalue")).withColumn("autocorrelated", F.col("lb_pvalue") < 0.05)
-
-
-def _chi2_sf_py(x: float, k: int) -> float:
-    """Chi-square upper tail for integer k by the closed-form series."""
-    if x is None or k is None or math.isnan(x):
-        return float("nan")
-    if x <= 0:
-        return 1.0
-    if k % 2 == 0:
-        h = x / 2
-        term, tot = 1.0, 1.0
-        for i in range(1, k // 2):
-            term *= h / i
-            tot += term
-        return math.exp(-h) * tot
-    s = math.sqrt(x)
-    tail = math.erfc(s / math.sqrt(2))
-    pdf = math.exp(-x / 2) / math.sqrt(2 * math.pi)
-    term, tot = s, 0.0
-    for i in range(1, (k - 1) // 2 + 1):
-        if i > 1:
-            term *= x / (2 * i - 1)
-        tot += term
-    return tail + 2 * pdf * tot
-
-
-@F.pandas_udf(T.DoubleType())
-def _chi2_sf_udf(x: pd.Series, k: pd.Series) -> pd.Series:
-    return pd.Series([_chi2_sf_py(a, int(b)) if b == b else float("nan") for a, b in zip(x, k)])
+    return q.select("*", chi2_sf("lb_stat", "lags", max_lag).alias("lb_pvalue")).withColumn("autocorrelated", F.col("lb_pvalue") < 0.05)
+
+
+def ljung_box_lags(series: DataFrame, col: str, max_lag: int = 10) -> DataFrame:
+    """X4 at every lag count L from 1 to min(max_lag, n//2 - 1): one row per (entity, L),
+    from one pass of autocovariances (Q at L is a running sum over the lags)."""
+    a = autocov_sums(series, col, max_lag).where(F.floor(F.col("n") / 2) >= 2)
+    x = a.select("entity", "n", F.col("S")[0].alias("s0"), F.posexplode(F.slice("S", 2, max_lag)).alias("k", "s"))
+    x = x.withColumn("lags", F.col("k") + 1).where(F.col("lags") <= F.floor(F.col("n") / 2) - 1)
+    term = F.pow(F.try_divide("s", "s0"), 2) / (F.col("n") - F.col("lags"))
+    w = Window.partitionBy("entity").orderBy("lags").rowsBetween(Window.unboundedPreceding, 0)
+    x = x.select("entity", "n", "lags", (F.col("n") * (F.col("n") + 2) * F.sum(term).over(w)).alias("lb_stat"))
+    return x.select("*", chi2_sf("lb_stat", "lags", max_lag).alias("lb_pvalue"))
 
 
 def jarque_bera(series: DataFrame, col: str) -> DataFrame:

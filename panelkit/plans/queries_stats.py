@@ -92,6 +92,28 @@ def x_ljung_box_returns(spark, sf):
     return st.ljung_box(features(spark, sf), "returns", 10)
 
 
+def _lb_lags_sql(panel, freq, col):
+    """Q at every L from 1 to 10 by a self-join of the products; the tail as 1 minus the series
+    of the incomplete gamma function."""
+    leads = ", ".join(f"d * lead(d, {k}) OVER w AS p{k}" for k in range(11))
+    sums = ", ".join(f"coalesce(sum(p{k}), 0.0) AS s{k}" for k in range(11))
+    return "WITH " + features_ctes(panel, freq) + f""",
+x AS (SELECT entity, idx, {col} - avg({col}) OVER (PARTITION BY entity) AS d, count(*) OVER (PARTITION BY entity) AS n FROM feats WHERE {col} IS NOT NULL),
+p AS (SELECT entity, n, {leads} FROM x WINDOW w AS (PARTITION BY entity ORDER BY idx)),
+a AS (SELECT entity, any_value(n) AS n, {sums} FROM p GROUP BY entity),
+t AS (SELECT entity, n, s0, unnest(generate_series(1, 10)) AS k, unnest([{", ".join(f"s{k}" for k in range(1, 11))}]) AS s FROM a),
+q AS (SELECT entity, n, CAST(k AS INTEGER) AS lags, n * (n + 2) * sum(pow(s / NULLIF(s0, 0), 2) / (n - k)) OVER (PARTITION BY entity ORDER BY k) AS lb_stat
+      FROM t WHERE k <= n // 2 - 1),
+o AS (SELECT *, 1 - list_sum(list_transform(range(0, 300), lambda j: exp((lags / 2.0 + j) * ln(lb_stat / 2) - lb_stat / 2 - lgamma(lags / 2.0 + j + 1)))) AS lb_pvalue FROM q)
+""" + final("o", "entity n lags lb_stat:6 lb_pvalue:9")
+
+
+@register("x_ljung_box_lags", _lb_lags_sql("nation", "W", "returns"), overrides={"lb_pvalue": 9})
+def x_ljung_box_lags(spark, sf):
+    """Ljung-Box at every lag count from 1 to 10, so with odd and even degrees of freedom."""
+    return st.ljung_box_lags(features(spark, sf), "returns", 10)
+
+
 def _jb_sql(panel, freq, col):
     return "WITH " + features_ctes(panel, freq) + f""",
 x AS (SELECT entity, {col} AS v, avg({col}) OVER (PARTITION BY entity) AS m FROM feats WHERE {col} IS NOT NULL),
