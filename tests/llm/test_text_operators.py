@@ -347,6 +347,34 @@ def test_lm_word_factor_sums_to_one():
     assert np.allclose(flat - z[:, None], logp[:, columns] + np.log(counts + 1))
 
 
+def test_lm_digits_sum_to_one_and_cells_grow():
+    from panelkit.llm.maxent import BUCKETS, CELL_WORDS, CLASSES, DIGIT, JOINT, PAIRS, SEEN, cells, column_of, depth_of, new_tables, token_scores, word_code
+
+    assert [depth_of(v) for v in (0, CLASSES * 64 * CELL_WORDS, CLASSES * 64 * CELL_WORDS + 1, 1 << 60)] == [2, 2, 3, 7]
+    assert len(new_tables(0)[1][0]) < len(new_tables(10 ** 9)[1][0]) < len(new_tables(10 ** 13)[1][0]) < 1 << 20
+    # a joint row has the weights of the classes before, one by one and together
+    assert JOINT.sum(1).tolist() == [len(parts) for _, parts in PAIRS for _ in range(SEEN * SEEN)]
+    rng = np.random.default_rng(2)
+    vocabulary = [b"w%d" % k for k in range(400)]
+    codes = np.array([word_code(w) for w in vocabulary], np.int64)
+    classes = np.r_[0, rng.integers(1, CLASSES, BUCKETS - 1)]
+    for depth in (2, 3):
+        counts, own, columns = rng.integers(1, 90, 400), classes[codes % BUCKETS], column_of(codes, DIGIT ** depth)
+        mass = np.ones((CLASSES, DIGIT ** depth))
+        np.add.at(mass, (own, columns), counts + 1)
+        cell = cells(mass, classes)
+        tables = [rng.normal(size=w.shape).astype(np.float32) for w, _ in new_tables(1000)]
+        # the next token after "a b": a known word each, one code of each cell, the end
+        every = [(c, d) for c in range(1, CLASSES) for d in range(DIGIT ** depth)]
+        bucket = {c: int(np.flatnonzero(classes[1:] == c)[0]) + 1 for c in range(1, CLASSES)}
+        after = np.concatenate([codes, [bucket[c] + BUCKETS * d for c, d in every], [0]])
+        texts = np.array([[word_code(b"a"), word_code(b"b"), x] for x in after], np.int64)
+        logp = token_scores(tables, texts.ravel(), np.full(len(texts), 3), cell)[2::3]
+        known, unknown, end = np.split(logp, [400, 400 + len(every)])
+        total = (np.exp(known) * (counts + 1)).sum() + np.exp(unknown).sum() + np.exp(end[0])
+        assert abs(total - 1) < 1e-3
+
+
 def test_stray_labels_do_not_switch_off_rejection(spark):
     from panelkit.llm.langid import fit, identify
 
