@@ -250,11 +250,13 @@ def dated(future: DataFrame, dates: DataFrame) -> DataFrame:
 
 def validation(pred: DataFrame, rows: DataFrame) -> DataFrame:
     """K3: hold-out metrics (fold -1) with the walk-forward mean and spread, per
-    entity and model. A model with folds but no hold-out keeps its row, and the reverse."""
+    entity and model. A model with folds but no hold-out keeps its row, and the reverse;
+    one without any forecast (error rows, train rows alone) has a row of nulls."""
+    pairs = pred.select("entity", "model").distinct()
     test = pred.where(F.col("role") == "test")
     ho = holdout_report(test.where(F.col("fold") == -1), rows.where(F.col("fold") == -1))
     cv = cv_summary(error_metrics(test.where(F.col("fold") >= 0), ("entity", "model", "fold")))
-    return ho.join(cv, ["entity", "model"], "full")
+    return pairs.join(ho.join(cv, ["entity", "model"], "full"), ["entity", "model"], "left")
 
 
 def forecast_change(prices: DataFrame) -> DataFrame:

@@ -22,13 +22,15 @@ def by_entity(order="idx"):
 
 def last_key(ts: str, tb: str | None = None):
     """Fixed-width ordering key for "last row": (ts, tb) packed in one
-    DECIMAL(38,0) (epoch micros * 1e18 + tb), so ``max_by`` stays in a hash
-    aggregate with map-side partials instead of a sort-based aggregate."""
+    DECIMAL(38,0) (epoch micros * 1e20 + tb), so ``max_by`` stays in a hash
+    aggregate with map-side partials instead of a sort-based aggregate. It holds for
+    every timestamp and every 64-bit tb, negative ones too; a null tb comes first."""
     micros = F.unix_micros(F.col(ts))
     if tb is None:
         return micros
-    return (micros.cast("decimal(38,0)") * F.lit(10 ** 18).cast("decimal(38,0)")
-            + F.col(tb).cast("decimal(38,0)")).cast("decimal(38,0)")
+    wide = "decimal(38,0)"
+    return (micros.cast(wide) * F.lit(str(10 ** 20)).cast(wide)
+            + F.coalesce(F.col(tb).cast("long"), F.lit(-(1 << 63))).cast(wide)).cast(wide)
 
 
 def resample_last(raw: DataFrame, freq: str = "W") -> DataFrame:

@@ -157,10 +157,14 @@ def filter_panel(raw: DataFrame, cfg: PanelConfig) -> DataFrame:
     return raw
 
 
-def with_cache_fallback(fresh: DataFrame, cache: DataFrame) -> DataFrame:
-    """Per entity: fresh rows if the entity has any, else its cached rows."""
+def with_cache_fallback(fresh: DataFrame, cache: DataFrame, need_rows: bool = False) -> DataFrame:
+    """Per entity: fresh rows if the entity has any, else its cached rows.
+    ``need_rows``: neither source having a row is an error (stops at the first row found)."""
     have = fresh.select("entity").distinct()
-    return fresh.unionByName(cache.join(have, "entity", "left_anti"))
+    rows = fresh.unionByName(cache.join(have, "entity", "left_anti"))
+    if need_rows and fresh.isEmpty() and cache.isEmpty():
+        raise ValueError("no rows from any source: neither fresh nor cached")
+    return rows
 
 
 def load_stats(spark: SparkSession, path: str) -> DataFrame:

@@ -171,3 +171,16 @@ def test_validation_query_covers_every_registered_model(monkeypatch):
     monkeypatch.setattr(qm, "model_tables", lambda f, cfg, models=tuple(qm.MODEL_REGISTRY): asked.update(models=models) or {"validation_metrics": None})
     qm.k_model_validation(None, "")
     assert set(asked["models"]) == set(qm.MODEL_REGISTRY)
+
+
+def test_validation_keeps_a_model_without_forecasts(spark):
+    from panelkit.operators.forecast import validation
+
+    cols = "entity string, model string, fold int, role string, i int, y double, yhat double"
+    rows = [("a", "good", f, "test", 8 + k, float(k), k + 0.5) for f in (-1, 0, 1) for k in range(3)]
+    pred = spark.createDataFrame(rows + [("a", "failed", 0, "error", None, None, None), ("b", "failed", -1, "train", 1, 2.0, None)], cols)
+    series = spark.createDataFrame([("a", f, "train", k, float(k)) for f in (-1, 0, 1) for k in range(8)], "entity string, fold int, role string, i int, y double")
+    got = {(r.entity, r.model): r for r in validation(pred, series).collect()}
+    assert set(got) == {("a", "good"), ("a", "failed"), ("b", "failed")}
+    assert got["a", "good"].rmse == 0.5 and got["a", "good"].cv_rmse == 0.5 and got["a", "good"].mase == 0.5
+    assert all(v is None for key in (("a", "failed"), ("b", "failed")) for v in got[key][2:])

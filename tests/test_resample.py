@@ -95,3 +95,16 @@ def test_zero_and_negative_closes(spark):
     # ln of a non-positive ratio and division by zero give NULL, never an error
     assert f["returns"].isna().sum() == 4
     assert pd.isna(f["returns_simple"].iloc[2]) and f["returns_simple"].iloc[1] == -1.0
+
+
+@pytest.mark.parametrize("tbs, last", [((-5, 3), 1), ((3, -5), 0), ((None, -(1 << 63) + 1), 1), ((-(1 << 63) + 1, None), 0), (((1 << 63) - 1, 10 ** 18), 0)])
+def test_last_row_by_any_tiebreak(spark, tbs, last):
+    from panelkit.operators.resample import resample_last
+
+    at = dt.datetime(2024, 1, 3, 12)
+    rows = [("a", at, float(k), tb) for k, tb in enumerate(tbs)]
+    # an earlier row never wins, however large its tiebreak
+    rows.append(("a", at - dt.timedelta(microseconds=1), 9.0, (1 << 63) - 1))
+    rows += [("old", dt.datetime(1890, 1, 1), 1.0, 1), ("late", dt.datetime(9000, 1, 1), 2.0, 1)]
+    got = {r.entity: r.raw_close for r in resample_last(spark.createDataFrame(rows, "entity string, ts timestamp, close double, tb long")).collect()}
+    assert got == {"a": float(last), "old": 1.0, "late": 2.0}

@@ -53,6 +53,10 @@ def test_dispatch_and_fallback(spark):
     cache = spark.createDataFrame([("a", None, 9.0), ("b", None, 2.0)], "entity string, ts timestamp, close double")
     u = files.with_cache_fallback(fresh, cache).orderBy("entity").toPandas()
     assert list(u["entity"]) == ["a", "b"] and list(u["close"]) == [1.0, 2.0]
+    assert files.with_cache_fallback(fresh.limit(0), cache, need_rows=True).count() == 2
+    assert files.with_cache_fallback(fresh.limit(0), cache.limit(0)).count() == 0
+    with pytest.raises(ValueError, match="no rows from any source"):
+        files.with_cache_fallback(fresh.limit(0), cache.limit(0), need_rows=True)
     with pytest.raises(ValueError):
         files._ident("x; DROP TABLE y")
 
