@@ -94,7 +94,8 @@ def label_rows(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def fit_evidence(docs: DataFrame, labels: DataFrame, sample: int = 6000, id_col: str = "doc_id", text_col: str = "text") -> Evidence:
-    """The logistic models, from at most ``sample`` labelled documents."""
+    """The logistic models, from at most ``sample`` labelled documents; of rows of one
+    id the least text counts, so each chosen label is one example."""
     spark = docs.sparkSession
     chosen = label_rows(labels, id_col).orderBy(F.xxhash64("doc", F.lit("sample")), "doc").limit(sample)
     schema = pa.schema([("hashed", pa.list_(pa.int32())), ("dense", pa.list_(pa.float64())), *[(t, pa.float64()) for t in TARGETS]])
@@ -107,8 +108,9 @@ def fit_evidence(docs: DataFrame, labels: DataFrame, sample: int = 6000, id_col:
                 yield pa.record_batch([pa.array([hashed], schema.field(0).type), pa.array([dense], schema.field(1).type), *[pa.array([v], pa.float64()) for v in y]], schema=schema)
 
     # at most `sample` rows of four numbers: a bounded broadcast
-    picked = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "doc").select("text", *TARGETS)
-    got = picked.mapInArrow(run, "hashed array<int>, dense array<double>, quality double, toxic double").limit(2 * sample).toPandas()
+    picked = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "doc")
+    picked = picked.groupBy("doc", *TARGETS).agg(F.min("text").alias("text")).orderBy("doc").select("text", *TARGETS)
+    got = picked.mapInArrow(run, "hashed array<int>, dense array<double>, quality double, toxic double").toPandas()
     weights, known = np.zeros(((1 << BITS) + SHAPE, len(TARGETS))), np.zeros(len(TARGETS), bool)
     for k, t in enumerate(TARGETS):
         y = got[t].to_numpy(np.float64)

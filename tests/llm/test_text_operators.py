@@ -313,6 +313,16 @@ def test_lm_scores(spark):
     assert {r.base_score for r in score_texts(df.where("doc_id = 401"), F.lit(True)).collect()} == {0.0}
 
 
+def test_quality_fit_takes_one_text_of_a_repeated_id(spark):
+    from panelkit.llm.quality import fit_evidence
+
+    rows = [(k, f"{'good plain words' if k % 2 else 'buy cheap spam'} number {k}") for k in range(40)]
+    more = [(k, f"zz other text {k} {j}") for k in range(40) for j in range(5)]
+    labels = spark.createDataFrame([(k, k % 2, (k + 1) % 2) for k in range(40)], "doc_id long, quality int, toxic int")
+    fits = [fit_evidence(spark.createDataFrame(x, "doc_id long, text string"), labels, sample=30) for x in (rows, rows + more, more[::-1] + rows[::-1])]
+    assert all(np.array_equal(f.weights, fits[0].weights) for f in fits)
+
+
 def test_lm_word_factor_sees_the_words_before(spark):
     from pyspark.sql import functions as F
 
