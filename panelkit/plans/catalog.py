@@ -57,6 +57,6 @@ def register(name: str, sql: str | None = None, scale: int = 6, overrides: dict
 def load_all() -> None:
     """Import the modules that register queries."""
     from panelkit.plans import (  # noqa: F401
-        queries_core, queries_decomp, queries_eda, queries_export, queries_forecast, queries_models,
+        queries_core, queries_decomp, queries_document, queries_eda, queries_export, queries_forecast, queries_models,
         queries_sources, queries_stats,
     )

@@ -20,13 +20,17 @@ def null_non_finite(df: DataFrame) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
-def series_arrays(panel: DataFrame, value: str = "close", name: str = "values") -> DataFrame:
-    """Per entity {dates[], values[]} ordered by date, ISO date text.
+def series_arrays(panel: DataFrame, value: str = "close", name: str = "values", more: tuple[str, ...] = ()) -> DataFrame:
+    """Per entity {dates[], values[]} ordered by date, ISO date text; the columns
+    of ``more`` as further arrays under their own names.
     (A sink format: one array per entity, bounded by its calendar length.)"""
-    g = panel.groupBy("entity").agg(F.array_sort(F.collect_list(F.struct("ts", value))).alias("_s"))
-    return g.select("entity",
-                    F.transform("_s", lambda x: F.date_format(x["ts"], "yyyy-MM-dd")).alias("dates"),
-                    F.transform("_s", lambda x: finite_or_null(x[value])).alias(name))
+    g = panel.groupBy("entity").agg(F.array_sort(F.collect_list(F.struct("ts", value, *more))).alias("_s"))
+
+    def values(c):
+        return F.transform("_s", lambda x: finite_or_null(x[c]))
+
+    return g.select("entity", F.transform("_s", lambda x: F.date_format(x["ts"], "yyyy-MM-dd")).alias("dates"),
+                    values(value).alias(name), *[values(c).alias(c) for c in more])
 
 
 def landing_drawdown(panel: DataFrame) -> DataFrame:
@@ -48,27 +52,6 @@ def landing_subset(panel: DataFrame, best_worst: DataFrame) -> DataFrame:
     return d.join(F.broadcast(ids), "entity")
 
 
-def document(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
-    """K7: one JSON document per entity (series, KPIs, outliers, stats, forecasts),
-    each section nested at the sink only, its rows sorted by their first column
-    (``ts`` or ``step`` in front)."""
-    base = tables["kpis"].select("entity", F.struct(*[c for c in tables["kpis"].columns if c != "entity"]).alias("kpis"))
-    if "series" in tables:
-        base = base.join(tables["series"].select("entity", F.struct("dates", "values").alias("series")), "entity", "left")
-    for name in ("outliers", "forecast"):
-        if name in tables:
-            t = tables[name]
-            order = [c for c in ("model", "ts", "step") if c in t.columns]
-            rest = [c for c in t.columns if c != "entity" and c not in order]
-            nested = t.groupBy("entity").agg(F.array_sort(F.collect_list(F.struct(*order, *rest))).alias(name))
-            base = base.join(nested, "entity", "left")
-    if "residual_stats" in tables:
-        t = tables["residual_stats"]
-        base = base.join(t.select("entity", F.struct(*[c for c in t.columns if c != "entity"]).alias("residual_stats")),
-                         "entity", "left")
-    return base
-
-
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: str | None = None) -> None:
     w = null_non_finite(df).write.mode(mode)

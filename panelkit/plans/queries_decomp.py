@@ -62,11 +62,11 @@ for _name, _panel, _freq, _cfg, _scale in (
              overrides={"var_add": "s9", "var_mul": "s9"})(_mk2())
 
 
-def _outlier_sql(panel):
-    return ("WITH " + weekly_ctes(panel, "h") + decomp_ctes(24) + fence_cte(1.5) + f""",
+def _outlier_sql(panel, freq="h", P=24, scale=6):
+    return ("WITH " + weekly_ctes(panel, freq) + decomp_ctes(P) + fence_cte(1.5) + f""",
 o AS (SELECT entity, ts AS date, x AS value, resid AS residual, lower_bound, upper_bound, {SEVERITY_SQL} AS severity
       FROM fb WHERE resid < lower_bound OR resid > upper_bound)
-""" + final("o", "entity date value:6 residual:6 lower_bound:6 upper_bound:6 severity"))
+""" + final("o", f"entity date value:{scale} residual:{scale} lower_bound:{scale} upper_bound:{scale} severity"))
 
 
 @register("o_outliers_event", _outlier_sql("event"))

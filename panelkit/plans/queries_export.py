@@ -100,29 +100,6 @@ def k_metadata(spark, sf):
                  F.lit(W.seasonal_period).alias("seasonal_period"))
 
 
-@register("k_document")
-def k_document(spark, sf):
-    """K7/K8/K9: nested per-entity document (series, KPIs, outliers, stats, forecasts) as JSON text."""
-    doc = event_document(spark, sf)
-    return doc.select("entity", F.to_json(F.struct(*[c for c in doc.columns if c != "entity"])).alias("document"))
-
-
-def event_document(spark, sf):
-    from panelkit.operators.outliers import detect_outliers, residual_stats
-    from panelkit.plans.queries_core import weekly
-
-    wk = weekly(spark, sf, "event", H)  # one panel, with outliers, for all sections
-    f = features(spark, sf, "event", H)
-    tables = {
-        "kpis": eda.kpis(f),
-        "series": ex.series_arrays(f, "close", "values"),
-        "outliers": detect_outliers(wk, H.seasonal_period),
-        "residual_stats": residual_stats(wk, H.seasonal_period),
-        "forecast": fc.ar1_forecast(fo.target_series(f, "returns"), 12).select("entity", "step", "yhat", "lower", "upper"),
-    }
-    return ex.document(spark, tables)
-
-
 def _validation_sql() -> str:
     import re
 

@@ -19,7 +19,8 @@ from panelkit.plans import export as ex
 from panelkit.plans.catalog import ORACLES, final, register
 from panelkit.plans.queries_core import H, features, panel, weekly
 from panelkit.plans.queries_decomp import SCORE_SQL, event_stream, write_monitor_stats
-from panelkit.plans.queries_export import display_ranking, event_document
+from panelkit.plans.queries_document import event_document
+from panelkit.plans.queries_export import display_ranking
 from panelkit.plans.sqlref import PANELS, features_ctes, rnd
 from panelkit.session import checkpoint_dir
 from panelkit.sources.files import load_panel, load_stats

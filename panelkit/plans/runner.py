@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 
 from panelkit.config import PanelConfig
 from panelkit.operators import eda, folds as fo, forecast as fc, stattests as st
-from panelkit.operators.decompose import decompose, model_detection
+from panelkit.operators.decompose import decompose, decompose_components, model_detection
 from panelkit.operators.features import add_features
 from panelkit.operators.outliers import detect_outliers, outlier_summary, residual_stats
 from panelkit.operators.resample import gap_stats, resample_fill
 from panelkit.plans import export as ex
+from panelkit.plans.document import metadata, write_documents
 from panelkit.session import checkpoint_dir
 
 
@@ -45,7 +46,9 @@ def run(spark: SparkSession, raw: DataFrame, cfg: PanelConfig | None = None, mod
         "kpis": eda.kpi_report(f),
         "ranking": eda.return_ranking(f),
         "best_worst": eda.best_worst(f),
-        "series": ex.series_arrays(f, "close", "values"),
+        "series": ex.series_arrays(f, "close", "values", more=("returns",)),
+        "metadata": metadata(f, cfg),
+        "landing_subset": ex.landing_subset(f, eda.best_worst(f)),
         "calendar_heatmap": eda.calendar_means(f, "close", 1.0, "mean_close"),
         "monthly_returns": eda.calendar_means(f, "returns", 100.0, "mean_return_pct"),
         "seasonal_box": eda.seasonal_box(eda.restrict(f, eda.top_entities(f, 5))),
@@ -70,6 +73,9 @@ def run(spark: SparkSession, raw: DataFrame, cfg: PanelConfig | None = None, mod
         "jarque_bera": st.jarque_bera(f, "returns"),
         "correlation": eda.correlation_matrix(f),
     }
+    resid = decompose_components(f, P).select("entity", "idx", F.col("resid_add").alias("resid"))
+    t["residual_histogram"] = eda.histogram(resid, "auto", "resid")
+    t["residual_normal_curve"] = eda.normal_curve(resid, "resid")
     ar1 = fc.ar1_jobs(series, fo.fold_slots(cfg.cv_folds, cfg.horizon, cfg.test_size, hold=True), cfg.horizon)
     t["ar1_cv"] = fc.cv_summary(fc.error_metrics(ar1.where((F.col("role") == "test") & (F.col("fold") >= 0)),
                                                  ("entity", "model", "fold")))
@@ -92,9 +98,14 @@ CSV_TABLES = ("outliers", "residual_stats", "model_summary", "validation_metrics
 
 
 def write_all(tables: dict[str, DataFrame], out_dir: str) -> None:
-    """Every table as Parquet; the CSV files of the CLI as CSV."""
+    """Every table as Parquet; the CSV files of the CLI as CSV; the JSON
+    documents from the written tables, so that nothing is computed twice for them."""
+    spark = next(iter(tables.values())).sparkSession
     for name, df in tables.items():
         ex.write_table(df, f"{out_dir}/{name}", "parquet")
+    written = {name: spark.read.schema(df.schema).parquet(f"{out_dir}/{name}") for name, df in tables.items()}
     for name in CSV_TABLES:
         if name in tables:
-            ex.write_table(tables[name], f"{out_dir}/csv/{name}", "csv")
+            ex.write_table(written[name], f"{out_dir}/csv/{name}", "csv")
+    if "kpis" in tables:
+        write_documents(spark, written, f"{out_dir}/documents")
