@@ -128,6 +128,19 @@ def r_stream_refresh(spark, sf):
     return spark.read.parquet(f"{base}/log").drop("epoch")
 
 
+@register("r_refresh_changed", "SELECT *, CASE WHEN entity = 'click' THEN 2 ELSE 1 END AS version FROM (" + ORACLES["o_residual_stats"] + ")")
+def r_refresh_changed(spark, sf):
+    """A first state in which one entity lacks a tenth of its rows, refreshed with the
+    whole panel: only that entity is computed again, and all rows equal a full computation."""
+    from panelkit.plans.refresh import current, refresh
+
+    base = _folder(spark, "state")
+    raw = panel(spark, sf, "event")
+    for rows in (raw.where((F.col("entity") != "click") | (F.col("tb") % 10 != 0)), raw):
+        refresh(spark, rows, base, lambda f, cfg: {"residual_stats": residual_stats(f, cfg.seasonal_period)}, H)
+    return current(spark, base, "residual_stats")
+
+
 # ------------------------------------------------------------------ lag windows of the pooled model
 @register("w_lag_windows", "WITH " + features_ctes("nation") + """,
 s AS (SELECT entity, idx, ts, returns AS y, min(returns) OVER p AS lo, max(returns) OVER p AS hi
