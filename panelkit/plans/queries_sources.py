@@ -17,9 +17,10 @@ from panelkit.operators import folds as fo
 from panelkit.operators.outliers import residual_stats
 from panelkit.plans import export as ex
 from panelkit.plans.catalog import ORACLES, final, register
-from panelkit.plans.queries_core import H, features, panel, weekly
+from panelkit.plans.queries_core import H, W, features, panel, weekly
 from panelkit.plans.queries_decomp import SCORE_SQL, event_stream, write_monitor_stats
 from panelkit.plans.queries_document import event_document
+from panelkit.plans.queries_eda import VOL
 from panelkit.plans.queries_export import display_ranking
 from panelkit.plans.sqlref import PANELS, features_ctes, rnd
 from panelkit.session import checkpoint_dir
@@ -141,6 +142,45 @@ def r_refresh_changed(spark, sf):
     return current(spark, base, "residual_stats")
 
 
+QUANTILES = (0.0, 0.05, 0.5, 0.95, 1.0)
+
+
+@register("a_vol_quantiles_sketch", "WITH " + features_ctes("nation") + ",\n" + VOL + """,
+o AS (SELECT CAST(q AS DOUBLE) AS q, n, CASE WHEN q = 0 THEN lo WHEN q = 1 THEN hi END AS extreme, true AS within
+      FROM (SELECT count(volatility) AS n, min(volatility) AS lo, max(volatility) AS hi FROM vol) CROSS JOIN (SELECT unnest([0, 0.05, 0.5, 0.95, 1]) AS q))
+""" + final("o", "q:2 n extreme:9 within"), scale=9, overrides={"q": 2})
+def a_vol_quantiles_sketch(spark, sf):
+    """Quantiles of the rolling volatility from sketches kept per entity: one entity
+    changes, its sketch alone is built again, and all are merged. ``within``: the exact rank of
+    the answer, counted over all values, is at most ``RANK_ERROR`` from the one asked for."""
+    from panelkit.operators.sketches import RANK_ERROR, merged, quantile_sketches
+    from panelkit.plans.refresh import current, refresh
+
+    base = _folder(spark, "sketches")
+    raw = panel(spark, sf, "nation")
+
+    def build(f, cfg):
+        return {"volatility_sketch": quantile_sketches(eda.rolling_volatility(f, 12), "volatility")}
+
+    for rows in (raw.where((F.col("entity") != "NATION_3") | (F.col("tb") % 10 != 0)), raw):
+        refresh(spark, rows, base, build, W)
+    m = merged(current(spark, base, "volatility_sketch"))
+    # one row of five numbers, as a scalar subquery of the counting pass
+    found = m.select(F.array(*[F.kll_sketch_get_quantile_double("sketch", F.lit(q)) for q in QUANTILES])).scalar()
+    n_kept = m.select("n").scalar()
+    vol = eda.rolling_volatility(features(spark, sf), 12).where(F.col("volatility").isNotNull()).select("volatility", found.alias("found"))
+    v = F.col("volatility")
+    ranks = vol.agg(F.count("*").alias("n"), F.any_value("found").alias("found"), *[
+        f.alias(f"{side}{j}") for j in range(len(QUANTILES))
+        for side, f in (("lt", F.count_if(v < F.col("found")[j])), ("le", F.count_if(v <= F.col("found")[j])))])
+    rows = [F.struct(F.lit(q).alias("q"), F.col("found")[j].alias("value"), (F.col(f"lt{j}") / F.col("n")).alias("lo"),
+                     (F.col(f"le{j}") / F.col("n")).alias("hi")) for j, q in enumerate(QUANTILES)]
+    r = ranks.select(n_kept.alias("kept"), "n", F.inline(F.array(*rows)))
+    ok = (F.col("lo") - RANK_ERROR <= F.col("q")) & (F.col("q") <= F.col("hi") + RANK_ERROR)
+    return r.select("q", F.col("kept").alias("n"), F.when(F.col("q").isin(0.0, 1.0), F.col("value")).alias("extreme"),
+                    (ok & (F.col("kept") == F.col("n"))).alias("within"))
+
+
 # ------------------------------------------------------------------ lag windows of the pooled model
 @register("w_lag_windows", "WITH " + features_ctes("nation") + """,
 s AS (SELECT entity, idx, ts, returns AS y, min(returns) OVER p AS lo, max(returns) OVER p AS hi
