@@ -385,6 +385,89 @@ def test_lm_digits_sum_to_one_and_cells_grow():
         assert abs(total - 1) < 1e-3
 
 
+def test_lm_words_of_many_texts_at_once(spark, monkeypatch):
+    from collections import Counter
+
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from panelkit.llm.maxent import bundles, codes_of, score_texts, split_texts, word_code
+    from panelkit.llm.tokcount import records
+
+    texts = [b"  A bc\x0bBC\x1cx\t\r\n", None, b"", b" \f ", "Grün ÜBER\u00a0x grün".encode(), b"\xff\xc3 \x80Z \x00 a", b"Z" * 400 + b" z" * 700]
+    column = pa.array([b"cut off", *texts, b"cut off"], pa.binary()).slice(1, len(texts))
+    want = [(t or b"").lower().split() for t in texts]
+    sizes, words, lens = split_texts(column)
+    assert sizes.tolist() == [len(t or b"") for t in texts] and lens.tolist() == [*map(len, want)]
+    found = words.cast(pa.large_binary()).to_pylist()
+    assert found == sum(want, []) and codes_of(found).tolist() == [word_code(w) for w in found]
+    for few in ([], [None, None], [b""]):
+        assert len(split_texts(pa.array(few, pa.binary()))[1]) == 0
+
+    # every bundle's postings and sequences, with and without a cut between documents
+    rows = [(k, t) for k, t in enumerate(texts)] + [(3, b"again a"), (None, b"a")]
+    held = F.coalesce(F.col("doc_id") == 0, F.lit(False))
+    df = spark.createDataFrame(rows, "doc_id long, text binary").coalesce(1)
+    for docs in (60_000, 2):
+        monkeypatch.setattr("panelkit.llm.maxent.BUNDLE_DOCS", docs)
+        out = bundles(df, held, "doc_id", "text").collect()
+        of = {(r.bundle, r.doc): r for r in out if r.word is None}
+        assert sorted((r.id is None, r.id or 0, [*np.frombuffer(r.codes, "<i4")]) for r in of.values()) == sorted((k is None, k or 0, [*map(word_code, (t or b"").lower().split()), 0]) for k, t in rows)
+        per_doc = Counter()
+        for r in out:
+            if r.word is not None:
+                doc, freq, _ = records(pa.array([bytes(r.postings)], pa.binary()))
+                assert r.code == word_code(r.word) and r.train == sum(int(f) for d, f in zip(doc, freq) if not of[r.bundle, d].held_out)
+                for d, f in zip(doc, freq):
+                    per_doc[of[r.bundle, d].id, bytes(r.word)] += int(f)
+        assert per_doc == Counter((k, w) for k, t in rows for w in (t or b"").lower().split())
+        assert len({r.bundle for r in out}) == (1 if docs > 2 else 5)
+        assert sum(r.n_tokens for r in score_texts(df, held).collect()) == sum(len((t or b"").split()) + 1 for _, t in rows)
+
+
+def test_lm_counts_and_postings_take_one_shuffle(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from panelkit.llm import maxent
+
+    plans = {}
+    write = maxent.materialize
+
+    def written(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(maxent, "materialize", written)
+    out = maxent.score_texts(spark.createDataFrame([(k, f"a b{k % 3} c") for k in range(30)], "doc_id long, text string"), F.col("doc_id") % 7 == 2)
+    assert {r.n_known for r in out.collect()} == {4}
+    last = out._jdf.queryExecution().executedPlan().toString()
+    assert sum(p.count("Exchange hashpartitioning(word#") for p in (*plans.values(), last)) == 1
+
+
+def test_lm_gradients_add_up_by_row():
+    from panelkit.llm.maxent import DIGIT, MEMORY, adagrad, chosen, errors, gathered, learn, log_softmax
+
+    rng = np.random.default_rng(5)
+    n, size = 4500, 700
+    weights, feats, y = rng.normal(size=(size, DIGIT)).astype(np.float32), rng.integers(0, size, (3, n)), rng.integers(0, DIGIT, n)
+    start = rng.normal(size=(n, DIGIT)).astype(np.float32)
+    logp = log_softmax(weights, feats, start)
+    assert np.allclose(chosen([(weights, feats)], y, start), logp[np.arange(n), y], atol=1e-5)
+    scale = (rng.random(n) < 0.8) * np.float32(1 / n)
+    want = np.zeros((size, DIGIT))
+    for f in feats:
+        np.add.at(want, f, (np.exp(logp) - np.eye(DIGIT)[y]) * scale[:, None])
+    error = errors([(weights, feats)], y, scale, start)
+    assert np.allclose(gathered(feats, error, size), want, atol=1e-7)
+    # on all rows of a small table, or on the batch's rows of a large one
+    for rows in (size, 4 * feats.size):
+        table = np.resize(weights, (rows, DIGIT)), np.full((rows, DIGIT), MEMORY, np.float32)
+        whole = [x.copy() for x in table]
+        learn(table, feats, error)
+        adagrad(*whole, slice(None), gathered(feats, error, rows))
+        assert np.array_equal(table[0], whole[0]) and np.array_equal(table[1], whole[1])
+
+
 def test_stray_labels_do_not_switch_off_rejection(spark):
     from panelkit.llm.langid import fit, identify
 
